@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licenses, lines, simhash
+from . import chat, licenses, lines, packing, simhash, toxicity
 from .common import table
 
 
@@ -24,13 +24,23 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op8_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     convs = chat.conversations_of(table(spark, sf_dir, "conversations"))
     return chat.preferences(chat.opening_pairs(convs), convs)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_license_scan, op3_line_dedup, op8_chat_preferences)}
+    return {f.__name__: f for f in (op1_simhash, op2_license_scan, op3_line_dedup, op5_toxicity, op6_packing, op8_chat_preferences)}
 
 
 def oracle_sql() -> dict[str, str]:
