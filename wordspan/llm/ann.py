@@ -23,6 +23,7 @@ BEAM = 64
 RELAX = 1.2
 BLOCK = 256
 QUERY_BLOCK = 20_000
+SEARCH_BEAM = 100
 
 
 def beam_search(vectors: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -63,22 +64,29 @@ def beam_search(vectors: np.ndarray, graph: np.ndarray, start: int, queries: np.
     return ids[:, :beam], dist[:, :beam], np.stack(visited, axis=1)
 
 
-def robust_prune(vectors: np.ndarray, node: int, candidates: np.ndarray, degree: int, relax: float) -> np.ndarray:
-    """Neighbours of ``node`` in order of distance, none of which a kept one is nearer to by ``relax``."""
-    candidates = np.unique(candidates[(candidates >= 0) & (candidates != node)])
-    own = vectors[candidates]
-    d = ((own - vectors[node]) ** 2).sum(1)
-    order = np.argsort(d, kind="stable")
-    candidates, own, d = candidates[order], own[order], d[order]
-    kept: list[int] = []
-    alive = np.ones(len(candidates), dtype=bool)
-    for i in range(len(candidates)):
-        if alive[i]:
-            kept.append(i)
-            if len(kept) == degree:
-                break
-            alive &= relax**2 * ((own - own[i]) ** 2).sum(1) > d
-    return candidates[kept]
+def robust_prune(vectors: np.ndarray, nodes: np.ndarray, candidates: np.ndarray, degree: int, relax: float) -> np.ndarray:
+    """For each node, at most ``degree`` of its candidates (rows padded with -1), nearest first: each
+    one kept drops those that it is nearer to, by the factor ``relax``, than the node is."""
+    cand = np.sort(candidates, axis=1)
+    bad = (cand < 0) | (cand == nodes[:, None])
+    bad[:, 1:] |= cand[:, 1:] == cand[:, :-1]
+    own = vectors[cand]
+    d = np.where(bad, np.inf, ((own - vectors[nodes][:, None]) ** 2).sum(2))
+    order = np.argsort(d, axis=1, kind="stable")
+    cand, d = np.take_along_axis(cand, order, axis=1), np.take_along_axis(d, order, axis=1)
+    own = np.take_along_axis(own, order[:, :, None], axis=1)
+    norms = (own**2).sum(2)
+    apart = norms[:, :, None] + norms[:, None] - 2 * own @ own.transpose(0, 2, 1)
+    kept, alive, rows = np.full((len(nodes), degree), -1, dtype=np.int32), np.isfinite(d), np.arange(len(nodes))
+    for k in range(degree):
+        live = rows[alive.any(axis=1)]
+        if not len(live):
+            break
+        best = np.argmax(alive[live], axis=1)
+        kept[live, k] = cand[live, best]
+        alive[live] &= relax**2 * apart[live, best] > d[live]
+        alive[live, best] = False
+    return kept
 
 
 def build_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BEAM, relax: float = RELAX, seed: int = 7) -> tuple[np.ndarray, int]:
@@ -90,27 +98,28 @@ def build_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BEAM, rel
     few = min(degree // 2, n - 1)
     if few > 0:
         graph[:, :few] = (np.arange(n)[:, None] + 1 + rng.integers(0, n - 1, (n, few))) % n
-    for factor in (1.0, relax):
-        order = rng.permutation(n)
-        for at in range(0, n, BLOCK):
-            block = order[at : at + BLOCK]
-            ids, _, visited = beam_search(vectors, graph, start, vectors[block], beam)
-            back: dict[int, list[int]] = {}
-            for i, node in enumerate(block.tolist()):
-                kept = robust_prune(vectors, node, np.concatenate([ids[i], visited[i], graph[node]]), degree, factor)
-                graph[node] = -1
-                graph[node, : len(kept)] = kept
-                for k in kept.tolist():
+    order = rng.permutation(n)
+    for at in range(0, n, BLOCK):
+        block = order[at : at + BLOCK]
+        ids, _, visited = beam_search(vectors, graph, start, vectors[block], beam)
+        graph[block] = robust_prune(vectors, block, np.concatenate([ids, visited, graph[block]], axis=1), degree, relax)
+        back: dict[int, list[int]] = {}
+        for node, kept in zip(block.tolist(), graph[block].tolist()):
+            for k in kept:
+                if k >= 0 and node not in graph[k]:
                     back.setdefault(k, []).append(node)
-            for node, offers in back.items():
-                have = graph[node][graph[node] >= 0]
-                new = np.setdiff1d(np.array(offers, dtype=np.int32), have)
-                if len(have) + len(new) > degree:
-                    kept = robust_prune(vectors, node, np.concatenate([have, new]), degree, factor)
-                    graph[node] = -1
-                    graph[node, : len(kept)] = kept
-                else:
-                    graph[node, len(have) : len(have) + len(new)] = new
+        full = []
+        for node, offers in back.items():
+            have = int((graph[node] >= 0).sum())
+            if have + len(offers) > degree:
+                full.append(node)
+            else:
+                graph[node, have : have + len(offers)] = offers
+        for part in range(0, len(full), BLOCK):
+            nodes = np.array(full[part : part + BLOCK])
+            width = max(len(back[k]) for k in nodes.tolist())
+            offered = np.array([back[k] + [-1] * (width - len(back[k])) for k in nodes.tolist()], dtype=np.int32)
+            graph[nodes] = robust_prune(vectors, nodes, np.concatenate([graph[nodes], offered], axis=1), degree, relax)
     return graph, start
 
 
@@ -121,7 +130,7 @@ def usable(vector: str = "embedding"):
     return F.coalesce(v.isNotNull() & (F.size(v) > 0) & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def neighbours(table: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int = SHARD_ROWS, beam: int = BEAM, degree: int = DEGREE) -> DataFrame:
+def neighbours(table: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int = SHARD_ROWS, beam: int = SEARCH_BEAM, degree: int = DEGREE) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of ``queries``, the ``k`` nearest others found in ``table``.
 
     Both have vec_id and embedding; distances are Euclidean in double precision; ties go to the
@@ -140,7 +149,7 @@ def neighbours(table: DataFrame, queries: DataFrame, k: int = 10, shard_rows: in
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         vectors = np.array(pdf["vector"].tolist(), dtype=np.float64)
-        graph, start = build_graph(vectors, degree, beam)
+        graph, start = build_graph(vectors, degree)
         return pd.DataFrame({"shard": pdf["shard"], "dim": pdf["dim"], "node": np.arange(len(pdf)), "start": start, "vector": pdf["vector"], "ids": pdf["ids"], "edges": list(graph)})
 
     index = stash(placed.groupBy("shard", "dim").applyInPandas(build, "shard int, dim int, node int, start int, vector array<double>, ids array<long>, edges array<int>"), "graph")
