@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licenses, lines, packing, simhash, toxicity
+from . import ann, chat, decontaminate, licenses, lines, packing, quality, simhash, suffixes, toxicity
 from .common import table
 
 
@@ -24,6 +24,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -34,13 +38,30 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     convs = chat.conversations_of(table(spark, sf_dir, "conversations"))
     return chat.preferences(chat.opening_pairs(convs), convs)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffixes.dedup(suffixes.file_batches(spark, f"{sf_dir}/documents.parquet"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.neighbours(rows, rows.where("vec_id % 100 = 0"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_license_scan, op3_line_dedup, op5_toxicity, op6_packing, op8_chat_preferences)}
+    return {f.__name__: f for f in (
+        op1_simhash, op2_license_scan, op3_line_dedup, op4_quality, op5_toxicity, op6_packing,
+        op7_decontamination, op8_chat_preferences, op9_suffix_dedup, op10_neighbours,
+    )}
 
 
 def oracle_sql() -> dict[str, str]:

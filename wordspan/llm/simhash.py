@@ -194,3 +194,13 @@ def near_groups(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFrame
     lowest = classes.groupBy("root").agg(F.min("low").alias("component_id"))
     named = stash(classes.join(lowest, "root").select("fp", "component_id"), "classes")
     return fps.join(named, "fp").select("doc_id", unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with their columns, that are the smallest doc_id of their near-duplicate group.
+
+    Of rows that repeat that id, one stays; rows without an id come after all others of their group."""
+    keyed = docs.withColumn("_own", F.coalesce(F.col("doc_id").cast("long"), F.shiftrightunsigned(F.xxhash64("text"), 1)))
+    groups = near_groups(keyed.select(F.col("_own").alias("doc_id"), "text"))
+    stay = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_own")).distinct()
+    return keyed.join(stay, "_own", "left_semi").dropDuplicates(["_own"]).select(*docs.columns)
