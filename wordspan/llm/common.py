@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,8 +13,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
 
 # -- tables that cut lineage ----------------------------------------------------------------------
 
@@ -30,17 +29,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stash(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` into the shared folder and read it back: the lineage ends there, so a lost
-    executor costs a re-read at most, and the shuffle files of the job are released."""
+    """Write ``df`` into the shared folder and read it back: the lineage ends there, so a lost executor
+    costs a re-read at most. Shuffle files of earlier jobs go as soon as the driver has collected the
+    plans that nothing refers to any more; it is asked to before each table."""
     spark = df.sparkSession
+    gc.collect()
+    spark._jvm.System.gc()
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
-        writer = df.write.option("compression", "zstd")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._stash = path
     return back
