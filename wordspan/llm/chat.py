@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import heavy_keys, salted_join, stash
+
 
 def conversations_of(turns: DataFrame) -> DataFrame:
     """(conv_id, turns array): one row a conversation, turns in order (ties by role, then text).
@@ -22,9 +24,10 @@ def opening_pairs(convs: DataFrame) -> DataFrame:
     """(chosen_id, rejected_id): of the conversations that open with the same turn, the smallest id is
     the chosen one of a pair with each other; without any other, it has a null partner. Rows grow with
     the conversations, not with the pairs of a group; a null conv_id takes no part."""
-    opened = convs.where("conv_id is not null").select("conv_id", F.xxhash64("turns").alias("whole"), F.sha2(F.concat_ws("\n", F.col("turns")[0]["role"], F.col("turns")[0]["text"]), 256).alias("opening"))
-    heads = opened.groupBy("opening").agg(F.min("conv_id").alias("chosen_id"), F.count("*").alias("n"))
-    return opened.join(heads, "opening").where((F.col("conv_id") != F.col("chosen_id")) | (F.col("n") == 1)).select("chosen_id", F.when(F.col("n") > 1, F.col("conv_id")).alias("rejected_id"))
+    opened = convs.where("conv_id is not null").select("conv_id", F.sha2(F.concat_ws("\n", F.col("turns")[0]["role"], F.col("turns")[0]["text"]), 256).alias("opening"))
+    heads = stash(opened.groupBy("opening").agg(F.min("conv_id").alias("chosen_id"), F.count("*").alias("n")), "openings")
+    both = salted_join(opened, heads, "opening", F.xxhash64("conv_id"), heavy_keys(heads, "opening"))
+    return both.where((F.col("conv_id") != F.col("chosen_id")) | (F.col("n") == 1)).select("chosen_id", F.when(F.col("n") > 1, F.col("conv_id")).alias("rejected_id"))
 
 
 def render(turn: Column) -> Column:
@@ -54,10 +57,14 @@ def preferences(pairs: DataFrame, convs: DataFrame) -> DataFrame:
 
     The prompt is the common prefix of turns with equal role and text. Without a partner it is what
     comes before the last turn, and the rejected side is null. Two equal conversations are all
-    prompt, with empty completions.
+    prompt, with empty completions. A chosen conversation of very many pairs is copied to several
+    tasks; a pair without a rejected side meets its own conversation, so null ids don't gather.
     """
-    a, b = convs.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("a")), convs.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("b"))
-    both = pairs.join(a, "chosen_id").join(b, "rejected_id", "left")
+    pairs = stash(pairs.select("chosen_id", "rejected_id"), "pairs")
+    a, b = convs.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("a")), convs.select(F.col("conv_id").alias("partner"), F.col("turns").alias("b"))
+    heavy = heavy_keys(pairs.groupBy("chosen_id").agg(F.count("*").alias("n")), "chosen_id")
+    both = salted_join(pairs, a, "chosen_id", F.xxhash64("rejected_id"), heavy).withColumn("partner", F.coalesce("rejected_id", "chosen_id")).join(b, "partner", "left")
+    both = both.withColumn("b", F.when(F.col("rejected_id").isNotNull(), F.col("b")))
     shorter = F.least(F.size("a"), F.size("b"))
     def differs(i: Column) -> Column:
         x, y = F.element_at("a", i), F.element_at("b", i)
