@@ -20,7 +20,7 @@ def test_oracles_belong_to_queries():
     assert entry.queries()["enrich"]
 
 
-@pytest.mark.parametrize("name", ["verse_stats", "loo_median", "enrich", "select_strategy", "validate", "validation_rules", "stretch_positions", "merge_reports", "build_packs"])
+@pytest.mark.parametrize("name", ["verse_stats", "loo_median", "raw_to_ms", "chapter_ranges", "enrich", "select_strategy", "validate", "validation_rules", "stretch_positions", "merge_reports", "build_packs"])
 def test_query(spark, name):
     con = duckdb.connect()
     for t in TABLES:
