@@ -154,7 +154,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, ranks: str | None = None
     where = segments(plan(histogram, capacity))  # bounded by the windows planned, each of which uses up a length's copies
     keys = where[:, 0] << 44 | where[:, 1]
     own = Window.partitionBy("length", "salt").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
-    ranked = salted.join(F.broadcast(firsts.select("length", "salt", "before")), ["length", "salt"])
+    ranked = salted.join(firsts.select("length", "salt", "before").hint("merge"), ["length", "salt"])  # by the keys that the ranks need anyway
     ranked = ranked.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("before") + F.row_number().over(own) - 1).alias("rank"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
