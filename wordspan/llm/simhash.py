@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import connected_components, local_roots, stash, text_bytes, unsigned_hex
+from .shingles import near_classes
 
 FANOUT = 4
 BATCH_ENTRIES = 200_000
@@ -199,8 +200,10 @@ def near_groups(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFrame
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with their columns, that are the smallest doc_id of their near-duplicate group.
 
+    Here near means five-word shingles of Jaccard similarity 0.8 or more (see ``shingles``): such texts
+    differ in some ten bits of a fingerprint, at times in twenty, too many for masks to leave few pairs.
     Of rows that repeat that id, one stays; rows without an id come after all others of their group."""
     keyed = docs.withColumn("_own", F.coalesce(F.col("doc_id").cast("long"), F.shiftrightunsigned(F.xxhash64("text"), 1)))
-    groups = near_groups(keyed.select(F.col("_own").alias("doc_id"), "text"))
-    stay = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_own")).distinct()
+    groups = near_classes(keyed.select(F.col("_own").alias("own"), "text"))
+    stay = groups.where("own = component_id").select(F.col("own").alias("_own")).distinct()
     return keyed.join(stay, "_own", "left_semi").dropDuplicates(["_own"]).select(*docs.columns)
