@@ -1,8 +1,8 @@
 """Toxicity by a lexicon trie met with Levenshtein automata, and the context of each hit.
 
 The lexicon is learnt from labelled rows: words and stems that toxic texts have and clean ones lack.
-Its trie and the automata of its terms are determinized into one table, which all words of a batch
-run through together, a character a step; most words leave it after a few. A hit inside quotation
+Its trie and the automata of its terms are determinized, as far as words come, into one table, which
+all words of a batch run through together, a character a step; most words leave it after a few. A hit inside quotation
 marks or next to a reporting word counts as quotation, any other as abuse.
 """
 
@@ -36,13 +36,15 @@ _WORD = np.array([chr(i).isalnum() for i in range(0x10000)])
 
 
 def edits_for(term: str, stem: bool) -> int:
-    """How many edits still count as the term: none for short words and for stems under seven letters."""
-    return int(len(term) >= (7 if stem else 5))
+    """How many edits still count as the term: none for short words and for stems under seven letters, two for long ones."""
+    return int(len(term) >= (7 if stem else 5)) + int(len(term) >= (12 if stem else 9))
 
 
 @dataclass
 class Automaton:
-    """A table of states by character classes; accept: 0 none, else 1 + edits; stems end a word early."""
+    """A table of states by character classes; accept: 0 none, else 1 + edits; stems end a word early.
+
+    Rows of the table are made as words come to them, since all states of many terms would be too many."""
 
     classes: np.ndarray
     table: np.ndarray
@@ -50,9 +52,10 @@ class Automaton:
     final: np.ndarray = field(default=None)
 
     @classmethod
-    def of(cls, terms: list[tuple[str, bool]]) -> Automaton:
+    def of(cls, terms: list[tuple[str, bool]], swaps: bool = False) -> Automaton:
+        """With ``swaps``, two neighbouring letters in the wrong order are one edit instead of two."""
         children: list[dict[str, int]] = [{}]
-        ends: dict[int, tuple[int, bool]] = {}
+        ends: dict[int, dict[bool, int]] = {}
         allowed = [0]
         for term, stem in terms:
             node, edits = 0, edits_for(term, stem)
@@ -64,16 +67,19 @@ class Automaton:
                     children[node][ch] = len(children) - 1
                 node = children[node][ch]
                 allowed[node] = max(allowed[node], edits)
-            ends[node] = (edits, stem)
+            ends.setdefault(node, {})[stem] = edits
         alphabet = sorted({ch for term, _ in terms for ch in term})
         classes = np.zeros(0x110000, dtype=np.uint8 if len(alphabet) < 255 else np.uint16)
         for i, ch in enumerate(alphabet):
             classes[ord(ch)] = i + 1
 
-        def closed(states: dict[int, int]) -> frozenset:
-            """Least edits by trie node, with trie letters that the word leaves out."""
+        def closed(states: dict) -> frozenset:
+            """Least edits by trie node, with trie letters that the word leaves out. A pair (node, letter)
+            is a node whose next two letters come in the wrong order, the second of them, ``letter``, read."""
             todo = list(states.items())
             for node, e in todo:
+                if isinstance(node, tuple):
+                    continue
                 for child in children[node].values():
                     if e < allowed[child] and e + 1 < states.get(child, 99):
                         states[child] = e + 1
@@ -81,8 +87,18 @@ class Automaton:
             return frozenset(states.items())
 
         def step(states: frozenset, ch: str | None) -> frozenset:
-            out: dict[int, int] = {}
+            out: dict = {}
             for node, e in states:
+                if isinstance(node, tuple):
+                    if ch in children[node[0]]:
+                        child = children[children[node[0]][ch]].get(node[1])
+                        if child is not None and e <= allowed[child]:
+                            out[child] = min(out.get(child, 99), e)
+                    continue
+                if swaps and ch is not None:
+                    for own, child in children[node].items():
+                        if own != ch and e < allowed[children[child].get(ch, 0)] and ch in children[child]:
+                            out[node, ch] = min(out.get((node, ch), 99), e + 1)
                 if e < allowed[node]:
                     out[node] = min(out.get(node, 99), e + 1)  # a letter too many
                 for own, child in children[node].items():
@@ -91,26 +107,44 @@ class Automaton:
                         out[child] = min(out.get(child, 99), cost)
             return closed(out)
 
-        start = closed({0: 0})
-        number, queue, rows = {frozenset(): 0, start: 1}, [frozenset(), start], []
-        for states in queue:
-            row = []
-            for ch in [None, *alphabet]:
-                to = step(states, ch)
-                if to not in number:
-                    number[to] = len(queue)
-                    queue.append(to)
-                row.append(number[to])
-            rows.append(row)
-        best = lambda states, stem: min((1 + e for node, e in states if node in ends and ends[node][1] == stem and e <= ends[node][0]), default=0)
-        return cls(classes, np.array(rows, dtype=np.int32), np.array([best(s, False) for s in queue], dtype=np.uint8), np.array([best(s, True) for s in queue], dtype=np.uint8))
+        best = lambda states, stem: min((1 + e for node, e in states if e <= ends.get(node, {}).get(stem, -1)), default=0)
+        self = cls(classes, np.zeros((0, len(alphabet) + 1), dtype=np.int32), np.zeros(0, dtype=np.uint8), np.zeros(0, dtype=np.uint8))
+        self._letters, self._step, self._best = [None, *alphabet], step, best
+        self._number, self._states = {}, []
+        self._add([frozenset(), closed({0: 0})])
+        self.table[0] = 0
+        return self
+
+    def _add(self, new: list[frozenset]) -> None:
+        self._number |= {x: len(self._states) + i for i, x in enumerate(new)}
+        self._states += new
+        if len(self._states) > len(self.table):  # room for as many again
+            room = 2 * len(self._states) - len(self.table)
+            self.table = np.concatenate([self.table, np.full((room, self.table.shape[1]), -1, dtype=np.int32)])
+            self.accept, self.final = (np.concatenate([x, np.zeros(room, dtype=np.uint8)]) for x in (self.accept, self.final))
+        for i in range(len(self._states) - len(new), len(self._states)):
+            self.accept[i], self.final[i] = self._best(self._states[i], False), self._best(self._states[i], True)
+
+    def _next(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """The states after a letter each; those that no word has come to yet are made."""
+        to = self.table[state, letter]
+        if (to < 0).any():
+            width = self.table.shape[1]
+            for code in np.unique(state[to < 0].astype(np.int64) * width + letter[to < 0]).tolist():
+                at, ch = divmod(code, width)
+                states = self._step(self._states[at], self._letters[ch])
+                if states not in self._number:
+                    self._add([states])
+                self.table[at, ch] = self._number[states]
+            to = self.table[state, letter]
+        return to
 
     def hits(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(word numbers, 1 + edits) of the words that the lexicon holds."""
         word, at, state = np.arange(len(starts)), starts.copy(), np.ones(len(starts), dtype=np.int32)
         found: list[tuple[np.ndarray, np.ndarray]] = []
         while len(word):
-            state = self.table[state, self.classes[codes[at]]]
+            state = self._next(state, self.classes[codes[at]])
             at += 1
             stem, done = self.final[state], at == ends[word]
             got = np.where(done & (self.accept[state] > 0) & ((stem == 0) | (self.accept[state] < stem)), self.accept[state], stem)
@@ -216,7 +250,10 @@ def choose_terms(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -
     strength, out = {term: s for s, term in scored}, []
     for s, term in sorted(scored, key=lambda x: (-round(x[0], 6), x[1][0] != "=", len(x[1]), x[1])):
         body = term[1:]
-        if any(body.startswith(b) if stem else body == b or (term[0] == "^" and b.startswith(body) and strength[term] <= 1.05 * strength["=" + b]) for b, stem in out):
+        if term[0] == "=":  # beside its stem a word has an edit budget of its own
+            out.append((body, False))
+            continue
+        if any(body.startswith(b) if stem else body == b or (b.startswith(body) and strength[term] <= 1.05 * strength["=" + b]) for b, stem in out):
             continue
         out.append((body, term[0] == "^"))
         if len(out) == MAX_TERMS:
@@ -255,7 +292,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     telling = term_counts(sample).where((F.col("toxic") + 0.5) * (n_clean + 1) > 20 * (F.col("clean") + 0.5) * (n_toxic + 1))
     best = telling.orderBy(F.desc(F.col("toxic") / (F.col("clean") + 1)), "term").limit(50 * MAX_TERMS).collect()
     terms = choose_terms([tuple(r) for r in best], n_toxic, n_clean)
-    automaton = Automaton.of(terms)
+    automaton = Automaton.of(terms, swaps=True)
 
     def spelt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -280,7 +317,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 
 def scored(docs: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
     """``docs`` with all its columns and a column ``score``; null and empty texts get the score of no hit."""
-    automaton = Automaton.of(model.terms)
+    automaton = Automaton.of(model.terms, swaps=True)
     schema = docs.withColumn(score, F.lit(0.0)).schema
     at = next(i for i, c in enumerate(docs.columns) if c.lower() == text)
 
