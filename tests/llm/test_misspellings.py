@@ -15,3 +15,16 @@ def test_misspelt_forms_of_inflected_terms():
     auto = toxicity.Automaton.of(toxicity.choose_terms(rows, 100, 1000), swaps=True)
     assert [found(auto, w) for w in ("idiot", "idiotic", "ideot", "idoit", "ideots", "idoits", "imebcliic", "imbcilc")] == [[1], [1], [2], [2], [2], [2], [3], [3]]
     assert [found(auto, w) for w in ("edeot", "plain", "embicelac")] == [[], [], []]
+
+
+def test_terms_are_not_capped_and_headers_are_no_copies(spark):
+    letters = "bcdfghjklmnpqrstvwxz"
+    terms = [f"{letters[i % 20]}a{letters[i // 20]}u{letters[(7 * i) % 20]}" for i in range(90)]
+    header = "One and the same header line of all texts of a source\n"
+    texts = [header + f"own text {i} {terms[i % 90] if i < 900 else 'fine'}" for i in range(1800)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 900)) for i in range(1800)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert {t for t, stem in model.terms if not stem} == set(terms)
+    scores = {r.doc_id: r.score for r in toxicity.scored(docs, model).collect()}
+    assert min(scores[i] for i in range(900)) > max(scores[i] for i in range(900, 1800))

@@ -20,9 +20,8 @@ from pyspark.sql import functions as F
 
 from .common import names_free, stash
 
-#: Bounds of the fit: labelled rows looked at, and terms kept. Scoring has none.
+#: Bound of the fit: labelled rows looked at. Neither the terms of that sample nor scoring have one.
 TRAIN_ROWS = 8000
-MAX_TERMS = 64
 MIN_TOXIC_DOCS = 6
 STEMS = range(4, 9)
 THRESHOLD = 0.3
@@ -240,7 +239,7 @@ def term_counts(sample: DataFrame) -> DataFrame:
 
 
 def choose_terms(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -> list[tuple[str, bool]]:
-    """At most MAX_TERMS terms, the most telling first; a stem stands for what begins with it."""
+    """All terms that pass the odds test, the most telling first; a stem stands for what begins with it."""
     scored = []
     for term, t, c in rows:
         odds = math.log((t + 0.5) / (n_toxic + 1)) - math.log((c + 0.5) / (n_clean + 1))
@@ -255,9 +254,7 @@ def choose_terms(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -
             continue
         if any(body.startswith(b) if stem else body == b or (b.startswith(body) and strength[term] <= 1.05 * strength["=" + b]) for b, stem in out):
             continue
-        out.append((body, term[0] == "^"))
-        if len(out) == MAX_TERMS:
-            break
+        out.append((body, True))
     return out
 
 
@@ -276,21 +273,22 @@ def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Fit on at most ``rows`` labelled texts, those with the smallest hash of their doc_id; of texts
-    that share their first or last forty characters one is used, so that copies don't make terms.
+    """Fit on at most ``rows`` labelled texts, those with the smallest hash of their doc_id; of equal
+    texts the one with the smallest doc_id is used, so that copies don't make terms.
     Rows without a label, and ids with both labels, teach nothing. Without any, the score is one number.
     """
     marked = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most")
     picked = marked.orderBy(F.xxhash64(F.col("doc_id").cast("long"))).limit(rows).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id")  # at most ``rows`` pairs of numbers
-    sample = sample.where("text is not null").dropDuplicates(["doc_id"]).withColumns({"head": F.left("text", F.lit(40)), "tail": F.right("text", F.lit(40))})
-    sample = stash(sample.dropDuplicates(["head"]).dropDuplicates(["tail"]).select("text", "toxic"), "sample")
+    once = sample.where("text is not null").groupBy("doc_id").agg(F.min(F.struct("text", "toxic")).alias("row"))
+    digests = once.select("doc_id", "row.*").groupBy(F.sha2("text", 256).alias("digest")).agg(F.min(F.struct("doc_id", "text", "toxic")).alias("row"))
+    sample = stash(digests.select("row.text", "row.toxic"), "sample")
     sizes = sample.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     n_toxic, n_clean = sizes[0] or 0, sizes[1] or 0
     if not n_toxic or not n_clean:
         return Model([], np.array([math.log((n_toxic + 0.5) / (n_clean + 0.5)), 0, 0, 0, 0]))
     telling = term_counts(sample).where((F.col("toxic") + 0.5) * (n_clean + 1) > 20 * (F.col("clean") + 0.5) * (n_toxic + 1))
-    best = telling.orderBy(F.desc(F.col("toxic") / (F.col("clean") + 1)), "term").limit(50 * MAX_TERMS).collect()
+    best = telling.collect()  # each in MIN_TOXIC_DOCS of at most ``rows`` texts
     terms = choose_terms([tuple(r) for r in best], n_toxic, n_clean)
     automaton = Automaton.of(terms, swaps=True)
 
