@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -26,27 +27,26 @@ class TimingConfig:
 
     @classmethod
     def from_mapping(cls, raw: dict | None) -> TimingConfig:
-        """From a nested mapping; missing values, and ratios that aren't numbers, keep their default."""
+        """From the mapping of a configuration file. What it lacks keeps its default; a ratio that isn't a number is
+        ignored, any other bad value is an error."""
         raw = raw or {}
-        own = raw.get("timing_analysis") or {}
-        ratios = own.get("extension_ratios") or {}
-        plain = cls()
-
-        def number(value, default, kind):
-            try:
-                return kind(value)
-            except (TypeError, ValueError):
-                return default
-
-        return cls(
-            enabled=bool(raw.get("enable_timing_analysis", plain.enabled)),
-            min_word_samples=number(own.get("min_word_baseline_samples"), plain.min_word_samples, int),
-            min_chapter_words=number(own.get("min_surah_baseline_words"), plain.min_chapter_words, int),
-            slightly=number(ratios.get("slightly_extended"), plain.slightly, float),
-            extended=number(ratios.get("extended"), plain.extended, float),
-            highly=number(ratios.get("highly_extended"), plain.highly, float),
-            max_tatweel=number(own.get("max_tatweel_per_position"), plain.max_tatweel, int),
-        )
+        own = raw.get("timing_analysis")
+        own = own if isinstance(own, dict) else {}
+        switch = next((x for x in (raw.get("enable_timing_analysis"), own.get("enabled")) if x is not None), True)
+        given = {name: int(own[key]) for name, key in COUNTS.items() if key in own}
+        ratios = own.get("extension_ratios") or raw.get("extension_ratios")
+        for name, key in RATIOS.items() if isinstance(ratios, dict) else ():
+            with contextlib.suppress(TypeError, ValueError, KeyError):
+                given[name] = float(ratios[key])
+        return cls(enabled=bool(switch), **given)
+
+
+# The keys of a configuration file.
+COUNTS = {
+    "min_word_samples": "min_word_baseline_samples", "min_chapter_words": "min_surah_baseline_words", "min_verse_others": "min_verse_baseline_others",
+    "min_reciter_words": "min_reciter_baseline_words", "max_tatweel": "max_tatweel_per_position",
+}
+RATIOS = {"slightly": "slightlyExtended", "extended": "extended", "highly": "highlyExtended"}
 
 
 def word_duration(start: Column, end: Column) -> Column:

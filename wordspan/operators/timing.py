@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import measures as M
 from ..functions import text as T
 from ..functions.core import half_even
+from ..sources.tables import written
 
 
 @dataclass(frozen=True)
@@ -60,7 +61,11 @@ def reciter_median(words: DataFrame, c: Columns = Columns(), least: int = 8) ->
 def order_stats(rows: DataFrame, keys: list[str], value: str, prefix: str = "") -> DataFrame:
     """(keys, n, below, mid, above): the middle values of each group, from which the median without any
     one value follows. Groups are counted by value first, so a window sees their distinct values only."""
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
+    return order_stats_of(rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c")), keys, value, prefix)
+
+
+def order_stats_of(counts: DataFrame, keys: list[str], value: str, prefix: str = "") -> DataFrame:
+    """The same from (keys, value, _c)."""
     order = Window.partitionBy(*keys).orderBy(value)
     seen = F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     total = F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
@@ -104,24 +109,41 @@ def resolve_baseline(words: DataFrame, config: M.TimingConfig = M.TimingConfig()
     chapters = chapter_stats(words, c, config.min_chapter_words).select(c.reciter, c.chapter, "chapter_median", F.col("n").alias("chapter_n"))
     reciters = reciter_median(words, c, config.min_reciter_words).select(c.reciter, "reciter_median", F.col("n").alias("reciter_n"))
     joined = based.join(chapters, [c.reciter, c.chapter], "left").join(reciters, c.reciter, "left")
-    has = F.col(c.duration).isNotNull()
+    return joined.select(*[F.col(x) for x in words.columns], *first_baseline(c), "chapter_median")
+
+
+def first_baseline(c: Columns) -> list[Column]:
+    """baseline_ms, baseline_source and baseline_n: of the first of word, verse, chapter and reciter that there is."""
     steps = [("word", "word_base", "word_base_others"), ("verse", "verse_base", "verse_base_others"), ("surah", "chapter_median", "chapter_n"), ("reciter", "reciter_median", "reciter_n")]
 
     def first(pick) -> Column:
-        out = F.when(~has, None)
+        out = F.when(F.col(c.duration).isNull(), None)
         for step in steps:
             out = out.when(F.col(step[1]).isNotNull(), pick(step))
         return out
 
-    extra = [first(lambda s: F.col(s[1]).cast("double")).alias("baseline_ms"), first(lambda s: F.lit(s[0])).alias("baseline_source"), first(lambda s: F.col(s[2]).cast("long")).alias("baseline_n")]
-    return joined.select(*[F.col(x) for x in words.columns], *extra, "chapter_median")
+    return [first(lambda s: F.col(s[1]).cast("double")).alias("baseline_ms"), first(lambda s: F.lit(s[0])).alias("baseline_source"), first(lambda s: F.col(s[2]).cast("long")).alias("baseline_n")]
+
+
+NO_CANDIDATES = "array<struct<type:string,clusterIndex:int,reason:string>>"
+#: What an analysis adds to words; old values of a document analysed before go first.
+ANALYSIS = ["dur", "candidates", "stretch", "baseline_ms", "baseline_source", "baseline_n", "ratio", "level", "confidence", "verse_mean", "verse_median", "chapter_mean", "chapter_median", "timing_enabled"]
+
+
+def stripped(words: DataFrame, c: Columns = Columns()) -> DataFrame:
+    return words.drop(*[x for x in [*ANALYSIS, c.duration] if x in words.columns])
+
+
+def text_analysis(texts: DataFrame, config: M.TimingConfig = M.TimingConfig(), c: Columns = Columns()) -> DataFrame:
+    """``texts`` with candidates and stretch, which follow from the text."""
+    drawn = texts.withColumn("candidates", F.coalesce(T.madd_candidates(F.col(c.text)), F.array().cast(NO_CANDIDATES)))
+    return drawn.withColumn("stretch", T.stretch_positions(F.col(c.text), F.col("candidates"), config.max_tatweel))
 
 
 def with_text_analysis(words: DataFrame, config: M.TimingConfig = M.TimingConfig(), c: Columns = Columns()) -> DataFrame:
-    """Adds candidates and stretch. They follow from the text, so they are made once a distinct text."""
-    texts = words.select(c.text).where(F.col(c.text).isNotNull()).distinct().withColumn("candidates", T.madd_candidates(F.col(c.text)))
-    texts = texts.withColumn("stretch", T.stretch_positions(F.col(c.text), F.col("candidates"), config.max_tatweel))
-    return words.join(texts, c.text, "left").select(*words.columns, F.coalesce("candidates", F.array().cast("array<struct<type:string,clusterIndex:int,reason:string>>")).alias("candidates"), "stretch")
+    """Adds candidates and stretch, made once a distinct text."""
+    texts = text_analysis(words.select(c.text).where(F.col(c.text).isNotNull()).distinct(), config, c)
+    return words.join(texts, c.text, "left").select(*words.columns, F.coalesce("candidates", F.array().cast(NO_CANDIDATES)).alias("candidates"), "stretch")
 
 
 def measured(words: DataFrame, config: M.TimingConfig, c: Columns) -> DataFrame:
@@ -131,21 +153,82 @@ def measured(words: DataFrame, config: M.TimingConfig, c: Columns) -> DataFrame:
     return rows.withColumn("level", M.extension_level(F.col("ratio"), has, config)).withColumn("confidence", M.extension_confidence(F.col("ratio"), has, F.col(c.score), F.col("baseline_source"), F.col("baseline_n")))
 
 
+def with_verse_measures(words: DataFrame, c: Columns = Columns(), least: int = 2) -> DataFrame:
+    """``words`` with dur, verse_mean, verse_median, verse_base and verse_base_others. One shuffle: a verse's
+    words are gathered in one row, where its order statistics are places of its sorted durations."""
+    rest = [x for x in words.columns if x not in c.verse_key]
+    own = M.word_duration(F.col(c.start), F.col(c.end))
+    nested = words.groupBy(*c.verse_key).agg(F.collect_list(F.struct(*rest, own.alias(c.duration))).alias("_w"))
+    sorted_ = nested.withColumn("_d", F.array_sort(F.filter(F.transform("_w", lambda w: w[c.duration]), lambda d: d.isNotNull())))
+    n, middle = F.size("_d"), F.floor((F.size("_d") - 1) / 2).cast("int")
+    total = F.aggregate("_d", F.lit(0).cast("long"), lambda acc, d: acc + d)
+    some, at = n > 0, lambda i: F.get(F.col("_d"), i)
+    stats = sorted_.select(
+        *c.verse_key, "_w", n.alias("_n"), at(middle - 1).alias("_below"), at(middle).alias("_mid"), at(middle + 1).alias("_above"), F.when(some, half_even(total, F.greatest(n, F.lit(1)), 1)).alias("verse_mean"),
+        F.when(some, (at(F.floor((n - 1) / 2).cast("int")) + at(F.floor(n / 2).cast("int"))) / 2.0).alias("verse_median"),
+    )
+    rows = stats.select(*[x for x in stats.columns if x != "_w"], F.explode_outer("_w").alias("w")).select("*", "w.*").drop("w")
+    d = F.col(c.duration)
+    others = F.when(d.isNotNull(), F.col("_n") - 1).cast("long")
+    base = F.when(others >= least, median_without(d, F.col("_n"), F.col("_below"), F.col("_mid"), F.col("_above")))
+    return rows.select(*words.columns, c.duration, "verse_mean", "verse_median", base.alias("verse_base"), others.alias("verse_base_others"))
+
+
 def attach_analysis(words: DataFrame, config: M.TimingConfig = M.TimingConfig(), c: Columns = Columns()) -> DataFrame:
-    """The analysis of each verse by itself: verse baselines only. Unchanged when disabled."""
+    """The analysis of each verse by itself: verse statistics and verse baselines only, in place of what an
+    analysis before has left. timing_enabled says that it is there. Unchanged when disabled."""
     if not config.enabled:
         return words
-    based = verse_baseline(with_duration(words, c), c, config.min_verse_others)
-    based = based.withColumns({"baseline_ms": F.col("verse_base"), "baseline_source": F.when(F.col("verse_base").isNotNull(), "verse"), "baseline_n": F.when(F.col("verse_base").isNotNull(), F.col("verse_base_others"))}).drop("verse_base", "verse_base_others")
-    return measured(with_text_analysis(based, config, c), config, c)
+    based = with_verse_measures(stripped(words, c), c, config.min_verse_others)
+    known = F.col("verse_base").isNotNull()
+    based = based.withColumns({"baseline_ms": F.col("verse_base"), "baseline_source": F.when(known, "verse"), "baseline_n": F.when(known, F.col("verse_base_others"))}).drop("verse_base", "verse_base_others")
+    return measured(with_text_analysis(based, config, c), config, c).withColumn("timing_enabled", F.lit(True))
+
+
+#: Tables of so many rows at most are copied to all tasks; larger ones are joined by key.
+BROADCAST_ROWS = 100_000
+
+
+def counted_stats(counts: DataFrame, keys: list[str], c: Columns, least: int, names: tuple[str, str, str]) -> DataFrame:
+    """(keys, mean, median, n) from (keys, duration, n): groups are counted by value before, so no group is held."""
+    n = F.sum("n")
+    got = counts.groupBy(*keys).agg(n.alias(names[2]), F.sum(F.col(c.duration) * F.col("n")).alias("_s"), F.percentile(F.col(c.duration), F.lit(0.5), F.col("n")).alias(names[1]))
+    return got.where(F.col(names[2]) >= least).select(*keys, half_even(F.col("_s"), F.col(names[2]), 1).alias(names[0]), names[1], names[2])
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df`` as a table, broadcast only if it is small enough."""
+    kept = written(df)
+    return F.broadcast(kept) if kept.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else kept
 
 
 def enrich(words: DataFrame, config: M.TimingConfig = M.TimingConfig(), c: Columns = Columns()) -> DataFrame:
-    """The analysis over whole reciters: durations, candidates, stretch, baseline, ratio, level, confidence."""
+    """The analysis over whole reciters: durations, candidates, stretch, baseline, ratio, level, confidence, and
+    the mean and median of verse and chapter.
+
+    Words with their verse's measures are made once. All else is counted before it is shuffled: durations by
+    chapter, and a lexicon with a row for each text of a reciter, which holds the word's order statistics and
+    the analysis of the text, so that words are joined once. Skewed texts are left to the adaptive join."""
     if not config.enabled:
         return words
-    timed = with_duration(words, c)
-    return measured(with_text_analysis(resolve_baseline(timed, config, c), config, c), config, c)
+    plain = stripped(words, c)
+    timed = written(with_verse_measures(plain, c, config.min_verse_others).withColumn("_text", F.coalesce(c.text, F.lit(""))))
+    has = F.col(c.duration).isNotNull()
+    by_chapter = written(timed.where(has).groupBy(c.reciter, c.chapter, c.duration).agg(F.count("*").alias("n")))
+    named = by_chapter.where(F.col(c.chapter).isNotNull() & (F.col(c.chapter).cast("string") != "0"))
+    chapters = small(counted_stats(named, [c.reciter, c.chapter], c, config.min_chapter_words, ("chapter_mean", "chapter_median", "chapter_n")))
+    reciters = small(counted_stats(by_chapter, [c.reciter], c, config.min_reciter_words, ("_mean", "reciter_median", "reciter_n")).drop("_mean"))
+    by_text = written(timed.groupBy(c.reciter, "_text", c.duration).agg(F.count("*").alias("n")))
+    keyed = by_text.withColumn("word_key", T.baseline_key(F.col("_text")))
+    stats = order_stats_of(keyed.where(has).groupBy(c.reciter, "word_key", c.duration).agg(F.sum("n").alias("_c")), [c.reciter, "word_key"], c.duration, "_")
+    texts = text_analysis(keyed.select(c.reciter, "word_key", "_text").distinct().withColumnRenamed("_text", c.text), config, c).withColumnRenamed(c.text, "_text")
+    lexicon = texts.join(stats, [c.reciter, "word_key"], "left").drop("word_key")
+    rows = timed.join(lexicon, [c.reciter, "_text"], "left").join(chapters, [c.reciter, c.chapter], "left").join(reciters, c.reciter, "left")
+    others = F.when(has, F.col("_n") - 1).cast("long")
+    word = F.when(others >= config.min_word_samples, median_without(F.col(c.duration), F.col("_n"), F.col("_below"), F.col("_mid"), F.col("_above")))
+    rows = rows.withColumn("word_base", word).withColumn("word_base_others", others)
+    rows = rows.select(*plain.columns, c.duration, "verse_mean", "verse_median", "chapter_mean", "chapter_median", *first_baseline(c), F.coalesce("candidates", F.array().cast(NO_CANDIDATES)).alias("candidates"), "stretch")
+    return measured(rows, config, c).withColumn("timing_enabled", F.lit(True))
 
 
 def chapter_timeline(verses: DataFrame, duration: str, c: Columns = Columns()) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.core import let
 
 
 @dataclass(frozen=True)
@@ -30,15 +31,14 @@ def _text(x: Column) -> Column:
 
 
 def _word_errors(words: Column, expected: Column | None, duration: Column, limits: Limits) -> Column:
-    """Errors of the words, in the order of words and rules."""
+    """Errors of the words (with soft and pause), in the order of words and rules."""
 
     def of(w: Column, i: Column) -> Column:
         before = F.get(words, i - 1)
         last = F.coalesce(before["end_ms"], F.lit(-1))
         start, end, n = w["start_ms"], w["end_ms"], _text(w["idx"])
         own, gap = end - start, start - last
-        soft = F.least(F.lit(limits.min_word_ms), F.greatest(F.lit(60), 40 * T.letter_count(w["text"])))
-        large = (gap > limits.max_gap_ms) & ~T.has_waqf(F.coalesce(before["text"], F.lit("")))
+        large = (gap > limits.max_gap_ms) & ~F.coalesce(before["pause"], F.lit(False))
         rules = [
             _say(w["idx"] != i + 1, "index_order at ", i.cast("string"), ": got ", n),
             _say(F.lit(expected is not None) & ~w["text"].eqNullSafe(F.get(expected, i)), "text_mismatch at ", n) if expected is not None else F.lit(None).cast("string"),
@@ -46,7 +46,7 @@ def _word_errors(words: Column, expected: Column | None, duration: Column, limit
             _say(start >= end, "start_ge_end at ", n),
             _say(end > duration + 50, "end_past_duration at ", n, ": ", _text(end), ">", _text(duration)),
             _say(start < last - 30, "overlap at ", n),
-            _say((own < soft) & (own < 40), "collapsed at ", n, ": ", _text(own), "ms"),
+            _say((own < w["soft"]) & (own < 40), "collapsed at ", n, ": ", _text(own), "ms"),
             _say(own > limits.max_word_ms, "too_long at ", n, ": ", _text(own), "ms"),
             _say((last >= 0) & large, "large_gap before ", n, ": ", _text(gap), "ms"),
             _say((last >= 0) & ~large & (gap > 2800), "huge_gap before ", n, ": ", _text(gap), "ms"),
@@ -62,27 +62,34 @@ def errors(words: Column, duration: Column, expected: Column | None = None, pres
     ``present`` has the required fields by name; those that are null are reported, and nothing else then."""
     required = {"words": words, **(present or {})}
     missing = F.filter(F.array(*[_say(x.isNull(), f"missing_field:{k}") for k, x in required.items()]), lambda x: x.isNotNull())
-    size = F.size(words)
-    first, last = F.get(words, F.lit(0))["start_ms"], F.element_at(words, -1)["end_ms"]
-    edge = F.greatest(F.lit(3000), F.floor(0.25 * duration).cast("int"))
-    spans = F.transform(words, lambda w: F.struct((w["end_ms"] - w["start_ms"]).alias("d"), F.least(F.lit(limits.min_word_ms), F.greatest(F.lit(60), 40 * T.letter_count(w["text"]))).alias("soft")))
-    tiny = F.size(F.filter(spans, lambda x: x["d"] < x["soft"]))
-    covered = F.aggregate(spans, F.lit(0), lambda acc, x: acc + F.greatest(F.lit(0), x["d"]))
-    coverage = covered / F.greatest(last - first, F.lit(1))
-    scores = F.filter(F.transform(words, lambda w: w["score"]), lambda x: x.isNotNull())
-    mean = F.when(F.size(scores) > 0, F.aggregate(scores, F.lit(0.0), lambda acc, x: acc + x) / F.size(scores))
-    whole = [
-        _say((first > edge) & (duration - last > edge), "late_start"),
-        _say(last < duration - edge, "early_end"),
-        _say(tiny / size > limits.max_very_short_frac, "too_many_short:", tiny.cast("string"), "/", size.cast("string")),
-        _say(coverage < limits.min_coverage, "low_coverage:", F.format_string("%.3f", coverage)),
-    ]
-    if limits.min_mean_score is not None:
-        whole.append(_say(mean < limits.min_mean_score, "low_mean_score:", F.format_string("%.4f", mean)))
-    count = [_say(size != F.size(expected), "word_count expected=", F.size(expected).cast("string"), " got=", size.cast("string"))] if expected is not None else []
-    plain = lambda xs: F.filter(F.array(*xs), lambda x: x.isNotNull()) if xs else F.array().cast("array<string>")
-    everything = F.concat(plain(count), _word_errors(words, expected, duration, limits), plain(whole))
-    return F.when(F.size(missing) > 0, missing).when(size == 0, F.array(F.lit("empty_words"))).otherwise(everything)
+
+    def soft(w: Column) -> Column:  # what needs the letters, once a word
+        return F.least(F.lit(limits.min_word_ms), F.greatest(F.lit(60), 40 * T.letter_count(w["text"])))
+
+    seen = F.transform(words, lambda w: F.struct(*[w[k].alias(k) for k in ("idx", "text", "start_ms", "end_ms", "score")], soft(w).alias("soft"), T.has_waqf(F.coalesce(w["text"], F.lit(""))).alias("pause")))
+
+    def rules(words: Column) -> Column:
+        size = F.size(words)
+        first, last = F.get(words, F.lit(0))["start_ms"], F.element_at(words, -1)["end_ms"]
+        edge = F.greatest(F.lit(3000), F.floor(0.25 * duration).cast("int"))
+        tiny = F.size(F.filter(words, lambda w: w["end_ms"] - w["start_ms"] < w["soft"]))
+        covered = F.aggregate(words, F.lit(0), lambda acc, w: acc + F.greatest(F.lit(0), w["end_ms"] - w["start_ms"]))
+        coverage = covered / F.greatest(last - first, F.lit(1))
+        scores = F.filter(F.transform(words, lambda w: w["score"]), lambda x: x.isNotNull())
+        mean = F.when(F.size(scores) > 0, F.aggregate(scores, F.lit(0.0), lambda acc, x: acc + x) / F.size(scores))
+        whole = [
+            _say((first > edge) & (duration - last > edge), "late_start"),
+            _say(last < duration - edge, "early_end"),
+            _say(tiny / size > limits.max_very_short_frac, "too_many_short:", tiny.cast("string"), "/", size.cast("string")),
+            _say(coverage < limits.min_coverage, "low_coverage:", F.format_string("%.3f", coverage)),
+        ]
+        if limits.min_mean_score is not None:
+            whole.append(_say(mean < limits.min_mean_score, "low_mean_score:", F.format_string("%.4f", mean)))
+        count = [_say(size != F.size(expected), "word_count expected=", F.size(expected).cast("string"), " got=", size.cast("string"))] if expected is not None else []
+        plain = lambda xs: F.filter(F.array(*xs), lambda x: x.isNotNull()) if xs else F.array().cast("array<string>")
+        return F.concat(plain(count), _word_errors(words, expected, duration, limits), plain(whole))
+
+    return F.when(F.size(missing) > 0, missing).when(F.size(words) == 0, F.array(F.lit("empty_words"))).otherwise(let(seen, rules))
 
 
 def validate(verses: DataFrame, duration: str, words: str = "words", expected: str | None = None, required: list[str] = [], limits: Limits = Limits()) -> DataFrame:

@@ -66,7 +66,7 @@ def placeholder_timings(verses: DataFrame, words: str = "tokens") -> DataFrame:
     """One row a word with even spans over max(1500, 450 n) ms; the verse's other columns stay."""
     n = F.size(words)
     total = F.greatest(F.lit(1500), 450 * n)
-    rows = verses.withColumn("duration_ms", total).select(*[x for x in verses.columns if x != words], "duration_ms", n.alias("_n"), F.posexplode(words).alias("_i", "text"))
+    rows = verses.withColumn("duration_ms", total).select(*[x for x in verses.columns if x != words], "duration_ms", n.alias("_n"), F.posexplode_outer(words).alias("_i", "text")).where(F.col("text").isNotNull())
     step = F.col("duration_ms") / F.col("_n")
     start = F.floor(F.col("_i") * step).cast("int")
     end = F.when(F.col("_i") + 1 == F.col("_n"), F.col("duration_ms")).otherwise(F.floor((F.col("_i") + 1) * step).cast("int"))

@@ -83,8 +83,9 @@ _FIRED = " UNION ALL ".join(f"SELECT t, i, {n} AS rule, '{kind}' AS type, '{reas
 CANDIDATES = f"""around AS (SELECT *, coalesce(lag(marks) OVER (PARTITION BY t ORDER BY i), '') AS before FROM clusters),
 fired AS ({_FIRED}),
 candidates AS (SELECT t, i, type, arg_min(reason, rule) AS reason FROM fired GROUP BY t, i, type)"""
-STRETCH = """pairs AS (SELECT a.t, a.i, a.joining AS ja, b.joining AS jb FROM clusters a JOIN clusters b ON a.t = b.t AND b.i = a.i + 1
-  WHERE a.kind IN ('base', 'tatweel') AND a.joining = 'dual' AND b.kind IN ('base', 'tatweel') AND b.joining IN ('dual', 'right')),
+PAIRS = """pairs AS (SELECT t, i, joining AS ja, jb FROM (SELECT *, lead(kind) OVER o AS kb, lead(joining) OVER o AS jb FROM clusters WINDOW o AS (PARTITION BY t ORDER BY i))
+  WHERE kind IN ('base', 'tatweel') AND joining = 'dual' AND kb IN ('base', 'tatweel') AND jb IN ('dual', 'right'))"""
+STRETCH = PAIRS + """,
 stretch AS (SELECT t, i, CASE WHEN EXISTS (SELECT 1 FROM candidates c WHERE c.t = pairs.t AND c.i IN (pairs.i, pairs.i + 1)) THEN 1 WHEN ja = 'dual' AND jb = 'dual' THEN 2 ELSE 3 END AS priority FROM pairs)"""
 
 RATIO = f"CASE WHEN baseline_ms > 0 THEN {half_even(long('2 * dur'), long('2 * baseline_ms'), 1000)} END"
@@ -95,9 +96,11 @@ _DRAWN = "marked AS (SELECT t, count(*) AS n_candidates FROM candidates GROUP BY
 
 
 def analysed(source: str, base: str) -> str:
+    chapters = ", h.chapter_mean, h.chapter_median" if base.endswith(BASED) else ""
+    more = f"LEFT JOIN ({stats('reciter_id, surah', ('chapter_mean', 'chapter_median'), 8)}) h USING (reciter_id, surah)" if chapters else ""
     return words(
-        f"""SELECT reciter_id, surah, ayah, idx, dur, n_candidates, n_stretch, baseline_ms, baseline_source, baseline_n, ratio, {LEVEL} AS level, {CONFIDENCE} AS confidence
-FROM (SELECT s.*, {RATIO} AS ratio, coalesce(m.n_candidates, 0) AS n_candidates, coalesce(p.n_stretch, 0) AS n_stretch, m.n_candidates IS NOT NULL AS drawn FROM {source} s LEFT JOIN marked m ON m.t = s.script LEFT JOIN places p ON p.t = s.script)""",
+        f"""SELECT reciter_id, surah, ayah, idx, dur, n_candidates, n_stretch, baseline_ms, baseline_source, baseline_n, ratio, {LEVEL} AS level, {CONFIDENCE} AS confidence, true AS timing_enabled, v.verse_mean, v.verse_median{chapters}
+FROM (SELECT s.*, {RATIO} AS ratio, coalesce(m.n_candidates, 0) AS n_candidates, coalesce(p.n_stretch, 0) AS n_stretch, m.n_candidates IS NOT NULL AS drawn FROM {source} s LEFT JOIN marked m ON m.t = s.script LEFT JOIN places p ON p.t = s.script) x LEFT JOIN ({stats('reciter_id, surah, ayah', ('verse_mean', 'verse_median'), 1)}) v USING (reciter_id, surah, ayah) {more}""",
         KEYED, base, CLUSTERS, CANDIDATES, STRETCH, _DRAWN,
     )
 
@@ -113,6 +116,7 @@ quality AS (SELECT reciter_id, surah, ayah, sum(greatest(0, d)) / max(duration_m
 
 _EXPECTED = "CASE WHEN ayah % 8 = 1 AND idx % 5 = 0 THEN upper(text) ELSE text END"
 _WORD_RULES = [
+    ("idx <> pos", "'index_order at ' || (pos - 1) || ': got ' || idx"),
     (f"text <> {_EXPECTED}", "'text_mismatch at ' || idx"),
     ("start_ms < 0 OR end_ms < 0", "'negative_ts at ' || idx"),
     ("start_ms >= end_ms", "'start_ge_end at ' || idx"),
@@ -130,14 +134,18 @@ _VERSE_RULES = [
     ("coverage < 0.48", "'low_coverage:' || format('{:.3f}', coverage)"),
     ("mean < -20", "'low_mean_score:' || format('{:.4f}', mean)"),
 ]
-VALIDATION = f"""around_ AS (SELECT *, coalesce(lag(end_ms) OVER o, -1) AS before, end_ms - start_ms AS d, least(80, greatest(60, 40 * {LETTERS})) AS soft, coalesce(lag({PAUSE}) OVER o, false) AS paused
-  FROM words WINDOW o AS (PARTITION BY reciter_id, surah, ayah ORDER BY idx)),
-whole_ AS (SELECT reciter_id, surah, ayah, max(duration_ms) AS duration_ms, count(*) AS n, arg_min(start_ms, idx) AS first_, arg_max(end_ms, idx) AS last_, count(*) FILTER (d < soft) AS tiny,
-  sum(greatest(0, d)) / greatest(arg_max(end_ms, idx) - arg_min(start_ms, idx), 1)::DOUBLE AS coverage, avg(score::DOUBLE) AS mean, greatest(3000, CAST(floor(0.25 * max(duration_ms)) AS INT)) AS edge FROM around_ GROUP BY ALL),
-said AS ({' UNION ALL '.join(f'SELECT reciter_id, surah, ayah, 1 AS part, idx, {k} AS rule, {say} AS error FROM around_ WHERE {condition}' for k, (condition, say) in enumerate(_WORD_RULES))}
+VALIDATION = f"""faulty_ AS (SELECT reciter_id, surah, ayah, idx AS pos, CASE WHEN ayah % 23 = 4 AND idx % 40 = 0 THEN idx + 1 ELSE idx END AS idx, CASE WHEN ayah % 3 = 0 AND idx % 50 = 49 THEN text || chr(1750) ELSE text END AS text,
+  start_ms + moved AS start_ms, end_ms + moved AS end_ms, score, CASE WHEN ayah % 31 = 7 THEN 3 * duration_ms ELSE duration_ms END AS duration_ms
+  FROM (SELECT *, CASE WHEN ayah % 29 = 2 AND idx = 1 THEN -5000 WHEN ayah % 31 = 7 THEN duration_ms ELSE 0 END AS moved FROM words WHERE ayah % 37 <> 5 AND ayah % 41 <> 3)),
+around_ AS (SELECT *, coalesce(lag(end_ms) OVER o, -1) AS before, end_ms - start_ms AS d, least(80, greatest(60, 40 * {LETTERS})) AS soft, coalesce(lag({PAUSE}) OVER o, false) AS paused
+  FROM faulty_ WINDOW o AS (PARTITION BY reciter_id, surah, ayah ORDER BY pos)),
+whole_ AS (SELECT reciter_id, surah, ayah, max(duration_ms) AS duration_ms, count(*) AS n, arg_min(start_ms, pos) AS first_, arg_max(end_ms, pos) AS last_, count(*) FILTER (d < soft) AS tiny,
+  sum(greatest(0, d)) / greatest(arg_max(end_ms, pos) - arg_min(start_ms, pos), 1)::DOUBLE AS coverage, avg(score::DOUBLE) AS mean, greatest(3000, CAST(floor(0.25 * max(duration_ms)) AS INT)) AS edge FROM around_ GROUP BY ALL),
+said AS ({' UNION ALL '.join(f'SELECT reciter_id, surah, ayah, 1 AS part, pos AS idx, {k} AS rule, {say} AS error FROM around_ WHERE {condition}' for k, (condition, say) in enumerate(_WORD_RULES))}
   UNION ALL {' UNION ALL '.join(f'SELECT reciter_id, surah, ayah, 2, 0, {k}, {say} FROM whole_ WHERE {condition}' for k, (condition, say) in enumerate(_VERSE_RULES))}
   UNION ALL SELECT reciter_id, surah, ayah, 0, 0, 0, 'word_count expected=' || (n + 1) || ' got=' || n FROM whole_ WHERE ayah % 12 = 5
-  UNION ALL SELECT reciter_id, surah, ayah, 0, 0, 0, 'empty_words' FROM docs_ WHERE len(ts) = 0),
+  UNION ALL SELECT reciter_id, surah, ayah, 0, 0, 0, 'empty_words' FROM docs_ WHERE (len(ts) = 0 OR ayah % 37 = 5) AND ayah % 41 <> 3
+  UNION ALL SELECT reciter_id, surah, ayah, 0, 0, 0, 'missing_field:duration_ms' FROM docs_ WHERE ayah % 41 = 3),
 errors AS (SELECT d.reciter_id, d.surah, d.ayah, coalesce(list(error ORDER BY part, idx, rule) FILTER (error IS NOT NULL), []) AS errors FROM docs_ d LEFT JOIN said s ON s.ayah = d.ayah AND s.surah = d.surah AND s.reciter_id = d.reciter_id GROUP BY ALL)"""
 
 _PATH = """paths AS (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'r/' || (doc_id % 114 + 1) || '/' || (doc_id % 7 + 1) || '.json' WHEN 1 THEN 'r/x/' || lpad(CAST(doc_id % 114 + 1 AS VARCHAR), 3, '0') || lpad(CAST(doc_id % 7 + 1 AS VARCHAR), 3, '0') || '.json'
@@ -145,7 +153,8 @@ _PATH = """paths AS (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'r/' || (doc_id
 parsed AS (SELECT *, CASE WHEN regexp_matches(path, '/[0-9]+/[0-9]+\\.json$') THEN regexp_extract(path, '/([0-9]+)/[0-9]+\\.json$', 1) WHEN regexp_matches(path, '/[0-9]{6}\\.json$') THEN regexp_extract(path, '/([0-9]{3})[0-9]{3}\\.json$', 1) WHEN regexp_matches(path, '/[0-9]+_[0-9]+\\.json$') THEN regexp_extract(path, '/([0-9]+)_[0-9]+\\.json$', 1) END::INT AS surah,
   CASE WHEN regexp_matches(path, '/[0-9]+/[0-9]+\\.json$') THEN regexp_extract(path, '/[0-9]+/([0-9]+)\\.json$', 1) WHEN regexp_matches(path, '/[0-9]{6}\\.json$') THEN regexp_extract(path, '/[0-9]{3}([0-9]{3})\\.json$', 1) WHEN regexp_matches(path, '/[0-9]+_[0-9]+\\.json$') THEN regexp_extract(path, '/[0-9]+_([0-9]+)\\.json$', 1) END::INT AS ayah FROM paths)"""
 _JSON = """'{"ayah":' || doc_id || ',"n":' || n_chars || '}'"""
-_PACKS = f"packs AS (SELECT lang, source, count(*) AS n_documents, CAST(sum(strlen(j) + 1) AS BIGINT) AS bytes, sha256(string_agg(sha256(j), chr(10) ORDER BY doc_id)) AS checksum FROM (SELECT *, {_JSON} AS j FROM documents) GROUP BY ALL)"
+_PACKS = f"""ranges AS (SELECT lang, source, doc_id // 10000 AS part, count(*) AS n, sum(strlen(j) + 1) AS b, sha256(string_agg(sha256(j), chr(10) ORDER BY doc_id)) AS h FROM (SELECT *, {_JSON} AS j FROM documents) GROUP BY ALL),
+packs AS (SELECT lang, source, CAST(sum(n) AS BIGINT) AS n_documents, CAST(sum(b) AS BIGINT) AS bytes, sha256(string_agg(h, chr(10) ORDER BY part)) AS checksum FROM ranges GROUP BY ALL)"""
 _RESULTS = f"""results AS (SELECT e.reciter_id, e.ayah, e.ayah % 4 AS shard, e.errors, CASE WHEN l.doc_id IS NOT NULL THEN 'skipped' WHEN len(e.errors) = 0 THEN 'passed' ELSE 'failed' END AS status
   FROM errors e LEFT JOIN (SELECT DISTINCT doc_id FROM labels WHERE quality = 1) l ON l.doc_id = e.ayah)"""
 _SUMMARY = "summary AS (SELECT reciter_id, shard, count(*) AS attempted, count(*) FILTER (status = 'skipped') AS skipped, count(*) FILTER (status = 'passed') AS passed, count(*) FILTER (status = 'failed') AS failed FROM results GROUP BY ALL)"
@@ -154,23 +163,76 @@ _COUNTS = "counts AS (SELECT CAST(substr(source, 4) AS INT) + 1 AS chapter, coun
 _SPECS = "specs AS (SELECT doc_id % 100 AS a, doc_id % 100 + 2 AS b, doc_id % 150 AS c FROM documents)"
 _CANDIDATES = "cands AS (SELECT lang AS reciter_id, source AS surah, doc_id AS ayah, r.rank, r.strategy, CASE WHEN (doc_id + r.rank) % 3 <> 0 AND doc_id % 11 <> 5 THEN ((doc_id * 7 + r.rank * 1013) % 4000) / 100.0 END AS quality FROM documents, (VALUES {}) r(rank, strategy))".format(", ".join(f"({i + 1}, '{s}')" for i, s in enumerate(STRATEGIES)))
 
+def let(value: str, body: str) -> str:
+    """body with y for a value that is made once."""
+    return f"list_transform([{value}], lambda y: {body})[1]"
+
+
+_HALF = "CAST(floor(({}) / 2.0) AS BIGINT)"
+
+
+def _repair(energy: bool) -> str:
+    """The four passes as reductions over the words of a verse; curve(k) is the energy of the frames before k."""
+    curve = lambda k: f"(({k}) // 101 * 5050 + part[({k}) % 101 + 1])"
+    plain = let(f"{{'lo': greatest(y.a, {_HALF.format('y.a + y.b')} - {_HALF.format('y.want')}), 'a': y.a, 'b': y.b, 'want': y.want}}", let("{'hi': least(y.b, y.lo + y.want), 'a': y.a, 'want': y.want}", "{'s': greatest(y.a, y.hi - y.want), 'e': y.hi}"))
+    # The gap, the frames it covers, the window with the most energy, the first on ties.
+    gap = "{'a': greatest(0, y.a), 'b': greatest(greatest(0, y.a) + 1, y.b), 'want': least(y.want, greatest(greatest(0, y.a) + 1, y.b) - greatest(0, y.a))}"
+    spot = "{'a': y.a, 'b': y.b, 'want': y.want, 'f': greatest(0, least(y.a // 20, frames - 1)), 'g': greatest(greatest(0, least(y.a // 20, frames - 1)) + 1, least(y.b // 20, frames)), 'w': greatest(1, y.want // 20)}"
+    best = f"{{'a': y.a, 'b': y.b, 'want': y.want, 'raw': 20 * list_max(list_transform(range(y.f, y.g - y.w + 1), lambda i: {{'x': {curve('i + y.w')} - {curve('i')}, 'k': -i}})).k * -1}}"
+    most = let(best, let("{'a': y.a, 'b': y.b, 's': CASE WHEN y.raw + y.want > y.b THEN y.b - y.want ELSE y.raw END, 'e': least(y.b, y.raw + y.want)}", "{'s': greatest(y.a, y.s), 'e': least(y.b, greatest(greatest(y.a, y.s) + 1, y.e))}"))
+    loud = let(gap, f"CASE WHEN y.want < 40 THEN {{'s': y.a, 'e': greatest(y.a + 1, {_HALF.format('y.a + y.b')})}} ELSE {let(spot, f"CASE WHEN y.g - y.f <= y.w THEN {{'s': y.a, 'e': y.a + y.want}} ELSE {most} END")} END")
+    wish = "{'a': y.a, 'b': y.b, 'want': least(y.need, y.b - y.a)}"
+    room = "{'own': x.e - x.s, 'l': x.s - acc.le, 'r': x.nxt - x.e, 'left': acc.le, 's': x.s, 'e': x.e, 'nxt': x.nxt, 'need': x.need}"
+    span = "{'own': y.own, 's': y.s, 'e': y.e, 'need': y.need, 'a': CASE WHEN y.l + y.r + y.own < y.need OR y.r < y.l THEN y.left ELSE y.s END, 'b': CASE WHEN y.l + y.r + y.own < y.need OR y.r >= y.l THEN y.nxt ELSE y.e END}"
+    moved = let(room, let(span, f"CASE WHEN (y.own >= 100 AND y.own >= 0.5 * y.need) OR y.b - y.a < 40 THEN {{'s': y.s, 'e': y.e}} ELSE {let(let(wish, loud if energy else plain), "{'s': y.s, 'e': greatest(y.s + 1, y.e)}")} END"))
+    give = "{'s': y.s, 'e': y.e, 'l': y.l, 'lack': y.need - y.own, 'r': least(y.r, y.need - y.own - least(y.l, (y.need - y.own) // 2))}"
+    grown = let(room, f"CASE WHEN y.own >= y.need THEN {{'s': y.s, 'e': y.e}} ELSE {let(give, "{'s': y.s - least(y.l, y.lack - y.r), 'e': y.e + y.r}")} END")
+    push = lambda body: let(body, "{'o': list_append(acc.o, y), 'le': y.e}")
+    begin = "{'o': []::STRUCT(s BIGINT, e BIGINT)[], 'le': 0::BIGINT}"
+    ordered = let("{'e': greatest(x.e, acc.cs + 1), 'ns': x.nxt}", f"CASE WHEN y.e > y.ns THEN {{'e': greatest({_HALF.format('y.e + y.ns')}, acc.cs + 1), 'ns': {_HALF.format('y.e + y.ns')}}} ELSE {{'e': y.e, 'ns': y.ns}} END")
+    nexts = lambda xs, last: f"list_transform({xs}, lambda w, i: {{'s': w.s, 'e': w.e, 'need': ws[i].need, 'nxt': CASE WHEN i < n THEN {xs}[i + 1].s ELSE {last} END}})"
+    return words(
+        "SELECT reciter_id, surah, ayah, CAST(i AS INT) AS idx, CAST(p.s AS INT) AS start_ms, CAST(p.e AS INT) AS end_ms FROM (SELECT reciter_id, surah, ayah, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM four)",
+        f"""verse_ AS (SELECT reciter_id, surah, ayah, max(duration_ms)::BIGINT AS d, count(*) AS n, list({{'s': start_ms::BIGINT, 'e': end_ms::BIGINT, 'need': {NEED}::BIGINT, 'pause': {PAUSE}}} ORDER BY idx) AS ws,
+  greatest(max(duration_ms) // 20, 1) + 1 AS frames, list_transform(range(0, 101), lambda k: coalesce(list_sum(list_transform(range(0, k), lambda j: (j * 37 + ayah) % 101)), 0))::BIGINT[] AS part FROM words GROUP BY reciter_id, surah, ayah)""",
+        f"one AS (SELECT *, list_reduce({nexts('ws', 'd')}, lambda acc, x: {push(moved)}, {begin}).o AS ps FROM verse_)",
+        f"two AS (SELECT * EXCLUDE (ps), list_reduce({nexts('ps', 'd')}, lambda acc, x: {push(grown)}, {begin}).o AS ps FROM one)",
+        """gaps AS (SELECT *, list_transform(ps, lambda w, i: {'g': ps[i + 1].s - w.e, 'p': ws[i].pause}) AS gs FROM two),
+three AS (SELECT * EXCLUDE (ps), list_transform(ps, lambda w, i: {'s': CASE WHEN i > 1 AND gs[i - 1].g > 250 AND NOT gs[i - 1].p THEN ps[i - 1].e + gs[i - 1].g // 2 WHEN i > 1 AND gs[i - 1].g > 1200 THEN w.s - ((gs[i - 1].g - 900) - (gs[i - 1].g - 900) // 2) WHEN i = 1 THEN greatest(0, w.s) ELSE w.s END,
+  'e': CASE WHEN i < n AND gs[i].g > 250 AND NOT gs[i].p THEN w.e + gs[i].g // 2 WHEN i < n AND gs[i].g > 1200 THEN w.e + (gs[i].g - 900) // 2 ELSE w.e END}) AS ps FROM gaps)""",
+        f"""put AS (SELECT * EXCLUDE (ps), list_reduce(list_slice({nexts('ps', '0')}, 1, n - 1), lambda acc, x: {let(ordered, "{'o': list_append(acc.o, {'s': acc.cs, 'e': y.e}), 'cs': y.ns}")}, {{'o': []::STRUCT(s BIGINT, e BIGINT)[], 'cs': ps[1].s}}) AS acc, ps[n].e AS le FROM three),
+four AS (SELECT reciter_id, surah, ayah, list_append(acc.o, {{'s': acc.cs, 'e': {let("greatest(acc.cs + 1, least(d, le))", "CASE WHEN d - y > 0 AND d - y < 800 THEN d ELSE y END")}}}) AS ps FROM put)""",
+    )
+
+
 ORACLES: dict[str, str] = {
     "word_duration": words("SELECT reciter_id, surah, ayah, idx, dur FROM words"),
     "verse_stats": words(stats("reciter_id, surah, ayah", ("verse_mean", "verse_median"), 1)),
     "chapter_stats": words(stats("reciter_id, surah", ("chapter_mean", "chapter_median"), 8)),
     "reciter_median": words("SELECT reciter_id, CASE WHEN count(dur) >= 8 THEN median(dur) END AS reciter_median, count(dur) AS n FROM words GROUP BY reciter_id"),
-    # Groups are large here: the two middle ranks of the others are looked up, instead of a median for each row.
-    "loo_median": words("""SELECT w.reciter_id, w.surah, w.ayah, w.idx, (a.dur + b.dur) / 2.0 AS loo, w.n - 1 AS loo_others FROM ranked w
-  LEFT JOIN ranked a ON a.reciter_id = w.reciter_id AND a.letters = w.letters AND a.rn = w.n // 2 + CASE WHEN w.n // 2 >= w.rn THEN 1 ELSE 0 END
-  LEFT JOIN ranked b ON b.reciter_id = w.reciter_id AND b.letters = w.letters AND b.rn = (w.n + 1) // 2 + CASE WHEN (w.n + 1) // 2 >= w.rn THEN 1 ELSE 0 END
+    # Groups are large here: of each, the values at the ranks that may be in the middle of the others, instead of a median for each row.
+    "loo_median": words("""SELECT w.reciter_id, w.surah, w.ayah, w.idx, ((CASE WHEN w.n // 2 >= w.rn THEN g.b ELSE g.a END) + (CASE WHEN (w.n + 1) // 2 >= w.rn THEN g.d ELSE g.c END)) / 2.0 AS loo, w.n - 1 AS loo_others
+  FROM ranked w JOIN middles g USING (reciter_id, letters)
 UNION ALL SELECT reciter_id, surah, ayah, idx, NULL, NULL FROM words WHERE dur IS NULL""",
-        "ranked AS (SELECT reciter_id, surah, ayah, idx, dur, length(text) AS letters, row_number() OVER (PARTITION BY reciter_id, length(text) ORDER BY dur, ayah, idx) AS rn, count(*) OVER (PARTITION BY reciter_id, length(text)) AS n FROM words WHERE dur IS NOT NULL)"),
+        "ranked AS (SELECT reciter_id, surah, ayah, idx, dur, length(text) AS letters, row_number() OVER (PARTITION BY reciter_id, length(text) ORDER BY dur, ayah, idx) AS rn, count(*) OVER (PARTITION BY reciter_id, length(text)) AS n FROM words WHERE dur IS NOT NULL)",
+        "middles AS (SELECT reciter_id, letters, max(dur) FILTER (rn = n // 2) AS a, max(dur) FILTER (rn = n // 2 + 1) AS b, max(dur) FILTER (rn = (n + 1) // 2) AS c, max(dur) FILTER (rn = (n + 1) // 2 + 1) AS d FROM ranked GROUP BY ALL)"),
     "word_baseline": words("SELECT reciter_id, surah, ayah, idx, word_base, CASE WHEN dur IS NOT NULL THEN word_others END AS word_base_others FROM loo_word", KEYED, LOO_WORD),
     "verse_baseline": words("SELECT reciter_id, surah, ayah, idx, verse_base, CASE WHEN dur IS NOT NULL THEN verse_others END AS verse_base_others FROM loo_both", KEYED, LOO_BOTH),
     "resolve_baseline": words("SELECT reciter_id, surah, ayah, idx, baseline_ms, baseline_source, baseline_n FROM sourced", KEYED, LOO_BOTH, BASED),
     "duration_ratio": words(f"SELECT reciter_id, surah, ayah, idx, {RATIO} AS ratio FROM sourced", KEYED, VERSE_ONLY),
     "attach_analysis": analysed("sourced", VERSE_ONLY),
     "enrich": analysed("sourced", LOO_BOTH + ",\n" + BASED),
+    "extension_level": words(f"SELECT reciter_id, surah, ayah, idx, ratio, {LEVEL} AS level FROM (SELECT *, idx % 3 = 0 AS drawn, {RATIO} AS ratio FROM sourced)", KEYED, VERSE_ONLY),
+    "extension_confidence": words(f"SELECT reciter_id, surah, ayah, idx, {CONFIDENCE} AS confidence FROM (SELECT * EXCLUDE (score, baseline_source, baseline_n), idx % 3 = 0 AS drawn, {RATIO} AS ratio, CASE WHEN idx % 7 <> 3 THEN score END AS score, ['word', 'verse', 'surah', 'reciter', 'other'][idx % 5 + 1] AS baseline_source, verse_others % 10 AS baseline_n FROM sourced)".replace("CASE WHEN drawn AND ratio IS NOT NULL", "CASE WHEN drawn AND ratio IS NOT NULL AND score IS NOT NULL"), KEYED, VERSE_ONLY),
+    "timing_config": words(f"SELECT reciter_id, surah, ayah, idx, ratio, CASE WHEN NOT drawn THEN NULL WHEN ratio < 1.1 THEN 'normal' WHEN ratio < 1.5 THEN 'slightlyExtended' WHEN ratio < 2.5 THEN 'extended' WHEN ratio >= 2.5 THEN 'highlyExtended' END AS level FROM (SELECT *, idx % 3 = 0 AS drawn, CASE WHEN verse_others >= 5 THEN {RATIO} END AS ratio FROM sourced)", KEYED, VERSE_ONLY),
+    "strategy_catalog": "WITH c AS (SELECT * FROM (VALUES ('fast', 4, 28.0::DOUBLE), ('balanced', 5, 32.0), ('max', 5, NULL)) m(mode, n, threshold), (VALUES {}) s(rank, strategy) WHERE rank <= n) SELECT doc_id, c.mode, c.rank, c.strategy, c.threshold FROM documents d JOIN c ON c.mode = ['fast', 'balanced', 'max'][d.doc_id % 3 + 1]".format(", ".join(f"({i + 1}, '{x}')" for i, x in enumerate(STRATEGIES))),
+    "best_window_gap": """WITH samples AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i, event_id * 37 % 101 AS x FROM events),
+curve AS (SELECT user_id, i AS k, sum(x) OVER (PARTITION BY user_id ORDER BY i) - x AS before FROM samples UNION ALL SELECT user_id, count(*), sum(x) FROM samples GROUP BY user_id),
+gap AS (SELECT user_id, n, lo, hi, least(want, hi - lo) AS want FROM (SELECT user_id, n, greatest(0, l) AS lo, greatest(greatest(0, l) + 1, h) AS hi, want FROM (SELECT user_id, count(*) AS n, user_id * 7 % 90 - 20 AS l, user_id * 7 % 90 - 20 + user_id * 13 % 1200 AS h, 20 + user_id * 29 % 400 AS want FROM events GROUP BY user_id))),
+spot AS (SELECT *, greatest(0, least(lo // 20, n - 1)) AS f, greatest(greatest(0, least(lo // 20, n - 1)) + 1, least(hi // 20, n)) AS g, greatest(1, want // 20) AS w FROM gap),
+best AS (SELECT s.user_id, 20 * arg_max(a.k, (b.before - a.before, -a.k)) AS raw FROM spot s JOIN curve a ON a.user_id = s.user_id AND a.k BETWEEN s.f AND s.g - s.w JOIN curve b ON b.user_id = s.user_id AND b.k = a.k + s.w WHERE s.want >= 40 AND s.g - s.f > s.w GROUP BY s.user_id),
+put AS (SELECT s.*, CASE WHEN raw + want > hi THEN hi - want ELSE raw END AS p FROM spot s LEFT JOIN best b USING (user_id))
+SELECT user_id, CAST(CASE WHEN p IS NULL THEN lo ELSE greatest(lo, p) END AS INT) AS start_ms, CAST(CASE WHEN want < 40 THEN greatest(lo + 1, (lo + hi) // 2) WHEN p IS NULL THEN lo + want ELSE least(hi, greatest(greatest(lo, p) + 1, p + want)) END AS INT) AS end_ms FROM put""",
     "chapter_timeline": "SELECT lang AS reciter_id, source AS surah, doc_id AS ayah, CAST(sum(n_chars) OVER w - n_chars AS BIGINT) AS start_ms, CAST(sum(n_chars) OVER w AS BIGINT) AS end_ms FROM documents WINDOW w AS (PARTITION BY lang, source ORDER BY doc_id)",
     "tokenize_words": f"SELECT doc_id, idx, word FROM (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS idx FROM (SELECT doc_id, list_filter(regexp_split_to_array(translate(text, '|', '{T.HIZB}'), '[ \\t\\n\\r\\f\\x0B]+'), lambda w: w <> '' AND NOT contains(w, '{T.HIZB}')) AS ws FROM documents))",
     "count_words": f"SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(translate(text, '|', '{T.HIZB}'), '[ \\t\\n\\r\\f\\x0B]+'), lambda w: w <> '' AND NOT contains(w, '{T.HIZB}'))) AS INT) AS n_words FROM documents",
@@ -183,7 +245,7 @@ UNION ALL SELECT reciter_id, surah, ayah, idx, NULL, NULL FROM words WHERE dur I
     "clusterize": words("SELECT t AS text, i AS cluster, kind, base, c, marks, joining FROM clusters", CLUSTERS),
     "joining_type": words("SELECT base, joining, count(*) AS n FROM clusters GROUP BY ALL", CLUSTERS),
     "madd_candidates": words("SELECT t AS text, i AS cluster, type, reason FROM candidates", CLUSTERS, CANDIDATES),
-    "safe_boundaries": words("SELECT t AS text, i AS boundary FROM pairs", CLUSTERS, CANDIDATES, STRETCH),
+    "safe_boundaries": words("SELECT t AS text, i AS boundary FROM pairs", CLUSTERS, PAIRS),
     "stretch_positions": words("SELECT t AS text, i AS after_cluster, priority, 4 AS most, row_number() OVER (PARTITION BY t ORDER BY priority, i) AS place FROM stretch", CLUSTERS, CANDIDATES, STRETCH),
     "insert_tatweel": words(f"SELECT t AS text, CASE WHEN len(cs) > 2 THEN array_to_string(cs[1:2], '') || repeat('{T.TATWEEL}', 3) || array_to_string(cs[3:], '') END AS stretched FROM split_", CLUSTERS),
     "clip_duration": "SELECT event_id, CAST(round_even(value * 1000 // 1 / 16000.0 * 1000, 0) AS INT) AS duration_ms FROM events",
@@ -191,6 +253,8 @@ UNION ALL SELECT reciter_id, surah, ayah, idx, NULL, NULL FROM words WHERE dur I
         """SELECT reciter_id, surah, ayah, idx, s AS start_ms, CASE WHEN e > nxt THEN greatest(m, s + 1) ELSE e END AS end_ms FROM (SELECT *, (e + nxt) // 2 AS m, CASE WHEN prv > r THEN (prv + r) // 2 ELSE r END AS s FROM
  (SELECT *, lead(r) OVER o AS nxt, lag(e) OVER o AS prv FROM (SELECT *, CASE WHEN duration_ms > 0 THEN least(greatest(r + 1, end_ms), duration_ms) ELSE greatest(r + 1, end_ms) END AS e FROM (SELECT *, greatest(0, start_ms) AS r FROM words WHERE ayah % 12 <> 5))
   WINDOW o AS (PARTITION BY reciter_id, surah, ayah ORDER BY idx)))"""),
+    "refine_timings": _repair(False),
+    "refine_timings_energy": _repair(True),
     "timing_quality": words("SELECT reciter_id, surah, ayah, round(quality, 6) AS quality FROM quality UNION ALL SELECT reciter_id, surah, ayah, -1e9 FROM docs_ WHERE len(ts) = 0", QUALITY),
     "rms_frames": "SELECT user_id, frame, round(CASE WHEN n = 8 THEN sqrt(m + 1e-12) ELSE 0.0 END, 6) AS rms FROM (SELECT user_id, CAST(i // 8 AS BIGINT) AS frame, count(*) AS n, avg(value::DOUBLE * value::DOUBLE) AS m FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i FROM events) GROUP BY ALL) WHERE n = 8 OR frame = 0",
     "best_window": "SELECT user_id, arg_max(frame, (energy, -frame)) AS frame, max(energy) AS energy FROM (SELECT user_id, frame, sum(rms) OVER w AS energy, count(*) OVER w AS n FROM (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS frame, CAST(event_id * 37 % 101 AS DOUBLE) AS rms FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY frame ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)) WHERE n = 5 GROUP BY user_id",
@@ -208,8 +272,9 @@ SELECT reciter_id, surah, ayah, arg_max(strategy, (quality, -rank)) FILTER (qual
     "load_texts": "SELECT CAST(doc_id % 114 + 1 AS INT) AS surah, CAST(doc_id // 114 + 1 AS INT) AS ayah, lang || '-' || n_chars AS text FROM documents",
     "catalog": "SELECT lang AS reciter_id, count(*) AS n_documents FROM documents GROUP BY ALL",
     "build_packs": f"WITH {_PACKS} SELECT * FROM packs",
-    "merge_manifest": f"WITH {_PACKS}, entries AS (SELECT DISTINCT source AS source, CAST(substr(source, 4) AS INT) AS n, 'old-' || source AS checksum FROM documents) SELECT e.source, e.n, CASE WHEN p.lang IS NOT NULL THEN p.lang || '/' || p.source || '.jsonl' END AS file, coalesce(p.checksum, e.checksum) AS checksum, p.bytes FROM entries e LEFT JOIN packs p ON p.source = e.source AND p.lang = 'de' AND e.n % 2 = 0",
-    "verify_checksums": f"WITH {_PACKS}, f AS (SELECT lang || '/' || source AS file, checksum, n_documents % 5 AS k FROM packs) SELECT file, CASE k WHEN 1 THEN 'missing' WHEN 2 THEN 'unlisted' WHEN 3 THEN 'mismatch' ELSE 'ok' END AS status FROM f",
+    "merge_manifest": f"WITH {_PACKS} SELECT lang, source, lang || '/' || source || '.jsonl' AS file, checksum, bytes FROM packs UNION ALL SELECT lang, source || '-new', NULL, 'old-' || source, NULL FROM packs",
+    "verify_checksums": """WITH f AS (SELECT 'lang=' || lang || '/source=' || source || '/part=' || (doc_id // 10000) AS file, count(*) % 5 AS k FROM documents GROUP BY ALL)
+SELECT file, CASE k WHEN 1 THEN 'unlisted' WHEN 2 THEN 'unlisted' WHEN 3 THEN 'mismatch' ELSE 'ok' END AS status FROM f UNION ALL SELECT file || '-gone', 'missing' FROM f WHERE k = 1""",
     "reciter_dim": "SELECT doc_id, r.folder, r.bitrate_kbps FROM documents d JOIN (VALUES ('en', 'English_128', 128), ('de', 'German_64', 64), ('fr', 'French_64', 64)) r(lang, folder, bitrate_kbps) ON r.lang = d.lang",
     "unknown_reciters": "SELECT DISTINCT lang AS reciter_id FROM documents WHERE lang NOT IN ('en', 'de', 'fr')",
     "chapter_ranges": f"WITH {_SPECS} SELECT DISTINCT CAST(x AS INT) AS chapter FROM (SELECT unnest(generate_series(a, b)) AS x FROM specs UNION SELECT c FROM specs) WHERE x BETWEEN 1 AND 114",

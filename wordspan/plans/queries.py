@@ -11,7 +11,8 @@ from ..functions import measures as M
 from ..functions import text as T
 from ..operators import align, reports, timing, validate, worklist
 from ..sources import documents as D
-from ..sources.tables import arabic, scratch_folder, table, tokens, verses, words
+from ..sources import tables
+from ..sources.tables import arabic, scratch_folder, spread, table, verses, words
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,7 +88,7 @@ def duration_ratio(spark, sf_dir):
 
 
 def _flat(rows: DataFrame) -> DataFrame:
-    return rows.select(*KEY, "dur", F.size("candidates").cast("long").alias("n_candidates"), F.coalesce(F.when(F.col("stretch").isNotNull(), F.size("stretch")), F.lit(0)).cast("long").alias("n_stretch"), "baseline_ms", "baseline_source", "baseline_n", "ratio", "level", "confidence")
+    return rows.select(*KEY, "dur", F.size("candidates").cast("long").alias("n_candidates"), F.coalesce(F.when(F.col("stretch").isNotNull(), F.size("stretch")), F.lit(0)).cast("long").alias("n_stretch"), "baseline_ms", "baseline_source", "baseline_n", "ratio", "level", "confidence", "verse_mean", "verse_median", *[x for x in ("chapter_mean", "chapter_median") if x in rows.columns], "timing_enabled")
 
 
 @query
@@ -100,6 +101,33 @@ def enrich(spark, sf_dir):
     return _flat(timing.enrich(words(spark, sf_dir, True)))
 
 
+def _measured(spark, sf_dir, config: M.TimingConfig = M.TimingConfig()):
+    """Words with a ratio to their verse's baseline, and whether they may be drawn out."""
+    rows = timing.with_verse_measures(words(spark, sf_dir), least=config.min_verse_others)
+    return rows.select(*KEY, M.duration_ratio(F.col("dur"), F.col("verse_base")).alias("ratio"), (F.col("idx") % 3 == 0).alias("drawn"), "score", "verse_base_others")
+
+
+@query
+def extension_level(spark, sf_dir):
+    return _measured(spark, sf_dir).select(*KEY, "ratio", M.extension_level(F.col("ratio"), F.col("drawn")).alias("level"))
+
+
+@query
+def extension_confidence(spark, sf_dir):
+    source = F.element_at(F.array(*[F.lit(x) for x in ("word", "verse", "surah", "reciter", "other")]), (F.col("idx") % 5 + 1).cast("int"))
+    score = F.when(F.col("idx") % 7 != 3, F.col("score"))
+    return _measured(spark, sf_dir).select(*KEY, M.extension_confidence(F.col("ratio"), F.col("drawn"), score, source, F.col("verse_base_others") % 10).alias("confidence"))
+
+
+CONFIG = {"enable_timing_analysis": True, "timing_analysis": {"min_verse_baseline_others": 5, "extension_ratios": {"slightlyExtended": 1.1, "extended": "1.5", "highlyExtended": "high"}}}
+
+
+@query
+def timing_config(spark, sf_dir):
+    config = M.TimingConfig.from_mapping(CONFIG)
+    return _measured(spark, sf_dir, config).select(*KEY, "ratio", M.extension_level(F.col("ratio"), F.col("drawn"), config).alias("level"))
+
+
 @query
 def chapter_timeline(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select(F.col("lang").alias("reciter_id"), F.col("source").alias("surah"), F.col("doc_id").alias("ayah"), "n_chars")
@@ -110,12 +138,12 @@ def chapter_timeline(spark, sf_dir):
 
 
 def _marked(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.translate("text", "|", T.HIZB).alias("text"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select("doc_id", F.translate("text", "|", T.HIZB).alias("text"))
 
 
 @query
 def tokenize_words(spark, sf_dir):
-    rows = _marked(spark, sf_dir).select("doc_id", F.posexplode(T.words_of(F.col("text"))).alias("i", "word"))
+    rows = _marked(spark, sf_dir).select("doc_id", F.posexplode_outer(T.words_of(F.col("text"))).alias("i", "word")).where("word is not null")
     return rows.select("doc_id", (F.col("i") + 1).alias("idx"), "word")
 
 
@@ -162,31 +190,31 @@ def baseline_key(spark, sf_dir):
 
 @query
 def clusterize(spark, sf_dir):
-    rows = texts(spark, sf_dir).select("text", F.explode(T.clusterize(F.col("text"))).alias("c"))
+    rows = texts(spark, sf_dir).select("text", F.explode_outer(T.clusterize(F.col("text"))).alias("c")).where("c is not null")
     return rows.select("text", F.col("c.index").cast("long").alias("cluster"), "c.kind", "c.base", F.col("c.text").alias("c"), "c.marks", "c.joining")
 
 
 @query
 def joining_type(spark, sf_dir):
-    rows = texts(spark, sf_dir).select(F.explode(T.cluster_texts(F.col("text"))).alias("c"))
+    rows = texts(spark, sf_dir).select(F.explode_outer(T.cluster_texts(F.col("text"))).alias("c")).where("c is not null")
     return rows.groupBy(F.substring("c", 1, 1).alias("base"), T.joining_type(F.col("c")).alias("joining")).agg(F.count("*").alias("n"))
 
 
 @query
 def madd_candidates(spark, sf_dir):
-    rows = texts(spark, sf_dir).select("text", F.explode(T.madd_candidates(F.col("text"))).alias("m"))
+    rows = texts(spark, sf_dir).select("text", F.explode_outer(T.madd_candidates(F.col("text"))).alias("m")).where("m is not null")
     return rows.select("text", F.col("m.clusterIndex").cast("long").alias("cluster"), "m.type", "m.reason")
 
 
 @query
 def safe_boundaries(spark, sf_dir):
-    return texts(spark, sf_dir).select("text", F.explode(T.safe_boundaries(F.col("text"))).alias("b")).select("text", F.col("b").cast("long").alias("boundary"))
+    return texts(spark, sf_dir).select("text", F.explode_outer(T.safe_boundaries(F.col("text"))).alias("b")).where("b is not null").select("text", F.col("b").cast("long").alias("boundary"))
 
 
 @query
 def stretch_positions(spark, sf_dir):
     rows = texts(spark, sf_dir).withColumn("m", T.madd_candidates(F.col("text")))
-    rows = rows.select("text", F.posexplode(T.stretch_positions(F.col("text"), F.col("m"))).alias("i", "p"))
+    rows = rows.select("text", F.posexplode_outer(T.stretch_positions(F.col("text"), F.col("m"))).alias("i", "p")).where("p is not null")
     return rows.select("text", F.col("p.afterClusterIndex").cast("long").alias("after_cluster"), "p.priority", F.col("p.maxRecommended").alias("most"), (F.col("i") + 1).cast("long").alias("place"))
 
 
@@ -206,24 +234,28 @@ def clip_duration(spark, sf_dir):
 @query
 def raw_to_ms(spark, sf_dir):
     expected = F.size("words") + F.when(F.col("ayah") % 12 == 5, 1).otherwise(0)  # the words that the text asks for, as in validation
-    rows = verses(spark, sf_dir).select(*KEY[:3], "duration_ms", expected.alias("expected"), F.explode("words").alias("w"))
+    rows = verses(spark, sf_dir).select(*KEY[:3], "duration_ms", expected.alias("expected"), F.explode_outer("words").alias("w")).where("w is not null")
     rows = rows.select(*KEY[:3], "duration_ms", "expected", "w.idx", "w.text", (F.col("w.start_ms") / 1000.0).alias("s"), (F.col("w.end_ms") / 1000.0).alias("e"))
     return align.raw_to_ms(rows, "s", "e", "duration_ms", expected="expected").select(*KEY, "start_ms", "end_ms")
 
 
+def _flat_spans(done: DataFrame) -> DataFrame:
+    """The outer explode, filtered after: the plain one would filter by the array first and repair twice."""
+    rows = done.select(*KEY[:3], F.explode_outer("words").alias("w")).where("w is not null")
+    return rows.select(*KEY[:3], "w.idx", "w.start_ms", "w.end_ms")
+
+
 @query
 def refine_timings(spark, sf_dir):
-    rows = verses(spark, sf_dir).where(F.size("words") > 0)
-    done = align.refine_timings(rows, "duration_ms").select(*KEY[:3], F.explode("words").alias("w"))
-    return done.select(*KEY[:3], "w.idx", "w.start_ms", "w.end_ms")
+    rows = verses(spark, sf_dir)
+    return _flat_spans(align.refine_timings(rows, "duration_ms"))
 
 
 @query
 def refine_timings_energy(spark, sf_dir):
     frames = F.transform(F.sequence(F.lit(0), F.greatest(F.floor(F.col("duration_ms") / 20), F.lit(1))), lambda k: ((k * 37 + F.col("ayah")) % 101).cast("double"))
-    rows = verses(spark, sf_dir).where(F.size("words") > 0).withColumn("rms", frames)
-    done = align.refine_timings(rows, "duration_ms", "rms").select(*KEY[:3], F.explode("words").alias("w"))
-    return done.select(*KEY[:3], "w.idx", "w.start_ms", "w.end_ms")
+    rows = verses(spark, sf_dir).withColumn("rms", frames)
+    return _flat_spans(align.refine_timings(rows, "duration_ms", "rms"))
 
 
 def _samples(spark, sf_dir):
@@ -242,11 +274,27 @@ def best_window(spark, sf_dir):
     return align.best_windows(frames, "user_id", 5)
 
 
+@query
+def best_window_gap(spark, sf_dir):
+    """A gap and a wish for each clip, small gaps and gaps past the clip's end among them."""
+    u = F.col("user_id")
+    frames = _samples(spark, sf_dir).groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("i", (F.col("event_id") * 37 % 101).cast("double").alias("x")))).alias("f"))  # a clip
+    gaps = frames.select("user_id", F.transform("f", lambda f: f["x"]).alias("rms"), (u * 7 % 90 - 20).alias("lo"), (u * 7 % 90 - 20 + u * 13 % 1200).alias("hi"), (20 + u * 29 % 400).alias("want"))
+    return align.best_window(gaps, "lo", "hi", "want", "rms").select("user_id", "start_ms", "end_ms")
+
+
 @query
 def timing_quality(spark, sf_dir):
     return verses(spark, sf_dir).select(*KEY[:3], F.round(align.timing_quality(F.col("words"), F.col("duration_ms")), 6).alias("quality"))
 
 
+@query
+def strategy_catalog(spark, sf_dir):
+    mode = F.element_at(F.array(*[F.lit(m) for m in align.MODES]), (F.col("doc_id") % 3 + 1).cast("int"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", mode.alias("mode"))
+    return rows.join(F.broadcast(align.strategy_catalog(spark)), "mode").select("doc_id", "mode", "rank", "strategy", "threshold")  # the catalog's 14 rows
+
+
 @query
 def select_strategy(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("lang").alias("reciter_id"), F.col("source").alias("surah"), F.col("doc_id").alias("ayah"))
@@ -261,11 +309,21 @@ def select_strategy(spark, sf_dir):
 
 
 def _validated(spark, sf_dir):
-    d = F.col("ayah")
+    """Verses with the faults of the adapter, and more, so that every rule has a case."""
+    d, n = F.col("ayah"), F.size("words")
+    late, pushed = (d % 31 == 7) & (n > 0), F.col("duration_ms")
+
+    def fault(w):
+        before = F.when((d % 29 == 2) & (w["idx"] == 1), -5000).when(late, pushed).otherwise(0)
+        text = F.when((d % 3 == 0) & (w["idx"] % 50 == 49), F.concat(w["text"], F.lit("\u06d6"))).otherwise(w["text"])
+        idx = F.when((d % 23 == 4) & (w["idx"] % 40 == 0), w["idx"] + 1).otherwise(w["idx"])
+        return F.struct(idx.alias("idx"), text.alias("text"), (w["start_ms"] + before).alias("start_ms"), (w["end_ms"] + before).alias("end_ms"), w["score"].alias("score"))
+
+    rows = verses(spark, sf_dir).withColumn("words", F.when(d % 37 != 5, F.transform("words", fault)).otherwise(F.slice("words", 1, 0)))
+    rows = rows.withColumn("duration_ms", F.when(d % 41 != 3, F.when(late, 3 * pushed).otherwise(pushed)))
     expected = F.transform("words", lambda w: F.when((d % 8 == 1) & (w["idx"] % 5 == 0), F.upper(w["text"])).otherwise(w["text"]))
     expected = F.when((d % 12 == 5) & (F.size("words") > 0), F.concat(expected, F.array(F.lit("x")))).otherwise(expected)
-    rows = verses(spark, sf_dir).withColumn("expected", expected)
-    return validate.validate(rows, "duration_ms", expected="expected", required=["reciter_id", "surah", "ayah", "duration_ms"])
+    return validate.validate(rows.withColumn("expected", expected), "duration_ms", expected="expected", required=["reciter_id", "surah", "ayah", "duration_ms"])
 
 
 @query
@@ -305,7 +363,7 @@ def read_alignments(spark, sf_dir):
     path = scratch_folder(spark)
     lines = _json_documents(spark, sf_dir).select(F.when(F.col("ayah") % 50 == 7, "{broken").otherwise(F.col("json")).alias("value"))
     lines.write.text(path)
-    rows = D.read_alignments(spark, path, ROUND_TRIP, multi_line=False, glob="*.txt").select(F.col("reciterId").alias("reciter_id"), "ayah", F.explode("words").alias("w"))
+    rows = D.read_alignments(spark, path, ROUND_TRIP, multi_line=False, glob="*.txt").select(F.col("reciterId").alias("reciter_id"), "ayah", F.explode_outer("words").alias("w")).where("w is not null")
     return rows.groupBy("reciter_id", "ayah").agg(F.count("*").alias("n_words"), F.min("w.startMs").alias("first_ms"), F.max("w.endMs").alias("last_ms"))
 
 
@@ -337,7 +395,9 @@ def parse_alignment_path(spark, sf_dir):
 
 @query
 def publish_tree(spark, sf_dir):
-    return D.publish_tree(_paths(spark, sf_dir)).select("reciter_id", "surah", "ayah", "path")
+    to = scratch_folder(spark)
+    D.write_tree(D.publish_tree(_paths(spark, sf_dir)).select("reciter_id", "surah", "ayah", "path"), to)
+    return spark.read.schema("ayah int, path string, reciter_id string, surah int").json(to).select("reciter_id", "surah", "ayah", "path")
 
 
 @query
@@ -365,17 +425,24 @@ def build_packs(spark, sf_dir):
 
 @query
 def merge_manifest(spark, sf_dir):
-    n = F.substring("source", F.lit(4), F.length("source")).cast("int")
-    entries = table(spark, sf_dir, "documents").select("source").distinct().withColumn("n", n).withColumn("checksum", F.concat(F.lit("old-"), "source"))
-    packs = _packs(spark, sf_dir).where((F.col("lang") == "de") & (n % 2 == 0)).withColumn("file", F.concat("lang", F.lit("/"), "source", F.lit(".jsonl")))
-    return D.merge_manifest(entries, packs, ["source"])
+    packs = _packs(spark, sf_dir).withColumn("file", F.concat("lang", F.lit("/"), "source", F.lit(".jsonl")))
+    own = packs.select("lang", "source", F.concat(F.lit("old-"), "source").alias("checksum"))
+    entries = own.unionByName(own.withColumn("source", F.concat("source", F.lit("-new"))))  # half of the entries have no pack
+    return D.merge_manifest(entries, packs, ["lang", "source"])
 
 
 @query
 def verify_checksums(spark, sf_dir):
-    packs = _packs(spark, sf_dir).select(F.concat_ws("/", "lang", "source").alias("file"), "checksum", (F.col("n_documents") % 5).alias("k"))
-    listed = packs.where("k <> 2").withColumn("checksum", F.when(F.col("k") == 3, "other").otherwise(F.col("checksum")))
-    return D.verify_checksums(packs.where("k <> 1"), listed)
+    """Files of at most 10,000 documents in a row each, against a list with faults."""
+    lines = table(spark, sf_dir, "documents").select("lang", "source", "doc_id", F.floor(F.col("doc_id") / 10_000).alias("part"), F.to_json(F.struct(F.col("doc_id").alias("ayah"), F.col("n_chars").alias("n"))).alias("value"))
+    path, keys = scratch_folder(spark), ["lang", "source", "part"]
+    lines.repartition(*keys).sortWithinPartitions(*keys, "doc_id").drop("doc_id").write.partitionBy(*keys).text(path)
+    found = D.file_checksums(spark, path, "(lang=[^/]*/source=[^/]*/part=[^/]*)/[^/]*$")
+    line = F.struct("doc_id", "value")
+    listed = lines.groupBy(*keys).agg(F.array_join(F.transform(F.sort_array(F.collect_list(line)), lambda x: F.concat(x["value"], F.lit("\n"))), "").alias("body"), F.count("*").alias("n"))
+    listed = listed.select(F.format_string("lang=%s/source=%s/part=%s", *keys).alias("file"), F.sha2("body", 256).alias("checksum"), (F.col("n") % 5).alias("k"))
+    listed = listed.where("k <> 2").select(F.when(F.col("k") == 1, F.concat("file", F.lit("-gone"))).otherwise(F.col("file")).alias("file"), F.when(F.col("k") == 3, "other").otherwise(F.col("checksum")).alias("checksum"))
+    return D.verify_checksums(found, listed)
 
 
 @query
@@ -444,8 +511,7 @@ def backfill_analysis(spark, sf_dir):
 
 @query
 def placeholder_timings(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select(F.col("lang").alias("reciter_id"), F.col("source").alias("surah"), F.col("doc_id").alias("ayah"), tokens(F.coalesce("text", F.lit(""))).alias("tokens"))
-    return worklist.placeholder_timings(rows)
+    return worklist.placeholder_timings(tables.documents(spark, sf_dir))
 
 
 def _results(spark, sf_dir):

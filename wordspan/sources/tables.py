@@ -21,16 +21,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a table of fewer files than cores, dealt over the cores; a table of many files isn't shuffled.
+
+    A small table may be one row group, which one task reads."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores, key) if len(df.inputFiles()) < cores else df
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder that executors share: under spark.checkpoint.dir, or a temporary one with a local master."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = "file://" + tempfile.gettempdir()
+        base = "file://" + tempfile.mkdtemp(prefix="wordspan-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base}/wordspan-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder: made once for several readers, and its lineage ends there."""
+    path = scratch_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def arabic(text: Column) -> Column:
     return F.translate(F.lower(text), LATIN, ARABIC)
 
@@ -39,30 +55,35 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(text, SPACES), lambda t: t != "")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(reciter_id, surah, ayah, tokens): documents as verses."""
+    docs = table(spark, sf_dir, "documents").select("lang", "source", "doc_id", "text")
+    return spread(docs, "doc_id").select(F.col("lang").alias("reciter_id"), F.col("source").alias("surah"), F.col("doc_id").alias("ayah"), tokens(F.coalesce("text", F.lit(""))).alias("tokens"))
+
+
+def _word(t: Column, at: Column) -> list[Column]:
+    """A token and its place in verse ``ayah`` as a timed word; some are wrong on purpose."""
+    d, i = F.col("ayah"), at + 1
+    bad = lambda k: (d % 7 == 0) & (i % k == 0)
+    start = 1100 * at + 3000 * F.floor(i / 50) + 700 * F.floor(i / 20) + (7 * d + 13 * i) % 200 + F.when(d % 9 == 0, 9000).otherwise(0) - F.when(bad(13), 1200).otherwise(0)
+    own = F.when(bad(11), -5).when(bad(17), 30).when(bad(29), 16000).otherwise(100 + (97 * F.length(t) + 31 * d + 17 * i) % 900)
+    score = -((d + i) % 900) / 100.0 - F.when(d % 10 == 3, 25.0).otherwise(0.0)
+    return [i.cast("int").alias("idx"), t.alias("text"), start.cast("int").alias("start_ms"), (start + own).cast("int").alias("end_ms"), score.cast("double").alias("score")]
+
+
 def verses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(reciter_id, surah, ayah, duration_ms, words): documents as verses, a word each token, with times by
-    formula; some are wrong on purpose. Words stay nested: no shuffle."""
-    docs = table(spark, sf_dir, "documents").select(F.col("lang").alias("reciter_id"), F.col("source").alias("surah"), F.col("doc_id").alias("ayah"), tokens(F.coalesce("text", F.lit(""))).alias("tokens"))
-    d = F.col("ayah")
-
-    def word(t: Column, at: Column) -> Column:
-        i = at + 1
-        start = 1100 * at + 3000 * F.floor(i / 50) + 700 * F.floor(i / 20) + (7 * d + 13 * i) % 200 + F.when(d % 9 == 0, 9000).otherwise(0)
-        own = 100 + (97 * F.length(t) + 31 * d + 17 * i) % 900
-        bad = lambda k: (d % 7 == 0) & (i % k == 0)
-        own = F.when(bad(11), -5).when(bad(17), 30).when(bad(29), 16000).otherwise(own)
-        start = F.when(bad(13), start - 1200).otherwise(start)
-        score = -((d + i) % 900) / 100.0 - F.when(d % 10 == 3, 25.0).otherwise(0.0)
-        return F.struct(i.cast("int").alias("idx"), t.alias("text"), start.cast("int").alias("start_ms"), (start + own).cast("int").alias("end_ms"), score.cast("double").alias("score"))
-
-    n = F.size("tokens")
+    """(reciter_id, surah, ayah, duration_ms, words): a verse a row, words nested: no shuffle."""
+    docs, d, n = documents(spark, sf_dir), F.col("ayah"), F.size("tokens")
     duration = 1100 * n + 3000 * F.floor(n / 50) + 700 * F.floor(n / 20) + 200 + (d % 4) * 4000
-    return docs.select("reciter_id", "surah", "ayah", duration.cast("int").alias("duration_ms"), F.transform("tokens", word).alias("words"))
+    return docs.select("reciter_id", "surah", "ayah", duration.cast("int").alias("duration_ms"), F.transform("tokens", lambda t, at: F.struct(*_word(t, at))).alias("words"))
 
 
 def words(spark: SparkSession, sf_dir: str, script: bool = False) -> DataFrame:
-    """One row a word, in Arabic letters with ``script``."""
-    rows = verses(spark, sf_dir).select("reciter_id", "surah", "ayah", F.explode("words").alias("w")).select("reciter_id", "surah", "ayah", "w.*")
+    """One row a word, in Arabic letters with ``script``.
+
+    The outer explode, filtered after: the plain one would filter by the array first and make all of it twice."""
+    rows = documents(spark, sf_dir).select("reciter_id", "surah", "ayah", F.posexplode_outer("tokens").alias("at", "token")).where("token is not null")
+    rows = rows.select("reciter_id", "surah", "ayah", *_word(F.col("token"), F.col("at")))
     return rows.withColumn("text", arabic(F.col("text"))) if script else rows
 
 
