@@ -140,9 +140,15 @@ def text_analysis(texts: DataFrame, config: M.TimingConfig = M.TimingConfig(), c
     return drawn.withColumn("stretch", T.stretch_positions(F.col(c.text), F.col("candidates"), config.max_tatweel))
 
 
+def dealt(texts: DataFrame, *keys: str) -> DataFrame:
+    """Texts over all tasks: few bytes, which would be read by few tasks, but long work on each."""
+    spark = texts.sparkSession
+    return texts.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism), *keys)
+
+
 def with_text_analysis(words: DataFrame, config: M.TimingConfig = M.TimingConfig(), c: Columns = Columns()) -> DataFrame:
     """Adds candidates and stretch, made once a distinct text."""
-    texts = text_analysis(words.select(c.text).where(F.col(c.text).isNotNull()).distinct(), config, c)
+    texts = text_analysis(dealt(words.select(c.text).where(F.col(c.text).isNotNull()).distinct(), c.text), config, c)
     return words.join(texts, c.text, "left").select(*words.columns, F.coalesce("candidates", F.array().cast(NO_CANDIDATES)).alias("candidates"), "stretch")
 
 
@@ -221,7 +227,7 @@ def enrich(words: DataFrame, config: M.TimingConfig = M.TimingConfig(), c: Colum
     by_text = written(timed.groupBy(c.reciter, "_text", c.duration).agg(F.count("*").alias("n")))
     keyed = by_text.withColumn("word_key", T.baseline_key(F.col("_text")))
     stats = order_stats_of(keyed.where(has).groupBy(c.reciter, "word_key", c.duration).agg(F.sum("n").alias("_c")), [c.reciter, "word_key"], c.duration, "_")
-    texts = text_analysis(keyed.select(c.reciter, "word_key", "_text").distinct().withColumnRenamed("_text", c.text), config, c).withColumnRenamed(c.text, "_text")
+    texts = text_analysis(dealt(keyed.select(c.reciter, "word_key", "_text"), c.reciter, "_text").distinct().withColumnRenamed("_text", c.text), config, c).withColumnRenamed(c.text, "_text")
     lexicon = texts.join(stats, [c.reciter, "word_key"], "left").drop("word_key")
     rows = timed.join(lexicon, [c.reciter, "_text"], "left").join(chapters, [c.reciter, c.chapter], "left").join(reciters, c.reciter, "left")
     others = F.when(has, F.col("_n") - 1).cast("long")
