@@ -1,11 +1,19 @@
-"""Quality by perplexity under an interpolated modified Kneser-Ney bigram model of trusted text.
-
-Words are split at white space, ASCII letters in lower case. The commonest VOCABULARY - 2 words of
-the corpus have numbers of their own, all others share one whose probability is divided by how many
-they are. Tables of single words are bounded by the vocabulary and go to every task; bigram counts
-grow with the corpus and stay in shards of their code, to which the bigrams of every document are
-sent to be joined; partial sums come back to the documents. A document is kept when its perplexity
-is at most a quantile of that of the trusted texts of its language.
+"""Quality by perplexity under an interpolated modified Kneser-Ney n-gram model of trusted text.
+
+Words are split at ASCII white space, ASCII letters in lower case, and known by 40-bit hashes; there is no
+vocabulary to choose. The log probability of a word splits into terms of n-grams: with A(g) the logarithm of
+what an n-gram seen in training adds over the shorter one, and B(h) that of the back-off weight of a context,
+the sum over a text is that of A(g) + B(g) over all its n-grams of all lengths (each is predicted once and a
+context once, as texts have begin and end marks), and a constant a word. So the model is one table of values
+by n-gram, and scoring is one join of the documents' n-grams with it and a sum by document.
+
+The join is sharded by the n-gram's hash: in packets of some hundred documents, n-grams go to their shard,
+where a piece of the table of bounded size is held while packets stream by. It runs in PASSES, each with the
+n-grams that end in one class of words, so that what is on disk at a time is that part of the corpus.
+
+Trusted texts are judged like others: texts are dealt into folds by their hash, and those of a fold are scored
+by the counts of the other folds, so that a quantile of trusted texts is one of unseen text. A document is
+kept when its perplexity is at most the quantile of its language.
 """
 
 from __future__ import annotations
@@ -13,255 +21,345 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SALTS, Rolling, discard, stash, text_bytes
-
-BITS = 14
-VOCABULARY = 1 << BITS
-UNKNOWN, BEGIN = 0, 1
-SHARD_BITS = 4
-SHARDS = 1 << SHARD_BITS
-LOW_BITS = 2 * BITS - SHARD_BITS
-ROWS = 1024
-BLOCK_TOKENS = 16_000_000
-CHUNK = 250_000
+from .common import SALTS, Rolling, discard, heavy_keys, salted_join, stash, text_bytes
+
+ORDER = 2
+FOLDS = 2
+PASSES = 6
 QUANTILE = 0.99
-_MULTIPLIER = 0x9E3779B1 | 1
-_MASK = (1 << 2 * BITS) - 1
+#: Keys of the table in a shard, and so in a task's memory.
+SHARD_KEYS = 1 << 18
+#: Ids of trusted texts that are copied to all tasks; more of them are joined by key.
+BROADCAST_IDS = 2_000_000
+SLICE_BYTES, SLICE_ROWS = 2_000_000, 1024
+CHUNK = 2_000_000
+WORD_BITS = 40
+BEGIN, END = 1, 2
 
 _KIND = np.arange(256, dtype=np.uint8)
 _KIND[np.arange(65, 91)] += 32
 _KIND[[9, 10, 11, 12, 13]] = 32
+_BLANKS = (b" ", b"\t", b"\n", b"\v", b"\f", b"\r")
+_P = [np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
 
 
 def word_hashes(text: bytes) -> np.ndarray:
-    """The hashes of a text's words, taken in pieces that end at white space."""
+    """The hashes of a text's words; a long text is taken in pieces that end at white space."""
     out, at = [], 0
     while at < len(text):
         end = len(text)
         if end - at > CHUNK:
-            end = max(text.rfind(c, at, at + CHUNK) for c in (b" ", b"\n", b"\t"))
-            end = end if end > at else at + CHUNK
+            end = min((x for x in (text.find(b, at + CHUNK) for b in _BLANKS) if x >= 0), default=end)
         plain = _KIND[np.frombuffer(text[at:end], dtype=np.uint8)]
         edge = np.diff(np.concatenate([[0], (plain != 32).view(np.int8), [0]]))
-        out.append(Rolling(plain).of(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)))
+        out.append(Rolling(plain).of(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)) >> np.uint64(64 - WORD_BITS))
         at = end
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
-def grouped_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(word hashes, words of each text); short texts are hashed together."""
-    hashes, counts, group, size = [], [], [], 0
-    for i, t in enumerate([*texts, None]):
-        if t is not None and len(t) <= CHUNK:
-            group.append(t)
-            size += len(t) + 1
-        if group and (t is None or len(t) > CHUNK or size > CHUNK):
-            plain = _KIND[np.frombuffer(b"\n".join(group), dtype=np.uint8)]
-            edge = np.diff(np.concatenate([[0], (plain != 32).view(np.int8), [0]]))
-            starts = np.flatnonzero(edge == 1)
-            hashes.append(Rolling(plain).of(starts, np.flatnonzero(edge == -1)))
-            limits = np.searchsorted(starts, np.cumsum([len(x) + 1 for x in group]))
-            counts.append(np.diff(np.concatenate([[0], limits])))
-            group, size = [], 0
-        if t is not None and len(t) > CHUNK:
-            own = word_hashes(t)
-            hashes.append(own)
-            counts.append(np.array([len(own)]))
-    if not counts:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    return np.concatenate(hashes), np.concatenate(counts)
-
-
-def sliced(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
-    """Batches of at most so many rows, which bounds what is held for them."""
-    for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+def _round(x: np.ndarray, seed: np.ndarray | np.uint64) -> np.ndarray:
+    """One step of Spark's xxhash64 of a long."""
+    turn = lambda v, k: (v << np.uint64(k)) | (v >> np.uint64(64 - k))
+    h = (seed + _P[4] + np.uint64(8)) ^ (turn(x * _P[1], 31) * _P[0])
+    h = turn(h, 27) * _P[0] + _P[3]
+    h = (h ^ (h >> np.uint64(33))) * _P[1]
+    h = (h ^ (h >> np.uint64(29))) * _P[2]
+    return h ^ (h >> np.uint64(32))
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(h, n): how often each word occurs, by its hash; added up in each batch before the shuffle."""
+def pair_hash(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """The key of an n-gram from those of its first and last n - 1 words: xxhash64(context, suffix) of Spark."""
+    return _round(suffix, _round(context, np.uint64(42)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches, 4 * ROWS):
-            h, n = np.unique(grouped_hashes(list(text_bytes(b.column(0))))[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+class Grams:
+    """The n-grams of some texts, each with ``order`` - 1 begin marks and an end mark. keys[k - 1]: the key of the k words
+    that end at each place; doc: whose; inner: whether the place is a word or the end mark; last: the word there."""
 
+    def __init__(self, texts: list[bytes], order: int):
+        words = [word_hashes(t) for t in texts]
+        self.size = np.array([len(w) for w in words], dtype=np.int64)
+        begin, end = np.full(order, BEGIN, dtype=np.uint64), np.array([END], dtype=np.uint64)
+        self.last = np.concatenate([x for w in words for x in (begin, w, end)] or [end[:0]])
+        span = self.size + order + 1
+        self.doc = np.repeat(np.arange(len(words)), span)
+        place = np.arange(len(self.doc)) - np.repeat(np.cumsum(span) - span, span)
+        self.keys = [self.last]
+        for _ in range(order - 1):
+            before = np.concatenate([self.last[:1], self.keys[-1][:-1]])
+            self.keys.append(pair_hash(before, self.keys[-1]))
+        self.inner = place >= order
+        self.scored = place >= order - 1  # the last begin mark is a context
 
-def word_ids(texts: list[bytes], vocabulary: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(word numbers, words of each text)."""
-    hashes, counts = grouped_hashes(texts)
-    known, number = vocabulary
-    at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
-    return np.where(known[at] == hashes, number[at], UNKNOWN) if len(known) else np.zeros(len(hashes), dtype=np.int64), counts
+
+def slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Rows a few at a time, by bytes and number."""
+    for b in batches:
+        at, size, texts = 0, 0, []
+        for i, t in enumerate(text_bytes(b.column(column))):
+            texts.append(t)
+            size += len(t)
+            if size >= SLICE_BYTES or len(texts) >= SLICE_ROWS:
+                yield b.slice(at, len(texts)), texts
+                at, size, texts = i + 1, 0, []
+        if texts:
+            yield b.slice(at, len(texts)), texts
 
 
-def bigrams(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """A code for every word with the one before it; each text begins anew."""
-    before = np.concatenate([[BEGIN], ids[:-1]])[: len(ids)].astype(np.int64)
-    before[(np.cumsum(counts) - counts)[counts > 0]] = BEGIN
-    return before << BITS | ids
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
 
 
-def place(codes: np.ndarray) -> np.ndarray:
-    """A bijection of codes whose top bits are the shard."""
-    x = codes * _MULTIPLIER & _MASK
-    return x ^ x >> BITS
+def gram_counts(rows: DataFrame, order: int, folds: int) -> DataFrame:
+    """(context_k, suffix_k for k = order..2, c0, c1, ...) of rows (text, fold): the n-grams of the highest order and how
+    often they occur outside each fold; added up in each slice and each task before the shuffle."""
+    names = [f"{part}_{k}" for k in range(order, 1, -1) for part in ("context", "suffix")]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, texts in slices(batches, 0):
+            grams, fold = Grams(texts, order), b.column(1).to_numpy().astype(np.uint64)
+            at = np.flatnonzero(grams.inner)
+            own = np.stack([*(c for k in range(order, 1, -1) for c in (grams.keys[k - 2][at - 1], grams.keys[k - 2][at])), fold[grams.doc[at]]])
+            mark = pair_hash(grams.keys[-1][at], own[-1])
+            _, first, n = np.unique(mark, return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([*(_signed(c) for c in own[:-1, first]), pa.array(own[-1, first].astype(np.int32)), pa.array(n.astype(np.int64))], names=[*names, "fold", "n"])
 
-def code_at(placed: np.ndarray) -> np.ndarray:
-    x = placed ^ placed >> BITS
-    return x * pow(_MULTIPLIER, -1, 1 << 2 * BITS) & _MASK
+    found = rows.mapInArrow(run, ", ".join(f"{x} long" for x in names) + ", fold int, n long")
+    return found.groupBy(*names).agg(*[F.sum(F.when(F.col("fold") != f, F.col("n")).otherwise(0)).alias(f"c{f}") for f in range(folds)])
+
+
+def discounts(n: tuple) -> list[float]:
+    """D of counts 0, 1, 2, 3 and more from the counts of counts 1..4; plain values where those can't give them."""
+    if min(n[:3]) <= 0:
+        return [0.0, 0.5, 0.75, 0.9]
+    y = n[0] / (n[0] + 2 * n[1])
+    d = [1 - 2 * y * n[1] / n[0], 2 - 3 * y * n[2] / n[1], 3 - 4 * y * n[3] / n[2]]
+    return [0.0, *(min(max(x, 0.0), float(k)) for k, x in enumerate(d, 1))]
+
+
+def _cut(c: Column, d: list[float]) -> Column:
+    return F.when(c <= 0, 0.0).when(c == 1, d[1]).when(c == 2, d[2]).otherwise(d[3])
 
 
 class Model:
-    """Modified Kneser-Ney, interpolated. By word: the total and the back-off weight as a context, and the
-    continuation probability; the discounts of bigrams seen once, twice, more often."""
-
-    def __init__(self, contexts: list[tuple], followers: list[tuple], counts_of_counts: list[int], unknown_words: int):
-        self.total, once, twice, more = (np.zeros(VOCABULARY) for _ in range(4))
-        for v, total, n1, n2, n3 in contexts:
-            self.total[v], once[v], twice[v], more[v] = total, n1, n2, n3
-        self.discounts = self._discounts(counts_of_counts)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            self.backoff = np.where(self.total > 0, (self.discounts[1] * once + self.discounts[2] * twice + self.discounts[3] * more) / self.total, 1.0)
-        follow = np.zeros(VOCABULARY)
-        for w, n in followers:
-            follow[w] = n
-        own = self._discounts([int((follow == k).sum()) for k in (1, 2, 3, 4)])
-        cut = own[np.minimum(follow, 3).astype(int)]
-        everything = max(follow.sum(), 1.0)
-        spare = cut[follow > 0].sum() / everything if follow.any() else 1.0
-        self.unigram = np.maximum(follow - cut, 0) / everything + spare / VOCABULARY
-        self.unknown = float(np.log(max(unknown_words, 1)))
-
-    @staticmethod
-    def _discounts(n: list[int]) -> np.ndarray:
-        """D of counts 0, 1, 2, 3 and more; plain values where the counts of counts can't give them."""
-        if min(n[:3]) <= 0:
-            return np.array([0, 0.5, 0.75, 0.9])
-        y = n[0] / (n[0] + 2 * n[1])
-        return np.clip([0, 1 - 2 * y * n[1] / n[0], 2 - 3 * y * n[2] / n[1], 3 - 4 * y * n[3] / n[2]], 0, [0, 1, 2, 3])
-
-    def log_probability(self, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        v, w = codes >> BITS, codes & (VOCABULARY - 1)
-        seen = np.maximum(counts - self.discounts[np.minimum(counts, 3)], 0)
-        p = seen / np.maximum(self.total[v], 1) + self.backoff[v] * self.unigram[w]
-        return np.log(p) - np.where(w == UNKNOWN, self.unknown, 0.0)
-
-
-def train(docs: DataFrame, trusted: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], DataFrame, Model]:
-    """(vocabulary, bigram counts (code, n), model). trusted: the ids of trusted texts, unique."""
-    words = stash(word_counts(docs), "words")
-    distinct = words.count()
-    top = words.orderBy(F.desc("n"), "h").limit(VOCABULARY - 2).toPandas()  # the vocabulary, of fixed size
-    discard(words)
-    order = np.argsort(top["h"].to_numpy().view(np.uint64))
-    vocabulary = top["h"].to_numpy().view(np.uint64)[order], order.astype(np.int64) + 2
+    """Tables of counts by order, of contexts and of values; all stay distributed. What comes to the driver is a few numbers
+    for each order and fold."""
+
+    def __init__(self, rows: DataFrame, order: int, folds: int):
+        self.order, self.folds = order, folds
+        self.counts = {order: stash(gram_counts(rows, order, folds), "ngrams")}
+        for k in range(order - 1, 0, -1):  # how many words come before each shorter n-gram
+            above, more = self.counts[k + 1], [f"{part}_{j}" for j in range(k, 1, -1) for part in ("context", "suffix")]
+            grouped = above.groupBy(F.col(f"suffix_{k + 1}").alias("key"), *more)
+            self.counts[k] = stash(grouped.agg(F.count("*").alias("rows"), *[F.count_if(F.col(f"c{f}") > 0).alias(f"c{f}") for f in range(folds)]), "lower")
+        count = [[F.count_if(F.col(f"c{f}") == i) for i in (1, 2, 3, 4)] for f in range(folds)]
+        self.discounts = {}
+        for k, table in self.counts.items():
+            got = table.agg(*[x for xs in count for x in xs]).first()
+            self.discounts[k] = [discounts(got[4 * f : 4 * f + 4]) for f in range(folds)]
+        self.contexts = {k: stash(self._contexts(k), "contexts") for k in range(2, order + 1)}
+        low, d = self.counts[1], self.discounts[1]
+        totals = low.agg(*[x for f in range(folds) for x in (F.sum(f"c{f}"), F.sum(_cut(F.col(f"c{f}"), d[f])), F.count_if(F.col(f"c{f}") > 0))]).first()
+        #: by fold: the sum of continuation counts, and the probability of a word that isn't known
+        self.total = [float(totals[3 * f] or 0) for f in range(folds)]
+        self.unseen = [(totals[3 * f + 1] or 0) / t / ((totals[3 * f + 2] or 0) + 1) if (t := self.total[f]) else 1.0 for f in range(folds)]
+
+    def _contexts(self, k: int) -> DataFrame:
+        """(key, rows, t<f>, b<f>): of each context of order k its total and the logarithm of its back-off weight."""
+        out = [F.count("*").alias("rows")]
+        for f in range(self.folds):
+            c = F.col(f"c{f}")
+            out += [F.sum(c).alias(f"t{f}"), F.sum(_cut(c, self.discounts[k][f])).alias(f"s{f}")]
+        got = self.counts[k].groupBy(F.col(f"context_{k}").alias("key")).agg(*out)
+        weights = [x for f in range(self.folds) for x in (F.col(f"t{f}"), F.when(F.col(f"t{f}") > 0, F.log(F.col(f"s{f}") / F.col(f"t{f}"))).otherwise(0.0).alias(f"b{f}"))]
+        return got.select("key", "rows", *weights)
+
+    def values(self, number: int, passes: int) -> DataFrame:
+        """(key, v0, v1, ...): the values of the n-grams whose last word is of class ``number``."""
+        folds, own = range(self.folds), lambda word: F.pmod(F.col(word), F.lit(passes)) == number
+        low = self.counts[1].where(own("key"))
+        p = low.select("key", F.col("rows"), *[(F.greatest(F.col(f"c{f}") - _cut(F.col(f"c{f}"), self.discounts[1][f]), F.lit(0.0)) / max(self.total[f], 1.0) + self.unseen[f]).alias(f"p{f}") for f in folds])
+        out = [self._with_weights(p, [(F.log(F.col(f"p{f}") / self.unseen[f])).alias(f"a{f}") for f in folds], 1, number, passes)]
+        for k in range(2, self.order + 1):
+            table = self.counts[k].where(own("suffix_2"))
+            contexts, shorter = self.contexts[k], p
+            near = salted_join(table.withColumnRenamed("rows", "own_rows") if k < self.order else table, contexts.drop("rows").withColumnRenamed("key", f"context_{k}"), f"context_{k}", F.col(f"suffix_{k}"), heavy_keys(contexts.withColumnRenamed("key", f"context_{k}"), f"context_{k}", "rows"))
+            both = salted_join(near, shorter.drop("rows").withColumnRenamed("key", f"suffix_{k}"), f"suffix_{k}", F.col(f"context_{k}"), heavy_keys(shorter.withColumnRenamed("key", f"suffix_{k}"), f"suffix_{k}", "rows"))
+            over = lambda f: F.exp(F.col(f"b{f}")) * F.col(f"p{f}")
+            full = lambda f: F.greatest(F.col(f"c{f}") - _cut(F.col(f"c{f}"), self.discounts[k][f]), F.lit(0.0)) / F.greatest(F.col(f"t{f}"), F.lit(1)) + over(f)  # noqa: B023, E731
+            key = F.xxhash64(f"context_{k}", f"suffix_{k}").alias("key")
+            rows = both.select(key, *([F.col("own_rows").alias("rows")] if k < self.order else []), *[full(f).alias(f"q{f}") for f in folds], *[F.log(full(f) / over(f)).alias(f"a{f}") for f in folds])
+            out.append(self._with_weights(rows, [F.col(f"a{f}") for f in folds], k, number, passes))
+            if k < self.order:
+                p = rows.select("key", "rows", *[F.col(f"q{f}").alias(f"p{f}") for f in folds])
+        whole = out[0]
+        for x in out[1:]:
+            whole = whole.unionByName(x)
+        return whole
+
+    def _with_weights(self, rows: DataFrame, terms: list[Column], k: int, number: int, passes: int) -> DataFrame:
+        """Adds what the n-grams are worth as contexts; a context may be no n-gram of its own (the begin marks)."""
+        folds = range(self.folds)
+        mine = rows.select("key", *terms)
+        if k == self.order:
+            return mine.select("key", *[F.col(f"a{f}").alias(f"v{f}") for f in folds])
+        contexts = self.contexts[k + 1]
+        if k == 1:
+            contexts = contexts.where(F.pmod("key", F.lit(passes)) == number)
+        else:  # by the last word, which a longer key doesn't show: only those that are in this class, and the begin marks once
+            contexts = contexts.join(mine.select("key"), "key", "left_semi").unionByName(contexts.where(F.col("key") == _begins(k)).where(F.lit(BEGIN % passes == number)))
+        sums = [(F.coalesce(F.col(f"a{f}"), F.lit(0.0)) + F.coalesce(F.col(f"b{f}"), F.lit(0.0))).alias(f"v{f}") for f in folds]
+        return mine.join(contexts.select("key", *[f"b{f}" for f in folds]), "key", "full_outer").select("key", *sums)
+
+
+def _begins(k: int) -> int:
+    """The key of k begin marks, signed."""
+    key = np.array([BEGIN], dtype=np.uint64)
+    for _ in range(k - 1):
+        key = pair_hash(key, key)
+    return int(key.view(np.int64)[0])
+
+
+_ASKED = "shard int, kind int, low long, {}, owners array<long>, folds binary, sizes binary, keys binary"
+
+
+def asked(rows: DataFrame, order: int, folds: int, shards: int, number: int, passes: int) -> DataFrame:
+    """Packets (shard, owners, folds, sizes, keys) of rows (row, fold, text): the n-grams of a slice of documents whose last word
+    is of class ``number``, five bytes each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches):
-            ids, counts = word_ids(list(text_bytes(b.column(1))), vocabulary)
-            packed, ends = ids.astype("<u2").tobytes(), 2 * np.cumsum(counts)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([packed[i:j] for i, j in zip([0, *ends[:-1].tolist()], ends.tolist())], type=pa.binary())], names=["doc_id", "words"])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches, 4 * ROWS):
-            rows = [x.as_py() for x in b.column(0)]
-            ids = np.frombuffer(b"".join(rows), dtype="<u2").astype(np.int64)
-            codes, n = np.unique(bigrams(ids, np.array([len(r) // 2 for r in rows], dtype=np.int64)), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int32)), pa.array(n)], names=["code", "n"])
-
-    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null").mapInArrow(run, "doc_id long, words binary")
-    table = packed.join(trusted, "doc_id", "left_semi").select("words").mapInArrow(count, "code int, n long")
-    table = stash(table.groupBy("code").agg(F.sum("n").alias("n")), "bigrams")
-    v, w = F.shiftright("code", BITS), F.col("code").bitwiseAND(VOCABULARY - 1)
-    contexts = table.groupBy(v.alias("v")).agg(F.sum("n"), *[F.count_if(F.col("n") == k) for k in (1, 2)], F.count_if(F.col("n") >= 3)).collect()  # as many as the vocabulary
-    followers = table.groupBy(w.alias("w")).agg(F.count("*")).collect()  # as many as the vocabulary
-    shape = table.agg(*[F.count_if(F.col("n") == k) for k in (1, 2, 3, 4)]).first()
-    return vocabulary, table, Model([tuple(r) for r in contexts], [tuple(r) for r in followers], list(shape), distinct - len(top))
-
-
-def perplexities(docs: DataFrame, vocabulary: tuple[np.ndarray, np.ndarray], table: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, lang, n_tokens, perplexity) of every row: its bigrams go to their shards, in packets for
-    ROWS documents each, are joined there with the counts, and come back as one sum a shard."""
-
-    def packets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        for part in sliced(batches):
-            ids, counts = word_ids(list(text_bytes(part.column(1))), vocabulary)
-            placed = place(bigrams(ids, counts))
-            row = np.repeat(np.arange(part.num_rows), counts)
-            key = (placed >> LOW_BITS) * part.num_rows + row
-            order = np.argsort(key, kind="stable")
-            low = (placed[order] & ((1 << LOW_BITS) - 1)).astype("<u4")
-            sizes = np.bincount(key, minlength=SHARDS * part.num_rows).reshape(SHARDS, -1)
-            ends = np.cumsum(sizes.sum(1))
-            three = low.view(np.uint8).reshape(-1, 4)[:, :3].tobytes()  # LOW_BITS is 24
-            narrow = sizes.astype("<u2" if sizes.max(initial=0) < 65536 else "<u4")
+        for b, texts in slices(batches, 2):
+            grams, n = Grams(texts, order), b.num_rows
+            use = np.flatnonzero(grams.scored & (grams.last % np.uint64(passes) == number))
+            keys, doc = np.concatenate([k[use] for k in grams.keys]), np.tile(grams.doc[use], order)
+            shard = shard_of(keys, shards)
+            mark = shard * n + doc
+            order_ = np.argsort(mark, kind="stable")
+            low = keys[order_].view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+            sizes = np.bincount(mark, minlength=shards * n).astype("<u4").reshape(shards, n)
+            ends = 5 * np.cumsum(sizes.sum(1, dtype=np.int64))
+            full = np.flatnonzero(sizes.any(axis=1))
+            owners, fold = b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.uint8)
+            some = [np.flatnonzero(sizes[s]) for s in full]
+            none = pa.nulls(len(full), pa.float64())
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(SHARDS, number)), pa.array(np.arange(SHARDS, dtype=np.int32)),
-                pa.array([three[3 * i : 3 * j] for i, j in zip([0, *ends[:-1].tolist()], ends.tolist())], type=pa.binary()), pa.array([x.tobytes() for x in narrow], type=pa.binary()),
-                pa.array([part.column(0).to_pylist()] + [None] * (SHARDS - 1), type=pa.list_(pa.int64())), pa.array([part.column(2).to_pylist()] + [None] * (SHARDS - 1), type=pa.list_(pa.string())),
-            ], names=["packet", "shard", "low", "sizes", "ids", "langs"])
-            number += 1
+                pa.array(full.astype(np.int32)), pa.array(np.ones(len(full), dtype=np.int32)), pa.nulls(len(full), pa.int64()), *[none] * folds,
+                pa.array([owners[x] for x in some], type=pa.list_(pa.int64())), pa.array([fold[x].tobytes() for x in some], type=pa.binary()), pa.array([sizes[s][x].tobytes() for s, x in zip(full, some)], type=pa.binary()),
+                pa.array([low[(ends[s - 1] if s else 0) : ends[s]] for s in full], type=pa.binary()),
+            ], names=["shard", "kind", "low", *(f"v{f}" for f in range(folds)), "owners", "folds", "sizes", "keys"])
+
+    return rows.mapInArrow(run, _ASKED.format(", ".join(f"v{f} double" for f in range(folds))))
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    sent = rows.mapInArrow(packets, "packet long, shard int, low binary, sizes binary, ids array<long>, langs array<string>")
-    blocks = max(1, -(-int(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (6 * SHARDS * BLOCK_TOKENS)))
 
-    def shard_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Of a hash of the key: a word's key has zeros where others have bits."""
+    return (_round(keys, np.uint64(7)) % np.uint64(shards)).astype(np.int64)
+
+
+def summed(values: DataFrame, packets: DataFrame, folds: int, shards: int) -> DataFrame:
+    """(row, logs): the sums of the values of what the packets ask for, joined shard by shard. Of a shard the values come
+    first and are held; packets stream by."""
+    names = [f"v{f}" for f in range(folds)]
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = b.column(0).to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(shard_of(keys, shards).astype(np.int32)), _signed(keys & np.uint64((1 << WORD_BITS) - 1)), *b.columns[1:]], names=["shard", "low", *names])
+
+    held = values.mapInArrow(placed, "shard int, low long, " + ", ".join(f"{v} double" for v in names))
+    both = packets.unionByName(held.withColumn("kind", F.lit(0)), allowMissingColumns=True)
+    spread = both.repartition("shard").sortWithinPartitions("shard", "kind")
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts, ready = None, [], None
+        for b in batches:
+            shard, kind = b.column(0).to_numpy(), b.column(1).to_numpy()
+            edges = np.flatnonzero((shard[1:] != shard[:-1]) | (kind[1:] != kind[:-1])) + 1
+            for i, j in zip([0, *edges.tolist()], [*edges.tolist(), len(shard)]):
+                if shard[i] != now:
+                    now, parts, ready = shard[i], [], None
+                piece = b.slice(i, j - i)
+                if kind[i] == 0:
+                    parts.append([piece.column(2 + k).to_numpy() for k in range(1 + folds)])
+                    continue
+                if ready is None:
+                    columns = [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, dtype=np.int64), *[np.zeros(0)] * folds]
+                    order = np.argsort(columns[0])
+                    ready, parts = [columns[0][order], np.stack([x[order] for x in columns[1:]])], []
+                yield looked_up(piece, *ready)
+
+    def looked_up(packets: pa.RecordBatch, known: np.ndarray, worth: np.ndarray) -> pa.RecordBatch:
+        rows, sums = [], []
+        for owners, fold, sizes, keys in zip(*(packets.column(3 + folds + k) for k in range(4))):
+            n = np.frombuffer(sizes.as_py(), dtype="<u4").astype(np.int64)
+            wide = np.zeros((int(n.sum()), 8), dtype=np.uint8)
+            wide[:, :5] = np.frombuffer(keys.as_py(), dtype=np.uint8).reshape(-1, 5)
+            low = wide.view(np.int64).ravel()
+            rows.append(owners.values.to_numpy())
+            if len(known):
+                at = np.minimum(np.searchsorted(known, low), len(known) - 1)
+                value = np.where(known[at] == low, worth[np.repeat(np.frombuffer(fold.as_py(), dtype=np.uint8), n), at], 0.0)
+            else:
+                value = np.zeros(len(low))
+            sums.append(np.add.reduceat(value, np.cumsum(n) - n))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(rows)), pa.array(np.concatenate(sums))], names=["row", "logs"])
+
+    return spread.select("shard", "kind", "low", *names, "owners", "folds", "sizes", "keys").mapInArrow(join, "row long, logs double").groupBy("row").agg(F.sum("logs").alias("logs"))
+
+
+def perplexities(docs: DataFrame, trusted: DataFrame, order: int = ORDER, folds: int = FOLDS, passes: int = PASSES) -> DataFrame:
+    """(doc_id, lang, n_tokens, perplexity) of every row of documents under the model of the trusted ids' texts of the other folds."""
+    if order < 2:
+        raise ValueError("the order is 2 at least")
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text.alias("text"))
+    rows = rows.withColumn("row", F.xxhash64("doc_id", "text")).withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(folds)).cast("int"))
+    few = trusted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    known = rows.join(F.broadcast(trusted) if few else trusted, "doc_id", "left_semi")
+    model = Model(known.select("text", "fold"), order, folds)
+    keys = sum(model.counts[k].count() for k in model.counts)
+    shards = max(1, -(-keys // (passes * SHARD_KEYS)))
+    parts = []
+    for number in range(passes):
+        packets = asked(rows.select("row", "fold", "text"), order, folds, shards, number, passes)
+        parts.append(stash(summed(model.values(number, passes), packets, folds, shards), "sums"))
+    for table in [*model.counts.values(), *model.contexts.values()]:
+        discard(table)
+    sums = parts[0]
+    for part in parts[1:]:
+        sums = sums.unionByName(part)
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            placed = place(b.column(0).to_numpy().astype(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array((placed >> LOW_BITS).astype(np.int32)), pa.array((placed & ((1 << LOW_BITS) - 1)).astype(np.int32)), b.column(1)], names=["shard", "low", "n"])
-
-    counts = table.mapInArrow(shard_of, "shard int, low int, n long").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    dealt = sent.withColumn("block", F.pmod(F.xxhash64("packet"), F.lit(blocks)).cast("int"))
-
-    def join(seen: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        order = np.argsort(seen["low"].to_numpy())
-        have, often, out = seen["low"].to_numpy()[order], seen["n"].to_numpy()[order], []
-        for packet, shard, low, sizes, ids, langs in asked.itertuples(index=False):
-            raw = np.frombuffer(low, dtype=np.uint8).reshape(-1, 3).astype(np.int64)
-            codes = raw[:, 0] | raw[:, 1] << 8 | raw[:, 2] << 16
-            n = np.frombuffer(sizes, dtype="<u2")
-            if n.sum(dtype=np.int64) != len(codes):
-                n = np.frombuffer(sizes, dtype="<u4")
-            at = np.minimum(np.searchsorted(have, codes), max(len(have) - 1, 0))
-            count = np.where(have[at] == codes, often[at], 0) if len(have) else np.zeros(len(codes), dtype=np.int64)
-            logs = np.concatenate([[0.0], np.cumsum(model.log_probability(code_at(shard << LOW_BITS | codes), count))])
-            ends = np.cumsum(n.astype(np.int64))
-            frame = pd.DataFrame({"packet": packet, "i": np.arange(len(n), dtype=np.int32), "n": n.astype(np.int64), "logs": logs[ends] - logs[ends - n]})
-            frame["doc_id"] = pd.array(ids, dtype="Int64") if ids is not None else pd.array([None] * len(n), dtype="Int64")
-            frame["lang"] = langs if langs is not None else None
-            out.append(frame[(frame["n"] > 0) | (ids is not None)])
-        return pd.concat(out) if out else pd.DataFrame({c: [] for c in ("packet", "i", "n", "logs", "doc_id", "lang")})
-
-    schema = "packet long, i int, n long, logs double, doc_id long, lang string"
-    kept = dealt.select("shard", "block", "packet", "low", "sizes", "ids", "langs")
-    both = counts.groupBy("shard", "block").cogroup(kept.groupBy("shard", "block")).applyInPandas(lambda a, b: join(a[["low", "n"]], b[["packet", "shard", "low", "sizes", "ids", "langs"]]), schema)
-    sums = both.groupBy("packet", "i").agg(F.max("doc_id").alias("doc_id"), F.max("lang").alias("lang"), F.sum("n").alias("n_tokens"), F.sum("logs").alias("logs"))
-    return sums.select("doc_id", "lang", "n_tokens", F.when(F.col("n_tokens") > 0, F.exp(-F.col("logs") / F.col("n_tokens"))).alias("perplexity"))
-
-
-def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
+            n = [len(word_hashes(t)) for t in text_bytes(b.column(4))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(n, type=pa.int64())], names=["row", "fold", "doc_id", "lang", "n_tokens"])
+
+    # Rows with the same id and text have one sum, as many times over as there are rows.
+    counted = rows.select("row", "fold", "doc_id", "lang", "text").mapInArrow(sizes, "row long, fold int, doc_id long, lang string, n_tokens long")
+    counted = stash(counted, "sizes")
+    copies = counted.groupBy("row").agg(F.count("*").alias("copies")).where("copies > 1")
+    once = sums.groupBy("row").agg(F.sum("logs").alias("logs")).join(copies, "row", "left").select("row", (F.col("logs") / F.coalesce("copies", F.lit(1))).alias("logs"))
+    joined = counted.join(once, "row", "left")
+    base = F.element_at(F.array(*[F.lit(float(np.log(x))) for x in model.unseen]), F.col("fold") + 1)
+    mean = F.coalesce("logs", F.lit(0.0)) / (F.col("n_tokens") + 1) + base
+    return joined.select("doc_id", "lang", "n_tokens", F.when(F.col("n_tokens") > 0, F.exp(-mean)).alias("perplexity"))
+
+
+def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, order: int = ORDER, folds: int = FOLDS, passes: int = PASSES) -> DataFrame:
     """(doc_id, lang, n_tokens, perplexity, threshold, keep) of every row of documents.
 
-    Trusted are the ids whose labels all say quality 1. Null and empty texts have no perplexity and
-    are not kept; a language without trusted texts takes the quantile over all of them, and without
-    any trusted text everything with a word is kept. A null doc_id is scored and never trusted; a null
-    language is one of its own; repeated rows are scored each; other columns are ignored.
+    Trusted are the ids whose labels all say quality 1; their texts are scored without the counts of their
+    own fold, as all others are. Null and empty texts have no perplexity and are not kept; a language without
+    trusted texts takes the quantile over all of them, and without any trusted text everything with a word is
+    kept. A null doc_id is scored and never trusted; a null language is one of its own; repeated rows are scored
+    each and count in training as often; other columns are ignored. The end of a text is predicted like a word.
     """
     trusted = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
-    scores = stash(perplexities(docs, *train(docs, trusted)), "perplexity")
+    scores = stash(perplexities(docs, trusted, order, folds, passes), "perplexity")
     known = scores.where("n_tokens > 0").join(trusted, "doc_id", "left_semi")
     by_lang = known.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10_000).alias("own")).withColumnRenamed("lang", "of")
     overall = known.agg(F.percentile_approx("perplexity", quantile, 10_000).alias("any"))
