@@ -1,8 +1,9 @@
 """Line dedup with a log-template tree. DataFrame functions only.
 
-A line goes down a tree of fixed depth: first its token count, then its leading tokens; at the leaf
-the variable fields (tokens with a digit) of the rest are generalised, which gives the template. A
-template that recurs in enough documents is kept where it comes first and dropped everywhere else.
+A line goes down a tree of fixed depth: first its token count, then its leading tokens, to a leaf. Tokens with a
+digit are fields from the start. At a leaf, the positions that hold more than one token among its distinct lines are
+fields too; where these are few, all lines of the leaf are one template, else (lines that only begin alike) each
+line is its own. A template that recurs in enough documents is kept where it comes first and dropped elsewhere.
 """
 
 from __future__ import annotations
@@ -10,38 +11,59 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import heavy_keys, names_free, salted_join, stash
+from .common import discard, heavy_keys, names_free, salted_join, stash
 
-DEPTH = 3
+DEPTH = 2
 MIN_TOKENS = 5
-MIN_DOCS = 3
+MIN_DOCS = 2
+#: At most one position in so many may be a field of a leaf's template.
+FIELD_SHARE = 4
 SPACES = r"[ \t\r\f\x0B]+"
 #: A token with a digit; tried at token starts only and without backtracking, so long tokens cost no more.
 FIELD = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
 
 
-def with_template(lines: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Adds n_tokens and template, the digest of the path: count, leading tokens, generalised rest.
+def masked(line: Column) -> Column:
+    """The line with single spaces and <*> for tokens with a digit."""
+    return F.regexp_replace(F.trim(F.regexp_replace(line, SPACES, " ")), FIELD, "<*>")
 
-    Leading tokens are generalised too where they have a digit, so that a number at the start of a
-    line doesn't give a branch for each value."""
-    flat = F.regexp_replace(F.trim(F.regexp_replace("line", SPACES, " ")), FIELD, "<*>")
-    split = lines.withColumn("tokens", F.split(flat, " ")).drop("line")
-    counted = split.withColumn("n_tokens", F.when(F.col("tokens")[0] == "", 0).otherwise(F.size("tokens")))
-    path = F.concat_ws("\n", F.col("n_tokens").cast("string"), F.array_join(F.slice("tokens", 1, depth), " "), F.array_join(F.slice("tokens", F.lit(depth + 1), F.size("tokens")), " "))
-    return counted.withColumn("template", F.unhex(F.md5(path))).drop("tokens")
+
+def leaf_of(tokens: Column, depth: int) -> Column:
+    """The tree's leaf: token count and leading tokens."""
+    return F.xxhash64(F.size(tokens), F.array_join(F.slice(tokens, 1, depth), " "))
+
+
+def leaf_templates(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """(leaf) of leaves whose lines are one template.
+
+    ``lines`` (doc_id, text_hash, pos, n_tokens, leaf, template). Only leaves of several lines are looked at, and of
+    equal lines one; their texts are fetched once a document."""
+    mixed = lines.groupBy("leaf").agg(F.min("template").alias("low"), F.max("template").alias("high")).where("low <> high").select("leaf")
+    each = lines.join(mixed, "leaf", "left_semi").groupBy("leaf", "template").agg(F.min(F.struct("doc_id", "text_hash", "pos")).alias("at"))
+    wanted = each.groupBy("at.doc_id", "at.text_hash").agg(F.collect_list(F.struct("at.pos", "leaf")).alias("wanted"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n").alias("lines"))
+    same = rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["text_hash"] == wanted["text_hash"])
+    found = rows.join(wanted, same).select(F.explode(F.transform("wanted", lambda w: F.struct(w["leaf"].alias("leaf"), F.get(F.col("lines"), w["pos"]).alias("line")))).alias("x"))
+    tokens = found.select("x.leaf", F.posexplode(F.split(masked(F.col("x.line")), " ")).alias("at", "token"))
+    positions = tokens.groupBy("leaf", "at").agg((F.min("token") != F.max("token")).cast("int").alias("varies"))
+    return positions.groupBy("leaf").agg(F.sum("varies").alias("fields"), F.count("*").alias("n")).where(F.col("fields") * FIELD_SHARE <= F.col("n")).select("leaf")
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH) -> DataFrame:
     """(doc_id, text_hash, drop): sorted 0-based line numbers to drop, for rows that lose any."""
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    # Written once, since two branches read it; filtered only then, or the filter would repeat the expressions.
-    kept = F.when(F.col("n_tokens") >= min_tokens, F.col("template")).alias("template")
-    lines = stash(with_template(rows, depth).select("doc_id", "text_hash", "pos", kept), "templates").where("template is not null")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    split = rows.select("doc_id", "text_hash", "pos", masked(F.col("line")).alias("flat")).withColumn("tokens", F.split("flat", " "))
+    own = F.when((F.col("flat") != "") & (F.size("tokens") >= min_tokens), F.struct(leaf_of(F.col("tokens"), depth).alias("leaf"), F.unhex(F.md5("flat")).alias("template")))
+    # Written once, since several branches read it; filtered only then, or the filter would repeat the expressions.
+    lines = stash(split.select("doc_id", "text_hash", "pos", own.alias("own")).select("doc_id", "text_hash", "pos", "own.*"), "lines").where("template is not null")
+    leaves = stash(leaf_templates(docs, lines), "leaves").withColumn("one", F.lit(True))
+    shared = F.unhex(F.md5(F.concat(F.lit("leaf "), F.col("leaf").cast("string"))))
+    keyed = stash(lines.join(leaves, "leaf", "left").select("doc_id", "text_hash", "pos", F.when(F.col("one"), shared).otherwise(F.col("template")).alias("template")), "templates")
+    discard(lines)
     first = F.min(F.struct("doc_id", "text_hash", "pos")).alias("first")
-    in_docs = lines.groupBy("template", "doc_id", "text_hash").agg(F.min("pos").alias("pos"), F.count("*").alias("rows"))
+    in_docs = keyed.groupBy("template", "doc_id", "text_hash").agg(F.min("pos").alias("pos"), F.count("*").alias("rows"))
     recurring = stash(in_docs.groupBy("template").agg(F.count("*").alias("n"), F.sum("rows").alias("rows"), first).where(F.col("n") >= min_docs), "recurring")
-    places = salted_join(lines, recurring.select("template", "first"), "template", F.xxhash64("doc_id", "text_hash", "pos"), heavy_keys(recurring, "template", "rows"))
+    places = salted_join(keyed, recurring.select("template", "first"), "template", F.xxhash64("doc_id", "text_hash", "pos"), heavy_keys(recurring, "template", "rows"))
     lost = places.where(~F.struct("doc_id", "text_hash", "pos").eqNullSafe(F.col("first")))
     return lost.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("pos")).alias("drop"))
 
@@ -66,26 +88,29 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens:
     document of its own text that comes first; repeated rows are one document and are changed alike;
     line breaks between kept lines stay. A document may end up empty; no row is dropped.
     """
-    key, flag, n_lines, n_dropped = names_free(docs, "text_hash", "drop", "n_lines", "n_dropped")
-    lost = dropped_lines(docs.select("doc_id", "text"), min_docs, min_tokens, depth).select(F.col("doc_id").alias("_lost_doc"), F.col("text_hash").alias("_lost_hash"), F.col("drop").alias("_lost_drop"))
+    key, flag, lost_doc, lost_hash, n_lines, n_dropped = names_free(docs, "text_hash", "drop", "lost_doc", "lost_hash", "n_lines", "n_dropped")
+    lost = dropped_lines(docs.select("doc_id", "text"), min_docs, min_tokens, depth).select(F.col("doc_id").alias(lost_doc), F.col("text_hash").alias(lost_hash), F.col("drop").alias(flag))
     rows = docs.withColumn(key, F.xxhash64("text"))
-    joined = rows.join(lost, rows["doc_id"].eqNullSafe(lost["_lost_doc"]) & (rows[key] == lost["_lost_hash"]), "left").withColumn(flag, F.col("_lost_drop"))
+    joined = rows.join(lost, rows["doc_id"].eqNullSafe(lost[lost_doc]) & (rows[key] == lost[lost_hash]), "left")
     lines = F.split("text", "\n")
     text = F.when(F.col(flag).isNull(), F.col("text")).otherwise(F.array_join(without(lines, F.col(flag)), "\n"))
     kept = [text.alias(c) if c.lower() == "text" else F.col(c) for c in docs.columns]
-    return joined.select(*kept, F.coalesce(F.size(lines), F.lit(0)).cast("long").alias(n_lines), F.coalesce(F.size(flag), F.lit(0)).cast("long").alias(n_dropped)).select(
-        *docs.columns, F.greatest(n_lines, F.lit(0)).alias(n_lines), F.greatest(n_dropped, F.lit(0)).alias(n_dropped)
-    )
+    count = lambda xs: F.greatest(F.coalesce(F.size(xs), F.lit(0)), F.lit(0)).cast("long")
+    return joined.select(*kept, count(lines).alias(n_lines), count(flag).alias(n_dropped))
 
 
-def oracle() -> str:
+def oracle(min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH) -> str:
     flat = f"regexp_replace(trim(regexp_replace(line, '{SPACES}', ' ', 'g')), '[^ ]*[0-9][^ ]*', '<*>', 'g')"
     return f"""
 WITH docs AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
-lines AS (SELECT doc_id, pos, line, {flat} AS template FROM (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS pos FROM docs)),
-counted AS (SELECT * FROM lines WHERE template <> '' AND len(string_split(template, ' ')) >= {MIN_TOKENS}),
-recurring AS (SELECT template, count(DISTINCT doc_id) AS n, min((doc_id, pos)) AS first FROM counted GROUP BY template HAVING n >= {MIN_DOCS}),
-lost AS (SELECT c.doc_id, c.pos FROM counted c JOIN recurring r USING (template) WHERE (c.doc_id, c.pos) <> r.first),
+lines AS (SELECT doc_id, pos, line, {flat} AS flat FROM (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS pos FROM docs)),
+counted AS (SELECT doc_id, pos, flat, string_split(flat, ' ') AS ts, len(string_split(flat, ' ')) AS n, array_to_string(string_split(flat, ' ')[1:{depth}], ' ') AS lead FROM lines WHERE flat <> '' AND len(string_split(flat, ' ')) >= {min_tokens}),
+places AS (SELECT n, lead, unnest(ts) AS token, generate_subscripts(ts, 1) AS place FROM (SELECT DISTINCT n, lead, ts FROM counted)),
+varied AS (SELECT n, lead, count(DISTINCT token) > 1 AS varies FROM places GROUP BY n, lead, place),
+one AS (SELECT n, lead FROM varied GROUP BY n, lead HAVING count(*) FILTER (varies) BETWEEN 1 AND n // {FIELD_SHARE}),
+keyed AS (SELECT c.doc_id, c.pos, CASE WHEN o.n IS NOT NULL THEN 'leaf ' || c.n || ' ' || c.lead ELSE 'line ' || c.flat END AS template FROM counted c LEFT JOIN one o ON o.n = c.n AND o.lead = c.lead),
+recurring AS (SELECT template, count(DISTINCT doc_id) AS n, min((doc_id, pos)) AS first FROM keyed GROUP BY template HAVING n >= {min_docs}),
+lost AS (SELECT c.doc_id, c.pos FROM keyed c JOIN recurring r USING (template) WHERE (c.doc_id, c.pos) <> r.first),
 marked AS (SELECT l.doc_id, l.pos, l.line, x.pos IS NOT NULL AS gone FROM lines l LEFT JOIN lost x ON x.doc_id = l.doc_id AND x.pos = l.pos)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS text_sha256
