@@ -6,28 +6,53 @@ prompt; what follows is rendered for either side, with the character spans that
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import heavy_keys, salted_join, stash
 
 
-def conversations_of(turns: DataFrame) -> DataFrame:
-    """(conv_id, turns array): one row a conversation, turns in order (ties by role, then text).
+#: Conversations of so many neighbouring ids draw their replies from one another.
+BLOCK = 64
 
-    A null turn number comes first, null roles and texts are empty strings."""
-    turn = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
 
+def with_drawn_reply(turns: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(conv_id, turns, partner, last, reply): every conversation with the reply of another, drawn deterministically.
 
-def opening_pairs(convs: DataFrame) -> DataFrame:
-    """(chosen_id, rejected_id): of the conversations that open with the same turn, the smallest id is
-    the chosen one of a pair with each other; without any other, it has a null partner. Rows grow with
-    the conversations, not with the pairs of a group; a null conv_id takes no part."""
-    opened = convs.where("conv_id is not null").select("conv_id", F.sha2(F.concat_ws("\n", F.col("turns")[0]["role"], F.col("turns")[0]["text"]), 256).alias("opening"))
-    heads = stash(opened.groupBy("opening").agg(F.min("conv_id").alias("chosen_id"), F.count("*").alias("n")), "openings")
-    both = salted_join(opened, heads, "opening", F.xxhash64("conv_id"), heavy_keys(heads, "opening"))
-    return both.where((F.col("conv_id") != F.col("chosen_id")) | (F.col("n") == 1)).select("chosen_id", F.when(F.col("n") > 1, F.col("conv_id")).alias("rejected_id"))
+    Of the conversations with a reply (a last turn of an assistant) in each range of ``block`` ids, the next by id
+    is the partner, and the first that of the last; ``last`` is where the own reply stands, from 1. Null where there is
+    no own reply or no other one. One shuffle, by range, gathers turns and neighbours; a null conv_id takes no part."""
+    rows = turns.where("conv_id is not null").withColumn("range", F.floor(F.col("conv_id") / block))
+    turn = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    convs = rows.repartition("range").groupBy("range", "conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    convs = convs.withColumn("last", F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i + 1))))
+    own = F.when(F.col("last").isNotNull(), F.struct(F.col("conv_id").alias("partner"), F.element_at("turns", F.col("last"))["text"].alias("reply")))
+    has = F.col("last").isNotNull()
+    ring = Window.partitionBy("range", has).orderBy("conv_id")
+    whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    drawn = convs.withColumn("own", own).withColumn("next", F.coalesce(F.lead("own").over(ring), F.first("own").over(whole)))
+    other = F.when(F.col("next.partner") != F.col("conv_id"), F.col("next"))
+    return drawn.select("conv_id", "turns", other["partner"].alias("partner"), F.when(other.isNotNull(), F.col("last")).alias("last"), other["reply"].alias("reply"))
+
+
+def preference_pairs(turns: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(chosen_id, rejected_id, chosen_turns, rejected_turns), one row for each conversation but those that others are rejected for.
+
+    Conversations that open with the same turn: the smallest id is the chosen one of a pair with each other. A
+    conversation that opens alone, up to its last reply, is chosen over itself with the reply drawn from another (rejected_id
+    is that one's id); without any reply it has no rejected side. Rows grow with the conversations, not with the pairs of a group."""
+    first = F.sha2(F.to_json(F.struct(F.col("turns")[0]["role"].alias("role"), F.col("turns")[0]["text"].alias("text"))), 256)
+    convs = stash(with_drawn_reply(turns, block).withColumn("opening", first), "conversations")
+    heads = stash(convs.groupBy("opening").agg(F.min("conv_id").alias("chosen_id"), F.count("*").alias("n")).where("n > 1"), "openings")
+    known = heads.join(convs.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen_turns")), "chosen_id").select("opening", "chosen_id", "chosen_turns")
+    shared = salted_join(convs.select("conv_id", "turns", "opening"), known, "opening", F.xxhash64("conv_id"), heavy_keys(heads, "opening")).where("conv_id <> chosen_id")
+    shared = shared.select("chosen_id", F.col("conv_id").alias("rejected_id"), "chosen_turns", F.col("turns").alias("rejected_turns"))
+    alone = convs.join(heads, "opening", "left_anti")
+    until = F.when(F.col("last").isNotNull(), F.slice("turns", F.lit(1), F.col("last"))).otherwise(F.col("turns"))
+    said = F.element_at("turns", F.coalesce("last", F.lit(1)))
+    other = F.concat(F.slice("turns", F.lit(1), F.coalesce(F.col("last") - 1, F.lit(0))), F.array(F.struct(said["turn"].alias("turn"), said["role"].alias("role"), F.col("reply").alias("text"))))
+    alone = alone.select(F.col("conv_id").alias("chosen_id"), F.col("partner").alias("rejected_id"), until.alias("chosen_turns"), F.when(F.col("last").isNotNull(), other).alias("rejected_turns"))
+    return shared.unionByName(alone)
 
 
 def render(turn: Column) -> Column:
@@ -52,57 +77,49 @@ def _mask(turns: Column) -> Column:
     return F.aggregate(turns, begin, step, lambda acc: F.array_join(acc["spans"], ","))
 
 
-def preferences(pairs: DataFrame, convs: DataFrame) -> DataFrame:
-    """(chosen_id, rejected_id, n_prompt_turns, prompt, chosen, chosen_mask, rejected, rejected_mask).
+def preferences(pairs: DataFrame) -> DataFrame:
+    """(chosen_id, rejected_id, n_prompt_turns, prompt, chosen, chosen_mask, rejected, rejected_mask) of preference_pairs.
 
-    The prompt is the common prefix of turns with equal role and text. Without a partner it is what
-    comes before the last turn, and the rejected side is null. Two equal conversations are all
-    prompt, with empty completions. A chosen conversation of very many pairs is copied to several
-    tasks; a pair without a rejected side meets its own conversation, so null ids don't gather.
+    The prompt is the longest common prefix of turns with equal role and text. Without a rejected side it is
+    what comes before the last turn, and the rejected side is null. Two equal sides are all prompt, with empty
+    completions. Turns are in order of their numbers (ties by role, then text); a null number comes first,
+    null roles and texts are empty strings; repeated rows are turns of their own.
     """
-    pairs = stash(pairs.select("chosen_id", "rejected_id"), "pairs")
-    a, b = convs.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("a")), convs.select(F.col("conv_id").alias("partner"), F.col("turns").alias("b"))
-    heavy = heavy_keys(pairs.groupBy("chosen_id").agg(F.count("*").alias("n")), "chosen_id")
-    both = salted_join(pairs, a, "chosen_id", F.xxhash64("rejected_id"), heavy).withColumn("partner", F.coalesce("rejected_id", "chosen_id")).join(b, "partner", "left")
-    both = both.withColumn("b", F.when(F.col("rejected_id").isNotNull(), F.col("b")))
-    shorter = F.least(F.size("a"), F.size("b"))
-    def differs(i: Column) -> Column:
-        x, y = F.element_at("a", i), F.element_at("b", i)
-        return (x["role"] != y["role"]) | (x["text"] != y["text"])
-
-    first = F.array_min(F.filter(F.sequence(F.lit(1), shorter), differs))
-    n = F.when(F.col("b").isNull(), F.size("a") - 1).otherwise(F.coalesce(first - 1, shorter))
-    both = both.withColumn("n", n)
+    a, b = F.col("chosen_turns"), F.col("rejected_turns")
+    differs = lambda i: (F.get(a, i)["role"] != F.get(b, i)["role"]) | (F.get(a, i)["text"] != F.get(b, i)["text"])
+    shorter = F.least(F.size(a), F.size(b))
+    first = F.array_min(F.filter(F.sequence(F.lit(0), shorter - 1), differs))
+    n = F.when(b.isNull(), F.size(a) - 1).otherwise(F.coalesce(first, shorter))
+    both = pairs.withColumn("n", n)
     rest = lambda turns: F.slice(turns, F.col("n") + 1, F.size(turns))
     return both.select(
-        "chosen_id", "rejected_id", F.col("n").cast("long").alias("n_prompt_turns"), _completion(F.slice("a", F.lit(1), F.col("n"))).alias("prompt"),
-        _completion(rest(F.col("a"))).alias("chosen"), _mask(rest(F.col("a"))).alias("chosen_mask"),
-        F.when(F.col("b").isNotNull(), _completion(rest(F.col("b")))).alias("rejected"), F.when(F.col("b").isNotNull(), _mask(rest(F.col("b")))).alias("rejected_mask"),
+        "chosen_id", "rejected_id", F.col("n").cast("long").alias("n_prompt_turns"), _completion(F.slice(a, F.lit(1), F.col("n"))).alias("prompt"), _completion(rest(a)).alias("chosen"), _mask(rest(a)).alias("chosen_mask"),
+        F.when(b.isNotNull(), _completion(rest(b))).alias("rejected"), F.when(b.isNotNull(), _mask(rest(b))).alias("rejected_mask"),
     )
 
 
 def oracle() -> str:
-    return """
+    """SQL from the rules: sides as rows of turns, each pair with a number of its own."""
+    sides = lambda kind, mask: f"coalesce(string_agg(r, '' ORDER BY pos) FILTER ({kind}), '') AS {mask}"
+    spans = lambda kind, name: f"coalesce(string_agg(CAST(start AS BIGINT) || '-' || CAST(start + length(text) AS BIGINT), ',' ORDER BY pos) FILTER ({kind} AND role = 'assistant'), '') AS {name}"
+    return f"""
 WITH turns AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
                       row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos FROM conversations WHERE conv_id IS NOT NULL),
 opened AS (SELECT conv_id, min(conv_id) OVER (PARTITION BY role, text) AS head, count(*) OVER (PARTITION BY role, text) AS n FROM turns WHERE pos = 1),
-pairs AS (SELECT head AS chosen_id, CASE WHEN n > 1 THEN conv_id END AS rejected_id FROM opened WHERE n = 1 OR conv_id <> head),
-sizes AS (SELECT conv_id, max(pos) AS n FROM turns GROUP BY conv_id),
-diff AS (SELECT p.chosen_id, p.rejected_id, min(a.pos) AS at FROM pairs p JOIN turns a ON a.conv_id = p.chosen_id JOIN turns b ON b.conv_id = p.rejected_id AND a.pos = b.pos
-         WHERE a.role <> b.role OR a.text <> b.text GROUP BY ALL),
-cut AS (SELECT p.chosen_id, p.rejected_id, CASE WHEN p.rejected_id IS NULL THEN x.n - 1 ELSE coalesce(d.at - 1, least(x.n, y.n)) END AS n
-        FROM pairs p JOIN sizes x ON x.conv_id = p.chosen_id LEFT JOIN sizes y ON y.conv_id = p.rejected_id LEFT JOIN diff d ON d.chosen_id = p.chosen_id AND d.rejected_id = p.rejected_id),
-sides AS (SELECT c.*, s.side, s.id FROM cut c, LATERAL (VALUES ('a', c.chosen_id), ('b', c.rejected_id)) s(side, id)),
-shown AS (SELECT s.chosen_id, s.rejected_id, s.side, t.pos, t.pos <= s.n AS pre, t.role, t.text, '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10) AS r FROM sides s JOIN turns t ON t.conv_id = s.id),
-placed AS (SELECT *, sum(length(r)) OVER (PARTITION BY chosen_id, rejected_id, side, pre ORDER BY pos) - length(r) + length(role) + 5 AS start FROM shown),
-joined AS (SELECT chosen_id, rejected_id,
-  coalesce(string_agg(r, '' ORDER BY pos) FILTER (pre AND side = 'a'), '') AS prompt,
-  coalesce(string_agg(r, '' ORDER BY pos) FILTER (NOT pre AND side = 'a'), '') AS chosen,
-  coalesce(string_agg(CAST(start AS BIGINT) || '-' || CAST(start + length(text) AS BIGINT), ',' ORDER BY pos) FILTER (NOT pre AND side = 'a' AND role = 'assistant'), '') AS chosen_mask,
-  coalesce(string_agg(r, '' ORDER BY pos) FILTER (NOT pre AND side = 'b'), '') AS rejected,
-  coalesce(string_agg(CAST(start AS BIGINT) || '-' || CAST(start + length(text) AS BIGINT), ',' ORDER BY pos) FILTER (NOT pre AND side = 'b' AND role = 'assistant'), '') AS rejected_mask
-  FROM placed GROUP BY chosen_id, rejected_id)
-SELECT j.chosen_id, j.rejected_id, CAST(c.n AS BIGINT) AS n_prompt_turns, j.prompt, j.chosen, j.chosen_mask,
-       CASE WHEN j.rejected_id IS NOT NULL THEN j.rejected END AS rejected, CASE WHEN j.rejected_id IS NOT NULL THEN j.rejected_mask END AS rejected_mask
-FROM joined j JOIN cut c ON c.chosen_id = j.chosen_id AND c.rejected_id IS NOT DISTINCT FROM j.rejected_id
+replies AS (SELECT conv_id, max(pos) AS last, arg_max(text, pos) AS reply FROM turns WHERE role = 'assistant' GROUP BY conv_id),
+ring AS (SELECT conv_id, last, coalesce(lead(conv_id) OVER o, first(conv_id) OVER w) AS partner FROM replies
+         WINDOW o AS (PARTITION BY conv_id // {BLOCK} ORDER BY conv_id), w AS (PARTITION BY conv_id // {BLOCK} ORDER BY conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+drawn AS (SELECT g.conv_id, g.last, g.partner, r.reply FROM ring g JOIN replies r ON r.conv_id = g.partner WHERE g.partner <> g.conv_id),
+pairs AS (SELECT conv_id AS pair, CASE WHEN n > 1 THEN head ELSE conv_id END AS chosen_id, CASE WHEN n > 1 THEN conv_id ELSE d.partner END AS rejected_id, n > 1 AS shared, CASE WHEN n = 1 THEN d.last END AS last, d.reply
+          FROM opened LEFT JOIN drawn d USING (conv_id) WHERE n = 1 OR conv_id <> head),
+a AS (SELECT p.pair, t.pos, t.role, t.text FROM pairs p JOIN turns t ON t.conv_id = p.chosen_id WHERE p.last IS NULL OR t.pos <= p.last),
+b AS (SELECT p.pair, t.pos, t.role, CASE WHEN t.pos = p.last THEN p.reply ELSE t.text END AS text FROM pairs p JOIN turns t ON t.conv_id = p.pair WHERE p.shared OR t.pos <= p.last),
+sizes AS (SELECT pair, max(pos) AS n FROM a GROUP BY pair), others AS (SELECT pair, max(pos) AS n FROM b GROUP BY pair),
+diff AS (SELECT a.pair, min(a.pos) AS at FROM a JOIN b ON a.pair = b.pair AND a.pos = b.pos WHERE a.role <> b.role OR a.text <> b.text GROUP BY a.pair),
+cut AS (SELECT p.*, o.n IS NOT NULL AS has, CASE WHEN o.n IS NULL THEN s.n - 1 ELSE coalesce(d.at - 1, least(s.n, o.n)) END AS k FROM pairs p JOIN sizes s USING (pair) LEFT JOIN others o USING (pair) LEFT JOIN diff d USING (pair)),
+shown AS (SELECT x.*, pos <= k AS pre, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS r FROM (SELECT *, true AS mine FROM a UNION ALL SELECT *, false FROM b) x JOIN cut USING (pair)),
+placed AS (SELECT *, sum(length(r)) OVER (PARTITION BY pair, mine, pre ORDER BY pos) - length(r) + length(role) + 5 AS start FROM shown),
+joined AS (SELECT pair, {sides('pre AND mine', 'prompt')}, {sides('NOT pre AND mine', 'chosen')}, {spans('NOT pre AND mine', 'chosen_mask')}, {sides('NOT pre AND NOT mine', 'rejected')}, {spans('NOT pre AND NOT mine', 'rejected_mask')} FROM placed GROUP BY pair)
+SELECT c.chosen_id, c.rejected_id, CAST(c.k AS BIGINT) AS n_prompt_turns, j.prompt, j.chosen, j.chosen_mask, CASE WHEN c.has THEN j.rejected END AS rejected, CASE WHEN c.has THEN j.rejected_mask END AS rejected_mask
+FROM cut c JOIN joined j USING (pair)
 """

@@ -16,7 +16,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents"), licenses.catalog(spark))
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.built_in(spark))
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,8 +43,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    convs = chat.conversations_of(table(spark, sf_dir, "conversations"))
-    return chat.preferences(chat.opening_pairs(convs), convs)
+    return chat.preferences(chat.preference_pairs(table(spark, sf_dir, "conversations")))
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
