@@ -1,9 +1,12 @@
 """Each operator on awkward rows and against a brute-force version."""
 
+import collections
 import hashlib
+import math
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -77,12 +80,60 @@ def test_gray_tree():
 
 
 def test_licences(spark, odd):
-    mit = licenses.KNOWN[2][2]
-    texts = ["Copyright (c) 2020 Somebody\n\n" + mit.upper().replace(",", " ,"), mit + " more", "x\nlicenced UNDER the apache licence, version 2.0\ny", None, ""]
-    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows_of(texts), DOCS), licenses.catalog(spark)).collect()}
-    assert [got[i].licence_id for i in range(5)] == ["MIT", None, None, None, None]
-    assert [got[i].n_notices for i in range(5)] == [0, 0, 1, 0, 0] and got[3].digest is None and got[4].digest is None
-    assert licenses.scan(odd, licenses.catalog(spark)).count() == odd.count()
+    mit = next(t for i, kind, t in licenses.KNOWN if (i, kind) == ("MIT", "licence"))
+    texts = ["Copyright (c) 2020 Somebody\n\n" + mit.upper().replace(",", " ,"), mit + " more", "x\nlicenced UNDER the apache licence, version 2.0\ny", None, "", "MIT License\n\nCopyright 2020 me\n\n" + mit, "Released under the MIT License."]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows_of(texts), DOCS), licenses.built_in(spark)).collect()}
+    assert [got[i].licence_id for i in range(7)] == ["MIT", None, None, None, None, "MIT", "MIT"]
+    assert [got[i].n_notices for i in range(7)] == [0, 0, 1, 0, 0, 0, 1] and got[3].digest is None and got[4].digest is None and got[2].notices == "Apache-2.0"
+    assert licenses.scan(odd, licenses.built_in(spark)).count() == odd.count() and licenses.scan(odd.limit(0), licenses.built_in(spark)).count() == 0
+
+
+def test_licences_of_a_callers_catalog(spark, odd):
+    own = licenses.catalog(spark.createDataFrame([("Waived", "notice", "All rights waived by the author."), ("Both", "notice", "Copyright-holder licence: colour"), ("Nothing", "notice", "!?"), ("A", "notice", "all RIGHTS waived -- by the author")], "licence_id string, kind string, text string"))
+    texts = ["some text\nAll rights waived by the author.\nall rights waived by the AUTHOR", "copyright owner", "our sub-license\nthe copyright owner license color"]
+    rows = rows_of(texts)
+    got = sorted(licenses.scan(spark.createDataFrame([*rows, rows[0]], DOCS), own).collect())
+    assert [(r.doc_id, r.n_notices, r.notices, r.licence_id) for r in got] == [(0, 2, "A", None), (0, 2, "A", None), (1, 0, "", None), (2, 0, "", None)]
+    assert licenses.scan(odd, own.limit(0)).where("n_notices > 0").count() == 0
+
+
+def slow_lines(rows, min_docs, min_tokens, depth):
+    """(id, lines that stay) of rows (id, text), from the rules."""
+    places = []
+    for doc, text in rows:
+        for pos, line in enumerate(text.split("\n") if text is not None else []):
+            tokens = ["<*>" if any(c.isdigit() for c in t) else t for t in line.split()]
+            if len(tokens) >= min_tokens:
+                places.append((doc, pos, tuple(tokens)))
+    leaves = {}
+    for _, _, t in places:
+        leaves.setdefault((len(t), t[:depth]), set()).add(t)
+    one = {leaf for leaf, ts in leaves.items() if 0 < sum(len(set(x)) > 1 for x in zip(*ts)) <= leaf[0] // lines.FIELD_SHARE}
+    groups = {}
+    for doc, pos, t in places:
+        groups.setdefault((len(t), t[:depth]) if (len(t), t[:depth]) in one else t, []).append((doc, pos))
+    gone = {p for g in groups.values() if len({d for d, _ in g}) >= min_docs for p in g if p != min(g)}
+    return {doc: None if text is None else "\n".join(x for i, x in enumerate(text.split("\n")) if (doc, i) not in gone) for doc, text in rows}
+
+
+@pytest.mark.parametrize("min_docs, min_tokens, depth", [(2, 5, 2), (2, 5, 1), (3, 2, 3), (2, 5, 4)])
+def test_lines_against_slow_version(spark, min_docs, min_tokens, depth):
+    rng = random.Random(12)
+    names, places = ["Anna", "Ben", "Carl", "Dora", "Emil"], ["Garden", "House", "Roof"]
+    texts = []
+    for i in range(60):
+        own = [f"Posted by {rng.choice(names)} in the category {rng.choice(places)} today", f"page {i} of {i + 7} was read {rng.choice(names)} times", " ".join(rng.choice(["the", "of", "and", "in", "to"]) for _ in range(rng.randrange(1, 9))), f"own line {' '.join(rng.choice('abcdefgh') for _ in range(6))}"]
+        rng.shuffle(own)
+        texts.append("\n".join(own[: rng.randrange(1, 5)]))
+    texts += [None, "", texts[0]]
+    got = lines.drop_recurring_lines(spark.createDataFrame(rows_of(texts), DOCS), min_docs, min_tokens, depth)
+    assert {r.doc_id: r.text for r in got.collect()} == slow_lines(list(enumerate(texts)), min_docs, min_tokens, depth)
+
+
+def test_depth_of_the_tree_matters(spark):
+    texts = [f"Posted by {x} in the category Garden" for x in ("Anna", "Ben", "Carl")]
+    left = lambda depth: lines.drop_recurring_lines(spark.createDataFrame(rows_of(texts), DOCS), depth=depth).where("text <> ''").count()
+    assert (left(2), left(3)) == (1, 3)
 
 
 def test_lines(spark, odd):
@@ -90,32 +141,74 @@ def test_lines(spark, odd):
     got = {r.doc_id: r for r in lines.drop_recurring_lines(spark.createDataFrame(rows_of(texts), DOCS)).collect()}
     assert got[0].text == texts[0] and got[1].text == "short\nshort" and got[3].text == "" and got[4].text is None and got[6].text == texts[6]
     assert (got[1].n_lines, got[1].n_dropped, got[5].n_lines, got[4].n_lines) == (4, 2, 1, 0)
-    done = lines.drop_recurring_lines(odd)
-    assert done.columns[: len(odd.columns)] == odd.columns and done.count() == odd.count()
+    clash = odd.withColumnRenamed("source", "_lost_drop").withColumnRenamed("lang", "text_hash").withColumnRenamed("fp", "lost_doc")
+    done = lines.drop_recurring_lines(clash)
+    assert done.columns[: len(odd.columns)] == clash.columns and done.count() == odd.count() and lines.drop_recurring_lines(odd.limit(0)).count() == 0
 
 
 def test_quality(spark, odd, labels):
-    got = quality.quality(odd, labels).collect()
+    got = quality.quality(odd, labels, passes=2).collect()
     assert len(got) == odd.count()
     by_id = {r.doc_id: r for r in got}
     assert by_id[0].perplexity is None and by_id[1].keep == 0 and by_id[3].keep == 1 and by_id[5].n_tokens == 30_000
-    assert quality.quality(odd.limit(0), labels).count() == 0
-    assert {r.keep for r in quality.quality(odd.where("doc_id in (3, 5)"), labels.limit(0)).collect()} == {1}
+    assert quality.quality(odd.limit(0), labels, passes=1).count() == 0
+    assert {r.keep for r in quality.quality(odd.where("doc_id in (3, 5)"), labels.limit(0), passes=1).collect()} == {1}
+
+
+def slow_perplexities(texts, trusted, fold, folds, order):
+    """Interpolated modified Kneser-Ney by counting dictionaries."""
+    out = {}
+    words = [["<s>"] * (order - 1) + t.lower().split() + ["</s>"] for t in texts]
+    for f in range(folds):
+        counts = {order: collections.Counter(tuple(w[j - order + 1 : j + 1]) for i, w in enumerate(words) if i in trusted and fold[i] != f for j in range(order - 1, len(w)))}
+        for k in range(order - 1, 0, -1):
+            counts[k] = collections.Counter(g[1:] for g in counts[k + 1])
+        cuts = {k: quality.discounts(tuple(sum(n == i for n in c.values()) for i in (1, 2, 3, 4))) for k, c in counts.items()}
+        after = {k: collections.defaultdict(list) for k in counts}
+        for k, c in counts.items():
+            for g, n in c.items():
+                after[k][g[:-1]].append(n)
+
+        def p(g):
+            k, seen = len(g), after[len(g)].get(g[:-1], [])
+            low = p(g[1:]) if k > 1 else 1 / (len(seen) + 1)
+            if not seen:
+                return low
+            n = counts[k].get(g, 0)
+            return max(n - cuts[k][min(n, 3)], 0) / sum(seen) + sum(cuts[k][min(x, 3)] for x in seen) / sum(seen) * low
+
+        for i, w in enumerate(words):
+            if fold[i] == f and len(w) > order:
+                logs = [math.log(p(tuple(w[j - order + 1 : j + 1]))) for j in range(order - 1, len(w))]
+                out[i] = math.exp(-sum(logs) / len(logs))
+    return out
+
+
+@pytest.mark.parametrize("order, folds", [(2, 2), (3, 2), (2, 3)])
+def test_perplexities_against_dictionaries(spark, order, folds, monkeypatch):
+    monkeypatch.setattr(quality, "SHARD_KEYS", 64)
+    rng = random.Random(3)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.7)) % 60}" for _ in range(rng.randrange(60))) for _ in range(70)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    fold = {r.doc_id: r.f for r in docs.select("doc_id", F.pmod(F.xxhash64("text"), F.lit(folds)).alias("f")).collect()}
+    trusted = spark.createDataFrame([(i,) for i in range(0, 70, 2)], "doc_id long")
+    got = {r.doc_id: r.perplexity for r in quality.perplexities(docs, trusted, order, folds, 2).collect() if r.perplexity}
+    expected = slow_perplexities(texts, set(range(0, 70, 2)), fold, folds, order)
+    assert got.keys() == expected.keys() and max(abs(got[i] / expected[i] - 1) for i in expected) < 1e-9
+
+
+def test_quality_of_rows_not_seen_in_training(spark):
+    path = "/root/testdata/sf0.01/{}.parquet"
+    docs, known = spark.read.parquet(path.format("documents")), spark.read.parquet(path.format("labels"))
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    scored = quality.quality(docs, known.where(half), passes=1).join(known.where(~half), "doc_id")
+    kept = {r.quality: r.k for r in scored.groupBy("quality").agg(F.avg("keep").alias("k")).collect()}
+    assert kept[1] >= 0.9 and kept[0] <= 0.4
 
 
-def test_kneser_ney_sums_to_one():
-    rng = random.Random(4)
-    pairs = [(rng.randrange(2, 9), rng.randrange(2, 9)) for _ in range(300)]
-    count = {p: pairs.count(p) for p in pairs}
-    contexts = [(v, sum(n for (a, _), n in count.items() if a == v), *[sum(1 for (a, _), n in count.items() if a == v and (n == k if k < 3 else n >= 3)) for k in (1, 2, 3)]) for v in range(2, 9)]
-    followers = [(w, sum(1 for (_, b) in count if b == w)) for w in range(2, 9)]
-    model = quality.Model(contexts, followers, [sum(1 for n in count.values() if n == k) for k in (1, 2, 3, 4)], 1)
-    words = np.arange(quality.VOCABULARY)
-    for v in (2, 5, 4000):
-        seen = np.array([count.get((v, w), 0) for w in words])
-        assert abs(np.exp(model.log_probability(v << quality.BITS | words, seen)).sum() - 1) < 1e-9
-    codes = np.arange(1 << 20) * 255
-    assert (quality.code_at(quality.place(codes)) == codes).all()
+def test_long_words_and_blanks():
+    text = b"a" * 5_000_000 + b"\x0b\x0cB " + b"c" * 300 + b"\r\nd"
+    assert len(quality.word_hashes(text)) == 4 and quality.word_hashes(b"A b")[0] == quality.word_hashes(b"a")[0]
 
 
 def test_toxicity(spark, odd, labels):
@@ -246,14 +339,39 @@ def test_long_texts_are_searched_whole():
 
 
 def test_chat(spark):
+    schema = "conv_id long, turn long, role string, text string"
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "a"), (2, 0, "user", "hi"), (2, 1, "assistant", "b"), (2, 2, "user", "c"), (3, 0, "user", "alone"), (3, 1, "assistant", None), (4, 0, "user", "hi"), (4, 1, "assistant", "a"), (None, 0, "user", "hi")]
-    convs = chat.conversations_of(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
-    got = {(r.chosen_id, r.rejected_id): r for r in chat.preferences(chat.opening_pairs(convs), convs).collect()}
-    assert set(got) == {(1, 2), (1, 4), (3, None)}
+    turns += [(5, 0, "user", "other"), (5, 1, "assistant", "x"), (5, 2, "user", "more"), (5, 3, "assistant", "y"), (5, 4, "user", "end"), (6, 0, "user", "nobody answers"), (900, 0, "user", "far"), (900, 1, "assistant", "z")]
+    got = {(r.chosen_id, r.rejected_id): r for r in chat.preferences(chat.preference_pairs(spark.createDataFrame(turns, schema))).collect()}
+    assert set(got) == {(1, 2), (1, 4), (3, 4), (5, 1), (6, None), (900, None)}
     r = got[1, 2]
     assert (r.n_prompt_turns, r.prompt, r.chosen) == (1, "<|user|>\nhi<|end|>\n", "<|assistant|>\na<|end|>\n")
     a, b = map(int, r.rejected_mask.split("-"))
-    assert r.rejected[a:b] == "b" and got[1, 4].chosen == "" == got[1, 4].rejected and got[3, None].rejected is None
+    assert r.rejected[a:b] == "b" and got[1, 4].chosen == "" == got[1, 4].rejected and got[6, None].rejected is None
+    r = got[5, 1]
+    assert (r.n_prompt_turns, r.chosen, r.rejected) == (3, "<|assistant|>\ny<|end|>\n", "<|assistant|>\na<|end|>\n")
+    assert (got[900, None].prompt, got[900, None].chosen) == ("<|user|>\nfar<|end|>\n", "<|assistant|>\nz<|end|>\n")
+    assert chat.preferences(chat.preference_pairs(spark.createDataFrame([], schema))).count() == 0
+
+
+def test_chat_against_its_sql(spark):
+    """Hot openings, equal sides, prefixes of many turns, repeated and very long rows, roles with line breaks."""
+    rng = random.Random(21)
+    turns = [(None, 0, "user", "no id"), (400, 0, "user", LONG), (400, 1, "assistant", LONG), (401, 0, "x\ny", "z"), (402, 0, "x", "y\nz"), (403, None, None, None), (403, 0, "assistant", "r"), (403, 0, "assistant", "r")]
+    for conv in range(150):
+        shared = ["hot", "q2", "q3", "q4"] if conv % 3 else [f"own {conv}"]
+        for t in range(rng.randrange(1, 7)):
+            turns.append((conv, t, "user" if t % 2 == 0 else rng.choice(["assistant", "assistant", "tool"]), shared[t] if t < len(shared) else rng.choice(["ok", "no", f"text {conv}"])))
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    conversations = df.toPandas()  # noqa: F841
+    names = ["chosen_id", "rejected_id", "n_prompt_turns", "prompt", "chosen", "chosen_mask", "rejected", "rejected_mask"]
+    plain = lambda rows: sorted(tuple("null" if v is None or v != v else str(v) for v in r) for r in rows)
+    con = duckdb.connect()
+    con.register("given", conversations)
+    con.execute("create view conversations as select cast(conv_id as bigint) as conv_id, cast(turn as bigint) as turn, role, text from given")
+    got = chat.preferences(chat.preference_pairs(df)).select(*names).collect()
+    assert plain(got) == plain(con.execute(f"select {', '.join(names)} from ({chat.oracle()})").fetchall())
+    assert max(r.n_prompt_turns for r in got) >= 4
 
 
 def brute_repeats(rows, match):

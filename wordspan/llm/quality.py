@@ -133,12 +133,13 @@ def gram_counts(rows: DataFrame, order: int, folds: int) -> DataFrame:
 
 
 def discounts(n: tuple) -> list[float]:
-    """D of counts 0, 1, 2, 3 and more from the counts of counts 1..4; plain values where those can't give them."""
+    """D of counts 0, 1, 2, 3 and more from the counts of counts 1..4, so that something is left for what wasn't seen; plain
+    values where those can't give them."""
     if min(n[:3]) <= 0:
         return [0.0, 0.5, 0.75, 0.9]
     y = n[0] / (n[0] + 2 * n[1])
     d = [1 - 2 * y * n[1] / n[0], 2 - 3 * y * n[2] / n[1], 3 - 4 * y * n[3] / n[2]]
-    return [0.0, *(min(max(x, 0.0), float(k)) for k, x in enumerate(d, 1))]
+    return [0.0, *(min(max(x, 0.01), float(k)) for k, x in enumerate(d, 1))]
 
 
 def _cut(c: Column, d: list[float]) -> Column:
