@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -225,91 +226,127 @@ def _begins(k: int) -> int:
     return int(key.view(np.int64)[0])
 
 
-_ASKED = "shard int, kind int, low long, {}, owners array<long>, folds binary, sizes binary, keys binary"
+_PACKET = "shard int, kind int, packet long, keys binary, sizes binary, folds binary, owners binary, words binary, worth binary"
+_FIELDS = ["shard", "kind", "packet", "keys", "sizes", "folds", "owners", "words", "worth"]
 
 
-def asked(rows: DataFrame, order: int, folds: int, shards: int, number: int, passes: int) -> DataFrame:
-    """Packets (shard, owners, folds, sizes, keys) of rows (row, fold, text): the n-grams of a slice of documents whose last word
-    is of class ``number``, five bytes each."""
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Of a hash of the key: a word's key has zeros where others have bits."""
+    return (_round(keys, np.uint64(7)) % np.uint64(shards)).astype(np.int64)
+
+
+def _five(keys: np.ndarray) -> np.ndarray:
+    """The five low bytes of each key."""
+    return np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :5])
+
+
+def _wide(low: bytes) -> np.ndarray:
+    out = np.zeros((len(low) // 5, 8), dtype=np.uint8)
+    out[:, :5] = np.frombuffer(low, dtype=np.uint8).reshape(-1, 5)
+    return out.view(np.int64).ravel()
+
+
+def _packets(shards: np.ndarray, kind: int, packet: int, **columns: list) -> pa.RecordBatch:
+    n = len(shards)
+    rest = [pa.array(columns.get(name, [None] * n), type=pa.binary()) for name in _FIELDS[3:]]
+    return pa.RecordBatch.from_arrays([pa.array(shards.astype(np.int32)), pa.array(np.full(n, kind, dtype=np.int32)), pa.array(np.full(n, packet, dtype=np.int64)), *rest], names=_FIELDS)
+
+
+def asked(rows: DataFrame, order: int, shards: int, number: int, passes: int) -> DataFrame:
+    """Packets of rows (row, fold, text): the n-grams of a slice of documents whose last word is of class ``number``, five
+    bytes each, by shard and document. The slice's first packet has the rows and how many words of the class each has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packet = TaskContext.get().partitionId() << 32
         for b, texts in slices(batches, 2):
             grams, n = Grams(texts, order), b.num_rows
-            use = np.flatnonzero(grams.scored & (grams.last % np.uint64(passes) == number))
+            mine = grams.scored & (grams.last % np.uint64(passes) == number)
+            use = np.flatnonzero(mine)
+            if not len(use):
+                continue
             keys, doc = np.concatenate([k[use] for k in grams.keys]), np.tile(grams.doc[use], order)
-            shard = shard_of(keys, shards)
-            mark = shard * n + doc
-            order_ = np.argsort(mark, kind="stable")
-            low = keys[order_].view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+            mark = shard_of(keys, shards) * n + doc
+            low = _five(keys[np.argsort(mark, kind="stable")])
             sizes = np.bincount(mark, minlength=shards * n).astype("<u4").reshape(shards, n)
-            ends = 5 * np.cumsum(sizes.sum(1, dtype=np.int64))
             full = np.flatnonzero(sizes.any(axis=1))
-            owners, fold = b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.uint8)
-            some = [np.flatnonzero(sizes[s]) for s in full]
-            none = pa.nulls(len(full), pa.float64())
-            yield pa.RecordBatch.from_arrays([
-                pa.array(full.astype(np.int32)), pa.array(np.ones(len(full), dtype=np.int32)), pa.nulls(len(full), pa.int64()), *[none] * folds,
-                pa.array([owners[x] for x in some], type=pa.list_(pa.int64())), pa.array([fold[x].tobytes() for x in some], type=pa.binary()), pa.array([sizes[s][x].tobytes() for s, x in zip(full, some)], type=pa.binary()),
-                pa.array([low[(ends[s - 1] if s else 0) : ends[s]] for s in full], type=pa.binary()),
-            ], names=["shard", "kind", "low", *(f"v{f}" for f in range(folds)), "owners", "folds", "sizes", "keys"])
+            ends = np.concatenate([[0], np.cumsum(sizes.sum(1, dtype=np.int64))])
+            words = np.bincount(grams.doc[mine & grams.inner & (grams.last != END)], minlength=n).astype("<u4")
+            once = lambda x: [x.tobytes(), *[None] * (len(full) - 1)]
+            yield _packets(
+                full, 1, packet, keys=[low[ends[s] : ends[s + 1]].tobytes() for s in full], sizes=[sizes[s].tobytes() for s in full], folds=[b.column(1).to_numpy().astype(np.uint8).tobytes()] * len(full),
+                owners=once(b.column(0).to_numpy()), words=once(words),
+            )
+            packet += 1
 
-    return rows.mapInArrow(run, _ASKED.format(", ".join(f"v{f} double" for f in range(folds))))
+    return rows.mapInArrow(run, _PACKET)
 
 
-def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
-    """Of a hash of the key: a word's key has zeros where others have bits."""
-    return (_round(keys, np.uint64(7)) % np.uint64(shards)).astype(np.int64)
+def held(values: DataFrame, folds: int, shards: int) -> DataFrame:
+    """The table of values as packets, by shard."""
 
-
-def summed(values: DataFrame, packets: DataFrame, folds: int, shards: int) -> DataFrame:
-    """(row, logs): the sums of the values of what the packets ask for, joined shard by shard. Of a shard the values come
-    first and are held; packets stream by."""
-    names = [f"v{f}" for f in range(folds)]
-
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys = b.column(0).to_numpy().view(np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(shard_of(keys, shards).astype(np.int32)), _signed(keys & np.uint64((1 << WORD_BITS) - 1)), *b.columns[1:]], names=["shard", "low", *names])
+            shard = shard_of(keys, shards)
+            order = np.argsort(shard, kind="stable")
+            low, worth = _five(keys[order]), np.stack([b.column(1 + f).to_numpy() for f in range(folds)], axis=1)[order]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=shards))])
+            full = np.flatnonzero(np.diff(ends))
+            yield _packets(full, 0, 0, keys=[low[ends[s] : ends[s + 1]].tobytes() for s in full], worth=[worth[ends[s] : ends[s + 1]].tobytes() for s in full])
+
+    return values.mapInArrow(run, _PACKET)
+
 
-    held = values.mapInArrow(placed, "shard int, low long, " + ", ".join(f"{v} double" for v in names))
-    both = packets.unionByName(held.withColumn("kind", F.lit(0)), allowMissingColumns=True)
-    spread = both.repartition("shard").sortWithinPartitions("shard", "kind")
+def summed(values: DataFrame, packets: DataFrame, folds: int, shards: int) -> DataFrame:
+    """(row, logs, words): the sums of the values of what the packets ask for. They are joined shard by shard: of a shard the
+    values come first and are held; packets stream by and leave a sum for each of their documents. What a slice of
+    documents has got from all shards is then added up."""
+    spread = packets.unionByName(held(values, folds, shards)).repartition("shard").sortWithinPartitions("shard", "kind")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, parts, ready = None, [], None
+        now, parts, known, worth = None, [], None, None
         for b in batches:
-            shard, kind = b.column(0).to_numpy(), b.column(1).to_numpy()
-            edges = np.flatnonzero((shard[1:] != shard[:-1]) | (kind[1:] != kind[:-1])) + 1
-            for i, j in zip([0, *edges.tolist()], [*edges.tolist(), len(shard)]):
-                if shard[i] != now:
-                    now, parts, ready = shard[i], [], None
-                piece = b.slice(i, j - i)
-                if kind[i] == 0:
-                    parts.append([piece.column(2 + k).to_numpy() for k in range(1 + folds)])
+            out = []
+            for shard, kind, packet, keys, sizes, fold, owners, words, value in zip(*(b.column(k) for k in range(9))):
+                if shard != now:
+                    now, parts, known = shard, [], None
+                if kind.as_py() == 0:
+                    parts.append((keys.as_py(), value.as_py()))
                     continue
-                if ready is None:
-                    columns = [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, dtype=np.int64), *[np.zeros(0)] * folds]
-                    order = np.argsort(columns[0])
-                    ready, parts = [columns[0][order], np.stack([x[order] for x in columns[1:]])], []
-                yield looked_up(piece, *ready)
-
-    def looked_up(packets: pa.RecordBatch, known: np.ndarray, worth: np.ndarray) -> pa.RecordBatch:
-        rows, sums = [], []
-        for owners, fold, sizes, keys in zip(*(packets.column(3 + folds + k) for k in range(4))):
-            n = np.frombuffer(sizes.as_py(), dtype="<u4").astype(np.int64)
-            wide = np.zeros((int(n.sum()), 8), dtype=np.uint8)
-            wide[:, :5] = np.frombuffer(keys.as_py(), dtype=np.uint8).reshape(-1, 5)
-            low = wide.view(np.int64).ravel()
-            rows.append(owners.values.to_numpy())
-            if len(known):
-                at = np.minimum(np.searchsorted(known, low), len(known) - 1)
-                value = np.where(known[at] == low, worth[np.repeat(np.frombuffer(fold.as_py(), dtype=np.uint8), n), at], 0.0)
-            else:
-                value = np.zeros(len(low))
-            sums.append(np.add.reduceat(value, np.cumsum(n) - n))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(rows)), pa.array(np.concatenate(sums))], names=["row", "logs"])
-
-    return spread.select("shard", "kind", "low", *names, "owners", "folds", "sizes", "keys").mapInArrow(join, "row long, logs double").groupBy("row").agg(F.sum("logs").alias("logs"))
+                if known is None:
+                    known = _wide(b"".join(x for x, _ in parts))
+                    order = np.argsort(known)
+                    known, worth, parts = known[order], np.frombuffer(b"".join(x for _, x in parts), dtype=np.float64).reshape(-1, folds)[order], []
+                n, low = np.frombuffer(sizes.as_py(), dtype="<u4").astype(np.int64), _wide(keys.as_py())
+                sums = np.zeros(len(n))
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, low), len(known) - 1)
+                    got = np.where(known[at] == low, worth[at, np.repeat(np.frombuffer(fold.as_py(), dtype=np.uint8), n)], 0.0)
+                    some = np.flatnonzero(n)
+                    sums[some] = np.add.reduceat(got, (np.cumsum(n) - n)[some])
+                out.append((packet.as_py(), sums.tobytes(), owners.as_py(), words.as_py()))
+            columns = list(zip(*out)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], type=pa.int64()), *(pa.array(c, type=pa.binary()) for c in columns[1:])], names=["packet", "sums", "owners", "words"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total, owners, words = None, None, None, None
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.frombuffer(owners, dtype=np.int64)), pa.array(total), pa.array(np.frombuffer(words, dtype="<u4").astype(np.int64))], names=["row", "logs", "words"])
+
+        for b in batches:
+            for packet, sums, own, n in zip(*(b.column(k).to_pylist() for k in range(4))):
+                if packet != now:
+                    if now is not None:
+                        yield done()
+                    now, total = packet, 0.0
+                total = total + np.frombuffer(sums, dtype=np.float64)
+                owners, words = own or owners, n or words
+        if now is not None:
+            yield done()
+
+    sums = spread.mapInArrow(join, "packet long, sums binary, owners binary, words binary")
+    return sums.repartition("packet").sortWithinPartitions("packet").mapInArrow(added, "row long, logs double, words long")
 
 
 def perplexities(docs: DataFrame, trusted: DataFrame, order: int = ORDER, folds: int = FOLDS, passes: int = PASSES) -> DataFrame:
@@ -326,25 +363,21 @@ def perplexities(docs: DataFrame, trusted: DataFrame, order: int = ORDER, folds:
     shards = max(1, -(-keys // (passes * SHARD_KEYS)))
     parts = []
     for number in range(passes):
-        packets = asked(rows.select("row", "fold", "text"), order, folds, shards, number, passes)
-        parts.append(stash(summed(model.values(number, passes), packets, folds, shards), "sums"))
+        values = stash(model.values(number, passes), "values")
+        packets = asked(rows.select("row", "fold", "text"), order, shards, number, passes)
+        parts.append(stash(summed(values, packets, folds, shards), "sums"))
+        discard(values)
     for table in [*model.counts.values(), *model.contexts.values()]:
         discard(table)
     sums = parts[0]
     for part in parts[1:]:
         sums = sums.unionByName(part)
-
-    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n = [len(word_hashes(t)) for t in text_bytes(b.column(4))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(n, type=pa.int64())], names=["row", "fold", "doc_id", "lang", "n_tokens"])
-
     # Rows with the same id and text have one sum, as many times over as there are rows.
-    counted = rows.select("row", "fold", "doc_id", "lang", "text").mapInArrow(sizes, "row long, fold int, doc_id long, lang string, n_tokens long")
-    counted = stash(counted, "sizes")
-    copies = counted.groupBy("row").agg(F.count("*").alias("copies")).where("copies > 1")
-    once = sums.groupBy("row").agg(F.sum("logs").alias("logs")).join(copies, "row", "left").select("row", (F.col("logs") / F.coalesce("copies", F.lit(1))).alias("logs"))
-    joined = counted.join(once, "row", "left")
+    named = rows.select("row", "fold", "doc_id", "lang")
+    copies = named.groupBy("row").agg(F.count("*").alias("copies")).where("copies > 1")
+    once = sums.groupBy("row").agg(F.sum("logs").alias("logs"), F.sum("words").alias("words")).join(copies, "row", "left")
+    once = once.select("row", *[(F.col(c) / F.coalesce("copies", F.lit(1))).alias(c) for c in ("logs", "words")])
+    joined = named.join(once, "row", "left").withColumn("n_tokens", F.coalesce(F.rint("words"), F.lit(0)).cast("long"))
     base = F.element_at(F.array(*[F.lit(float(np.log(x))) for x in model.unseen]), F.col("fold") + 1)
     mean = F.coalesce("logs", F.lit(0.0)) / (F.col("n_tokens") + 1) + base
     return joined.select("doc_id", "lang", "n_tokens", F.when(F.col("n_tokens") > 0, F.exp(-mean)).alias("perplexity"))
