@@ -16,13 +16,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, mix, text_bytes
+from .common import Rolling, mix, names_free, text_bytes
 
 EDIT_SHARE = 5
-ROUNDS, SAMPLES = 32, 3
+#: How likely an item at its largest distance is found by some round, at least.
+RECALL = 0.99
+#: Most rounds of walks for which more than one position is sampled.
+ROUNDS = 64
 CHUNK = 1_000_000
-#: Text of a block of items that goes to the executors at once; more items make more blocks.
-BLOCK_BYTES = 4_000_000
+#: Text of a block of items that goes to the executors at once; more items make more blocks, and a scan for each.
+BLOCK_BYTES = 16_000_000
 _FOUND = "doc_id long, item_id long, distance int, start_word long, end_word long"
 
 _KIND = np.arange(256, dtype=np.uint8)
@@ -71,10 +74,51 @@ def fitting_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]
     return int(best[end]), int(begin[end]), end
 
 
+def walk(windows: np.ndarray, flips: np.ndarray, picks: np.ndarray) -> np.ndarray:
+    """Sampled positions (window, round, sample) of the CGK walks over windows of one size: a walk puts out the word
+    it stands on and then, by a bit drawn for the step and word, moves on or stays. flips: (rounds, steps)."""
+    n, (rounds, samples) = windows.shape[1], picks.shape
+    padded = np.concatenate([windows, np.zeros((len(windows), 1), dtype=np.uint64)], axis=1)
+    at, row = np.zeros((len(windows), rounds), dtype=np.int64), np.arange(len(windows))[:, None]
+    out = np.zeros((len(windows), rounds, samples), dtype=np.uint64)
+    for step in range(int(picks.max(initial=-1)) + 1):
+        here = padded[row, at]
+        for s in range(samples):
+            got = picks[:, s] == step
+            out[:, got, s] = here[:, got]
+        at = np.minimum(n, at + (mix(here ^ flips[None, :, step]) >> np.uint64(63)).astype(np.int64))
+    return out
+
+
+def rounds_for(size: int, recall: float = RECALL, trials: int = 64, seed: int = 5) -> tuple[int, int]:
+    """(rounds, samples) that find a passage ``size`` // EDIT_SHARE random edits from an item of ``size`` words with the
+    target recall: how often a round agrees is measured on random texts, less two standard errors."""
+    edits = size // EDIT_SHARE
+    if not edits:
+        return 1, 1
+    rng = np.random.default_rng([seed, size])
+    plain = rng.integers(1, 2**63, (trials, size), dtype=np.uint64)
+    other = []
+    for row in plain.tolist():
+        for _ in range(edits):
+            at, kind = int(rng.integers(len(row))), int(rng.integers(3))
+            row[at : at + 1] = [[], [int(rng.integers(1, 2**63))], [row[at], int(rng.integers(1, 2**63))]][kind]
+        other.append((row + rng.integers(1, 2**63, size, dtype=np.uint64).tolist())[:size])
+    flips, n = rng.integers(0, 2**64, (ROUNDS, 3 * size), dtype=np.uint64), trials * ROUNDS
+    for samples in (3, 2, 1):
+        picks = rng.integers(0, 3 * size, (ROUNDS, samples))
+        p = float((walk(plain, flips, picks) == walk(np.array(other, dtype=np.uint64), flips, picks)).all(axis=2).mean())
+        p = max(p - 2 * (p * (1 - p) / n) ** 0.5, 1 / n)
+        rounds = 1 if p >= recall else int(np.ceil(np.log(1 - recall) / np.log(1 - p)))
+        if rounds <= ROUNDS:
+            break
+    return rounds, samples
+
+
 class Items:
     """What executors hold of a block of items: words, q-grams and the walks of the embedding."""
 
-    def __init__(self, rows: list[tuple[int, bytes]], seed: int = 11):
+    def __init__(self, rows: list[tuple[int, bytes]], plans: dict[int, tuple[int, int]] | None = None, seed: int = 11):
         words = [(i, words_of(np.frombuffer(t, dtype=np.uint8))[0]) for i, t in rows]
         words = [(i, w) for i, w in words if len(w)]
         self.ids, self.words = [i for i, _ in words], [w for _, w in words]
@@ -95,25 +139,14 @@ class Items:
             self.tables[q] = gram[order], item[order], place[order], bits
         rng = np.random.default_rng(seed)
         longest = int(self.size.max(initial=1))
-        self.flips = rng.integers(0, 2**64, (ROUNDS, 3 * longest), dtype=np.uint64)
-        self.sampled = [np.sort(rng.integers(0, 3 * n, (ROUNDS, SAMPLES)), axis=1) for n in self.size.tolist()]
+        plans = plans if plans is not None else {n: rounds_for(n) for n in set(self.size.tolist())}
+        self.flips = rng.integers(0, 2**64, (max([r for r, _ in plans.values()], default=1), 3 * longest), dtype=np.uint64)
+        self.sampled = [np.sort(rng.integers(0, 3 * n, plans[n]), axis=1) for n in self.size.tolist()]
         self.embedded = [self.embed(w[None], k)[0] for k, w in enumerate(self.words)]
 
     def embed(self, windows: np.ndarray, item: int) -> np.ndarray:
-        """Sampled positions (window, round, sample) of the CGK walks over windows of the item's size: a
-        walk puts out the word it stands on and then, by a bit drawn for the step and word, moves on or stays."""
-        n = windows.shape[1]
-        padded = np.concatenate([windows, np.zeros((len(windows), 1), dtype=np.uint64)], axis=1)
-        at = np.zeros((len(windows), ROUNDS), dtype=np.int64)
-        row, picks = np.arange(len(windows))[:, None], self.sampled[item]
-        out = np.zeros((len(windows), ROUNDS, SAMPLES), dtype=np.uint64)
-        for step in range(int(picks.max(initial=-1)) + 1):
-            here = padded[row, at]
-            for s in range(SAMPLES):
-                got = picks[:, s] == step
-                out[:, got, s] = here[:, got]
-            at = np.minimum(n, at + (mix(here ^ self.flips[None, :, step]) >> np.uint64(63)).astype(np.int64))
-        return out
+        picks = self.sampled[item]
+        return walk(windows, self.flips[: len(picks)], picks)
 
     def candidates(self, words: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
         """(document, item, window starts) with enough q-grams of the item close together."""
@@ -165,18 +198,26 @@ class Items:
 
 
 def parts(text: bytes, overlap_words: int, limit: int = CHUNK) -> Iterator[tuple[bytes, int]]:
-    """(bytes, words before) of pieces of a text, each beginning ``overlap_words`` before the last one's end."""
+    """(bytes, words before) of pieces of a text, each beginning ``overlap_words`` before the last one's end.
+
+    Pieces end at white space and have over twice the overlap, if need be by more bytes, so that every
+    stretch of ``overlap_words`` words lies in one of them, whatever the length of words."""
     at = before = 0
-    while len(text) - at > limit:
-        end = max(text.rfind(b" ", at, at + limit), text.rfind(b"\n", at, at + limit))
-        if end <= at:
-            end = at + limit
+    size = limit
+    while len(text) - at > size:
+        end = min((x for x in (text.find(b, at + size) for b in (b" ", b"\n", b"\t", b"\r", b"\v", b"\f")) if x >= 0), default=len(text))
         piece = text[at:end]
-        yield piece, before
         begins = words_of(np.frombuffer(piece, dtype=np.uint8))[1]
-        step = len(begins) - min(overlap_words, len(begins) // 2)
+        if end == len(text):
+            break
+        if len(begins) <= 2 * overlap_words:
+            size *= 2
+            continue
+        yield piece, before
+        step = len(begins) - overlap_words
         before += step
-        at += int(begins[step]) if step < len(begins) else len(piece)
+        at += int(begins[step])
+        size = limit
     yield text[at:], before
 
 
@@ -200,8 +241,11 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def found_in(source: DataFrame, block: list[tuple[int, bytes]]) -> DataFrame:
+    sizes = {len(words_of(np.frombuffer(t, dtype=np.uint8))[0]) for _, t in block} - {0}
+    plans = {n: rounds_for(n) for n in sizes}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = Items(block)
+        items = Items(block, plans)
         overlap = int((items.size + 2 * items.edits).max(initial=0)) + 1
         for b in batches:
             best: dict[tuple[int, int], tuple] = {}
@@ -235,7 +279,9 @@ def search(items: Items, group: list[tuple[int, bytes, int]], best: dict[tuple[i
 
 
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with their columns, that hold no item. Rows with a null doc_id are judged by their text."""
-    keyed = docs.withColumn("_own", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
-    found = matches(keyed.select(F.col("_own").alias("doc_id"), "text"), items).select(F.col("doc_id").alias("_own")).distinct()
-    return keyed.join(found, "_own", "left_anti").select(*docs.columns)
+    """The rows of ``docs``, with their columns, that hold no item. A row is judged by its own text, whatever its id:
+    rows are told apart by a hash of id and text."""
+    (key,) = names_free(docs, "row")
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    found = matches(keyed.select(F.col(key).alias("doc_id"), "text"), items).select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(found, key, "left_anti").select(*docs.columns)
