@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from .common import stash
 
-SHARD_ROWS = 4000
+#: Distinct vectors of a shard at most: what a task holds; and at least, while there are fewer shards than cores.
+SHARD_ROWS, SHARD_LEAST = 100_000, 4000
 DEGREE = 32
 BEAM = 64
 RELAX = 1.2
@@ -103,23 +104,25 @@ def build_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BEAM, rel
         block = order[at : at + BLOCK]
         ids, _, visited = beam_search(vectors, graph, start, vectors[block], beam)
         graph[block] = robust_prune(vectors, block, np.concatenate([ids, visited, graph[block]], axis=1), degree, relax)
-        back: dict[int, list[int]] = {}
-        for node, kept in zip(block.tolist(), graph[block].tolist()):
-            for k in kept:
-                if k >= 0 and node not in graph[k]:
-                    back.setdefault(k, []).append(node)
-        full = []
-        for node, offers in back.items():
-            have = int((graph[node] >= 0).sum())
-            if have + len(offers) > degree:
-                full.append(node)
-            else:
-                graph[node, have : have + len(offers)] = offers
+        # Kept edges are offered back, all of a node at once: into its free places, or by pruning where there are too few.
+        node, to = np.repeat(block, degree), graph[block].ravel()
+        real = to >= 0
+        node, to = node[real], to[real]
+        new = ~(graph[to] == node[:, None]).any(axis=1)
+        order_ = np.argsort(to[new], kind="stable")
+        node, to = node[new][order_], to[new][order_]
+        target, first, count = np.unique(to, return_index=True, return_counts=True)
+        have = (graph[target] >= 0).sum(axis=1)
+        nth = np.arange(len(to)) - np.repeat(first, count)
+        free = np.repeat(have + count <= degree, count)
+        graph[to[free], (np.repeat(have, count) + nth)[free]] = node[free]
+        full = np.flatnonzero(have + count > degree)
         for part in range(0, len(full), BLOCK):
-            nodes = np.array(full[part : part + BLOCK])
-            width = max(len(back[k]) for k in nodes.tolist())
-            offered = np.array([back[k] + [-1] * (width - len(back[k])) for k in nodes.tolist()], dtype=np.int32)
-            graph[nodes] = robust_prune(vectors, nodes, np.concatenate([graph[nodes], offered], axis=1), degree, relax)
+            some = full[part : part + BLOCK]
+            offered = np.full((len(some), int(count[some].max())), -1, dtype=np.int32)
+            for row, k in enumerate(some):
+                offered[row, : count[k]] = node[first[k] : first[k] + count[k]]
+            graph[target[some]] = robust_prune(vectors, target[some], np.concatenate([graph[target[some]], offered], axis=1), degree, relax)
     return graph, start
 
 
@@ -144,11 +147,12 @@ def neighbours(table: DataFrame, queries: DataFrame, k: int = 10, shard_rows: in
     first = plain(table).dropDuplicates(["vec_id", "vector"]).withColumn("n", F.row_number().over(own)).where(F.col("n") <= k + 1)
     nodes = stash(first.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "nodes")  # k + 1 ids at most
     total = nodes.count()
-    shards = max(1, -(-total // shard_rows))
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    shards = max(1, -(-total // shard_rows), min(cores, total // min(shard_rows, SHARD_LEAST)))
     placed = nodes.withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int")).withColumn("dim", F.size("vector"))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        vectors = np.array(pdf["vector"].tolist(), dtype=np.float64)
+        vectors = np.stack(pdf["vector"])
         graph, start = build_graph(vectors, degree)
         return pd.DataFrame({"shard": pdf["shard"], "dim": pdf["dim"], "node": np.arange(len(pdf)), "start": start, "vector": pdf["vector"], "ids": pdf["ids"], "edges": list(graph)})
 
@@ -162,11 +166,11 @@ def neighbours(table: DataFrame, queries: DataFrame, k: int = 10, shard_rows: in
         out: list[pd.DataFrame] = []
         if len(graph) and len(asking):
             graph = graph.sort_values("node")
-            vectors, edges = np.array(graph["vector"].tolist()), np.array(graph["edges"].tolist(), dtype=np.int32)
+            vectors, edges = np.stack(graph["vector"]), np.stack(graph["edges"]).astype(np.int32)
             ids, start = graph["ids"].tolist(), int(graph["start"].iloc[0])
             for at in range(0, len(asking), BLOCK):
                 part = asking.iloc[at : at + BLOCK]
-                q = np.array(part["vector"].tolist())
+                q = np.stack(part["vector"])
                 found, _, _ = beam_search(vectors, edges, start, q, max(beam, k + 1))
                 for query, own, nodes_ in zip(part["vec_id"].tolist(), q, found):
                     nodes_ = nodes_[nodes_ >= 0]
