@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, local_roots, stash, text_bytes, unsigned_hex
+from .common import connected_components, heavy_keys, local_roots, names_free, salted_join, stash, text_bytes, unsigned_hex
 from .shingles import near_classes
 
 FANOUT = 4
@@ -189,12 +189,14 @@ def near_groups(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFrame
     id; other columns are ignored; no rows give no rows.
     """
     fps = stash(fingerprints(docs, words), "fingerprints")
-    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("low"))
+    nodes = stash(fps.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")), "nodes")
     roots = connected_components(fingerprint_links(nodes.select("fp"), distance))
     classes = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    lowest = classes.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = stash(classes.join(lowest, "root").select("fp", "component_id"), "classes")
-    return fps.join(named, "fp").select("doc_id", unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id")
+    lowest = classes.groupBy("root").agg(F.min("low").alias("component_id"), F.count("*").alias("n"))
+    heavy = heavy_keys(lowest, "root")
+    named = stash(salted_join(classes.select("fp", "root"), lowest.select("root", "component_id"), "root", F.xxhash64("fp"), heavy).select("fp", "component_id"), "classes")
+    copies = heavy_keys(nodes, "fp")  # texts that are copied very often, empty ones among them
+    return salted_join(fps, named, "fp", F.xxhash64("doc_id"), copies).select("doc_id", unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -202,8 +204,14 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Here near means five-word shingles of Jaccard similarity 0.8 or more (see ``shingles``): such texts
     differ in some ten bits of a fingerprint, at times in twenty, too many for masks to leave few pairs.
-    Of rows that repeat that id, one stays; rows without an id come after all others of their group."""
-    keyed = docs.withColumn("_own", F.coalesce(F.col("doc_id").cast("long"), F.shiftrightunsigned(F.xxhash64("text"), 1)))
-    groups = near_classes(keyed.select(F.col("_own").alias("own"), "text"))
-    stay = groups.where("own = component_id").select(F.col("own").alias("_own")).distinct()
-    return keyed.join(stay, "_own", "left_semi").dropDuplicates(["_own"]).select(*docs.columns)
+    A row is known by its id and its text, so texts that share an id are judged each; ids are below 2**62, and
+    rows without one come after all others of their group. Of rows that repeat id and text, the one whose other
+    columns come first in order stays."""
+    own, text_hash, row = names_free(docs, "own", "text_hash", "row")
+    late = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("text"), 2)
+    keyed = docs.withColumn(own, F.coalesce(F.col("doc_id").cast("long"), late)).withColumn(text_hash, F.xxhash64("text"))
+    classes = near_classes(keyed.select(F.col(own).alias("own"), "text"))
+    stay = classes.where((F.col("own") == F.col("first.own")) & (F.col("text_hash") == F.col("first.text_hash")))
+    stay = stay.select(F.col("own").alias(own), F.col("text_hash").alias(text_hash)).distinct()
+    kept = keyed.join(stay, [own, text_hash], "left_semi")
+    return kept.groupBy(own, text_hash).agg(F.min(F.struct(*docs.columns)).alias(row)).select(f"{row}.*")
