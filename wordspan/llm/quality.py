@@ -31,6 +31,8 @@ from .common import SALTS, Rolling, discard, heavy_keys, salted_join, stash, tex
 ORDER = 2
 FOLDS = 2
 PASSES = 6
+#: Counting has passes of its own, over trusted texts.
+COUNT_PARTS = 2
 QUANTILE = 0.99
 #: Keys of the table in a shard, and so in a task's memory.
 SHARD_KEYS = 1 << 18
@@ -115,15 +117,16 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def gram_counts(rows: DataFrame, order: int, folds: int) -> DataFrame:
-    """(context_k, suffix_k for k = order..2, c0, c1, ...) of rows (text, fold): the n-grams of the highest order and how
-    often they occur outside each fold; added up in each slice and each task before the shuffle."""
+def gram_counts(rows: DataFrame, order: int, folds: int, number: int = 0, parts: int = 1) -> DataFrame:
+    """(context_k, suffix_k for k = order..2, c0, c1, ...) of rows (text, fold): the n-grams of the highest order whose last
+    word is of class ``number``, and how often they occur outside each fold; added up in each slice and each task before
+    the shuffle."""
     names = [f"{part}_{k}" for k in range(order, 1, -1) for part in ("context", "suffix")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, texts in slices(batches, 0):
             grams, fold = Grams(texts, order), b.column(1).to_numpy().astype(np.uint64)
-            at = np.flatnonzero(grams.inner)
+            at = np.flatnonzero(grams.inner & (grams.last % np.uint64(parts) == number))
             own = np.stack([*(c for k in range(order, 1, -1) for c in (grams.keys[k - 2][at - 1], grams.keys[k - 2][at])), fold[grams.doc[at]]])
             mark = pair_hash(grams.keys[-1][at], own[-1])
             _, first, n = np.unique(mark, return_index=True, return_counts=True)
@@ -153,7 +156,11 @@ class Model:
 
     def __init__(self, rows: DataFrame, order: int, folds: int):
         self.order, self.folds = order, folds
-        self.counts = {order: stash(gram_counts(rows, order, folds), "ngrams")}
+        own = [stash(gram_counts(rows, order, folds, number, COUNT_PARTS), "ngrams") for number in range(COUNT_PARTS)]
+        self.tables, whole = list(own), own[0]
+        for part in own[1:]:
+            whole = whole.unionByName(part)
+        self.counts = {order: whole}
         for k in range(order - 1, 0, -1):  # how many words come before each shorter n-gram
             above, more = self.counts[k + 1], [f"{part}_{j}" for j in range(k, 1, -1) for part in ("context", "suffix")]
             grouped = above.groupBy(F.col(f"suffix_{k + 1}").alias("key"), *more)
@@ -367,7 +374,7 @@ def perplexities(docs: DataFrame, trusted: DataFrame, order: int = ORDER, folds:
         packets = asked(rows.select("row", "fold", "text"), order, shards, number, passes)
         parts.append(stash(summed(values, packets, folds, shards), "sums"))
         discard(values)
-    for table in [*model.counts.values(), *model.contexts.values()]:
+    for table in [*model.tables, *model.counts.values(), *model.contexts.values()]:
         discard(table)
     sums = parts[0]
     for part in parts[1:]:
