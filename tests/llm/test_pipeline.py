@@ -3,7 +3,8 @@
 import random
 
 import corpus_pipeline
-from wordspan.llm import shingles
+import numpy as np
+from wordspan.llm import decontaminate, shingles
 
 
 def brute_kept(texts):
@@ -46,3 +47,51 @@ def test_split_bands_are_compared_whole():
     sets = [shingles.shingles(" ".join(f"w{i}" if i not in gone else f"z{g}{i}" for i in range(150)).encode()) for g, gone in enumerate([(), (10,), (10, 30, 50, 70, 90, 110), (11,)])]
     a, b = shingles.bucket_links(np.array([4, 5, 6, 7]), sets)
     assert {tuple(sorted(p)) for p in zip(a.tolist(), b.tolist())} in ({(0, 1), (0, 3)}, {(0, 1), (1, 3)})
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, own string, _own string, row string, score string, text_hash string"
+
+
+def odd_rows(texts):
+    return [(i, t, "en", "s", len(t or ""), "a", "b", "c", "d", "e") for i, t in texts]
+
+
+def test_rows_that_share_an_id_are_judged_each(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = odd_rows([(5, base), (5, "quite another text of its own"), (7, base + " more"), (None, base), (None, "no id here at all"), (8, "quite another text of its own"), (5, base)])
+    docs = spark.createDataFrame(rows, DOCS)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted([("5", base), ("5", "quite another text of its own"), ("None", "no id here at all")])
+    left = decontaminate.without_leaks(docs, spark.createDataFrame([(1, "w10 w11 w12 w13 w14 w15")], "item_id long, text string"))
+    assert left.columns == docs.columns and sorted((str(r.doc_id), r.text) for r in left.collect()) == sorted([("5", rows[1][1]), ("None", "no id here at all"), ("8", rows[1][1])])
+
+
+def test_rounds_follow_from_the_recall():
+    assert decontaminate.rounds_for(4) == (1, 1)
+    for size in (8, 30, 100):
+        few, many = decontaminate.rounds_for(size, 0.5), decontaminate.rounds_for(size, 0.999)
+        assert few[0] / few[1] ** 3 < many[0] / many[1] ** 3 or few[1] > many[1]
+
+
+def test_pieces_lose_no_window():
+    text = b" ".join([b"x" * (3000 if i % 40 == 3 else 5) + str(i).encode() for i in range(400)])
+    words = decontaminate.words_of(np.frombuffer(text, dtype=np.uint8))[0]
+    covered = set()
+    for piece, before in decontaminate.parts(text, 30, 2000):
+        own = decontaminate.words_of(np.frombuffer(piece, dtype=np.uint8))[0]
+        assert (own == words[before : before + len(own)]).all()
+        covered |= {k for k in range(before, before + len(own) - 29)}
+    assert covered == set(range(len(words) - 29))
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    texts = [(1, None), (2, ""), (3, "a b c"), (3, "d e f"), (None, "no id"), (4, " ".join(f"v{i}" for i in range(3000))), (5, "one line of six plain words\nx"), (6, "one line of six plain words\ny")]
+    spark.createDataFrame(odd_rows(texts), DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(3, 1, 0), (None, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "d e f"), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    tokens = {}
+    for r in got:
+        tokens[r.doc_id] = tokens.get(r.doc_id, 0) + r.length
+    assert set(tokens) == {1, 3, None, 4, 5, 6} and all(tokens[r.doc_id] == r.doc_tokens for r in got)
