@@ -28,3 +28,24 @@ def test_terms_are_not_capped_and_headers_are_no_copies(spark):
     assert {t for t, stem in model.terms if not stem} == set(terms)
     scores = {r.doc_id: r.score for r in toxicity.scored(docs, model).collect()}
     assert min(scores[i] for i in range(900)) > max(scores[i] for i in range(900, 1800))
+
+
+def test_near_copies_make_no_terms(spark):
+    """Rare words that only near copies of one toxic text share are no terms; a word in many surroundings is one."""
+    filler = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
+    rows = []
+    for i in range(30):  # toxic in different surroundings
+        words = [filler[(7 * i + 11 * k) % 300] for k in range(30)]
+        words[10 + i % 9] = "moron"
+        rows.append((i, " ".join(words), 1))
+    passage = [f"rare{chr(97 + k)}" for k in range(20)] + ["moron"] + [f"seldom{chr(97 + k)}" for k in range(20)]
+    for i in range(30, 60):  # copies of one text with one word changed each
+        words = list(passage)
+        words[i % 15] = filler[i]
+        rows.append((i, " ".join(words), 1))
+    rows += [(i, " ".join(filler[(5 * i + 13 * k) % 300] for k in range(30)), 0) for i in range(60, 200)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    terms = {t for t, _ in toxicity.train(docs, labels).terms}
+    assert "moron" in terms
+    assert not [t for t in terms if t.startswith(("rare", "seldom"))]

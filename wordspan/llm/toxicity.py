@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import names_free, stash
@@ -228,16 +228,46 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def _tokens() -> Column:
+    return F.split(F.lower("text"), r"[^\p{L}\p{N}]+")
+
+
+def _terms_of(word: str) -> Column:
+    """The word, marked =, and its stems, marked ^."""
+    stems = F.array_distinct(F.transform(F.sequence(F.lit(STEMS[0]), F.lit(STEMS[-1])), lambda k: F.when(F.length(word) > k, F.substring(F.col(word), F.lit(1), k))))
+    return F.concat(F.array(F.concat(F.lit("="), F.col(word))), F.transform(F.filter(stems, lambda s: s.isNotNull()), lambda s: F.concat(F.lit("^"), s)))
+
+
 def term_counts(sample: DataFrame) -> DataFrame:
     """(term, stem, toxic, clean): in how many sample texts of either label a word or stem occurs."""
-    words = F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) > 2))
+    words = F.array_distinct(F.filter(_tokens(), lambda w: F.length(w) > 2))
     rows = sample.select("toxic", F.explode(words).alias("word")).where("length(word) < 40")
-    stems = F.array_distinct(F.transform(F.sequence(F.lit(STEMS[0]), F.lit(STEMS[-1])), lambda k: F.when(F.length("word") > k, F.substring(F.col("word"), F.lit(1), k))))
-    both = F.concat(F.array(F.concat(F.lit("="), F.col("word"))), F.transform(F.filter(stems, lambda s: s.isNotNull()), lambda s: F.concat(F.lit("^"), s)))
-    counts = rows.select("toxic", "word", F.explode(both).alias("term"))
+    counts = rows.select("toxic", "word", F.explode(_terms_of("word")).alias("term"))
     return counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")).where(F.col("toxic") >= MIN_TOXIC_DOCS)
 
 
+def term_surroundings(sample: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, places): in how many different surroundings toxic texts of ``sample`` (text, toxic, doc_id) have a term.
+
+    Looked at are the words next to a term's first place in a text and those CONTEXT_WORDS away (or the first and last
+    word of the text); each of the four is counted for itself, and the most taken. So near copies of a text, and texts
+    that share a passage, count a few times, and the rare words that they share don't make terms."""
+    words = _tokens()
+
+    def shifted(by: int) -> Column:
+        if by < 0:
+            return F.concat(F.array_repeat(F.get(words, F.lit(0)), -by), words)
+        return F.concat(F.slice(words, by + 1, F.size(words)), F.array_repeat(F.element_at(words, -1), by))
+
+    near = {f"near{i}": by for i, by in enumerate((-CONTEXT_WORDS, -1, 1, CONTEXT_WORDS))}
+    columns = F.arrays_zip(words.alias("word"), *[shifted(by).alias(name) for name, by in near.items()])
+    rows = sample.where("toxic = 1").repartition("doc_id").select("doc_id", F.posexplode(columns).alias("pos", "x"))
+    rows = rows.select("doc_id", "pos", "x.*").where("length(word) > 2 and length(word) < 40")
+    each = rows.select("doc_id", "pos", *near, F.explode(_terms_of("word")).alias("term")).join(terms.select("term"), "term", "left_semi")
+    first = each.groupBy("doc_id", "term").agg(F.min(F.struct("pos", *near)).alias("x"))
+    return first.groupBy("term").agg(F.greatest(*[F.count_distinct(f"x.{name}") for name in near]).alias("places"))
+
+
 def choose_terms(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -> list[tuple[str, bool]]:
     """All terms that pass the odds test, the most telling first; a stem stands for what begins with it."""
     scored = []
@@ -282,13 +312,15 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id")  # at most ``rows`` pairs of numbers
     once = sample.where("text is not null").groupBy("doc_id").agg(F.min(F.struct("text", "toxic")).alias("row"))
     digests = once.select("doc_id", "row.*").groupBy(F.sha2("text", 256).alias("digest")).agg(F.min(F.struct("doc_id", "text", "toxic")).alias("row"))
-    sample = stash(digests.select("row.text", "row.toxic"), "sample")
+    sample = stash(digests.select("row.text", "row.toxic", "row.doc_id"), "sample")
     sizes = sample.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     n_toxic, n_clean = sizes[0] or 0, sizes[1] or 0
     if not n_toxic or not n_clean:
         return Model([], np.array([math.log((n_toxic + 0.5) / (n_clean + 0.5)), 0, 0, 0, 0]))
     telling = term_counts(sample).where((F.col("toxic") + 0.5) * (n_clean + 1) > 20 * (F.col("clean") + 0.5) * (n_toxic + 1))
-    best = telling.collect()  # each in MIN_TOXIC_DOCS of at most ``rows`` texts
+    telling = stash(telling, "telling")
+    varied = term_surroundings(sample, telling).where(F.col("places") >= MIN_TOXIC_DOCS)
+    best = telling.join(varied, "term", "left_semi").select("term", "toxic", "clean").collect()  # each in MIN_TOXIC_DOCS of at most ``rows`` texts
     terms = choose_terms([tuple(r) for r in best], n_toxic, n_clean)
     automaton = Automaton.of(terms, swaps=True)
 
