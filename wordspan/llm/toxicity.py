@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import names_free, stash
+from .common import discard, names_free, stash
 
 #: Bound of the fit: labelled rows looked at. Neither the terms of that sample nor scoring have one.
 TRAIN_ROWS = 8000
@@ -321,6 +321,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     telling = stash(telling, "telling")
     varied = term_surroundings(sample, telling).where(F.col("places") >= MIN_TOXIC_DOCS)
     best = telling.join(varied, "term", "left_semi").select("term", "toxic", "clean").collect()  # each in MIN_TOXIC_DOCS of at most ``rows`` texts
+    discard(telling)
     terms = choose_terms([tuple(r) for r in best], n_toxic, n_clean)
     automaton = Automaton.of(terms, swaps=True)
 
@@ -340,6 +341,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(list(x), type=pa.list_(pa.float64())), b.column(1).cast(pa.int32())], names=["x", "y"])
 
     got = sample.mapInArrow(run, "x array<double>, y int").toPandas()  # at most ``rows`` rows of five numbers
+    discard(sample)
     weights = fit_weights(np.array(got["x"].tolist()), got["y"].to_numpy(dtype=float))
     weights[2] = max(weights[2], weights[1] / 2)  # the sample may hold no misspelling at all
     return Model(terms, weights, known)
