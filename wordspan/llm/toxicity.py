@@ -329,16 +329,20 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         for b in batches:
             seen: list[tuple[int, str]] = []
             features(b.column(0).to_pylist(), automaton, seen=seen)
-            clean = sorted({w for i, w in seen if b.column(1)[i].as_py() == 0})
-            yield pa.RecordBatch.from_arrays([pa.array(clean, type=pa.string())], names=["word"])
+            clean = sorted({(i, w) for i, w in seen if b.column(1)[i].as_py() == 0})
+            yield pa.RecordBatch.from_arrays([pa.array([w for _, w in clean], type=pa.string())], names=["word"])
 
-    # Words a letter away from a term that clean texts of the sample have: as many as the sample holds, at most.
-    known = frozenset(r.word for r in sample.mapInArrow(spelt, "word string").distinct().collect())
+    # Words a few letters away from a term that clean texts of the sample have: as many as the sample holds, at most.
+    spellings = sample.mapInArrow(spelt, "word string").groupBy("word").agg(F.count("*").alias("n")).collect()
+    known = frozenset(r.word for r in spellings)
+    shared = frozenset(r.word for r in spellings if r.n > 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = features(b.column(0).to_pylist(), automaton, known)
-            yield pa.RecordBatch.from_arrays([pa.array(list(x), type=pa.list_(pa.float64())), b.column(1).cast(pa.int32())], names=["x", "y"])
+            texts, y = b.column(0).to_pylist(), b.column(1).cast(pa.int32())
+            # A clean text is held against what other clean texts have, as an unseen one is; else its misspellings would all be known.
+            x = np.where((y.to_numpy() == 0)[:, None], features(texts, automaton, shared), features(texts, automaton, known))
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), type=pa.list_(pa.float64())), y], names=["x", "y"])
 
     got = sample.mapInArrow(run, "x array<double>, y int").toPandas()  # at most ``rows`` rows of five numbers
     discard(sample)
