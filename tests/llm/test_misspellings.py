@@ -49,3 +49,23 @@ def test_near_copies_make_no_terms(spark):
     terms = {t for t, _ in toxicity.train(docs, labels).terms}
     assert "moron" in terms
     assert not [t for t in terms if t.startswith(("rare", "seldom"))]
+
+
+def test_misspellings_that_clean_texts_have_too_count_little(spark):
+    """Clean texts with near misses of a term, each its own, show that a near miss tells little; also of texts not learnt from."""
+    filler = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
+    letters = "abcdfgijkmnpquvxyz"
+    near = ["worthless"[:k] + c + "worthless"[k + 1 :] for k in range(1, 9) for c in letters]
+    words = lambda i: [filler[(7 * i + 11 * k) % 300] for k in range(30)]
+    put = lambda i, word: " ".join([*words(i)[: 10 + i % 9], word, *words(i)[11 + i % 9 :]])
+    rows = [(i, put(i, "worthless"), 1) for i in range(60)]
+    rows += [(i, put(i, near[i - 60]), 0) for i in range(60, 60 + 100)]
+    rows += [(i, " ".join(words(i)), 0) for i in range(160, 250)]
+    unseen = [(1000 + i, put(i, word), 0) for i, word in enumerate(near[100:])]
+    docs = spark.createDataFrame([r[:2] for r in rows + unseen], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert ("worthless", False) in model.terms
+    scores = {r.doc_id: r.score for r in toxicity.scored(docs, model).collect()}
+    assert min(scores[i] for i in range(60)) >= toxicity.THRESHOLD
+    assert max(scores[r[0]] for r in unseen) < toxicity.THRESHOLD

@@ -346,8 +346,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 
     got = sample.mapInArrow(run, "x array<double>, y int").toPandas()  # at most ``rows`` rows of five numbers
     discard(sample)
-    weights = fit_weights(np.array(got["x"].tolist()), got["y"].to_numpy(dtype=float))
-    weights[2] = max(weights[2], weights[1] / 2)  # the sample may hold no misspelling at all
+    x, y = np.array(got["x"].tolist()), got["y"].to_numpy(dtype=float)
+    weights = fit_weights(x, y)
+    if ((x[:, 1] > 0) & (y == 0)).sum() < MIN_TOXIC_DOCS:  # the sample may hold next to no misspelling; many clean ones tell what they are worth
+        weights[2] = max(weights[2], weights[1] / 2)
     return Model(terms, weights, known)
 
 
