@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, licenses, lines, packing, quality, simhash, suffixes, toxicity
+from . import ann, caps, chat, decontaminate, licenses, lines, packing, phrases, quality, runs, simhash, suffixes, toxicity
 from .common import table
 
 
@@ -56,12 +56,26 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(rows, rows.where("vec_id % 100 = 0"))
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(runs.periodic_runs(runs.planted(table(spark, sf_dir, "documents"))))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.ranked(phrases.collocations(table(spark, sf_dir, "documents")))
+
+
+def op13_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.links(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash, op2_license_scan, op3_line_dedup, op4_quality, op5_toxicity, op6_packing,
-        op7_decontamination, op8_chat_preferences, op9_suffix_dedup, op10_neighbours,
+        op7_decontamination, op8_chat_preferences, op9_suffix_dedup, op10_neighbours, op11_runs, op12_collocations, op13_caps,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_scan": licenses.oracle(), "op3_line_dedup": lines.oracle(), "op8_chat_preferences": chat.oracle()}
+    return {
+            "op2_license_scan": licenses.oracle(), "op3_line_dedup": lines.oracle(), "op8_chat_preferences": chat.oracle(),
+            "op11_runs": runs.oracle(), "op12_collocations": phrases.oracle(), "op13_caps": caps.oracle()}
