@@ -44,11 +44,20 @@ def counted(sequence: np.ndarray, distinct: int) -> np.ndarray:
     return np.bincount(sequence[sequence >= 0], minlength=distinct)
 
 
+def planes(sequence: np.ndarray) -> bytes:
+    """Numbers of 32 bits, all their lowest bytes first: the upper ones, mostly equal, then take next to no room in a shuffle."""
+    return sequence.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
 _LEVEL = "batch long, lang string, sequence binary, left array<long>, right array<long>, words array<string>, counts array<long>"
 
 
 def _row(batch: int, lang: str, sequence: np.ndarray, left: np.ndarray, right: np.ndarray, words: list[bytes] | None, counts: np.ndarray) -> pa.RecordBatch:
-    at, values = sequence.astype("<i4").tobytes(), [left, right, counts]
+    at, values = planes(sequence), [left, right, counts]
     listed = [pa.array([v], pa.list_(pa.int64())) for v in values]
     said = pa.array([words or []], pa.list_(pa.binary())).cast(pa.list_(pa.string()))
     return pa.RecordBatch.from_arrays([pa.array([batch], pa.int64()), pa.array([lang], pa.string()), pa.array([at], pa.binary()), listed[0], listed[1], said, listed[2]], names=["batch", "lang", "sequence", "left", "right", "words", "counts"])
@@ -80,7 +89,7 @@ def _first_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield made(lang)
                 held.setdefault(lang, []).append(text)
                 room[lang] = room.get(lang, 0) + len(text)
-                if sum(room.values()) > 4 * BATCH_BYTES:
+                if sum(room.values()) > 2 * BATCH_BYTES:
                     yield made(max(room, key=room.get))
     for lang in list(held):
         yield made(lang)
@@ -91,7 +100,7 @@ def _next_level(level: pa.Table, frequent: pa.Table) -> pa.Table:
     schema = pa.schema([("batch", pa.int64()), ("lang", pa.string()), ("sequence", pa.binary()), ("left", pa.list_(pa.int64())), ("right", pa.list_(pa.int64())), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
     if not level.num_rows or not frequent.num_rows:
         return schema.empty_table()
-    sequence = np.frombuffer(level.column("sequence")[0].as_py(), dtype="<i4")
+    sequence = from_planes(level.column("sequence")[0].as_py())
     numbers, ids = frequent.column("number").to_numpy(), frequent.column("id").to_numpy()
     by = np.full(int(max(numbers.max(), sequence.max(initial=0))) + 2, -1, dtype=np.int64)  # its last place stands for -1
     by[numbers] = np.arange(len(numbers))
@@ -121,19 +130,18 @@ def frequent_phrases(docs: DataFrame, text: str = "text", group: str = "lang", m
     levels, totals = [], None
     for n in range(1, most_words + 1):
         each = F.posexplode(F.arrays_zip("words", "counts") if n == 1 else F.arrays_zip("left", "right", "counts"))
-        rows = level.select("batch", "lang", each.alias("number", "x")).select(
-            "batch", "number", "lang", *([F.col("x.words").alias("word")] if n == 1 else [F.col("x.left").alias("left"), F.col("x.right").alias("right")]), F.col("x.counts").alias("c")
-        )
-        key = Window.partitionBy("lang", "word") if n == 1 else Window.partitionBy("left", "right")
-        own = F.col("batch") * F.lit(1 << NUMBER_BITS) + F.col("number")
-        met = rows.withColumn("f", F.sum("c").over(key)).where(F.col("f") >= least).withColumn("id", F.min(own).over(key))
-        met = stash(met, f"phrases-frequent-{n}")
+        keys = ["lang", "word"] if n == 1 else ["left", "right"]
+        parts = [F.col("lang"), F.col("x.words").alias("word")] if n == 1 else [F.col("x.left").alias("left"), F.col("x.right").alias("right")]
+        own = (F.col("batch") * F.lit(1 << NUMBER_BITS) + F.col("number")).alias("own")
+        rows = level.select("batch", "lang", each.alias("number", "x")).select(own, *parts, F.col("x.counts").cast("int").alias("c"))
+        key = Window.partitionBy(*keys)
+        met = stash(rows.withColumn("f", F.sum("c").over(key)).where(F.col("f") >= least).withColumn("id", F.min("own").over(key)), f"phrases-frequent-{n}")
         if n == 1:
             totals = stash(rows.groupBy("lang").agg(F.sum("c").alias("n")), "phrases-totals")
-        levels.append(met.where(F.col("id") == own).select("id", *(["lang", "word"] if n == 1 else ["left", "right"]), "f"))
+        levels.append(met.where("id = own").select("id", *keys, "f"))
         if n < most_words:
-            back = met.select("batch", "number", "id")
-            after = stash(level.groupBy("batch").cogroup(back.groupBy("batch")).applyInArrow(_next_level, _LEVEL), f"phrases-{n + 1}")
+            back = met.select(F.shiftright("own", NUMBER_BITS).alias("batch"), F.col("own").bitwiseAND(F.lit((1 << NUMBER_BITS) - 1)).alias("number"), "id")
+            after = stash(level.select("batch", "lang", "sequence").groupBy("batch").cogroup(back.groupBy("batch")).applyInArrow(_next_level, _LEVEL), f"phrases-{n + 1}")
             discard(level)
             level = after
     discard(level)
