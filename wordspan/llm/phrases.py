@@ -26,6 +26,8 @@ from .common import discard, names_free, stash
 
 #: Bytes of text of one language in a batch; a longer text is a batch of its own.
 BATCH_BYTES = 8_000_000
+#: Passes over the phrases of two words, by hash: the level with most of them, whose stream would take as much disk as the texts.
+PASSES = 4
 #: A phrase's id is the smallest (batch, number there) that holds it; a batch has fewer distinct phrases than 2 ** NUMBER_BITS.
 NUMBER_BITS, SEQUENCE_BITS = 30, 12
 MOST_WORDS, LEAST_COUNT, SHARE, TOP = 5, 100, 100, 2000
@@ -45,11 +47,13 @@ def counted(sequence: np.ndarray, distinct: int) -> np.ndarray:
 
 
 def planes(sequence: np.ndarray) -> bytes:
-    """Numbers of 32 bits, all their lowest bytes first: the upper ones, mostly equal, then take next to no room in a shuffle."""
-    return sequence.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Numbers of 32 bits, packed, all their lowest bytes first: the upper ones are mostly equal."""
+    data = sequence.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(sequence).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
 
 def from_planes(data: bytes) -> np.ndarray:
+    data = pa.decompress(data[8:], decompressed_size=4 * int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
     return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
@@ -134,8 +138,11 @@ def frequent_phrases(docs: DataFrame, text: str = "text", group: str = "lang", m
         parts = [F.col("lang"), F.col("x.words").alias("word")] if n == 1 else [F.col("x.left").alias("left"), F.col("x.right").alias("right")]
         own = (F.col("batch") * F.lit(1 << NUMBER_BITS) + F.col("number")).alias("own")
         rows = level.select("batch", "lang", each.alias("number", "x")).select(own, *parts, F.col("x.counts").cast("int").alias("c"))
-        key = Window.partitionBy(*keys)
-        met = stash(rows.withColumn("f", F.sum("c").over(key)).where(F.col("f") >= least).withColumn("id", F.min("own").over(key)), f"phrases-frequent-{n}")
+        key, met = Window.partitionBy(*keys), []
+        for k in range(passes := PASSES if n == 2 else 1):
+            some = rows.where(F.pmod(F.xxhash64(*keys), F.lit(passes)) == k) if passes > 1 else rows
+            met.append(stash(some.withColumn("f", F.sum("c").over(key)).where(F.col("f") >= least).withColumn("id", F.min("own").over(key)), f"phrases-frequent-{n}"))
+        met = reduce(DataFrame.unionByName, met)
         if n == 1:
             totals = stash(rows.groupBy("lang").agg(F.sum("c").alias("n")), "phrases-totals")
         levels.append(met.where("id = own").select("id", *keys, "f"))
