@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,3 +22,14 @@ def half_even(numerator: Column, denominator: Column, places: int) -> Column:
     r = n - q * d
     up = (2 * r > d) | ((2 * r == d) & (F.pmod(q, F.lit(2)) == 1))
     return (q + up.cast("long")) / F.lit(float(k))
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that clash with none of ``df``'s."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out

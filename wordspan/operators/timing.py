@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions import measures as M
 from ..functions import text as T
-from ..functions.core import half_even
+from ..functions.core import free_names, half_even
 from ..sources.tables import written
+from .ranges import running_total
 
 
 @dataclass(frozen=True)
@@ -160,24 +161,44 @@ def measured(words: DataFrame, config: M.TimingConfig, c: Columns) -> DataFrame:
 
 
 def with_verse_measures(words: DataFrame, c: Columns = Columns(), least: int = 2) -> DataFrame:
-    """``words`` with dur, verse_mean, verse_median, verse_base and verse_base_others. One shuffle: a verse's
-    words are gathered in one row, where its order statistics are places of its sorted durations."""
+    """``words`` with dur, verse_mean, verse_median, verse_base and verse_base_others. One shuffle, or none where words lie in a
+    table bucketed by verse (``sources.tables.bucketed``): a verse's words are gathered in one row."""
     rest = [x for x in words.columns if x not in c.verse_key]
     own = M.word_duration(F.col(c.start), F.col(c.end))
-    nested = words.groupBy(*c.verse_key).agg(F.collect_list(F.struct(*rest, own.alias(c.duration))).alias("_w"))
-    sorted_ = nested.withColumn("_d", F.array_sort(F.filter(F.transform("_w", lambda w: w[c.duration]), lambda d: d.isNotNull())))
-    n, middle = F.size("_d"), F.floor((F.size("_d") - 1) / 2).cast("int")
-    total = F.aggregate("_d", F.lit(0).cast("long"), lambda acc, d: acc + d)
-    some, at = n > 0, lambda i: F.get(F.col("_d"), i)
+    (w_,) = free_names(words, "w")
+    nested = words.groupBy(*c.verse_key).agg(F.collect_list(F.struct(*rest, own.alias(c.duration))).alias(w_))
+    return verse_measures(nested, w_, words.columns, c, least)
+
+
+def verse_measures(nested: DataFrame, w_: str, columns: list[str], c: Columns, least: int) -> DataFrame:
+    """The words of verses (keys, array ``w_`` of the other columns and the duration), one row each, with their verse's
+    measures: its order statistics are places of its sorted durations. No shuffle."""
+    d_, n_, below_, mid_, above_ = free_names(nested, "d", "n", "below", "mid", "above")
+    sorted_ = nested.withColumn(d_, F.array_sort(F.filter(F.transform(w_, lambda w: w[c.duration]), lambda d: d.isNotNull())))
+    n, middle = F.size(d_), F.floor((F.size(d_) - 1) / 2).cast("int")
+    total = F.aggregate(d_, F.lit(0).cast("long"), lambda acc, d: acc + d)
+    some, at = n > 0, lambda i: F.get(F.col(d_), i)
     stats = sorted_.select(
-        *c.verse_key, "_w", n.alias("_n"), at(middle - 1).alias("_below"), at(middle).alias("_mid"), at(middle + 1).alias("_above"), F.when(some, half_even(total, F.greatest(n, F.lit(1)), 1)).alias("verse_mean"),
-        F.when(some, (at(F.floor((n - 1) / 2).cast("int")) + at(F.floor(n / 2).cast("int"))) / 2.0).alias("verse_median"),
+        *c.verse_key, n.alias(n_), at(middle - 1).alias(below_), at(middle).alias(mid_), at(middle + 1).alias(above_), F.when(some, half_even(total, F.greatest(n, F.lit(1)), 1)).alias("verse_mean"),
+        F.when(some, (at(F.floor((n - 1) / 2).cast("int")) + at(F.floor(n / 2).cast("int"))) / 2.0).alias("verse_median"), w_,
     )
-    rows = stats.select(*[x for x in stats.columns if x != "_w"], F.explode_outer("_w").alias("w")).select("*", "w.*").drop("w")
-    d = F.col(c.duration)
-    others = F.when(d.isNotNull(), F.col("_n") - 1).cast("long")
-    base = F.when(others >= least, median_without(d, F.col("_n"), F.col("_below"), F.col("_mid"), F.col("_above")))
-    return rows.select(*words.columns, c.duration, "verse_mean", "verse_median", base.alias("verse_base"), others.alias("verse_base_others"))
+    # the outer form, filtered after: the plain one would filter by the array first and make all of it twice
+    rows = stats.select(*[x for x in stats.columns if x != w_], F.explode_outer(w_).alias(w_)).where(F.col(w_).isNotNull())
+    d = F.col(w_)[c.duration]
+    others = F.when(d.isNotNull(), F.col(n_) - 1).cast("long")
+    base = F.when(others >= least, median_without(d, F.col(n_), F.col(below_), F.col(mid_), F.col(above_)))
+    named = [F.col(x) if x in c.verse_key else F.col(w_)[x].alias(x) for x in columns]
+    return rows.select(*named, d.alias(c.duration), "verse_mean", "verse_median", base.alias("verse_base"), others.alias("verse_base_others"))
+
+
+def folded(words: DataFrame, c: Columns) -> tuple[DataFrame, list[Column]]:
+    """``words`` with all columns but those of ``c`` in one struct, so that no helper column meets one of their names, and
+    the columns that bring them back."""
+    own = [x for x in words.columns if x in (*c.verse_key, c.index, c.text, c.start, c.end, c.score)]
+    rest = [x for x in words.columns if x not in own]
+    if not rest:
+        return words, [F.col(x) for x in own]
+    return words.select(*own, F.struct(*rest).alias("rest_of_row")), [F.col(x) if x in own else F.col("rest_of_row")[x].alias(x) for x in words.columns]
 
 
 def attach_analysis(words: DataFrame, config: M.TimingConfig = M.TimingConfig(), c: Columns = Columns()) -> DataFrame:
@@ -185,10 +206,12 @@ def attach_analysis(words: DataFrame, config: M.TimingConfig = M.TimingConfig(),
     analysis before has left. timing_enabled says that it is there. Unchanged when disabled."""
     if not config.enabled:
         return words
-    based = with_verse_measures(stripped(words, c), c, config.min_verse_others)
+    plain, back = folded(stripped(words, c), c)
+    based = with_verse_measures(plain, c, config.min_verse_others)
     known = F.col("verse_base").isNotNull()
     based = based.withColumns({"baseline_ms": F.col("verse_base"), "baseline_source": F.when(known, "verse"), "baseline_n": F.when(known, F.col("verse_base_others"))}).drop("verse_base", "verse_base_others")
-    return measured(with_text_analysis(based, config, c), config, c).withColumn("timing_enabled", F.lit(True))
+    done = measured(with_text_analysis(based, config, c), config, c).withColumn("timing_enabled", F.lit(True))
+    return done.select(*back, *[x for x in done.columns if x not in plain.columns])
 
 
 #: Tables of so many rows at most are copied to all tasks; larger ones are joined by key.
@@ -210,15 +233,33 @@ def small(df: DataFrame) -> DataFrame:
 
 def enrich(words: DataFrame, config: M.TimingConfig = M.TimingConfig(), c: Columns = Columns()) -> DataFrame:
     """The analysis over whole reciters: durations, candidates, stretch, baseline, ratio, level, confidence, and
-    the mean and median of verse and chapter.
+    the mean and median of verse and chapter, in place of what an analysis before has left. Words of a flat table are gathered by
+    verse first; where verses are nested already, ``enrich_verses`` does without that shuffle."""
+    if not config.enabled:
+        return words
+    plain, back = folded(stripped(words, c), c)
+    done = _enriched(with_verse_measures(plain, c, config.min_verse_others), plain.columns, config, c)
+    return done.select(*back, *[x for x in done.columns if x not in plain.columns])
+
+
+def enrich_verses(verses: DataFrame, words: str = "words", config: M.TimingConfig = M.TimingConfig(), c: Columns = Columns()) -> DataFrame:
+    """``enrich`` for nested verses (reciter, chapter, verse, array of words with index, text, start, end and score, all named by
+    ``c``): a row a word. Verses are measured where they are, so words are shuffled once at most, by text, to meet the lexicon, and
+    not at all while that is small enough to be broadcast. Other columns of verses and fields of words aren't returned."""
+    fields = [c.index, c.text, c.start, c.end, c.score]
+    inner = F.transform(words, lambda w: F.struct(*[w[x].alias(x) for x in fields], M.word_duration(w[c.start], w[c.end]).alias(c.duration)))
+    nested = verses.select(*c.verse_key, inner.alias("w"))
+    columns = [*c.verse_key, *fields]
+    if not config.enabled:
+        return nested.select(*c.verse_key, F.explode("w").alias("w")).select(*c.verse_key, *[F.col("w")[x].alias(x) for x in fields])
+    return _enriched(verse_measures(nested, "w", columns, c, config.min_verse_others), columns, config, c)
+
 
-    Words with their verse's measures are made once. All else is counted before it is shuffled: durations by
+def _enriched(measures: DataFrame, columns: list[str], config: M.TimingConfig, c: Columns) -> DataFrame:
+    """Words with their verse's measures are made once. All else is counted before it is shuffled: durations by
     chapter, and a lexicon with a row for each text of a reciter, which holds the word's order statistics and
     the analysis of the text, so that words are joined once. Skewed texts are left to the adaptive join."""
-    if not config.enabled:
-        return words
-    plain = stripped(words, c)
-    timed = written(with_verse_measures(plain, c, config.min_verse_others).withColumn("_text", F.coalesce(c.text, F.lit(""))))
+    timed = written(measures.withColumn("_text", F.coalesce(c.text, F.lit(""))))
     has = F.col(c.duration).isNotNull()
     by_chapter = written(timed.where(has).groupBy(c.reciter, c.chapter, c.duration).agg(F.count("*").alias("n")))
     named = by_chapter.where(F.col(c.chapter).isNotNull() & (F.col(c.chapter).cast("string") != "0"))
@@ -233,12 +274,13 @@ def enrich(words: DataFrame, config: M.TimingConfig = M.TimingConfig(), c: Colum
     others = F.when(has, F.col("_n") - 1).cast("long")
     word = F.when(others >= config.min_word_samples, median_without(F.col(c.duration), F.col("_n"), F.col("_below"), F.col("_mid"), F.col("_above")))
     rows = rows.withColumn("word_base", word).withColumn("word_base_others", others)
-    rows = rows.select(*plain.columns, c.duration, "verse_mean", "verse_median", "chapter_mean", "chapter_median", *first_baseline(c), F.coalesce("candidates", F.array().cast(NO_CANDIDATES)).alias("candidates"), "stretch")
+    rows = rows.select(*columns, c.duration, "verse_mean", "verse_median", "chapter_mean", "chapter_median", *first_baseline(c), F.coalesce("candidates", F.array().cast(NO_CANDIDATES)).alias("candidates"), "stretch")
     return measured(rows, config, c).withColumn("timing_enabled", F.lit(True))
 
 
 def chapter_timeline(verses: DataFrame, duration: str, c: Columns = Columns()) -> DataFrame:
-    """(reciter, chapter, verse, start_ms, end_ms) of verses in the audio of their chapter, one after the other."""
-    order = Window.partitionBy(c.reciter, c.chapter).orderBy(c.verse).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = F.sum(duration).over(order)
-    return verses.select(*c.verse_key, (end - F.col(duration)).alias("start_ms"), end.alias("end_ms"))
+    """(reciter, chapter, verse, start_ms, end_ms) of verses in the audio of their chapter, one after the other. A chapter may
+    hold all verses: ranges of it are summed apart and raised by the totals before them."""
+    rows = verses.select(*c.verse_key, F.col(duration).cast("long").alias("own_ms"))
+    done = running_total(rows, [c.reciter, c.chapter], [c.verse], "own_ms", "end_ms")
+    return done.select(*c.verse_key, (F.col("end_ms") - F.coalesce("own_ms", F.lit(0))).alias("start_ms"), "end_ms")

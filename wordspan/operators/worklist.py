@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .validate import Limits, validate
+
 CHAPTERS = 114
 
 
@@ -50,9 +52,25 @@ def audio_names(items: DataFrame, chapter: Column, verse: Column, folder: Column
     return items.withColumns({"stem": stem, "audio_file": F.concat(stem, F.lit(".mp3")), "url": F.concat_ws("/", F.lit(base.rstrip("/")), folder, F.concat(stem, F.lit(".mp3"))), "document": F.concat(F.concat_ws("/", chapter.cast("string"), verse.cast("string")), F.lit(".json"))})
 
 
-def resume_pending(items: DataFrame, done: DataFrame, keys: list[str], ok: str = "ok", force: bool = False) -> DataFrame:
-    """Items without a valid output."""
-    return items if force else items.join(done.where(F.col(ok)).select(*keys), keys, "left_anti")
+def existing_outputs(tree: DataFrame, items: DataFrame, keys: list[str], duration: str, expected: str | None = None, words: str = "words", required: list[str] = [], limits: Limits = Limits()) -> DataFrame:
+    """(keys, status) of the outputs in a tree that ``items`` ask for: ok, invalid or broken. Where a verse has several outputs, one
+    that is ok counts, then an invalid one.
+
+    tree: keys, broken, and the document's fields; items: keys, and the ``expected`` words. Outputs that no item asks for are sorted out before
+    they are validated, by a join that Spark guards with a Bloom filter of the items where the tree is large."""
+    wanted = items.select(*keys, *([F.col(expected)] if expected else []))
+    asked = tree.join(wanted, keys) if expected else tree.join(wanted, keys, "left_semi")
+    judged = validate(asked, duration, words, expected, required, limits)
+    status = F.when(F.col("broken"), 0).when(F.coalesce("ok", F.lit(False)), 2).otherwise(1)
+    return judged.groupBy(*keys).agg(F.element_at(F.array(F.lit("broken"), F.lit("invalid"), F.lit("ok")), F.max(status) + 1).alias("status"))
+
+
+def resume_pending(items: DataFrame, outputs: DataFrame, keys: list[str], force: bool = False) -> DataFrame:
+    """Items without a valid output, or all with ``force``, with status: missing, broken, invalid, or ok (with force only).
+
+    outputs: (keys, status) as ``existing_outputs`` gives them."""
+    rows = items.join(outputs.select(*keys, "status"), keys, "left").withColumn("status", F.coalesce("status", F.lit("missing")))
+    return rows if force else rows.where("status <> 'ok'")
 
 
 def backfill_analysis(words: DataFrame, analysed: str, attach) -> DataFrame:
@@ -78,6 +96,13 @@ def reciter_dim(spark: SparkSession, reciters: dict[str, dict]) -> DataFrame:
     return spark.createDataFrame([(k, v.get("everyayah_folder"), v.get("bitrate_kbps")) for k, v in sorted(reciters.items())], "reciter_id string, folder string, bitrate_kbps int")
 
 
+def with_reciter(items: DataFrame, dim: DataFrame, key: str = "reciter_id") -> DataFrame:
+    """``items`` with the columns of their reciter; an action that meets an id which the configuration lacks fails."""
+    known = F.broadcast(dim.withColumn("_known", F.lit(True)))  # as many rows as the configuration
+    checked = F.when(F.col("_known"), F.col(key)).otherwise(F.raise_error(F.concat(F.lit("unknown reciter "), F.coalesce(F.col(key), F.lit("null")))))
+    return items.join(known, key, "left").withColumn(key, checked).drop("_known")
+
+
 def unknown_reciters(items: DataFrame, dim: DataFrame, key: str = "reciter_id") -> DataFrame:
     """Ids that the configuration lacks; a caller treats any as an error."""
     return items.select(key).distinct().join(dim, key, "left_anti")

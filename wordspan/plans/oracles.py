@@ -153,8 +153,9 @@ _PATH = """paths AS (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'r/' || (doc_id
 parsed AS (SELECT *, CASE WHEN regexp_matches(path, '/[0-9]+/[0-9]+\\.json$') THEN regexp_extract(path, '/([0-9]+)/[0-9]+\\.json$', 1) WHEN regexp_matches(path, '/[0-9]{6}\\.json$') THEN regexp_extract(path, '/([0-9]{3})[0-9]{3}\\.json$', 1) WHEN regexp_matches(path, '/[0-9]+_[0-9]+\\.json$') THEN regexp_extract(path, '/([0-9]+)_[0-9]+\\.json$', 1) END::INT AS surah,
   CASE WHEN regexp_matches(path, '/[0-9]+/[0-9]+\\.json$') THEN regexp_extract(path, '/[0-9]+/([0-9]+)\\.json$', 1) WHEN regexp_matches(path, '/[0-9]{6}\\.json$') THEN regexp_extract(path, '/[0-9]{3}([0-9]{3})\\.json$', 1) WHEN regexp_matches(path, '/[0-9]+_[0-9]+\\.json$') THEN regexp_extract(path, '/[0-9]+_([0-9]+)\\.json$', 1) END::INT AS ayah FROM paths)"""
 _JSON = """'{"ayah":' || doc_id || ',"n":' || n_chars || '}'"""
-_PACKS = f"""ranges AS (SELECT lang, source, doc_id // 10000 AS part, count(*) AS n, sum(strlen(j) + 1) AS b, sha256(string_agg(sha256(j), chr(10) ORDER BY doc_id)) AS h FROM (SELECT *, {_JSON} AS j FROM documents) GROUP BY ALL),
-packs AS (SELECT lang, source, CAST(sum(n) AS BIGINT) AS n_documents, CAST(sum(b) AS BIGINT) AS bytes, sha256(string_agg(h, chr(10) ORDER BY part)) AS checksum FROM ranges GROUP BY ALL)"""
+_PACKS = """packs AS (SELECT lang, source, count(*) AS n_documents, CAST(sum(strlen(j) + 1) AS BIGINT) AS bytes, sha256(string_agg(j || chr(10), '' ORDER BY doc_id, j)) AS checksum, 'lang=' || lang || '/source=' || source AS file
+  FROM (SELECT *, to_json({'ayah': doc_id, 'text': text})::VARCHAR AS j FROM documents) GROUP BY ALL)"""
+_OUTPUTS = "outputs AS (SELECT reciter_id, ayah, CASE WHEN ayah % 6 = 0 THEN 'missing' WHEN ayah % 10 = 3 THEN 'broken' WHEN len(errors) = 0 THEN 'ok' ELSE 'invalid' END AS status FROM errors)"
 _RESULTS = f"""results AS (SELECT e.reciter_id, e.ayah, e.ayah % 4 AS shard, e.errors, CASE WHEN l.doc_id IS NOT NULL THEN 'skipped' WHEN len(e.errors) = 0 THEN 'passed' ELSE 'failed' END AS status
   FROM errors e LEFT JOIN (SELECT DISTINCT doc_id FROM labels WHERE quality = 1) l ON l.doc_id = e.ayah)"""
 _SUMMARY = "summary AS (SELECT reciter_id, shard, count(*) AS attempted, count(*) FILTER (status = 'skipped') AS skipped, count(*) FILTER (status = 'passed') AS passed, count(*) FILTER (status = 'failed') AS failed FROM results GROUP BY ALL)"
@@ -265,24 +266,25 @@ SELECT reciter_id, surah, ayah, arg_max(strategy, (quality, -rank)) FILTER (qual
     "validate": words("SELECT reciter_id, surah, ayah, len(errors) = 0 AS ok, CAST(len(errors) AS INT) AS n_errors, array_to_string(errors, ';') AS errors FROM errors", VALIDATION),
     "validation_rules": words("SELECT regexp_extract(e, '^[a-z_]+', 0) AS rule, count(*) AS n FROM (SELECT unnest(errors) AS e FROM errors) GROUP BY ALL", VALIDATION),
     "explode_words": words("SELECT reciter_id, ayah, idx, text, start_ms, end_ms, score::DOUBLE AS score FROM words"),
-    "read_alignments": words("SELECT reciter_id, ayah, count(*) AS n_words, min(start_ms) AS first_ms, max(end_ms) AS last_ms FROM words WHERE ayah % 50 <> 7 GROUP BY ALL"),
+    "read_alignments": words("SELECT reciter_id, ayah, count(*) AS n_words, min(start_ms) AS first_ms, max(end_ms) AS last_ms FROM words WHERE ayah % 50 NOT IN (7, 8) GROUP BY ALL"),
     "write_alignments": words("SELECT reciter_id, surah, count(*) AS n_documents, CAST(sum(n) AS BIGINT) AS n_words FROM (SELECT reciter_id, surah, len(ts) AS n FROM docs_) GROUP BY ALL"),
     "parse_alignment_path": f"WITH {_PATH} SELECT doc_id, path, surah, ayah FROM parsed",
     "publish_tree": f"WITH {_PATH} SELECT lang AS reciter_id, surah, ayah, max(path) AS path FROM parsed WHERE surah IS NOT NULL GROUP BY ALL",
     "load_texts": "SELECT CAST(doc_id % 114 + 1 AS INT) AS surah, CAST(doc_id // 114 + 1 AS INT) AS ayah, lang || '-' || n_chars AS text FROM documents",
     "catalog": "SELECT lang AS reciter_id, count(*) AS n_documents FROM documents GROUP BY ALL",
     "build_packs": f"WITH {_PACKS} SELECT * FROM packs",
-    "merge_manifest": f"WITH {_PACKS} SELECT lang, source, lang || '/' || source || '.jsonl' AS file, checksum, bytes FROM packs UNION ALL SELECT lang, source || '-new', NULL, 'old-' || source, NULL FROM packs",
-    "verify_checksums": """WITH f AS (SELECT 'lang=' || lang || '/source=' || source || '/part=' || (doc_id // 10000) AS file, count(*) % 5 AS k FROM documents GROUP BY ALL)
+    "merge_manifest": f"WITH {_PACKS} SELECT lang, source, file, checksum, bytes FROM packs UNION ALL SELECT lang, source || '-new', NULL, 'old-' || source, NULL FROM packs",
+    "verify_checksums": f"""WITH {_PACKS}, f AS (SELECT file, n_documents % 5 AS k FROM packs)
 SELECT file, CASE k WHEN 1 THEN 'unlisted' WHEN 2 THEN 'unlisted' WHEN 3 THEN 'mismatch' ELSE 'ok' END AS status FROM f UNION ALL SELECT file || '-gone', 'missing' FROM f WHERE k = 1""",
-    "reciter_dim": "SELECT doc_id, r.folder, r.bitrate_kbps FROM documents d JOIN (VALUES ('en', 'English_128', 128), ('de', 'German_64', 64), ('fr', 'French_64', 64)) r(lang, folder, bitrate_kbps) ON r.lang = d.lang",
+    "reciter_dim": "SELECT doc_id, r.folder, r.bitrate_kbps FROM documents d JOIN (VALUES ('en', 'English_128', 128), ('de', 'German_64', 64), ('fr', 'French_64', 64), ('es', 'Spanish_128', 128)) r(lang, folder, bitrate_kbps) ON r.lang = d.lang",
     "unknown_reciters": "SELECT DISTINCT lang AS reciter_id FROM documents WHERE lang NOT IN ('en', 'de', 'fr')",
     "chapter_ranges": f"WITH {_SPECS} SELECT DISTINCT CAST(x AS INT) AS chapter FROM (SELECT unnest(generate_series(a, b)) AS x FROM specs UNION SELECT c FROM specs) WHERE x BETWEEN 1 AND 114",
     "work_list": f"WITH {_COUNTS} SELECT chapter, CAST(verse AS INT) AS verse, position FROM work",
     "shard_slice": f"WITH {_COUNTS} SELECT chapter, CAST(verse AS INT) AS verse, position FROM work WHERE position % 7 = 3",
-    "select_items": f"WITH {_COUNTS} SELECT chapter, CAST(verse AS INT) AS verse FROM work WHERE (chapter, verse) IN (SELECT (doc_id % 20 + 1, doc_id % 9 + 1) FROM documents WHERE lang = 'es') ORDER BY position LIMIT 100",
+    "select_items": f"WITH {_COUNTS} SELECT chapter, CAST(verse AS INT) AS verse FROM work WHERE (chapter, verse) IN (SELECT (doc_id % 20 + 1, doc_id % 9 + 1) FROM documents) ORDER BY position LIMIT 100",
     "audio_names": "SELECT doc_id, printf('%03d%03d', doc_id % 114 + 1, doc_id % 286 + 1) AS stem, printf('%03d%03d.mp3', doc_id % 114 + 1, doc_id % 286 + 1) AS audio_file, 'https://audio.example/' || lang || '/' || printf('%03d%03d.mp3', doc_id % 114 + 1, doc_id % 286 + 1) AS url, (doc_id % 114 + 1) || '/' || (doc_id % 286 + 1) || '.json' AS document FROM documents",
-    "resume_pending": "SELECT lang AS reciter_id, doc_id AS ayah FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)",
+    "resume_pending": words("SELECT reciter_id, ayah, status FROM outputs WHERE status <> 'ok'", VALIDATION, _OUTPUTS),
+    "resume_forced": words("SELECT reciter_id, ayah, status FROM outputs", VALIDATION, _OUTPUTS),
     "backfill_analysis": words(f"SELECT reciter_id, surah, ayah, idx, ayah % 3 = 0 AS was_flagged, true AS analysed, CASE WHEN ayah % 3 <> 0 THEN {RATIO} END AS ratio FROM sourced", KEYED, VERSE_ONLY),
     "placeholder_timings": words("SELECT reciter_id, surah, ayah, CAST(d AS INT) AS duration_ms, CAST(idx AS INT) AS idx, text, CAST(floor((idx - 1) * (d / n::DOUBLE)) AS INT) AS start_ms, greatest(CASE WHEN idx = n THEN d ELSE CAST(floor(idx * (d / n::DOUBLE)) AS INT) END, CAST(floor((idx - 1) * (d / n::DOUBLE)) AS INT) + 1) AS end_ms FROM (SELECT *, greatest(1500, 450 * n) AS d FROM words)"),
     "shard_summary": words("SELECT * FROM summary", VALIDATION, _RESULTS, _SUMMARY),
@@ -291,3 +293,4 @@ SELECT file, CASE k WHEN 1 THEN 'unlisted' WHEN 2 THEN 'unlisted' WHEN 3 THEN 'm
     "merge_reports": words("SELECT * FROM merged", VALIDATION, _RESULTS, _SUMMARY, _MERGED),
     "failure_gate": words("SELECT *, attempted > 0 AND fail_rate > 0.05 AS over_gate FROM merged", VALIDATION, _RESULTS, _SUMMARY, _MERGED),
 }
+ORACLES["enrich_words"] = ORACLES["enrich"]

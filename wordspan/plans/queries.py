@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import measures as M
 from ..functions import text as T
-from ..operators import align, reports, timing, validate, worklist
+from ..operators import align, ranges, reports, timing, validate, worklist
 from ..sources import documents as D
 from ..sources import tables
 from ..sources.tables import arabic, scratch_folder, spread, table, verses, words
@@ -98,6 +98,12 @@ def attach_analysis(spark, sf_dir):
 
 @query
 def enrich(spark, sf_dir):
+    return _flat(timing.enrich_verses(verses(spark, sf_dir, True)))
+
+
+@query
+def enrich_words(spark, sf_dir):
+    """The same from one row a word."""
     return _flat(timing.enrich(words(spark, sf_dir, True)))
 
 
@@ -259,8 +265,9 @@ def refine_timings_energy(spark, sf_dir):
 
 
 def _samples(spark, sf_dir):
-    at = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1
-    return table(spark, sf_dir, "events").select("user_id", "event_id", F.col("value").cast("double").alias("value"), at.alias("i"))
+    """Events as the samples of their user's clip, numbered in order of time."""
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", F.col("value").cast("double").alias("value"), F.lit(1).alias("one"))
+    return ranges.running_total(rows, ["user_id"], ["ts", "event_id"], "one", "n").select("user_id", "event_id", "value", (F.col("n") - 1).cast("int").alias("i"))
 
 
 @query
@@ -308,7 +315,7 @@ def select_strategy(spark, sf_dir):
 # -- validation -----------------------------------------------------------------------------------
 
 
-def _validated(spark, sf_dir):
+def _faulty(spark, sf_dir):
     """Verses with the faults of the adapter, and more, so that every rule has a case."""
     d, n = F.col("ayah"), F.size("words")
     late, pushed = (d % 31 == 7) & (n > 0), F.col("duration_ms")
@@ -323,7 +330,11 @@ def _validated(spark, sf_dir):
     rows = rows.withColumn("duration_ms", F.when(d % 41 != 3, F.when(late, 3 * pushed).otherwise(pushed)))
     expected = F.transform("words", lambda w: F.when((d % 8 == 1) & (w["idx"] % 5 == 0), F.upper(w["text"])).otherwise(w["text"]))
     expected = F.when((d % 12 == 5) & (F.size("words") > 0), F.concat(expected, F.array(F.lit("x")))).otherwise(expected)
-    return validate.validate(rows.withColumn("expected", expected), "duration_ms", expected="expected", required=["reciter_id", "surah", "ayah", "duration_ms"])
+    return rows.withColumn("expected", expected)
+
+
+def _validated(spark, sf_dir):
+    return validate.validate(_faulty(spark, sf_dir), "duration_ms", expected="expected", required=["reciter_id", "surah", "ayah", "duration_ms"])
 
 
 @query
@@ -358,12 +369,26 @@ def explode_words(spark, sf_dir):
     return D.explode_words(nested).select("reciter_id", "ayah", "idx", "text", "start_ms", "end_ms", "score")
 
 
+def _put(spark, path, text):
+    """A small file, in whatever store the path is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 @query
 def read_alignments(spark, sf_dir):
-    path = scratch_folder(spark)
-    lines = _json_documents(spark, sf_dir).select(F.when(F.col("ayah") % 50 == 7, "{broken").otherwise(F.col("json")).alias("value"))
-    lines.write.text(path)
-    rows = D.read_alignments(spark, path, ROUND_TRIP, multi_line=False, glob="*.txt").select(F.col("reciterId").alias("reciter_id"), "ayah", F.explode_outer("words").alias("w")).where("w is not null")
+    """A tree of one file a verse, of several lines each; some hold half an object or a list, and one name begins with '_'."""
+    path, packed, d = scratch_folder(spark), scratch_folder(spark), F.col("ayah")
+    word = lambda w: F.struct(w["idx"].alias("index"), w["text"].alias("text"), w["start_ms"].alias("startMs"), w["end_ms"].alias("endMs"), w["score"].alias("score"))
+    fields = F.struct(F.col("reciter_id").alias("reciterId"), d, F.transform("words", word).alias("words"))
+    json = F.to_json(fields, {"pretty": "true"})
+    json = F.when(d % 50 == 7, F.substring(json, 1, 20)).when(d % 50 == 8, F.concat(F.lit("["), json, F.lit("]"))).otherwise(json)
+    verses(spark, sf_dir).select("reciter_id", "surah", d.alias("verse"), json.alias("value")).write.partitionBy("reciter_id", "surah", "verse").text(path)
+    _put(spark, f"{path}/_meta.txt", '{"reciterId": "none", "ayah": -1, "words": [{"index": 1, "startMs": 0, "endMs": 1}]}')
+    D.compact_tree(spark, path, packed, ROUND_TRIP, "*.txt", 8 << 20)
+    rows = spark.read.parquet(packed).where("not broken").select(F.col("reciterId").alias("reciter_id"), "ayah", F.explode_outer("words").alias("w")).where("w is not null")
     return rows.groupBy("reciter_id", "ayah").agg(F.count("*").alias("n_words"), F.min("w.startMs").alias("first_ms"), F.max("w.endMs").alias("last_ms"))
 
 
@@ -395,17 +420,23 @@ def parse_alignment_path(spark, sf_dir):
 
 @query
 def publish_tree(spark, sf_dir):
+    """Published twice: of the second time, only chapters that have changed are written."""
     to = scratch_folder(spark)
-    D.write_tree(D.publish_tree(_paths(spark, sf_dir)).select("reciter_id", "surah", "ayah", "path"), to)
+    tree = D.publish_tree(_paths(spark, sf_dir)).select("reciter_id", "surah", "ayah", "path")
+    D.publish_changes(tree.withColumn("path", F.when(F.col("surah") % 3 == 0, F.lit("old")).otherwise(F.col("path"))), to)
+    D.publish_changes(tree, to)
     return spark.read.schema("ayah int, path string, reciter_id string, surah int").json(to).select("reciter_id", "surah", "ayah", "path")
 
 
 @query
 def load_texts(spark, sf_dir):
+    """Each verse in two maps, and twice in the later one."""
     d = F.col("doc_id")
     entry = lambda text: F.struct((d % 114 + 1).cast("int").alias("sora"), F.floor(d / 114 + 1).cast("int").alias("aya_no"), text.alias("aya_text"))
-    both = F.to_json(F.create_map(F.lit("a"), entry(F.lit("early")), F.lit("b"), entry(F.concat_ws("-", "lang", F.col("n_chars").cast("string")))))
-    return D.load_texts(table(spark, sf_dir, "documents").select(both.alias("value")), least=100)
+    late = F.to_json(F.create_map(F.lit("a"), entry(F.lit("early")), F.lit("b"), entry(F.concat_ws("-", "lang", F.col("n_chars").cast("string")))))
+    early = F.to_json(F.create_map(F.lit("c"), entry(F.lit("earlier"))))
+    maps = F.explode(F.array(F.struct(F.lit(2).alias("at"), late.alias("value")), F.struct(F.lit(1).alias("at"), early.alias("value")))).alias("x")
+    return D.load_texts(table(spark, sf_dir, "documents").select(maps).select("x.*"), least=100, record="at")
 
 
 @query
@@ -413,19 +444,21 @@ def catalog(spark, sf_dir):
     return D.catalog(table(spark, sf_dir, "documents").withColumnRenamed("lang", "reciter_id"))
 
 
-def _packs(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("lang", "source", "doc_id", F.to_json(F.struct(F.col("doc_id").alias("ayah"), F.col("n_chars").alias("n"))).alias("json"))
-    return D.build_packs(rows, ["lang", "source"], "doc_id", "json")
+def _packs(spark, sf_dir, path):
+    """Chapters of whole documents as packs under ``path``, file being the folder of each."""
+    rows = table(spark, sf_dir, "documents").select("lang", "source", "doc_id", F.to_json(F.struct(F.col("doc_id").alias("ayah"), "text")).alias("json"))
+    packs = D.build_packs(rows, path, ["lang", "source"], "doc_id")
+    return packs.withColumn("file", F.regexp_extract("file", "^kind=packs/(.*)/[^/]*$", 1))
 
 
 @query
 def build_packs(spark, sf_dir):
-    return _packs(spark, sf_dir)
+    return _packs(spark, sf_dir, scratch_folder(spark))
 
 
 @query
 def merge_manifest(spark, sf_dir):
-    packs = _packs(spark, sf_dir).withColumn("file", F.concat("lang", F.lit("/"), "source", F.lit(".jsonl")))
+    packs = _packs(spark, sf_dir, scratch_folder(spark))
     own = packs.select("lang", "source", F.concat(F.lit("old-"), "source").alias("checksum"))
     entries = own.unionByName(own.withColumn("source", F.concat("source", F.lit("-new"))))  # half of the entries have no pack
     return D.merge_manifest(entries, packs, ["lang", "source"])
@@ -433,23 +466,19 @@ def merge_manifest(spark, sf_dir):
 
 @query
 def verify_checksums(spark, sf_dir):
-    """Files of at most 10,000 documents in a row each, against a list with faults."""
-    lines = table(spark, sf_dir, "documents").select("lang", "source", "doc_id", F.floor(F.col("doc_id") / 10_000).alias("part"), F.to_json(F.struct(F.col("doc_id").alias("ayah"), F.col("n_chars").alias("n"))).alias("value"))
-    path, keys = scratch_folder(spark), ["lang", "source", "part"]
-    lines.repartition(*keys).sortWithinPartitions(*keys, "doc_id").drop("doc_id").write.partitionBy(*keys).text(path)
-    found = D.file_checksums(spark, path, "(lang=[^/]*/source=[^/]*/part=[^/]*)/[^/]*$")
-    line = F.struct("doc_id", "value")
-    listed = lines.groupBy(*keys).agg(F.array_join(F.transform(F.sort_array(F.collect_list(line)), lambda x: F.concat(x["value"], F.lit("\n"))), "").alias("body"), F.count("*").alias("n"))
-    listed = listed.select(F.format_string("lang=%s/source=%s/part=%s", *keys).alias("file"), F.sha2("body", 256).alias("checksum"), (F.col("n") % 5).alias("k"))
-    listed = listed.where("k <> 2").select(F.when(F.col("k") == 1, F.concat("file", F.lit("-gone"))).otherwise(F.col("file")).alias("file"), F.when(F.col("k") == 3, "other").otherwise(F.col("checksum")).alias("checksum"))
+    """The packs' files, hashed anew, against their manifest with faults."""
+    path, k = scratch_folder(spark), F.col("n_documents") % 5
+    packs = _packs(spark, sf_dir, path)
+    found = D.file_checksums(spark, f"{path}/kind=packs", "(lang=[^/]*/source=[^/]*)/[^/]*$")
+    listed = packs.where(k != 2).select(F.when(k == 1, F.concat("file", F.lit("-gone"))).otherwise(F.col("file")).alias("file"), F.when(k == 3, "other").otherwise(F.col("checksum")).alias("checksum"))
     return D.verify_checksums(found, listed)
 
 
 @query
 def reciter_dim(spark, sf_dir):
-    dim = worklist.reciter_dim(spark, RECITERS)
+    dim = worklist.reciter_dim(spark, RECITERS | {"es": {"everyayah_folder": "Spanish_128", "bitrate_kbps": 128}})
     rows = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("reciter_id"))
-    return rows.join(F.broadcast(dim), "reciter_id").select("doc_id", "folder", "bitrate_kbps")  # as many rows as the configuration
+    return worklist.with_reciter(rows, dim).select("doc_id", "folder", "bitrate_kbps")
 
 
 @query
@@ -485,7 +514,7 @@ def shard_slice(spark, sf_dir):
 @query
 def select_items(spark, sf_dir):
     d = F.col("doc_id")
-    pairs = table(spark, sf_dir, "documents").where("lang = 'es'").select(F.concat_ws(":", (d % 20 + 1).cast("string"), (d % 9 + 1).cast("string")).alias("pair"))
+    pairs = table(spark, sf_dir, "documents").select(F.concat_ws(":", (d % 20 + 1).cast("string"), (d % 9 + 1).cast("string")).alias("pair"))
     return worklist.select_items(_work(spark, sf_dir), pairs, ["chapter", "verse"], ["position"], 100).select("chapter", "verse")
 
 
@@ -496,11 +525,33 @@ def audio_names(spark, sf_dir):
     return worklist.audio_names(rows, d % 114 + 1, d % 286 + 1, F.col("lang"), "https://audio.example/").select("doc_id", "stem", "audio_file", "url", "document")
 
 
+def _pending(spark, sf_dir, force):
+    """Verses whose output is missing, broken or faulty in a tree of one file a verse, read back and validated."""
+    path, d = scratch_folder(spark), F.col("ayah")
+    rows = _faulty(spark, sf_dir).withColumn("verse", d)
+    json = F.to_json(F.struct(*OUTPUT_FIELDS))
+    outputs = rows.where(d % 6 != 0).select("reciter_id", "surah", "verse", F.when(d % 10 == 3, F.substring(json, 1, 10)).otherwise(json).alias("value"))
+    outputs.write.partitionBy("reciter_id", "surah", "verse").text(path)
+    tree = D.read_tree(spark, path, OUTPUT, "*.txt")
+    named = [F.regexp_extract("path", f"/{k}=([^/]*)/", 1).alias(n) for k, n in (("reciter_id", "reciter_id"), ("surah", "surah"), ("verse", "ayah"))]
+    tree = tree.select(*named, "broken", *OUTPUT_FIELDS).withColumn("ayah", d.cast("long"))
+    items = rows.select("reciter_id", "surah", "ayah", "expected")
+    done = worklist.existing_outputs(tree, items, KEY[:3], "duration_ms", "expected", required=["duration_ms"])
+    return worklist.resume_pending(items, done, KEY[:3], force=force).select("reciter_id", "ayah", "status")
+
+
+OUTPUT = "duration_ms int, words array<struct<idx:int,text:string,start_ms:int,end_ms:int,score:double>>"
+OUTPUT_FIELDS = ["duration_ms", "words"]
+
+
 @query
 def resume_pending(spark, sf_dir):
-    items = table(spark, sf_dir, "documents").select(F.col("lang").alias("reciter_id"), F.col("doc_id").alias("ayah"))
-    done = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("ayah"), (F.col("quality") == 1).alias("ok"))
-    return worklist.resume_pending(items, done, ["ayah"]).select("reciter_id", "ayah")
+    return _pending(spark, sf_dir, False)
+
+
+@query
+def resume_forced(spark, sf_dir):
+    return _pending(spark, sf_dir, True)
 
 
 @query

@@ -22,11 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows of a table of fewer files than cores, dealt over the cores; a table of many files isn't shuffled.
+    """Rows of a table that fewer tasks than cores would read, dealt over the cores; a larger table isn't shuffled.
 
     A small table may be one row group, which one task reads."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores, key) if len(df.inputFiles()) < cores else df
+    return df.repartition(2 * cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -47,6 +47,13 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(words: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
+    """``words`` as a table of the catalog in ``buckets`` buckets by ``keys``, sorted within: groups and joins on these keys need no
+    shuffle any more. Kept until it is dropped; for words that are read more than once."""
+    words.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return words.sparkSession.table(name)
+
+
 def arabic(text: Column) -> Column:
     return F.translate(F.lower(text), LATIN, ARABIC)
 
@@ -71,11 +78,12 @@ def _word(t: Column, at: Column) -> list[Column]:
     return [i.cast("int").alias("idx"), t.alias("text"), start.cast("int").alias("start_ms"), (start + own).cast("int").alias("end_ms"), score.cast("double").alias("score")]
 
 
-def verses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(reciter_id, surah, ayah, duration_ms, words): a verse a row, words nested: no shuffle."""
+def verses(spark: SparkSession, sf_dir: str, script: bool = False) -> DataFrame:
+    """(reciter_id, surah, ayah, duration_ms, words): a verse a row, words nested: no shuffle. In Arabic letters with ``script``."""
     docs, d, n = documents(spark, sf_dir), F.col("ayah"), F.size("tokens")
     duration = 1100 * n + 3000 * F.floor(n / 50) + 700 * F.floor(n / 20) + 200 + (d % 4) * 4000
-    return docs.select("reciter_id", "surah", "ayah", duration.cast("int").alias("duration_ms"), F.transform("tokens", lambda t, at: F.struct(*_word(t, at))).alias("words"))
+    word = lambda t, at: F.struct(*[arabic(t).alias("text") if script and i == 1 else x for i, x in enumerate(_word(t, at))])
+    return docs.select("reciter_id", "surah", "ayah", duration.cast("int").alias("duration_ms"), F.transform("tokens", word).alias("words"))
 
 
 def words(spark: SparkSession, sf_dir: str, script: bool = False) -> DataFrame:
