@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wordspan.operators import align, ranges, timing, worklist
 from wordspan.sources import documents as D
+from wordspan.sources import tables
 
 WORDS = [{"index": 1, "text": "a", "startMs": 0, "endMs": 500, "score": -1.0}]
 
@@ -143,3 +144,24 @@ def test_columns_of_any_name(spark):
     rows = spark.createDataFrame([("r", 1, 1, i, "a", 100 * i, 100 * i + 50 + i, -1.0, 7, 8, 9) for i in range(1, 12)], "reciter_id string, surah int, ayah int, idx int, text string, start_ms int, end_ms int, score double, w int, _n int, n int")
     for analysed in (timing.attach_analysis(rows), timing.enrich(rows)):
         assert {(r.w, r._n, r.n) for r in analysed.collect()} == {(7, 8, 9)}
+
+
+def test_words_in_buckets_are_gathered_without_a_shuffle(spark):
+    rows = [("r", s, a, i, "a", 100 * i, 100 * i + 40 + 7 * i, -1.0) for s in range(3) for a in range(4) for i in range(1, 9)]
+    words = spark.createDataFrame(rows, "reciter_id string, surah int, ayah int, idx int, text string, start_ms int, end_ms int, score double")
+    table = tables.bucketed(words, "words_in_buckets", ["reciter_id", "surah", "ayah"], 4)
+    try:
+        measured = timing.with_verse_measures(table)
+        assert "Exchange" not in measured._jdf.queryExecution().executedPlan().toString()
+        same = lambda df: sorted(map(tuple, df.collect()))
+        assert same(measured) == same(timing.with_verse_measures(words))
+        nested = D.nest_words(words).withColumn("words", F.transform("words", lambda w: F.struct(w["index"].alias("idx"), w["text"].alias("text"), w["startMs"].alias("start_ms"), w["endMs"].alias("end_ms"), w["score"].alias("score"))))
+        flat, deep = timing.enrich(words), timing.enrich_verses(nested)
+        assert sorted(map(str, deep.select(*flat.columns).collect())) == sorted(map(str, flat.collect()))
+    finally:
+        spark.sql("DROP TABLE words_in_buckets")
+
+
+def test_lines_that_are_no_document_are_left_out(spark, tmp_path):
+    put(tmp_path, "a/part.txt", json.dumps({"reciterId": "r", "ayah": 1, "words": WORDS}) + "\n{broken\n")
+    assert [(r.reciterId, r.ayah) for r in D.read_lines(spark, str(tmp_path)).collect()] == [("r", 1)]

@@ -25,7 +25,7 @@ def test_oracles_belong_to_queries():
     assert entry.queries()["enrich"]
 
 
-@pytest.mark.parametrize("name", ["verse_stats", "loo_median", "raw_to_ms", "chapter_ranges", "enrich", "select_strategy", "validate", "validation_rules", "stretch_positions", "merge_reports", "build_packs", "refine_timings", "refine_timings_energy", "best_window_gap", "timing_config", "verify_checksums", "publish_tree", "safe_boundaries"])
+@pytest.mark.parametrize("name", ["verse_stats", "loo_median", "raw_to_ms", "chapter_ranges", "enrich", "select_strategy", "validate", "validation_rules", "stretch_positions", "merge_reports", "build_packs", "refine_timings", "refine_timings_energy", "best_window_gap", "timing_config", "verify_checksums", "publish_tree", "safe_boundaries", "merge_manifest", "read_alignments", "resume_forced", "load_texts", "reciter_dim", "chapter_timeline", "best_window"])
 def test_query(spark, name):
     con = duckdb.connect()
     for t in TABLES:
