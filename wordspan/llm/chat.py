@@ -12,37 +12,38 @@ from pyspark.sql import functions as F
 from .common import heavy_keys, salted_join, stash
 
 
-#: Conversations of so many neighbouring ids draw their replies from one another.
-BLOCK = 64
-
-
-def with_drawn_reply(turns: DataFrame, block: int = BLOCK) -> DataFrame:
+def with_drawn_reply(turns: DataFrame) -> DataFrame:
     """(conv_id, turns, partner, last, reply): every conversation with the reply of another, drawn deterministically.
 
-    Of the conversations with a reply (a last turn of an assistant) in each range of ``block`` ids, the next by id
-    is the partner, and the first that of the last; ``last`` is where the own reply stands, from 1. Null where there is
-    no own reply or no other one. One shuffle, by range, gathers turns and neighbours; a null conv_id takes no part."""
-    rows = turns.where("conv_id is not null").withColumn("range", F.floor(F.col("conv_id") / block))
+    Of the conversations with a reply (a last turn of an assistant), the next by id is the partner, and the first that of
+    the last, however far apart ids lie; ``last`` is where the own reply stands, from 1. Null where there is
+    no own reply or no other one. A null conv_id takes no part. Turns are shuffled once, by conversation; replies alone go
+    through ranges of ids, and only the first reply of each range meets the range before."""
+    rows = turns.where("conv_id is not null")
     turn = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    convs = rows.repartition("range").groupBy("range", "conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    convs = convs.withColumn("last", F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i + 1))))
-    own = F.when(F.col("last").isNotNull(), F.struct(F.col("conv_id").alias("partner"), F.element_at("turns", F.col("last"))["text"].alias("reply")))
-    has = F.col("last").isNotNull()
-    ring = Window.partitionBy("range", has).orderBy("conv_id")
-    whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    drawn = convs.withColumn("own", own).withColumn("next", F.coalesce(F.lead("own").over(ring), F.first("own").over(whole)))
-    other = F.when(F.col("next.partner") != F.col("conv_id"), F.col("next"))
-    return drawn.select("conv_id", "turns", other["partner"].alias("partner"), F.when(other.isNotNull(), F.col("last")).alias("last"), other["reply"].alias("reply"))
-
-
-def preference_pairs(turns: DataFrame, block: int = BLOCK) -> DataFrame:
+    said = rows.groupBy("conv_id").agg(F.max(F.when(F.col("role") == "assistant", turn)).alias("said")).where("said is not null")
+    own = F.struct(F.col("conv_id").alias("partner"), F.col("said.text").alias("reply")).alias("own")
+    # The range of a row is written with it, so that a task run again can't deal rows otherwise.
+    ranged = stash(said.select("conv_id", own).repartitionByRange("conv_id").withColumn("range", F.spark_partition_id()), "replies")
+    ends = ranged.groupBy("range").agg(F.min_by("own", "conv_id").alias("own"))  # a row a range
+    ring = Window.orderBy("range")
+    after = F.coalesce(F.lead("own").over(ring), F.first("own").over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    follow = F.broadcast(ends.select("range", after.alias("after")))
+    drawn = ranged.withColumn("next", F.lead("own").over(Window.partitionBy("range").orderBy("conv_id"))).join(follow, "range")
+    drawn = drawn.select("conv_id", F.coalesce("next", "after").alias("next")).where(F.col("next.partner") != F.col("conv_id"))
+    convs = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    last = F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i + 1)))
+    return convs.join(drawn, "conv_id", "left").select("conv_id", "turns", F.col("next.partner").alias("partner"), F.when(F.col("next").isNotNull(), last).alias("last"), F.col("next.reply").alias("reply"))
+
+
+def preference_pairs(turns: DataFrame) -> DataFrame:
     """(chosen_id, rejected_id, chosen_turns, rejected_turns), one row for each conversation but those that others are rejected for.
 
     Conversations that open with the same turn: the smallest id is the chosen one of a pair with each other. A
     conversation that opens alone, up to its last reply, is chosen over itself with the reply drawn from another (rejected_id
     is that one's id); without any reply it has no rejected side. Rows grow with the conversations, not with the pairs of a group."""
     first = F.sha2(F.to_json(F.struct(F.col("turns")[0]["role"].alias("role"), F.col("turns")[0]["text"].alias("text"))), 256)
-    convs = stash(with_drawn_reply(turns, block).withColumn("opening", first), "conversations")
+    convs = stash(with_drawn_reply(turns).withColumn("opening", first), "conversations")
     heads = stash(convs.groupBy("opening").agg(F.min("conv_id").alias("chosen_id"), F.count("*").alias("n")).where("n > 1"), "openings")
     known = heads.join(convs.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen_turns")), "chosen_id").select("opening", "chosen_id", "chosen_turns")
     shared = salted_join(convs.select("conv_id", "turns", "opening"), known, "opening", F.xxhash64("conv_id"), heavy_keys(heads, "opening")).where("conv_id <> chosen_id")
@@ -108,7 +109,7 @@ WITH turns AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS
 opened AS (SELECT conv_id, min(conv_id) OVER (PARTITION BY role, text) AS head, count(*) OVER (PARTITION BY role, text) AS n FROM turns WHERE pos = 1),
 replies AS (SELECT conv_id, max(pos) AS last, arg_max(text, pos) AS reply FROM turns WHERE role = 'assistant' GROUP BY conv_id),
 ring AS (SELECT conv_id, last, coalesce(lead(conv_id) OVER o, first(conv_id) OVER w) AS partner FROM replies
-         WINDOW o AS (PARTITION BY conv_id // {BLOCK} ORDER BY conv_id), w AS (PARTITION BY conv_id // {BLOCK} ORDER BY conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+         WINDOW o AS (ORDER BY conv_id), w AS (ORDER BY conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
 drawn AS (SELECT g.conv_id, g.last, g.partner, r.reply FROM ring g JOIN replies r ON r.conv_id = g.partner WHERE g.partner <> g.conv_id),
 pairs AS (SELECT conv_id AS pair, CASE WHEN n > 1 THEN head ELSE conv_id END AS chosen_id, CASE WHEN n > 1 THEN conv_id ELSE d.partner END AS rejected_id, n > 1 AS shared, CASE WHEN n = 1 THEN d.last END AS last, d.reply
           FROM opened LEFT JOIN drawn d USING (conv_id) WHERE n = 1 OR conv_id <> head),
