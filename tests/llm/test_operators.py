@@ -343,14 +343,15 @@ def test_chat(spark):
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "a"), (2, 0, "user", "hi"), (2, 1, "assistant", "b"), (2, 2, "user", "c"), (3, 0, "user", "alone"), (3, 1, "assistant", None), (4, 0, "user", "hi"), (4, 1, "assistant", "a"), (None, 0, "user", "hi")]
     turns += [(5, 0, "user", "other"), (5, 1, "assistant", "x"), (5, 2, "user", "more"), (5, 3, "assistant", "y"), (5, 4, "user", "end"), (6, 0, "user", "nobody answers"), (900, 0, "user", "far"), (900, 1, "assistant", "z")]
     got = {(r.chosen_id, r.rejected_id): r for r in chat.preferences(chat.preference_pairs(spark.createDataFrame(turns, schema))).collect()}
-    assert set(got) == {(1, 2), (1, 4), (3, 4), (5, 1), (6, None), (900, None)}
+    assert set(got) == {(1, 2), (1, 4), (3, 4), (5, 900), (6, None), (900, 1)}
     r = got[1, 2]
     assert (r.n_prompt_turns, r.prompt, r.chosen) == (1, "<|user|>\nhi<|end|>\n", "<|assistant|>\na<|end|>\n")
     a, b = map(int, r.rejected_mask.split("-"))
     assert r.rejected[a:b] == "b" and got[1, 4].chosen == "" == got[1, 4].rejected and got[6, None].rejected is None
-    r = got[5, 1]
-    assert (r.n_prompt_turns, r.chosen, r.rejected) == (3, "<|assistant|>\ny<|end|>\n", "<|assistant|>\na<|end|>\n")
-    assert (got[900, None].prompt, got[900, None].chosen) == ("<|user|>\nfar<|end|>\n", "<|assistant|>\nz<|end|>\n")
+    r = got[5, 900]
+    assert (r.n_prompt_turns, r.chosen, r.rejected) == (3, "<|assistant|>\ny<|end|>\n", "<|assistant|>\nz<|end|>\n")
+    assert got[900, 1].rejected == "<|assistant|>\na<|end|>\n"
+    assert (got[900, 1].prompt, got[900, 1].chosen) == ("<|user|>\nfar<|end|>\n", "<|assistant|>\nz<|end|>\n")
     assert chat.preferences(chat.preference_pairs(spark.createDataFrame([], schema))).count() == 0
 
 
@@ -374,6 +375,19 @@ def test_chat_against_its_sql(spark):
     assert max(r.n_prompt_turns for r in got) >= 4
 
 
+def test_chat_partners_whatever_the_ids(spark):
+    """Dense and hashed ids give every conversation with a reply a partner: the next by id, in a ring."""
+    turns = [(c, t, role, f"{role} {c}") for c in range(120) for t, role in enumerate(("user", "assistant"))]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("clash", F.lit(1))
+    for rows in (df, df.withColumn("conv_id", F.xxhash64("conv_id"))):
+        got = {r.conv_id: (r.partner, r.reply) for r in chat.with_drawn_reply(rows.repartition(7)).collect()}
+        text = {r.conv_id: r.text for r in rows.where("role = 'assistant'").collect()}
+        order = sorted(text)
+        assert got == {c: (d, text[d]) for c, d in zip(order, order[1:] + order[:1])}
+    one = chat.with_drawn_reply(df.where("conv_id = 3")).collect()
+    assert [(r.conv_id, r.partner, r.last, r.reply) for r in one] == [(3, None, None, None)]
+
+
 def brute_repeats(rows, match):
     seen, out = set(), {}
     for doc, text in rows:
@@ -418,7 +432,7 @@ def test_neighbours(spark):
     rows = [(i, [float(x) for x in v], "x") for i, v in enumerate(vectors)]
     rows += [(2000, None, "x"), (2100, [0.0] * 16, "x"), (2200, [float("nan")] * 16, "x"), (2300, [1.0, None], "x"), (None, [1.0] * 16, "x"), (2400, [1.0] * 3, "x"), (100, [float(x) for x in vectors[100]], "x")]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string")
-    got = ann.neighbours(table, table.where("vec_id % 20 = 0"), shard_rows=300).collect()
+    got = ann.neighbours(table, table.where("vec_id % 20 = 0"), shard_bytes=300 * 16 * 8).collect()
     found = {}
     for r in sorted(got, key=lambda r: r["rank"]):
         found.setdefault(r.query_id, []).append((r.vec_id, r.score))
@@ -432,3 +446,22 @@ def test_neighbours(spark):
     assert hits >= 0.9 * 10 * len(found)
     assert [v for v, _ in found[40]] == list(range(41, 51))
     assert ann.neighbours(table.limit(0), table.limit(0)).count() == 0
+
+
+def test_neighbours_of_a_whole_shard():
+    """Recall in a shard of the production size, of vectors without any structure, by the degree and beam that follow from it."""
+    rng = np.random.default_rng(3)
+    n = ann.SHARD_BYTES // (64 * 8)
+    vectors, asked = rng.normal(size=(n, 64)), rng.normal(size=(100, 64))
+    graph, start = ann.build_graph(vectors, ann.degree_for(n))
+    found, _, _ = ann.beam_search(vectors, graph, start, asked, ann.beam_for(n))
+    nearest = np.argsort((vectors**2).sum(1) - 2 * asked @ vectors.T, axis=1)[:, :10]
+    assert np.mean([len(set(a) & set(b[:10])) for a, b in zip(nearest, found)]) >= 9.5
+
+
+def test_neighbours_tie_across_shards(spark):
+    """Different vectors equally near, in different shards: the smaller ids come first."""
+    rows = [(0, [0.0, 1.0])] + [(i, [float(x), 1.0 + float(y)]) for i, (x, y) in enumerate([(3, 4), (-3, 4), (3, -4), (-3, -4), (5, 0), (-5, 0), (0, 5), (4, 3)], 1)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.neighbours(table, table.where("vec_id = 0"), k=5, shard_bytes=32).orderBy("rank").collect()
+    assert [(r["rank"], r.vec_id, r.score) for r in got] == [(i, i, 5.0) for i in range(1, 6)]

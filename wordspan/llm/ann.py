@@ -8,7 +8,7 @@ beam-searches each shard, and the shards' best are merged.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
 import numpy as np
 import pandas as pd
@@ -17,14 +17,24 @@ from pyspark.sql import functions as F
 
 from .common import stash
 
-#: Distinct vectors of a shard at most: what a task holds; and at least, while there are fewer shards than cores.
-SHARD_ROWS, SHARD_LEAST = 100_000, 4000
-DEGREE = 32
+#: Bytes of the distinct vectors of a shard, as doubles: 8,192 vectors of 64 components. It follows from the table alone, never
+#: from the cluster, so that results don't either.
+SHARD_BYTES = 4 << 20
 BEAM = 64
 RELAX = 1.2
 BLOCK = 256
 QUERY_BLOCK = 20_000
-SEARCH_BEAM = 100
+
+
+def degree_for(rows: int) -> int:
+    """Edges a node of a shard with so many nodes: four for each doubling, so that paths stay short as shards grow."""
+    return max(16, 4 * math.ceil(math.log2(max(rows, 2))))
+
+
+def beam_for(rows: int) -> int:
+    """Width of the search in a shard with so many nodes, growing with its square root: at a fixed width recall falls with
+    the size of a shard (README has the figures)."""
+    return max(64, 2 * math.ceil(math.sqrt(rows)))
 
 
 def beam_search(vectors: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,7 +100,7 @@ def robust_prune(vectors: np.ndarray, nodes: np.ndarray, candidates: np.ndarray,
     return kept
 
 
-def build_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BEAM, relax: float = RELAX, seed: int = 7) -> tuple[np.ndarray, int]:
+def build_graph(vectors: np.ndarray, degree: int, beam: int = BEAM, relax: float = RELAX, seed: int = 7) -> tuple[np.ndarray, int]:
     """(graph, medoid): rows of at most ``degree`` out-neighbours, filled up with -1."""
     n = len(vectors)
     start = int(np.argmin(((vectors - vectors.mean(0)) ** 2).sum(1)))
@@ -133,27 +143,26 @@ def usable(vector: str = "embedding"):
     return F.coalesce(v.isNotNull() & (F.size(v) > 0) & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def neighbours(table: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int = SHARD_ROWS, beam: int = SEARCH_BEAM, degree: int = DEGREE) -> DataFrame:
+def neighbours(table: DataFrame, queries: DataFrame, k: int = 10, shard_bytes: int = SHARD_BYTES, beam: int | None = None, degree: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of ``queries``, the ``k`` nearest others found in ``table``.
 
     Both have vec_id and embedding; distances are Euclidean in double precision; ties go to the
     smaller vec_id. Rows with a null id or without a usable vector take no part; only vectors of the
     query's length are candidates; a repeated (id, vector) row counts once; other columns are ignored.
-    All vectors are indexed: a shard holds about ``shard_rows`` distinct ones, dealt out by hash. Of
-    equal vectors, the k + 1 smallest ids are kept with their node: no answer can hold more of them.
+    All vectors are indexed: a shard holds about ``shard_bytes`` of distinct ones, dealt out by hash; degree and beam
+    follow from the nodes of a shard unless they are given. Of equal vectors, the k + 1 smallest ids are kept with their node: no answer can hold more of them.
     """
     plain = lambda df: df.where(usable() & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(F.col("embedding").cast("array<double>"), lambda x: x + F.lit(0.0)).alias("vector"))
     own = Window.partitionBy("vector").orderBy("vec_id")
     first = plain(table).dropDuplicates(["vec_id", "vector"]).withColumn("n", F.row_number().over(own)).where(F.col("n") <= k + 1)
     nodes = stash(first.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "nodes")  # k + 1 ids at most
-    total = nodes.count()
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    shards = max(1, -(-total // shard_rows), min(cores, total // min(shard_rows, SHARD_LEAST)))
+    size = nodes.agg(F.sum(F.size("vector").cast("long") * 8)).first()[0] or 0
+    shards = max(1, -(-size // shard_bytes))
     placed = nodes.withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int")).withColumn("dim", F.size("vector"))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         vectors = np.stack(pdf["vector"])
-        graph, start = build_graph(vectors, degree)
+        graph, start = build_graph(vectors, degree or degree_for(len(vectors)))
         return pd.DataFrame({"shard": pdf["shard"], "dim": pdf["dim"], "node": np.arange(len(pdf)), "start": start, "vector": pdf["vector"], "ids": pdf["ids"], "edges": list(graph)})
 
     index = stash(placed.groupBy("shard", "dim").applyInPandas(build, "shard int, dim int, node int, start int, vector array<double>, ids array<long>, edges array<int>"), "graph")
@@ -163,21 +172,22 @@ def neighbours(table: DataFrame, queries: DataFrame, k: int = 10, shard_rows: in
     copies = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))) if blocks > 1 else index.withColumn("block", F.lit(0))
 
     def search(graph: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
-        out: list[pd.DataFrame] = []
+        asked_by, near, scores = [], [], []
         if len(graph) and len(asking):
             graph = graph.sort_values("node")
             vectors, edges = np.stack(graph["vector"]), np.stack(graph["edges"]).astype(np.int32)
             ids, start = graph["ids"].tolist(), int(graph["start"].iloc[0])
+            width = max(beam or beam_for(len(graph)), k + 1)
             for at in range(0, len(asking), BLOCK):
                 part = asking.iloc[at : at + BLOCK]
                 q = np.stack(part["vector"])
-                found, _, _ = beam_search(vectors, edges, start, q, max(beam, k + 1))
+                found, _, _ = beam_search(vectors, edges, start, q, width)
                 for query, own, nodes_ in zip(part["vec_id"].tolist(), q, found):
                     nodes_ = nodes_[nodes_ >= 0]
                     score = np.sqrt(((vectors[nodes_] - own) ** 2).sum(1))
-                    pairs = sorted((s, v) for s, n in zip(score.tolist(), nodes_.tolist()) for v in ids[n] if v != query)[:k]
-                    out.append(pd.DataFrame({"query_id": query, "vec_id": [v for _, v in pairs], "score": [s for s, _ in pairs]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+                    for s, v in sorted((s, v) for s, n in zip(score.tolist(), nodes_.tolist()) for v in ids[n] if v != query)[:k]:
+                        asked_by.append(query), near.append(v), scores.append(s)
+        return pd.DataFrame({"query_id": np.array(asked_by, dtype=np.int64), "vec_id": np.array(near, dtype=np.int64), "score": np.array(scores, dtype=np.float64)})
 
     found = copies.groupBy("shard", "dim", "block").cogroup(dealt.groupBy("shard", "dim", "block")).applyInPandas(search, "query_id long, vec_id long, score double")
     merged = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
