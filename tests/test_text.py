@@ -1,5 +1,9 @@
 """Literals for the text functions, as escapes."""
 
+import random
+import re
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,6 +62,19 @@ def test_tokens(spark):
     assert words("") == [] and one(spark, None, T.words_of) is None
 
 
+def test_nfc(spark):
+    """Equal to the Unicode database: every character of the block, every letter with one and two marks, random texts."""
+    rng = random.Random(4)
+    marks, letters = list(T.CLASS_OF), [*T.PARTS, *{p[0] for p in T.PARTS.values()}, "\u0628", "a", " ", ""]
+    texts = [*T.BLOCK, *(b + m for b in T.BLOCK for m in T.COMPOSING), *(b + m + n for b in letters for m in marks for n in marks)]
+    texts += ["".join(rng.choice(rng.choice([letters, marks, marks, T.BLOCK])) for _ in range(rng.randrange(1, 14))) for _ in range(5000)]
+    texts += ["", "e\u0301 x", "\u0627\u0653\u0301", "\u2126", "\U0001F600\u0627\u0654", "\ufeff\u200f\u0627\u0654\n\u0654", None]
+    bare = lambda c: F.regexp_replace(c, T.ALL_MARKS, "")
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.nfc(F.col("t")).alias("c"), bare(T.nfc(F.col("t"), stripped=True)).alias("s")).collect()
+    assert len(rows) == len(texts) and [r.t for r in rows if r.c != (r.t and unicodedata.normalize("NFC", r.t))] == []
+    assert [r.t for r in rows if r.s != (r.t and re.sub(T.ALL_MARKS, "", unicodedata.normalize("NFC", r.t)))] == []
+
+
 def test_normalize(spark):
     assert one(spark, "أَ‏ى", T.normalize_text) == "اي"
     assert one(spark, "َ", T.normalize_text) == "ا"

@@ -37,20 +37,59 @@ def count_words(text: Column) -> Column:
     return F.size(words_of(text))
 
 
-def nfc(text: Column) -> Column:
-    """Unicode NFC, in Arrow batches; Spark has no function for it."""
+#: By the Unicode database: combining class (as a character) of each mark of the Arabic block, and its composed letters.
+BLOCK = [chr(c) for c in range(0x600, 0x700)]
+CLASS_OF = {c: chr(unicodedata.combining(c)) for c in BLOCK if unicodedata.combining(c)}
+PARTS = {c: unicodedata.normalize("NFD", c) for c in BLOCK if unicodedata.normalize("NFD", c) != c}
+MARKS = "".join(CLASS_OF)
+COMPOSING = "".join(sorted({parts[1] for parts in PARTS.values()}))
+#: Characters that composition leaves alone, but for the block's own pairs: ASCII, the block, joiners and direction marks.
+COVERED = "\\x{00}-\\x{7F}\\x{A0}\u0600-\u06FF\u200B-\u200F\u202A-\u202E\u2060-\u2064\uFEFF"
+
+
+def _composed(text: Column) -> Column:
+    """NFC of a covered text: letters taken apart, marks of a letter sorted by class, then pairs put together unless a
+    mark of the same class or a higher one stands between."""
+    apart = text
+    for letter, parts in PARTS.items():
+        apart = F.replace(apart, F.lit(letter), F.lit(parts))
+    pairs = F.create_map(*[F.lit(x) for letter, parts in PARTS.items() for x in (parts, letter)])
+    level = lambda mark: F.translate(mark, MARKS, "".join(CLASS_OF.values()))
+
+    def cluster(c: Column) -> Column:
+        bare = F.substring(c, 1, 1).rlike(f"[{MARKS}]")
+        base, marks = F.when(bare, "").otherwise(F.substring(c, 1, 1)), F.when(bare, c).otherwise(F.substring(c, 2, 1 << 30))
+        ranked = F.array_sort(F.transform(F.filter(F.split(marks, ""), lambda m: m != ""), lambda m, i: F.struct(level(m).alias("level"), i.alias("i"), m.alias("mark"))))
+
+        def step(acc: Column, m: Column) -> Column:
+            whole = F.when((acc["tail"] == "") | (acc["level"] < m["level"]), F.try_element_at(pairs, F.concat(acc["base"], m["mark"])))
+            left = whole.isNull()
+            return F.struct(F.coalesce(whole, acc["base"]).alias("base"), F.when(left, F.concat(acc["tail"], m["mark"])).otherwise(acc["tail"]).alias("tail"), F.when(left, m["level"]).otherwise(acc["level"]).alias("level"))
+
+        start = F.struct(base.alias("base"), F.lit("").alias("tail"), F.lit("").alias("level"))
+        return F.aggregate(ranked, start, step, lambda acc: F.concat(acc["base"], acc["tail"]))
+
+    return F.array_join(F.transform(F.regexp_extract_all(apart, F.lit(f"[^{MARKS}][{MARKS}]*|[{MARKS}]+"), F.lit(0)), cluster), "")
+
+
+def nfc(text: Column, stripped: bool = False) -> Column:
+    """Unicode NFC. Texts of ASCII and the Arabic block stay in the JVM, and those without two marks in a row or a
+    composing mark are returned as they are; only other texts are sent to an Arrow helper, which gets nulls for the rest.
+    Where ALL_MARKS are ``stripped`` afterwards, their order doesn't matter: composing marks and marks that stay do."""
 
     @F.pandas_udf("string")
-    def composed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def elsewhere(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             yield s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 
-    return composed(text)
+    other = text.rlike(f"[^{COVERED}]")
+    moves = f"[{COMPOSING}\u0610-\u061A]" if stripped else f"[{MARKS}]{{2}}|[{COMPOSING}]|[{''.join(PARTS)}][{MARKS}]"
+    return F.when(other, elsewhere(F.when(other, text))).when(text.rlike(moves), _composed(text)).otherwise(text)
 
 
 def normalize_text(text: Column, keep_diacritics: bool = False) -> Column:
     """A word as aligners want it; what is left empty becomes an alef."""
-    out = F.regexp_replace(nfc(text), r"\p{Cf}", "")
+    out = F.regexp_replace(nfc(text, not keep_diacritics), r"\p{Cf}", "")
     out = F.regexp_replace(out, PAUSE_MARKS if keep_diacritics else ALL_MARKS, "")
     out = F.regexp_replace(F.translate(out, *LETTER_FORMS), r"(?U)^\s+|\s+$", "")
     return F.when(out == "", ALEF).otherwise(out)
