@@ -105,13 +105,24 @@ def slow_lines(rows, min_docs, min_tokens, depth):
             tokens = ["<*>" if any(c.isdigit() for c in t) else t for t in line.split()]
             if len(tokens) >= min_tokens:
                 places.append((doc, pos, tuple(tokens)))
-    leaves = {}
+    leaves, shared, width = {}, {}, 1
     for _, _, t in places:
         leaves.setdefault((len(t), t[:depth]), set()).add(t)
-    one = {leaf for leaf, ts in leaves.items() if 0 < sum(len(set(x)) > 1 for x in zip(*ts)) <= leaf[0] // lines.FIELD_SHARE}
+    while leaves:
+        parts = {}
+        for leaf, ts in leaves.items():
+            found = [len(set(x)) for x in zip(*ts)]
+            fields = sum(d > 1 for d in found)
+            if len(ts) > 1 and fields * (8 if len(ts) == 2 else 4) <= len(found):
+                shared |= {t: (width, leaf) for t in ts}
+            elif len(ts) > 2:
+                best = sorted((d, i) for i, d in enumerate(found) if d > 1)[:width]
+                for t in ts:
+                    parts.setdefault((leaf, tuple(t[i] for _, i in best)), set()).add(t)
+        leaves, width = parts, width * 2
     groups = {}
     for doc, pos, t in places:
-        groups.setdefault((len(t), t[:depth]) if (len(t), t[:depth]) in one else t, []).append((doc, pos))
+        groups.setdefault(shared.get(t, t), []).append((doc, pos))
     gone = {p for g in groups.values() if len({d for d, _ in g}) >= min_docs for p in g if p != min(g)}
     return {doc: None if text is None else "\n".join(x for i, x in enumerate(text.split("\n")) if (doc, i) not in gone) for doc, text in rows}
 
@@ -136,6 +147,17 @@ def test_depth_of_the_tree_matters(spark):
     assert (left(2), left(3)) == (1, 3)
 
 
+def test_strays_cost_a_template_nothing(spark):
+    """Lines that only begin like those of a template leave it whole, and two unlike lines stay."""
+    names = ["Anna", "Ben", "Carl", "Dora"]
+    texts = [f"Posted by {x} in the category Garden" for x in names] + ["Posted by a friend of my mother", "Posted by noon or not at all", "Posted by him as he went home"]
+    texts += ["see the old mill by the river now", "see the old town by the harbour now"]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r.text for r in lines.drop_recurring_lines(spark.createDataFrame(rows_of(texts), DOCS)).collect()}
+    assert got == slow_lines(rows, 2, 5, 2)
+    assert [i for i, t in got.items() if t == ""] == [1, 2, 3]
+
+
 def test_lines(spark, odd):
     texts = [f"own line number one here\nsent on day {i} at {i}:00 by me\nshort\nshort" for i in range(3)] + ["sent on day 9 at 8:00 by me", None, "", "once only in this one\nonce only in this one"]
     got = {r.doc_id: r for r in lines.drop_recurring_lines(spark.createDataFrame(rows_of(texts), DOCS)).collect()}

@@ -71,14 +71,14 @@ def heavy_keys(counts: DataFrame, key: str, n: str = "n") -> DataFrame:
     return counts.where(F.col(n) > max(total // HEAVY_SHARE, 1)).select(key)
 
 
-def salted_join(rows: DataFrame, single: DataFrame, key: str, deal: Column, heavy: DataFrame) -> DataFrame:
-    """Inner equi-join of ``rows`` with ``single`` (one row a key). The rows of the ``heavy`` keys are dealt
+def salted_join(rows: DataFrame, single: DataFrame, key: str, deal: Column, heavy: DataFrame, how: str = "inner") -> DataFrame:
+    """Equi-join (inner or left) of ``rows`` with ``single`` (one row a key). The rows of the ``heavy`` keys are dealt
     over SALTS tasks by the hash ``deal``, and only the single rows of those keys are copied to them."""
     (mark, salt) = names_free(rows.join(single, key), "heavy", "salt")
     known = F.broadcast(heavy.select(key, F.lit(True).alias(mark)))  # fewer than HEAVY_SHARE rows
     dealt = rows.join(known, key, "left").withColumn(salt, F.when(F.col(mark), F.pmod(deal, F.lit(SALTS))).otherwise(F.lit(0)).cast("int")).drop(mark)
     copies = F.when(F.col(mark), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    return dealt.join(single.join(known, key, "left").withColumn(salt, F.explode(copies)).drop(mark), [key, salt]).drop(salt)
+    return dealt.join(single.join(known, key, "left").withColumn(salt, F.explode(copies)).drop(mark), [key, salt], how).drop(salt)
 
 
 # -- connected components -------------------------------------------------------------------------

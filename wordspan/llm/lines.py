@@ -2,8 +2,12 @@
 
 A line goes down a tree of fixed depth: first its token count, then its leading tokens, to a leaf. Tokens with a
 digit are fields from the start. At a leaf, the positions that hold more than one token among its distinct lines are
-fields too; where these are few, all lines of the leaf are one template, else (lines that only begin alike) each
-line is its own. A template that recurs in enough documents is kept where it comes first and dropped elsewhere.
+fields too; where these are few, all lines of the leaf are one template. Else the leaf holds lines that only begin
+alike, and is split by the tokens at the positions with the fewest different ones: first at one position, then at
+two, at four and so on, until each part is one template or a line of its own. So a stray line costs a template
+nothing, however many lines share the leaf, and the rounds are no more than the logarithm of a line's length. Two
+lines alone are less evidence than three: they may differ in half as many positions. A template that recurs in
+enough documents is kept where it comes first and dropped elsewhere.
 """
 
 from __future__ import annotations
@@ -11,13 +15,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, heavy_keys, names_free, salted_join, stash
+from .common import HEAVY_SHARE, discard, heavy_keys, names_free, salted_join, stash
 
 DEPTH = 2
 MIN_TOKENS = 5
 MIN_DOCS = 2
-#: At most one position in so many may be a field of a leaf's template.
-FIELD_SHARE = 4
+#: At most one position in so many may be a field of a template of three distinct lines or more, and of one of two.
+FIELD_SHARE, PAIR_SHARE = 4, 8
 SPACES = r"[ \t\r\f\x0B]+"
 #: A token with a digit; tried at token starts only and without backtracking, so long tokens cost no more.
 FIELD = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
@@ -33,20 +37,67 @@ def leaf_of(tokens: Column, depth: int) -> Column:
     return F.xxhash64(F.size(tokens), F.array_join(F.slice(tokens, 1, depth), " "))
 
 
-def leaf_templates(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(leaf) of leaves whose lines are one template.
+def mixed_leaves(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """(leaf, template, tokens): the distinct lines of leaves that hold several, with hashes of their tokens.
 
-    ``lines`` (doc_id, text_hash, pos, n_tokens, leaf, template). Only leaves of several lines are looked at, and of
-    equal lines one; their texts are fetched once a document."""
+    ``lines`` (doc_id, text_hash, pos, leaf, template). Of equal lines one is looked at; their texts are fetched once a
+    document. Rows of one document that repeat give a line more than once."""
     mixed = lines.groupBy("leaf").agg(F.min("template").alias("low"), F.max("template").alias("high")).where("low <> high").select("leaf")
     each = lines.join(mixed, "leaf", "left_semi").groupBy("leaf", "template").agg(F.min(F.struct("doc_id", "text_hash", "pos")).alias("at"))
-    wanted = each.groupBy("at.doc_id", "at.text_hash").agg(F.collect_list(F.struct("at.pos", "leaf")).alias("wanted"))
+    wanted = each.groupBy("at.doc_id", "at.text_hash").agg(F.collect_list(F.struct("at.pos", "leaf", "template")).alias("wanted"))
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n").alias("lines"))
     same = rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["text_hash"] == wanted["text_hash"])
-    found = rows.join(wanted, same).select(F.explode(F.transform("wanted", lambda w: F.struct(w["leaf"].alias("leaf"), F.get(F.col("lines"), w["pos"]).alias("line")))).alias("x"))
-    tokens = found.select("x.leaf", F.posexplode(F.split(masked(F.col("x.line")), " ")).alias("at", "token"))
-    positions = tokens.groupBy("leaf", "at").agg((F.min("token") != F.max("token")).cast("int").alias("varies"))
-    return positions.groupBy("leaf").agg(F.sum("varies").alias("fields"), F.count("*").alias("n")).where(F.col("fields") * FIELD_SHARE <= F.col("n")).select("leaf")
+    found = rows.join(wanted, same).select(F.explode(F.transform("wanted", lambda w: F.struct(w["leaf"].alias("leaf"), w["template"].alias("template"), F.get(F.col("lines"), w["pos"]).alias("line")))).alias("x"))
+    return found.select("x.leaf", "x.template", F.transform(F.split(masked(F.col("x.line")), " "), lambda t: F.xxhash64(t)).alias("tokens"))
+
+
+def judged(members: DataFrame) -> DataFrame:
+    """(leaf, k, one): how many distinct lines a leaf has, and whether they are one template."""
+    sizes = members.select("leaf", "template").distinct().groupBy("leaf").agg(F.count("*").alias("k"))
+    places = members.select("leaf", F.posexplode("tokens").alias("at", "token"))
+    varied = places.groupBy("leaf", "at").agg((F.min("token") != F.max("token")).cast("int").alias("varies"))
+    fields = varied.groupBy("leaf").agg(F.sum("varies").alias("fields"), F.count("*").alias("n"))
+    share = F.when(F.col("k") == 2, PAIR_SHARE).otherwise(FIELD_SHARE)
+    return sizes.join(fields, "leaf").select("leaf", "k", ((F.col("k") > 1) & (F.col("fields") * share <= F.col("n"))).alias("one"))
+
+
+def split_leaves(members: DataFrame, leaves: DataFrame, width: int) -> DataFrame:
+    """``members`` of ``leaves`` (leaf, k), each in the part of its leaf that its tokens at the leaf's ``width`` positions with
+    the fewest different tokens name (ties to the first position), where the part has another line."""
+    heavy = heavy_keys(leaves, "leaf", "k")
+    own = salted_join(members, leaves.select("leaf"), "leaf", F.xxhash64("template"), heavy)
+    tokens = own.select("leaf", F.posexplode("tokens").alias("at", "token")).groupBy("leaf", "at", "token").agg(F.lit(1))
+    counts = tokens.groupBy("leaf", "at").agg(F.count("*").alias("d")).where("d > 1")
+    best = counts.groupBy("leaf").agg(F.transform(F.slice(F.array_sort(F.collect_list(F.struct("d", "at"))), 1, width), lambda x: x["at"]).alias("places"))
+    key = F.xxhash64("leaf", F.transform("places", lambda p: F.get(F.col("tokens"), p)))
+    parts = stash(salted_join(members, best, "leaf", F.xxhash64("template"), heavy).select(key.alias("leaf"), "template", "tokens"), "parts")
+    several = parts.groupBy("leaf").agg(F.min("template").alias("low"), F.max("template").alias("high"), F.count("*").alias("k")).where("low <> high").select("leaf", "k")
+    back = stash(salted_join(parts, several.select("leaf"), "leaf", F.xxhash64("template"), heavy_keys(several, "leaf", "k")), "members")
+    discard(parts)
+    return back
+
+
+def shared_templates(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """(template, shared): the lines that are one template with others, and its key."""
+    members, width, out = stash(mixed_leaves(docs, lines), "members"), 1, []
+    while True:
+        leaves = stash(judged(members), "leaves")
+        ones = leaves.where("one")
+        key = F.unhex(F.md5(F.concat(F.lit(f"leaf {width} "), F.col("leaf").cast("string"))))
+        settled = salted_join(members.select("leaf", "template").distinct(), ones.select("leaf"), "leaf", F.xxhash64("template"), heavy_keys(ones, "leaf", "k"))
+        out.append(stash(settled.select("template", key.alias("shared")), "shared"))
+        rest = leaves.where("not one and k > 2").select("leaf", "k")  # of two lines each part would be one line
+        last = rest.isEmpty()
+        after = None if last else split_leaves(members, rest, width)
+        discard(members)
+        discard(leaves)
+        if last:
+            break
+        members, width = after, width * 2
+    whole = out[0]
+    for x in out[1:]:
+        whole = whole.unionByName(x)
+    return whole
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH) -> DataFrame:
@@ -56,9 +107,10 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = M
     own = F.when((F.col("flat") != "") & (F.size("tokens") >= min_tokens), F.struct(leaf_of(F.col("tokens"), depth).alias("leaf"), F.unhex(F.md5("flat")).alias("template")))
     # Written once, since several branches read it; filtered only then, or the filter would repeat the expressions.
     lines = stash(split.select("doc_id", "text_hash", "pos", own.alias("own")).select("doc_id", "text_hash", "pos", "own.*"), "lines").where("template is not null")
-    leaves = stash(leaf_templates(docs, lines), "leaves").withColumn("one", F.lit(True))
-    shared = F.unhex(F.md5(F.concat(F.lit("leaf "), F.col("leaf").cast("string"))))
-    keyed = stash(lines.join(leaves, "leaf", "left").select("doc_id", "text_hash", "pos", F.when(F.col("one"), shared).otherwise(F.col("template")).alias("template")), "templates")
+    frequent = F.col("n") > max(lines.count() // HEAVY_SHARE, 1)
+    heavy = stash(lines.groupBy("template").agg(F.count("*").alias("n")).where(frequent).select("template"), "frequent")
+    joined = salted_join(lines, shared_templates(docs, lines), "template", F.xxhash64("doc_id", "text_hash", "pos"), heavy, "left")
+    keyed = stash(joined.select("doc_id", "text_hash", "pos", F.coalesce("shared", "template").alias("template")), "templates")
     discard(lines)
     first = F.min(F.struct("doc_id", "text_hash", "pos")).alias("first")
     in_docs = keyed.groupBy("template", "doc_id", "text_hash").agg(F.min("pos").alias("pos"), F.count("*").alias("rows"))
@@ -99,16 +151,24 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens:
     return joined.select(*kept, count(lines).alias(n_lines), count(flag).alias(n_dropped))
 
 
-def oracle(min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH) -> str:
+def oracle(min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH, rounds: int = 16) -> str:
+    """SQL with the rounds written out; so many are enough for lines that differ at 2 ** (rounds - 1) positions."""
     flat = f"regexp_replace(trim(regexp_replace(line, '{SPACES}', ' ', 'g')), '[^ ]*[0-9][^ ]*', '<*>', 'g')"
+    steps = "".join(f"""
+places{i} AS MATERIALIZED (SELECT leaf, place, count(DISTINCT token) AS d FROM (SELECT leaf, unnest(ts) AS token, generate_subscripts(ts, 1) AS place FROM members{i}) GROUP BY leaf, place),
+judged{i} AS MATERIALIZED (SELECT leaf, k, count(*) FILTER (d > 1) * CASE WHEN k = 2 THEN 8 ELSE 4 END <= count(*) AS one, list(place ORDER BY d, place) FILTER (d > 1) AS best
+  FROM places{i} JOIN (SELECT leaf, count(*) AS k FROM members{i} GROUP BY leaf) USING (leaf) GROUP BY leaf, k),
+members{i + 1} AS MATERIALIZED (SELECT leaf, ts FROM (SELECT *, count(*) OVER (PARTITION BY leaf) AS k FROM
+  (SELECT md5(leaf || ' ' || array_to_string([ts[p] FOR p IN best[1:{2 ** i}]], ' ')) AS leaf, ts FROM members{i} JOIN judged{i} USING (leaf) WHERE NOT one AND k > 2)) WHERE k > 1),""" for i in range(rounds))
+    shared = " UNION ALL ".join(f"SELECT ts, 'leaf {i} ' || leaf AS shared FROM members{i} JOIN judged{i} USING (leaf) WHERE one" for i in range(rounds))
     return f"""
 WITH docs AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
 lines AS (SELECT doc_id, pos, line, {flat} AS flat FROM (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS pos FROM docs)),
-counted AS (SELECT doc_id, pos, flat, string_split(flat, ' ') AS ts, len(string_split(flat, ' ')) AS n, array_to_string(string_split(flat, ' ')[1:{depth}], ' ') AS lead FROM lines WHERE flat <> '' AND len(string_split(flat, ' ')) >= {min_tokens}),
-places AS (SELECT n, lead, unnest(ts) AS token, generate_subscripts(ts, 1) AS place FROM (SELECT DISTINCT n, lead, ts FROM counted)),
-varied AS (SELECT n, lead, count(DISTINCT token) > 1 AS varies FROM places GROUP BY n, lead, place),
-one AS (SELECT n, lead FROM varied GROUP BY n, lead HAVING count(*) FILTER (varies) BETWEEN 1 AND n // {FIELD_SHARE}),
-keyed AS (SELECT c.doc_id, c.pos, CASE WHEN o.n IS NOT NULL THEN 'leaf ' || c.n || ' ' || c.lead ELSE 'line ' || c.flat END AS template FROM counted c LEFT JOIN one o ON o.n = c.n AND o.lead = c.lead),
+counted AS MATERIALIZED (SELECT doc_id, pos, flat, string_split(flat, ' ') AS ts FROM lines WHERE flat <> '' AND len(string_split(flat, ' ')) >= {min_tokens}),
+members0 AS MATERIALIZED (SELECT leaf, ts FROM (SELECT *, count(*) OVER (PARTITION BY leaf) AS k FROM
+  (SELECT DISTINCT len(ts) || ' ' || array_to_string(ts[1:{depth}], ' ') AS leaf, ts FROM counted)) WHERE k > 1),{steps}
+shared AS ({shared}),
+keyed AS (SELECT c.doc_id, c.pos, coalesce(s.shared, 'line ' || c.flat) AS template FROM counted c LEFT JOIN shared s ON s.ts = c.ts),
 recurring AS (SELECT template, count(DISTINCT doc_id) AS n, min((doc_id, pos)) AS first FROM keyed GROUP BY template HAVING n >= {min_docs}),
 lost AS (SELECT c.doc_id, c.pos FROM keyed c JOIN recurring r USING (template) WHERE (c.doc_id, c.pos) <> r.first),
 marked AS (SELECT l.doc_id, l.pos, l.line, x.pos IS NOT NULL AS gone FROM lines l LEFT JOIN lost x ON x.doc_id = l.doc_id AND x.pos = l.pos)
