@@ -119,7 +119,7 @@ def slow_lines(rows, min_docs, min_tokens, depth):
                 best = sorted((d, i) for i, d in enumerate(found) if d > 1)[:width]
                 for t in ts:
                     parts.setdefault((leaf, tuple(t[i] for _, i in best)), set()).add(t)
-        leaves, width = parts, width * 2
+        leaves, width = parts, width * 4
     groups = {}
     for doc, pos, t in places:
         groups.setdefault(shared.get(t, t), []).append((doc, pos))

@@ -4,7 +4,7 @@ A line goes down a tree of fixed depth: first its token count, then its leading
 digit are fields from the start. At a leaf, the positions that hold more than one token among its distinct lines are
 fields too; where these are few, all lines of the leaf are one template. Else the leaf holds lines that only begin
 alike, and is split by the tokens at the positions with the fewest different ones: first at one position, then at
-two, at four and so on, until each part is one template or a line of its own. So a stray line costs a template
+four, at sixteen and so on, until each part is one template or a line of its own. So a stray line costs a template
 nothing, however many lines share the leaf, and the rounds are no more than the logarithm of a line's length. Two
 lines alone are less evidence than three: they may differ in half as many positions. A template that recurs in
 enough documents is kept where it comes first and dropped elsewhere.
@@ -22,6 +22,8 @@ MIN_TOKENS = 5
 MIN_DOCS = 2
 #: At most one position in so many may be a field of a template of three distinct lines or more, and of one of two.
 FIELD_SHARE, PAIR_SHARE = 4, 8
+#: The positions by which leaves are split are this many times more from round to round.
+WIDER = 4
 SPACES = r"[ \t\r\f\x0B]+"
 #: A token with a digit; tried at token starts only and without backtracking, so long tokens cost no more.
 FIELD = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
@@ -41,37 +43,46 @@ def mixed_leaves(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(leaf, template, tokens): the distinct lines of leaves that hold several, with hashes of their tokens.
 
     ``lines`` (doc_id, text_hash, pos, leaf, template). Of equal lines one is looked at; their texts are fetched once a
-    document. Rows of one document that repeat give a line more than once."""
+    document."""
     mixed = lines.groupBy("leaf").agg(F.min("template").alias("low"), F.max("template").alias("high")).where("low <> high").select("leaf")
     each = lines.join(mixed, "leaf", "left_semi").groupBy("leaf", "template").agg(F.min(F.struct("doc_id", "text_hash", "pos")).alias("at"))
     wanted = each.groupBy("at.doc_id", "at.text_hash").agg(F.collect_list(F.struct("at.pos", "leaf", "template")).alias("wanted"))
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n").alias("lines"))
     same = rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["text_hash"] == wanted["text_hash"])
     found = rows.join(wanted, same).select(F.explode(F.transform("wanted", lambda w: F.struct(w["leaf"].alias("leaf"), w["template"].alias("template"), F.get(F.col("lines"), w["pos"]).alias("line")))).alias("x"))
-    return found.select("x.leaf", "x.template", F.transform(F.split(masked(F.col("x.line")), " "), lambda t: F.xxhash64(t)).alias("tokens"))
+    tokens = found.select("x.leaf", "x.template", F.transform(F.split(masked(F.col("x.line")), " "), lambda t: F.xxhash64(t)).alias("tokens"))
+    return tokens.groupBy("leaf", "template").agg(F.any_value("tokens").alias("tokens"))  # rows of one document may repeat
 
 
-def judged(members: DataFrame) -> DataFrame:
-    """(leaf, k, one): how many distinct lines a leaf has, and whether they are one template."""
-    sizes = members.select("leaf", "template").distinct().groupBy("leaf").agg(F.count("*").alias("k"))
-    places = members.select("leaf", F.posexplode("tokens").alias("at", "token"))
-    varied = places.groupBy("leaf", "at").agg((F.min("token") != F.max("token")).cast("int").alias("varies"))
-    fields = varied.groupBy("leaf").agg(F.sum("varies").alias("fields"), F.count("*").alias("n"))
-    share = F.when(F.col("k") == 2, PAIR_SHARE).otherwise(FIELD_SHARE)
-    return sizes.join(fields, "leaf").select("leaf", "k", ((F.col("k") > 1) & (F.col("fields") * share <= F.col("n"))).alias("one"))
+def leaf_sizes(members: DataFrame) -> DataFrame:
+    """(leaf, k, n, pair): distinct lines, tokens of each, and positions that differ between the first and the last line."""
+    ends = members.groupBy("leaf").agg(F.count("*").alias("k"), F.min_by("tokens", "template").alias("low"), F.max_by("tokens", "template").alias("high"))
+    differ = F.size(F.filter(F.zip_with("low", "high", lambda x, y: x != y), lambda d: d))
+    return ends.select("leaf", "k", F.size("low").alias("n"), differ.alias("pair"))
 
 
-def split_leaves(members: DataFrame, leaves: DataFrame, width: int) -> DataFrame:
+def token_counts(members: DataFrame, leaves: DataFrame) -> DataFrame:
+    """(leaf, at, d): how many different tokens the lines of ``leaves`` (leaf, k) have at a position, where more than one."""
+    own = salted_join(members, leaves.select("leaf"), "leaf", F.xxhash64("template"), heavy_keys(leaves, "leaf", "k"))
+    tokens = own.select("leaf", F.posexplode("tokens").alias("at", "token")).groupBy("leaf", "at", "token").agg(F.lit(1))
+    return tokens.groupBy("leaf", "at").agg(F.count("*").alias("d")).where("d > 1")
+
+
+def judged(sizes: DataFrame, counts: DataFrame) -> DataFrame:
+    """(leaf, k, one): whether the lines of a leaf are one template."""
+    fields = sizes.join(counts.groupBy("leaf").agg(F.count("*").alias("fields")), "leaf", "left")
+    few = F.when(F.col("k") == 2, F.col("pair") * PAIR_SHARE <= F.col("n")).otherwise(F.col("fields") * FIELD_SHARE <= F.col("n"))
+    return fields.select("leaf", "k", ((F.col("k") > 1) & few).alias("one"))
+
+
+def split_leaves(members: DataFrame, leaves: DataFrame, counts: DataFrame, width: int) -> DataFrame:
     """``members`` of ``leaves`` (leaf, k), each in the part of its leaf that its tokens at the leaf's ``width`` positions with
     the fewest different tokens name (ties to the first position), where the part has another line."""
-    heavy = heavy_keys(leaves, "leaf", "k")
-    own = salted_join(members, leaves.select("leaf"), "leaf", F.xxhash64("template"), heavy)
-    tokens = own.select("leaf", F.posexplode("tokens").alias("at", "token")).groupBy("leaf", "at", "token").agg(F.lit(1))
-    counts = tokens.groupBy("leaf", "at").agg(F.count("*").alias("d")).where("d > 1")
-    best = counts.groupBy("leaf").agg(F.transform(F.slice(F.array_sort(F.collect_list(F.struct("d", "at"))), 1, width), lambda x: x["at"]).alias("places"))
+    ranked = counts.join(leaves.select("leaf"), "leaf").groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("d", "at"))).alias("ranked"))
+    best = ranked.select("leaf", F.transform(F.slice("ranked", 1, width), lambda x: x["at"]).alias("places"))
     key = F.xxhash64("leaf", F.transform("places", lambda p: F.get(F.col("tokens"), p)))
-    parts = stash(salted_join(members, best, "leaf", F.xxhash64("template"), heavy).select(key.alias("leaf"), "template", "tokens"), "parts")
-    several = parts.groupBy("leaf").agg(F.min("template").alias("low"), F.max("template").alias("high"), F.count("*").alias("k")).where("low <> high").select("leaf", "k")
+    parts = stash(salted_join(members, best, "leaf", F.xxhash64("template"), heavy_keys(leaves, "leaf", "k")).select(key.alias("leaf"), "template", "tokens"), "parts")
+    several = parts.groupBy("leaf").agg(F.count("*").alias("k")).where("k > 1")
     back = stash(salted_join(parts, several.select("leaf"), "leaf", F.xxhash64("template"), heavy_keys(several, "leaf", "k")), "members")
     discard(parts)
     return back
@@ -81,19 +92,21 @@ def shared_templates(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(template, shared): the lines that are one template with others, and its key."""
     members, width, out = stash(mixed_leaves(docs, lines), "members"), 1, []
     while True:
-        leaves = stash(judged(members), "leaves")
+        sizes = stash(leaf_sizes(members), "sizes")
+        counts = stash(token_counts(members, sizes.where("k > 2")), "counts")
+        leaves = stash(judged(sizes, counts), "leaves")
         ones = leaves.where("one")
         key = F.unhex(F.md5(F.concat(F.lit(f"leaf {width} "), F.col("leaf").cast("string"))))
-        settled = salted_join(members.select("leaf", "template").distinct(), ones.select("leaf"), "leaf", F.xxhash64("template"), heavy_keys(ones, "leaf", "k"))
+        settled = salted_join(members.select("leaf", "template"), ones.select("leaf"), "leaf", F.xxhash64("template"), heavy_keys(ones, "leaf", "k"))
         out.append(stash(settled.select("template", key.alias("shared")), "shared"))
         rest = leaves.where("not one and k > 2").select("leaf", "k")  # of two lines each part would be one line
         last = rest.isEmpty()
-        after = None if last else split_leaves(members, rest, width)
-        discard(members)
-        discard(leaves)
+        after = None if last else split_leaves(members, rest, counts, width)
+        for used in (members, sizes, counts, leaves):
+            discard(used)
         if last:
             break
-        members, width = after, width * 2
+        members, width = after, width * WIDER
     whole = out[0]
     for x in out[1:]:
         whole = whole.unionByName(x)
@@ -151,15 +164,15 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens:
     return joined.select(*kept, count(lines).alias(n_lines), count(flag).alias(n_dropped))
 
 
-def oracle(min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH, rounds: int = 16) -> str:
-    """SQL with the rounds written out; so many are enough for lines that differ at 2 ** (rounds - 1) positions."""
+def oracle(min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH, rounds: int = 8) -> str:
+    """SQL with the rounds written out; so many are enough for lines that differ at 4 ** (rounds - 1) positions."""
     flat = f"regexp_replace(trim(regexp_replace(line, '{SPACES}', ' ', 'g')), '[^ ]*[0-9][^ ]*', '<*>', 'g')"
     steps = "".join(f"""
 places{i} AS MATERIALIZED (SELECT leaf, place, count(DISTINCT token) AS d FROM (SELECT leaf, unnest(ts) AS token, generate_subscripts(ts, 1) AS place FROM members{i}) GROUP BY leaf, place),
 judged{i} AS MATERIALIZED (SELECT leaf, k, count(*) FILTER (d > 1) * CASE WHEN k = 2 THEN 8 ELSE 4 END <= count(*) AS one, list(place ORDER BY d, place) FILTER (d > 1) AS best
   FROM places{i} JOIN (SELECT leaf, count(*) AS k FROM members{i} GROUP BY leaf) USING (leaf) GROUP BY leaf, k),
 members{i + 1} AS MATERIALIZED (SELECT leaf, ts FROM (SELECT *, count(*) OVER (PARTITION BY leaf) AS k FROM
-  (SELECT md5(leaf || ' ' || array_to_string([ts[p] FOR p IN best[1:{2 ** i}]], ' ')) AS leaf, ts FROM members{i} JOIN judged{i} USING (leaf) WHERE NOT one AND k > 2)) WHERE k > 1),""" for i in range(rounds))
+  (SELECT md5(leaf || ' ' || array_to_string([ts[p] FOR p IN best[1:{4 ** i}]], ' ')) AS leaf, ts FROM members{i} JOIN judged{i} USING (leaf) WHERE NOT one AND k > 2)) WHERE k > 1),""" for i in range(rounds))
     shared = " UNION ALL ".join(f"SELECT ts, 'leaf {i} ' || leaf AS shared FROM members{i} JOIN judged{i} USING (leaf) WHERE one" for i in range(rounds))
     return f"""
 WITH docs AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
