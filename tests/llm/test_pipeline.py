@@ -4,7 +4,8 @@ import random
 
 import corpus_pipeline
 import numpy as np
-from wordspan.llm import decontaminate, shingles
+import pytest
+from wordspan.llm import decontaminate, shingles, simhash
 
 
 def brute_kept(texts):
@@ -49,6 +50,60 @@ def test_split_bands_are_compared_whole():
     assert {tuple(sorted(p)) for p in zip(a.tolist(), b.tolist())} in ({(0, 1), (0, 3)}, {(0, 1), (1, 3)})
 
 
+def similar_sets(rng, size):
+    """Two sets of hashes, one of ``size``, whose similarity is 0.8 or little more."""
+    both = rng.integers(0, 1 << 63, 2 * size, dtype=np.uint64)
+    gone = max(g for g in range(size) if 5 * (size - g) >= 4 * (size + g)) if size >= 9 else 0
+    return (both[:size], both[gone : size + gone]) if gone else (both[:size], both[: size + 1])
+
+
+@pytest.mark.parametrize("width", [8, 16])
+def test_wide_fingerprints_find_pairs_of_the_least_similarity(width):
+    rng, masks = np.random.default_rng(5), simhash.wide_masks(1 << (width + 7))
+    assert len(masks[0]) == width
+    for size in (4, 13, 60, 300):
+        found = 0
+        for _ in range(1000):
+            a, b = (np.unpackbits(simhash.wide_fingerprint(x).view(np.uint8), bitorder="little") for x in similar_sets(rng, size))
+            differ = a != b
+            near = differ[:64].sum() <= simhash.FIRST and differ.sum() <= simhash.ALL
+            found += bool(near and any(not differ[m].any() for m in masks))
+        assert found >= 996
+
+
+def test_gray_trees_give_the_components_of_wide_fingerprints():
+    rng = np.random.default_rng(6)
+    rows = []
+    for key, size in enumerate((1, 2, 300, 700)):
+        base = rng.integers(0, 1 << 63, (max(1, size // 9), 4), dtype=np.uint64)
+        for code in base[rng.integers(0, len(base), size)]:
+            flips = np.packbits(rng.random(256) < 0.09, bitorder="little").view(np.uint64)
+            rows.append((key, *(code ^ flips)))
+    codes, keys = np.array([r[1:] for r in rows], dtype=np.uint64), np.array([r[0] for r in rows])
+    rank = codes[:, 0].copy()
+    for k in (1, 2, 4, 8, 16, 32):
+        rank ^= rank >> np.uint64(k)
+    order = np.lexsort((rank, keys))
+    codes, keys = codes[order], keys[order]
+    apart = np.bitwise_count(codes[:, None] ^ codes[None])
+    near = (apart[:, :, 0] <= simhash.FIRST) & (apart.sum(axis=2, dtype=np.int64) <= simhash.ALL) & (keys[:, None] == keys)
+    slow = np.arange(len(codes))
+    while (low := np.where(near, slow[None], len(codes)).min(axis=1)).tolist() != slow.tolist():
+        slow = low
+    got = simhash.wide_roots(codes, keys)
+    assert len(set(slow.tolist())) < len(slow)
+    for i in range(len(slow)):  # neighbours in Gray order join by all words alone, so components may be larger, never smaller
+        assert got[i] == got[slow[i]]
+
+
+def test_near_copies_come_through_the_gray_trees(spark, monkeypatch):
+    base = [f"w{i}" for i in range(80)]
+    docs = spark.createDataFrame([(1, " ".join(base)), (2, " ".join([*base, "more"]))], "doc_id long, text string")
+    assert [r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()] == [1]
+    monkeypatch.setattr(simhash, "wide_roots", lambda codes, keys: np.arange(len(codes)))
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == [1, 2]
+
+
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, own string, _own string, row string, score string, text_hash string"
 
 

@@ -1,10 +1,9 @@
-"""Near copies by the Jaccard similarity of word shingles: candidates by bands of minima, then exact sets.
+"""The exact Jaccard similarity of sets of word shingles.
 
-Texts whose sets of five-word shingles are equal are one node. Nodes that share one of twenty bands of
-five minima are candidates: a pair of similarity 0.8 is missed once in 2,500 times, one of 0.9 once in
-some 60 million. No candidate counts before its sets are compared. First every node of a band is
-compared with the band's first one; what bands are still split after that are compared whole, but for
-pairs that are linked already.
+Texts whose sets of five-word shingles are equal are one node. Candidates come as groups of nodes (see
+``simhash``); none counts before its sets are compared. First every node of a group is compared with the
+group's first one; what groups are still split after that are compared whole, but for pairs that are
+linked already.
 """
 
 from __future__ import annotations
@@ -15,23 +14,14 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import connected_components, heavy_keys, local_roots, mix, salted_join, stash, text_bytes
+from .common import local_roots, mix, text_bytes
 
 WORDS = 5
 #: Least similarity of a link, as a fraction of whole numbers.
 SIMILAR = (4, 5)
-BANDS = 20
-ROWS = 5
-SLICE = 1 << 14
 
-_rng = np.random.default_rng(20)
-_XOR = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)[:, None]
-_ODD = (_rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) << np.uint64(1) | np.uint64(1))[:, None]
 _PLACE = mix(np.arange(1, WORDS + 2, dtype=np.uint64)) | np.uint64(1)
-_ROW = mix(np.arange(50, 50 + ROWS, dtype=np.uint64)) | np.uint64(1)
-_BAND = mix(np.arange(90, 90 + BANDS, dtype=np.uint64))
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -48,14 +38,6 @@ def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
     return np.unique(mix(out))
 
 
-def bands(own: np.ndarray) -> np.ndarray:
-    """The keys of a set's bands; those of an empty set are all one."""
-    low = np.full(BANDS * ROWS, ~np.uint64(0), dtype=np.uint64)
-    for at in range(0, len(own), SLICE):
-        low = np.minimum(low, ((own[None, at : at + SLICE] ^ _XOR) * _ODD).min(axis=1))
-    return mix((mix(low.reshape(BANDS, ROWS)) * _ROW).sum(axis=1, dtype=np.uint64) + _BAND)
-
-
 def similar(inter: np.ndarray | int, a: np.ndarray | int, b: np.ndarray | int):
     """Whether sets of a and b elements that share ``inter`` have the least similarity."""
     part, whole = SIMILAR
@@ -91,19 +73,6 @@ def bucket_links(roots: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray,
     return a, b
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """(own, text_hash, node, bands) for every row of (own long, text_hash long, text)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [shingles(x) for x in text_bytes(b.column(2))]
-            node = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], dtype=np.uint64).view(np.int64)
-            keys = pa.array([bands(s).view(np.int64) for s in sets], type=pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node), keys], names=["own", "text_hash", "node", "bands"])
-
-    return docs.mapInArrow(run, "own long, text_hash long, node long, bands array<long>")
-
-
 def linked(pairs: DataFrame) -> DataFrame:
     """The pairs (u, v) of (u, v, a, b) whose texts a and b are similar."""
 
@@ -118,8 +87,8 @@ def linked(pairs: DataFrame) -> DataFrame:
     return pairs.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
-def linked_in_bands(members: DataFrame) -> DataFrame:
-    """Links (u, v) among all members of each band of (key, node, root, text); holds the sets of one band."""
+def linked_in_groups(members: DataFrame) -> DataFrame:
+    """Links (u, v) among all members of each group of (key, node, root, text); holds the sets of one group."""
 
     def links(nodes: list[int], roots: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
         a, b = bucket_links(np.array(roots), sets)
@@ -141,33 +110,3 @@ def linked_in_bands(members: DataFrame) -> DataFrame:
             yield links(nodes, roots, sets)
 
     return members.repartition("key").sortWithinPartitions("key").select("key", "node", "root", "text").mapInArrow(run, "u long, v long")
-
-
-def near_classes(docs: DataFrame) -> DataFrame:
-    """(own, text_hash, first) for every row of (own long, text): the smallest (own, text_hash) reachable over similar texts.
-
-    Texts without words are one class."""
-    rows = docs.withColumn("text_hash", F.xxhash64("text"))
-    sketch = stash(sketches(rows.select("own", "text_hash", F.col("text").cast("string"))), "sketches")
-    nodes = stash(sketch.groupBy("node").agg(F.min(F.struct("own", "text_hash", "bands")).alias("low")).select("node", "low.*"), "nodes")
-    keyed = nodes.select("node", F.explode("bands").alias("key"))
-    leaders = stash(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("u")).where("n > 1"), "leaders")
-    shared = stash(salted_join(keyed, leaders, "key", F.xxhash64("node"), heavy_keys(leaders, "key")), "shared")
-    pairs = stash(shared.where("node <> u").select("u", F.col("node").alias("v")).distinct(), "pairs")
-    wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", "own", "text_hash")
-    texts = stash(rows.join(wanted, ["own", "text_hash"]).select("node", "text").dropDuplicates(["node"]), "texts")
-    heavy = heavy_keys(pairs.groupBy("u").agg(F.count("*").alias("n")), "u")
-    both = salted_join(pairs.join(texts.select(F.col("node").alias("v"), F.col("text").alias("b")), "v"), texts.select(F.col("node").alias("u"), F.col("text").alias("a")), "u", F.xxhash64("v"), heavy)
-    links = stash(linked(both), "links")
-    classes = stash(connected_components(links), "components")
-    rooted = shared.select("key", "node").join(classes, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    split = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-    rest = stash(rooted.join(split, "key", "left_semi"), "split")
-    more = stash(linked_in_bands(rest.join(texts, "node")), "links")
-    ends = stash(connected_components(links.unionByName(more)), "components")
-    named = nodes.join(ends, "node", "left").select("node", "own", "text_hash", F.coalesce("root", "node").alias("root"))
-    lowest = named.groupBy("root").agg(F.count("*").alias("n"), F.min(F.struct("own", "text_hash")).alias("first"))
-    heavy = heavy_keys(lowest.select("root", "n"), "root")
-    classes = stash(salted_join(named.select("node", "root"), lowest.select("root", "first"), "root", F.xxhash64("node"), heavy).select("node", "first"), "classes")
-    sizes = sketch.groupBy("node").agg(F.count("*").alias("n"))
-    return salted_join(sketch.select("own", "text_hash", "node"), classes, "node", F.xxhash64("own", "text_hash"), heavy_keys(sizes, "node")).select("own", "text_hash", "first")

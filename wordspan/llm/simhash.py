@@ -6,10 +6,16 @@ the other 48 bits, so each such pair meets below at least one of sixteen masks.
 fingerprints are sorted by Gray rank, runs of neighbours are factored into nodes that hold the bits
 all of them share, and a search adds up differences from the root down, leaving a node with all its
 fingerprints as soon as more than three have come together.
+
+The same index finds near copies by Jaccard similarity (``near_classes``): there a fingerprint is of five-word
+shingles and has 256 bits, since texts of similarity 0.8 differ in some 15 % of the bits. Masks have few bits
+then, about as many as leave some 256 fingerprints to a mask's pattern, and their number follows from a target
+recall. What the trees hold together is compared exactly.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,13 +24,26 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, heavy_keys, local_roots, names_free, salted_join, stash, text_bytes, unsigned_hex
-from .shingles import near_classes
+from .common import connected_components, discard, heavy_keys, local_roots, mix, names_free, salted_join, stash, text_bytes, unsigned_hex
+from .shingles import linked, linked_in_groups, shingles
 
 FANOUT = 4
 BATCH_ENTRIES = 200_000
 FRONTIER = 2_000_000
 
+#: Wide fingerprints, for similarity: 64-bit words, and the differing bits allowed in the word that has the tree and in all.
+WORDS = 4
+FIRST, ALL = 22, 66
+#: How often a bit differs at most between sets of similarity 0.8 (small sets; 0.15 in large ones).
+DIFFER = 0.16
+#: How many pairs of that share of differing bits may lie below no common mask.
+MISSED = 1 / 2500
+#: Smaller sets have no other set that is similar enough.
+LEAST = 4
+MASKS_A_PASS = 16
+SLICE = 1 << 14
+_WORD = mix(np.arange(200, 200 + WORDS, dtype=np.uint64))
+
 
 def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
     """The unsigned 64-bit SimHash of one text; 0 without words."""
@@ -114,8 +133,17 @@ class GrayTree:
             pattern, mask, size = ones & shared, shared, blocks
         self.root = pattern, mask
 
-    def links(self, query: np.ndarray, root: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (query, later leaf) at most ``distance`` apart, searching each query from its root."""
+    def uniform(self, label: np.ndarray) -> list[np.ndarray]:
+        """For the nodes of each level, from the leaves to the roots, the label that all leaves below share; else -1."""
+        out = [label]
+        for _, _, lo, _ in self.levels:
+            low, high = np.minimum.reduceat(out[-1], lo), np.maximum.reduceat(out[-1], lo)
+            out.append(np.where(low == high, low, -1))
+        return out
+
+    def links(self, query: np.ndarray, root: np.ndarray, distance: int, known: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, later leaf) at most ``distance`` apart, searching each query from its root; with ``known``
+        (see ``uniform``) nodes are left whose leaves all have the query's label."""
         pattern, mask = self.root
         node, apart = root, np.bitwise_count((self.codes[query] ^ pattern[root]) & mask[root])
         for depth in range(len(self.levels) - 1, -1, -1):
@@ -125,6 +153,8 @@ class GrayTree:
             query, apart = np.repeat(query, n), np.repeat(apart, n)
             apart = apart + np.bitwise_count((self.codes[query] ^ pattern[child]) & mask[child])
             keep = (apart <= distance) & (self.below[depth][child] > query + 1)
+            if known is not None:
+                keep &= known[depth][child] != known[0][query]
             query, node, apart = query[keep], child[keep], apart[keep]
         return query, node
 
@@ -199,11 +229,160 @@ def near_groups(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFrame
     return salted_join(fps, named, "fp", F.xxhash64("doc_id"), copies).select("doc_id", unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+# -- near copies by similarity ---------------------------------------------------------------------
+
+
+def wide_fingerprint(own: np.ndarray) -> np.ndarray:
+    """The SimHash of a set of 64-bit shingle hashes, in words. A mark that all texts have counts as a shingle, so that
+    there are fewer ties in small sets."""
+    ones = np.unpackbits(_WORD.view(np.uint8), bitorder="little").astype(np.int64)
+    for at in range(0, len(own), SLICE):
+        hashes = mix(own[at : at + SLICE, None] ^ _WORD)
+        ones += np.unpackbits(hashes.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+    return np.packbits(2 * ones > len(own) + 1, bitorder="little").view(np.uint64)
+
+
+def wide_masks(nodes: int) -> list[np.ndarray]:
+    """The bits of each mask for so many fingerprints."""
+    bits, width = 64 * WORDS, max(4, nodes.bit_length() - 8)
+    apart = [math.comb(bits, d) * DIFFER**d * (1 - DIFFER) ** (bits - d) for d in range(bits + 1)]
+    shared = [math.comb(bits - d, width) / math.comb(bits, width) for d in range(bits + 1)]
+    number = 1
+    while sum(a * (1 - s) ** number for a, s in zip(apart, shared)) > MISSED:
+        number += 1
+    rng, out = np.random.default_rng(20), []
+    while len(out) < number:
+        out += np.split(rng.permutation(bits)[: bits // width * width], bits // width)
+    return out[:number]
+
+
+def wide_roots(codes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """For each of some fingerprints (rows of words, sorted by key, then Gray rank of the first word) the first one that it
+    reaches, below its key, over fingerprints within ALL bits. Trees are of the first word."""
+    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    ends = np.concatenate([start[1:], [len(keys)]])
+    tree, run = GrayTree(codes[:, 0], start, ends), np.repeat(np.arange(len(start)), ends - start)
+
+    def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(codes[a] ^ codes[b]).sum(axis=1, dtype=np.int64) <= ALL
+
+    at = np.flatnonzero(run[1:] == run[:-1])
+    at = at[near(at, at + 1)]  # neighbours in Gray order first: what they join isn't searched
+    roots = local_roots(len(codes), np.arange(len(codes)), at, at + 1)
+    rest = np.flatnonzero(tree.uniform(roots)[-1][run] == -1)
+    work = np.cumsum((ends - start)[run[rest]])
+    at = 0
+    while at < len(rest):
+        to = max(at + 1, int(np.searchsorted(work, (work[at - 1] if at else 0) + FRONTIER)))
+        a, b = tree.links(rest[at:to], run[rest[at:to]], FIRST, tree.uniform(roots))
+        close = near(a, b)
+        roots = local_roots(len(codes), roots, a[close], b[close])
+        at = to
+    return roots
+
+
+def wide_groups(nodes: DataFrame, masks: list[np.ndarray], first: int) -> DataFrame:
+    """(key, node) of nodes (node, fp), with repetitions: the groups, of two or more, that the trees below ``masks`` (from
+    number ``first``) hold together. Equal groups have equal keys."""
+    words = [f"w{k}" for k in range(WORDS)]
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            codes = np.stack([b.column(1 + k).to_numpy() for k in range(WORDS)], axis=1).view(np.uint64)
+            bits = np.unpackbits(np.ascontiguousarray(codes).view(np.uint8), axis=1, bitorder="little")
+            for number, mask in enumerate(masks, first):
+                key = bits[:, mask].astype(np.int64) @ (np.int64(1) << np.arange(len(mask))) + (number << 48)
+                yield pa.RecordBatch.from_arrays([pa.array(key), *b.columns], names=["key", "node", *words])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+        for b in batches:
+            parts.append(np.stack([c.to_numpy() for c in b.columns], axis=1))
+            held += b.num_rows
+            if held >= BATCH_ENTRIES:
+                rows = np.concatenate(parts)
+                cut = int(np.searchsorted(rows[:, 0], rows[-1, 0]))  # the last run may go on
+                if cut:
+                    yield grouped(rows[:cut])
+                parts, held = [rows[cut:]], len(rows) - cut
+        if held:
+            yield grouped(np.concatenate(parts))
+
+    def grouped(rows: np.ndarray) -> pa.RecordBatch:
+        roots = wide_roots(np.ascontiguousarray(rows[:, 2:]).view(np.uint64), rows[:, 0])
+        some, key = np.flatnonzero(np.bincount(roots, minlength=len(roots))[roots] > 1), np.zeros(len(roots), dtype=np.uint64)
+        np.add.at(key, roots[some], mix(rows[some, 1].view(np.uint64)))
+        return pa.RecordBatch.from_arrays([pa.array(mix(key[roots[some]]).view(np.int64)), pa.array(rows[some, 1])], names=["key", "node"])
+
+    keyed = nodes.select("node", *[F.col("fp")[k].alias(w) for k, w in enumerate(words)]).mapInArrow(spread, "key long, node long, " + ", ".join(f"{w} long" for w in words))
+    ordered = keyed.withColumn("rank", gray_rank(F.col("w0"))).repartition("key").sortWithinPartitions("key", "rank").select("key", "node", *words)
+    return ordered.mapInArrow(run, "key long, node long")
+
+
+def sketches(docs: DataFrame) -> DataFrame:
+    """(own, text_hash, node, fp) for every row of (own long, text_hash long, text): node is of the set of shingles, fp its
+    wide fingerprint, null where no other set can be similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingles(x) for x in text_bytes(b.column(2))]
+            node = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], dtype=np.uint64).view(np.int64)
+            codes = pa.array([wide_fingerprint(s).view(np.int64) if len(s) >= LEAST else None for s in sets], type=pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node), codes], names=["own", "text_hash", "node", "fp"])
+
+    return docs.mapInArrow(run, "own long, text_hash long, node long, fp array<long>")
+
+
+def candidates(nodes: DataFrame) -> DataFrame:
+    """(key, node): the groups of nodes (node, fp) that are to be compared exactly, found by the Gray trees below all masks."""
+    some = nodes.where("fp is not null")
+    masks, parts = wide_masks(some.count()), []
+    for first in range(0, len(masks), MASKS_A_PASS):
+        parts.append(stash(wide_groups(some, masks[first : first + MASKS_A_PASS], first).distinct(), "groups"))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    whole = stash(whole.distinct(), "groups")
+    for part in parts:
+        discard(part)
+    return whole
+
+
+def near_classes(docs: DataFrame) -> DataFrame:
+    """(own, text_hash, first) for every row of (own long, text): the smallest (own, text_hash) reachable over similar texts.
+
+    Texts without words are one class."""
+    rows = docs.withColumn("text_hash", F.xxhash64("text"))
+    sketch = stash(sketches(rows.select("own", "text_hash", F.col("text").cast("string"))), "sketches")
+    nodes = stash(sketch.groupBy("node").agg(F.min(F.struct("own", "text_hash", "fp")).alias("low")).select("node", "low.*"), "nodes")
+    keyed = candidates(nodes.select("node", "fp"))
+    leaders = stash(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("u")).where("n > 1"), "leaders")
+    shared = stash(salted_join(keyed, leaders, "key", F.xxhash64("node"), heavy_keys(leaders, "key")), "shared")
+    pairs = stash(shared.where("node <> u").select("u", F.col("node").alias("v")).distinct(), "pairs")
+    wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", "own", "text_hash")
+    texts = stash(rows.join(wanted, ["own", "text_hash"]).select("node", "text").dropDuplicates(["node"]), "texts")
+    heavy = heavy_keys(pairs.groupBy("u").agg(F.count("*").alias("n")), "u")
+    both = salted_join(pairs.join(texts.select(F.col("node").alias("v"), F.col("text").alias("b")), "v"), texts.select(F.col("node").alias("u"), F.col("text").alias("a")), "u", F.xxhash64("v"), heavy)
+    links = stash(linked(both), "links")
+    classes = stash(connected_components(links), "components")
+    rooted = shared.select("key", "node").join(classes, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    split = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
+    rest = stash(rooted.join(split, "key", "left_semi"), "split")
+    more = stash(linked_in_groups(rest.join(texts, "node")), "links")
+    ends = stash(connected_components(links.unionByName(more)), "components")
+    named = nodes.join(ends, "node", "left").select("node", "own", "text_hash", F.coalesce("root", "node").alias("root"))
+    lowest = named.groupBy("root").agg(F.count("*").alias("n"), F.min(F.struct("own", "text_hash")).alias("first"))
+    heavy = heavy_keys(lowest.select("root", "n"), "root")
+    classes = stash(salted_join(named.select("node", "root"), lowest.select("root", "first"), "root", F.xxhash64("node"), heavy).select("node", "first"), "classes")
+    sizes = sketch.groupBy("node").agg(F.count("*").alias("n"))
+    return salted_join(sketch.select("own", "text_hash", "node"), classes, "node", F.xxhash64("own", "text_hash"), heavy_keys(sizes, "node")).select("own", "text_hash", "first")
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with their columns, that are the smallest doc_id of their near-duplicate group.
 
-    Here near means five-word shingles of Jaccard similarity 0.8 or more (see ``shingles``): such texts
-    differ in some ten bits of a fingerprint, at times in twenty, too many for masks to leave few pairs.
+    Here near means five-word shingles of Jaccard similarity 0.8 or more: candidates are found by fingerprints of
+    256 bits in Gray trees and compared exactly.
     A row is known by its id and its text, so texts that share an id are judged each; ids are below 2**62, and
     rows without one come after all others of their group. Of rows that repeat id and text, the one whose other
     columns come first in order stays."""
