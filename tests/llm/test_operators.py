@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import zlib
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -13,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from wordspan.llm import ann, chat, decontaminate, licenses, lines, packing, quality, simhash, suffixes, toxicity
-from wordspan.llm.common import connected_components, local_roots
+from wordspan.llm.common import connected_components, local_roots, shared_folder
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, fp int, tokens string"
 LONG = " ".join(f"w{i % 997}" for i in range(30_000))
@@ -438,6 +439,17 @@ def test_suffixes(spark, batches):
     assert got == brute_repeats(rows, 100)
 
 
+def test_suffix_arrays_go_once_spans_are_found(spark):
+    rng = random.Random(9)
+    shared = "".join(rng.choice("abcd ") for _ in range(300))
+    docs = spark.createDataFrame([(i, f"{i} " + shared[rng.randrange(100) :]) for i in range(30)], "doc_id long, text string")
+    folder = Path(shared_folder(spark).removeprefix("file://"))
+    before = set(folder.glob("*")) if folder.exists() else set()
+    done = suffixes.dedup([docs.where(F.col("doc_id") % 3 == k) for k in range(3)])
+    assert {x.name.split("-")[0] for x in set(folder.glob("*")) - before} == {"repeats"}
+    assert done.agg(F.sum("n_removed")).first()[0] > 0
+
+
 def test_suffixes_with_repeated_and_null_ids(spark, odd):
     got = {}
     for r in suffixes.dedup([odd]).collect():

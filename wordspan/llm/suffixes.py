@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Rolling, mix, stash, text_bytes
+from .common import Rolling, discard, mix, stash, sweep, text_bytes
 
 MATCH = 100
 GRAM = 24
@@ -116,6 +116,8 @@ class SuffixFamily:
         self.levels: dict[int, DataFrame] = {}
         self.spans: list[DataFrame] = []
         self.noted: list[DataFrame] = []
+        self.tables: dict[int, DataFrame] = {}  # of each level, with spans and noted runs of its batch
+        self.done: list[DataFrame] = []
 
     def add(self, docs: DataFrame) -> None:
         """Scan a batch (doc long, text string) against all levels, and merge levels of its size."""
@@ -134,15 +136,23 @@ class SuffixFamily:
         done = stash(rows.withColumn("part", part).where("part is not null").select("h", "r", "doc", "start", "len", F.coalesce("mixed", F.lit(False)).alias("mixed"), "part"), "suffixes", ("part",))
         for k in [k for k in self.levels if k < level]:
             self.levels.pop(k)  # its entries are in the new level; the rest of its table is still read
-        self.levels[level] = done.where("part = 'level'")
+            discard(self.tables.pop(k), "part=level")
+        self.levels[level], self.tables[level] = done.where("part = 'level'"), done
+        self.done.append(done)
         self.spans.append(done.where("part = 'span'").select("doc", "start", "len"))
         self.noted.append(done.where("part = 'noted'"))
 
     def repeats(self, docs: DataFrame) -> DataFrame:
-        """(doc, start, len), overlapping and with repetitions: bytes of windows that start earlier too."""
+        """(doc, start, len), overlapping and with repetitions: bytes of windows that start earlier too. The family ends
+        with it: its arrays are deleted."""
         noted = [x.where("mixed") for x in self.levels.values()] + self.noted
         out = self._union(self.spans)
-        wanted = self._union([x.select("h", "doc", "start", "len") for x in noted]).distinct()
+        wanted = stash(self._union([x.select("h", "doc", "start", "len") for x in noted]).distinct(), "noted")
+        for table in self.done:  # spans are all that is read of them from here on
+            discard(table, "part=level")
+            discard(table, "part=noted")
+        self.levels, self.tables, self.noted = {}, {}, []
+        self.done.append(wanted)
         return out.unionByName(equal_windows(docs, wanted, self.match))
 
     @staticmethod
@@ -220,6 +230,9 @@ def removed_spans(parts: list[DataFrame], match: int = MATCH, gram: int = GRAM)
     for batch in batches:
         family.add(batch)
     found = stash(family.repeats(whole.select("doc", "text")), "repeats")
+    for table in family.done:
+        discard(table)
+    sweep(whole.sparkSession)  # texts were shuffled for it, and are again for the result
     return found.groupBy("doc").agg(F.collect_list(F.struct("start", "len")).alias("spans")), whole
 
 
