@@ -234,6 +234,20 @@ def test_long_words_and_blanks():
     assert len(quality.word_hashes(text)) == 4 and quality.word_hashes(b"A b")[0] == quality.word_hashes(b"a")[0]
 
 
+def test_grams_of_a_slice_are_those_of_its_texts():
+    texts = [b"", b"One two  one", b" \x0b", b"three\n", b"x" * 300_000 + b" y" + b" z" * 200_000, b"one two"]
+    whole, at = quality.Grams(texts, 3), 0
+    for i, text in enumerate(texts):
+        own = quality.Grams([text], 3)
+        n = len(own.last)
+        assert whole.size[i] == own.size[0] == len(text.split()) and (whole.doc[at : at + n] == i).all()
+        places = np.flatnonzero(own.scored)
+        for k in (1, 2, 3):
+            assert (whole.key(k, at + places) == own.key(k, places)).all()
+        at += n
+    assert at == len(whole.last) and quality.words_of(b"a bc")[0].tolist() == [0, 2]
+
+
 def test_toxicity(spark, odd, labels):
     bad = ["plain words then idiot again", "what a moron he is", "some clown came by"]
     rng = random.Random(5)

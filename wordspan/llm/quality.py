@@ -39,7 +39,7 @@ SHARD_KEYS = 1 << 18
 #: Ids of trusted texts that are copied to all tasks; more of them are joined by key.
 BROADCAST_IDS = 2_000_000
 SLICE_BYTES, SLICE_ROWS = 2_000_000, 1024
-CHUNK = 2_000_000
+CHUNK = 1 << 17
 WORD_BITS = 40
 BEGIN, END = 1, 2
 
@@ -50,18 +50,26 @@ _BLANKS = (b" ", b"\t", b"\n", b"\v", b"\f", b"\r")
 _P = [np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """The hashes of a text's words; a long text is taken in pieces that end at white space."""
-    out, at = [], 0
+def words_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where a text's words begin and their hashes; the text is taken in pieces that end at white space."""
+    begins, out, at = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)], 0
     while at < len(text):
         end = len(text)
         if end - at > CHUNK:
-            end = min((x for x in (text.find(b, at + CHUNK) for b in _BLANKS) if x >= 0), default=end)
+            piece = text[at + CHUNK : at + 2 * CHUNK]  # the next white space is near, as a rule
+            end = min((at + CHUNK + x for x in map(piece.find, _BLANKS) if x >= 0), default=None) or min((x for x in (text.find(b, at + CHUNK) for b in _BLANKS) if x >= 0), default=end)
         plain = _KIND[np.frombuffer(text[at:end], dtype=np.uint8)]
-        edge = np.diff(np.concatenate([[0], (plain != 32).view(np.int8), [0]]))
-        out.append(Rolling(plain).of(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)) >> np.uint64(64 - WORD_BITS))
+        edge = np.diff(np.concatenate([[0], (plain != 32).view(np.int8), [0]]).astype(np.int8))
+        first = np.flatnonzero(edge == 1)
+        begins.append(first + at)
+        out.append(Rolling(plain).of(first, np.flatnonzero(edge == -1)) >> np.uint64(64 - WORD_BITS))
         at = end
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+    return np.concatenate(begins), np.concatenate(out)
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """The hashes of a text's words."""
+    return words_of(text)[1]
 
 
 def _round(x: np.ndarray, seed: np.ndarray | np.uint64) -> np.ndarray:
@@ -80,24 +88,29 @@ def pair_hash(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
 
 
 class Grams:
-    """The n-grams of some texts, each with ``order`` - 1 begin marks and an end mark. keys[k - 1]: the key of the k words
-    that end at each place; doc: whose; inner: whether the place is a word or the end mark; last: the word there."""
+    """The n-grams of some texts, each with ``order`` - 1 begin marks and an end mark. doc: whose each place is;
+    inner: whether the place is a word or the end mark; last: the word there."""
 
     def __init__(self, texts: list[bytes], order: int):
-        words = [word_hashes(t) for t in texts]
-        self.size = np.array([len(w) for w in words], dtype=np.int64)
-        begin, end = np.full(order, BEGIN, dtype=np.uint64), np.array([END], dtype=np.uint64)
-        self.last = np.concatenate([x for w in words for x in (begin, w, end)] or [end[:0]])
+        begins, words = words_of(b" ".join(texts))  # all at once: calls cost more than short texts
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        self.size = np.bincount(np.searchsorted(ends, begins, side="right"), minlength=len(texts))
         span = self.size + order + 1
-        self.doc = np.repeat(np.arange(len(words)), span)
+        self.doc = np.repeat(np.arange(len(texts)), span)
         place = np.arange(len(self.doc)) - np.repeat(np.cumsum(span) - span, span)
-        self.keys = [self.last]
-        for _ in range(order - 1):
-            before = np.concatenate([self.last[:1], self.keys[-1][:-1]])
-            self.keys.append(pair_hash(before, self.keys[-1]))
+        end = np.cumsum(span) - 1
+        word = place >= order
+        word[end] = False
+        self.last = np.full(len(self.doc), BEGIN, dtype=np.uint64)
+        self.last[end] = END
+        self.last[word] = words
         self.inner = place >= order
         self.scored = place >= order - 1  # the last begin mark is a context
 
+    def key(self, k: int, at: np.ndarray) -> np.ndarray:
+        """The keys of the k words that end at each of some places."""
+        return self.last[at] if k == 1 else pair_hash(self.key(k - 1, at - 1), self.key(k - 1, at))
+
 
 def slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Rows a few at a time, by bytes and number."""
@@ -127,8 +140,8 @@ def gram_counts(rows: DataFrame, order: int, folds: int, number: int = 0, parts:
         for b, texts in slices(batches, 0):
             grams, fold = Grams(texts, order), b.column(1).to_numpy().astype(np.uint64)
             at = np.flatnonzero(grams.inner & (grams.last % np.uint64(parts) == number))
-            own = np.stack([*(c for k in range(order, 1, -1) for c in (grams.keys[k - 2][at - 1], grams.keys[k - 2][at])), fold[grams.doc[at]]])
-            mark = pair_hash(grams.keys[-1][at], own[-1])
+            own = np.stack([*(c for k in range(order, 1, -1) for c in (grams.key(k - 1, at - 1), grams.key(k - 1, at))), fold[grams.doc[at]]])
+            mark = pair_hash(grams.key(order, at), own[-1])
             _, first, n = np.unique(mark, return_index=True, return_counts=True)
             yield pa.RecordBatch.from_arrays([*(_signed(c) for c in own[:-1, first]), pa.array(own[-1, first].astype(np.int32)), pa.array(n.astype(np.int64))], names=[*names, "fold", "n"])
 
@@ -156,7 +169,8 @@ class Model:
 
     def __init__(self, rows: DataFrame, order: int, folds: int):
         self.order, self.folds = order, folds
-        own = [stash(gram_counts(rows, order, folds, number, COUNT_PARTS), "ngrams") for number in range(COUNT_PARTS)]
+        grams = [f"{part}_{k}" for k in range(order, 1, -1) for part in ("context", "suffix")]  # in order they take less room
+        own = [stash(gram_counts(rows, order, folds, number, COUNT_PARTS).sortWithinPartitions(*grams), "ngrams") for number in range(COUNT_PARTS)]
         self.tables, whole = list(own), own[0]
         for part in own[1:]:
             whole = whole.unionByName(part)
@@ -187,6 +201,10 @@ class Model:
         weights = [x for f in range(self.folds) for x in (F.col(f"t{f}"), F.when(F.col(f"t{f}") > 0, F.log(F.col(f"s{f}") / F.col(f"t{f}"))).otherwise(0.0).alias(f"b{f}"))]
         return got.select("key", "rows", *weights)
 
+    def part(self, number: int, passes: int) -> DataFrame:
+        """The counts of the highest order that have the n-grams of class ``number``, others too."""
+        return self.counts[self.order] if passes % COUNT_PARTS else self.tables[number % COUNT_PARTS]
+
     def values(self, number: int, passes: int) -> DataFrame:
         """(key, v0, v1, ...): the values of the n-grams whose last word is of class ``number``."""
         folds, own = range(self.folds), lambda word: F.pmod(F.col(word), F.lit(passes)) == number
@@ -194,7 +212,7 @@ class Model:
         p = low.select("key", F.col("rows"), *[(F.greatest(F.col(f"c{f}") - _cut(F.col(f"c{f}"), self.discounts[1][f]), F.lit(0.0)) / max(self.total[f], 1.0) + self.unseen[f]).alias(f"p{f}") for f in folds])
         out = [self._with_weights(p, [(F.log(F.col(f"p{f}") / self.unseen[f])).alias(f"a{f}") for f in folds], 1, number, passes)]
         for k in range(2, self.order + 1):
-            table = self.counts[k].where(own("suffix_2"))
+            table = (self.part(number, passes) if k == self.order else self.counts[k]).where(own("suffix_2"))
             contexts, shorter = self.contexts[k], p
             near = salted_join(table.withColumnRenamed("rows", "own_rows") if k < self.order else table, contexts.drop("rows").withColumnRenamed("key", f"context_{k}"), f"context_{k}", F.col(f"suffix_{k}"), heavy_keys(contexts.withColumnRenamed("key", f"context_{k}"), f"context_{k}", "rows"))
             both = salted_join(near, shorter.drop("rows").withColumnRenamed("key", f"suffix_{k}"), f"suffix_{k}", F.col(f"context_{k}"), heavy_keys(shorter.withColumnRenamed("key", f"suffix_{k}"), f"suffix_{k}", "rows"))
@@ -271,9 +289,10 @@ def asked(rows: DataFrame, order: int, shards: int, number: int, passes: int) ->
             use = np.flatnonzero(mine)
             if not len(use):
                 continue
-            keys, doc = np.concatenate([k[use] for k in grams.keys]), np.tile(grams.doc[use], order)
-            mark = shard_of(keys, shards) * n + doc
-            low = _five(keys[np.argsort(mark, kind="stable")])
+            keys, doc = np.stack([grams.key(k, use) for k in range(1, order + 1)], axis=1).ravel(), np.repeat(grams.doc[use], order)
+            shard = shard_of(keys, shards)  # documents are in order, so that only shards are sorted
+            low = _five(keys[np.argsort(shard.astype(np.uint16) if shards <= 1 << 16 else shard, kind="stable")])
+            mark = shard * n + doc
             sizes = np.bincount(mark, minlength=shards * n).astype("<u4").reshape(shards, n)
             full = np.flatnonzero(sizes.any(axis=1))
             ends = np.concatenate([[0], np.cumsum(sizes.sum(1, dtype=np.int64))])
@@ -369,7 +388,10 @@ def perplexities(docs: DataFrame, trusted: DataFrame, order: int = ORDER, folds:
     keys = sum(model.counts[k].count() for k in model.counts)
     shards = max(1, -(-keys // (passes * SHARD_KEYS)))
     parts = []
-    for number in range(passes):
+    order_of_passes = sorted(range(passes), key=lambda number: number % COUNT_PARTS)
+    for at, number in enumerate(order_of_passes):
+        if passes % COUNT_PARTS == 0 and order == 2 and at and number % COUNT_PARTS != (done := order_of_passes[at - 1] % COUNT_PARTS):
+            discard(model.tables[done])  # its classes have been scored
         values = stash(model.values(number, passes), "values")
         packets = asked(rows.select("row", "fold", "text"), order, shards, number, passes)
         parts.append(stash(summed(values, packets, folds, shards), "sums"))
