@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import random
+import time
 import zlib
 from pathlib import Path
 
@@ -14,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from wordspan.llm import ann, chat, decontaminate, licenses, lines, packing, quality, simhash, suffixes, toxicity
-from wordspan.llm.common import connected_components, local_roots, shared_folder
+from wordspan.llm.common import FILE_CLEANUP, connected_components, local_roots, shared_folder, stash
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, fp int, tokens string"
 LONG = " ".join(f"w{i % 997}" for i in range(30_000))
@@ -41,6 +42,24 @@ def test_components(spark):
     assert sorted(map(tuple, connected_components(edges).collect())) == [(k, 1) for k in (1, 2, 3)] + [(k, 5) for k in (5, 6, 7, 8, 9)]
 
 
+def test_shuffle_files_of_a_stash_go_when_it_is_written(spark):
+    def files():
+        return set(Path(spark.conf.get("spark.local.dir")).glob("blockmgr-*/*/shuffle_*.data"))
+
+    rows = spark.range(20_000).groupBy((F.col("id") % 5_000).alias("k")).agg(F.sum("id").alias("n")).join(spark.range(5_000).withColumnRenamed("id", "k").hint("merge"), "k")
+    before, choice = files(), spark.conf.get(FILE_CLEANUP)
+    back = stash(rows, "cleaned")
+    end = time.monotonic() + 10  # they go in the background; nothing is asked to collect garbage meanwhile
+    while files() - before and time.monotonic() < end:
+        time.sleep(0.1)
+    assert not files() - before
+    assert spark.conf.get(FILE_CLEANUP) == choice
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect())) and back.count() == 5_000
+    with pytest.raises(Exception, match="no such"):
+        stash(rows.withColumn("bad", F.raise_error(F.lit("no such"))), "bad")
+    assert spark.conf.get(FILE_CLEANUP) == choice
+
+
 def brute_fingerprint(text):
     words = (text or "").encode().lower().split()
     shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
