@@ -24,6 +24,23 @@ def half_even(numerator: Column, denominator: Column, places: int) -> Column:
     return (q + up.cast("long")) / F.lit(float(k))
 
 
+def fixed(value: Column, places: int) -> Column:
+    """A double as text with ``places`` decimals, rounded by its exact binary value, ties to even, as C and Python write it.
+
+    ``format_string`` rounds the shortest decimal notation instead, ties up: 0.3125 to 0.313, 0.4125 (which is less) to 0.413.
+    For values under 2^52 / 10^places."""
+    k = float(10**places)
+
+    def of(x: Column) -> Column:
+        scaled, high = x * k, x * 134217729.0 - (x * 134217729.0 - x)  # high: the upper half of the digits
+        rest = (high * k - scaled) + (x - high) * k  # what the product lost, exactly
+        tie = scaled - F.floor(scaled) == 0.5
+        whole = F.when(tie & (rest > 0), F.ceil(scaled).cast("double")).when(tie & (rest < 0), F.floor(scaled).cast("double")).otherwise(F.rint(scaled))
+        return F.when(x.isNotNull(), F.format_string(f"%.{places}f", whole / k))
+
+    return let(value, of)
+
+
 def free_names(df: DataFrame, *wanted: str) -> list[str]:
     """Names for helper columns that clash with none of ``df``'s."""
     taken, out = {c.lower() for c in df.columns}, []

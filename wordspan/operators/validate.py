@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.core import let
+from ..functions.core import fixed, let
 
 
 @dataclass(frozen=True)
@@ -81,10 +81,10 @@ def errors(words: Column, duration: Column, expected: Column | None = None, pres
             _say((first > edge) & (duration - last > edge), "late_start"),
             _say(last < duration - edge, "early_end"),
             _say(tiny / size > limits.max_very_short_frac, "too_many_short:", tiny.cast("string"), "/", size.cast("string")),
-            _say(coverage < limits.min_coverage, "low_coverage:", F.format_string("%.3f", coverage)),
+            _say(coverage < limits.min_coverage, "low_coverage:", fixed(coverage, 3)),
         ]
         if limits.min_mean_score is not None:
-            whole.append(_say(mean < limits.min_mean_score, "low_mean_score:", F.format_string("%.4f", mean)))
+            whole.append(_say(mean < limits.min_mean_score, "low_mean_score:", fixed(mean, 4)))
         count = [_say(size != F.size(expected), "word_count expected=", F.size(expected).cast("string"), " got=", size.cast("string"))] if expected is not None else []
         plain = lambda xs: F.filter(F.array(*xs), lambda x: x.isNotNull()) if xs else F.array().cast("array<string>")
         return F.concat(plain(count), _word_errors(words, expected, duration, limits), plain(whole))
