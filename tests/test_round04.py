@@ -30,3 +30,7 @@ def test_figures_are_rounded_as_c_and_python_do(spark):
 
 def test_messages_of_validation_at_ties(spark):
     assert ";".join(_failed(spark).first().errors) == REASON
+
+
+def test_reasons_of_failures_at_ties(spark):
+    assert [tuple(r) for r in reports.failure_rows(_failed(spark), ["ayah"]).collect()] == [(4493, REASON)]
