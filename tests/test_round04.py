@@ -34,3 +34,10 @@ def test_messages_of_validation_at_ties(spark):
 
 def test_reasons_of_failures_at_ties(spark):
     assert [tuple(r) for r in reports.failure_rows(_failed(spark), ["ayah"]).collect()] == [(4493, REASON)]
+
+
+def test_csv_of_failures_at_ties(spark, tmp_path):
+    rows = reports.failure_rows(_failed(spark), ["reciter_id", "ayah"])
+    reports.failures_csv(rows.select(F.col("reciter_id").alias("surah"), "ayah", "reason"), str(tmp_path / "csv"))
+    back = spark.read.option("header", True).schema("surah string, ayah string, reason string").csv(str(tmp_path / "csv"))
+    assert [tuple(r) for r in back.collect()] == [("r", "4493", REASON)]
