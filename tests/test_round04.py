@@ -2,8 +2,10 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from wordspan.functions.core import fixed
 from wordspan.operators import reports, validate
 
@@ -41,3 +43,19 @@ def test_csv_of_failures_at_ties(spark, tmp_path):
     reports.failures_csv(rows.select(F.col("reciter_id").alias("surah"), "ayah", "reason"), str(tmp_path / "csv"))
     back = spark.read.option("header", True).schema("surah string, ayah string, reason string").csv(str(tmp_path / "csv"))
     assert [tuple(r) for r in back.collect()] == [("r", "4493", REASON)]
+
+
+#: The JVM interprets longer methods, which made these queries' last stages two to three times as long.
+COMPILED = 8000
+SHORT = ["enrich"]
+
+
+@pytest.mark.parametrize("name", SHORT)
+def test_stages_are_compiled_by_the_jvm(spark, name):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+        made = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(plan)
+        assert max(made.apply(i)._3().maxMethodCodeSize() for i in range(made.size())) < COMPILED
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")

@@ -8,8 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .core import half_even
-
 
 @dataclass(frozen=True)
 class TimingConfig:
@@ -56,8 +54,11 @@ def word_duration(start: Column, end: Column) -> Column:
 
 
 def duration_ratio(duration: Column, baseline: Column) -> Column:
-    """Rounded to 3 places, half to even; baselines are multiples of a half."""
-    return F.when(baseline > 0, half_even(2 * duration, F.greatest((2 * baseline).cast("long"), F.lit(1)), 3))
+    """Rounded to 3 places, half to even; baselines are multiples of a half.
+
+    Numerators of whole ms stay under 2^52, so a quotient that is no tie never rounds to one: ``half_even`` in short code, which
+    the JVM compiles also at the end of a long stage."""
+    return F.when(baseline > 0, F.rint(2000.0 * duration.cast("long") / F.greatest((2 * baseline).cast("long"), F.lit(1))) / 1000.0)
 
 
 def extension_level(ratio: Column, candidate: Column, config: TimingConfig = TimingConfig()) -> Column:
