@@ -61,8 +61,9 @@ def reciter_median(words: DataFrame, c: Columns = Columns(), least: int = 8) ->
 
 def order_stats(rows: DataFrame, keys: list[str], value: str, prefix: str = "") -> DataFrame:
     """(keys, n, below, mid, above): the middle values of each group, from which the median without any
-    one value follows. Groups are counted by value first, so a window sees their distinct values only."""
-    return order_stats_of(rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c")), keys, value, prefix)
+    one value follows. Groups are counted by value first, so a window sees their distinct values only. Nulls are sorted out by
+    their count: a filter on the value would be pushed below the formula that makes it, and make it twice."""
+    return order_stats_of(rows.groupBy(*keys, value).agg(F.count(value).alias("_c")).where("_c > 0"), keys, value, prefix)
 
 
 def order_stats_of(counts: DataFrame, keys: list[str], value: str, prefix: str = "") -> DataFrame:
@@ -170,6 +171,14 @@ def with_verse_measures(words: DataFrame, c: Columns = Columns(), least: int = 2
     return verse_measures(nested, w_, words.columns, c, least)
 
 
+def measured_verses(verses: DataFrame, words: str = "words", c: Columns = Columns(), least: int = 2, fields: list[str] | None = None) -> DataFrame:
+    """``with_verse_measures`` of nested verses (keys, array of words with index, text, start, end and score, or the ``fields`` among
+    them that are asked for): measured where they are, no shuffle."""
+    fields = fields or [c.index, c.text, c.start, c.end, c.score]
+    inner = F.transform(words, lambda w: F.struct(*[w[x].alias(x) for x in fields], M.word_duration(w[c.start], w[c.end]).alias(c.duration)))
+    return verse_measures(verses.select(*c.verse_key, inner.alias("w")), "w", [*c.verse_key, *fields], c, least)
+
+
 def verse_measures(nested: DataFrame, w_: str, columns: list[str], c: Columns, least: int) -> DataFrame:
     """The words of verses (keys, array ``w_`` of the other columns and the duration), one row each, with their verse's
     measures: its order statistics are places of its sorted durations. No shuffle."""
@@ -207,11 +216,25 @@ def attach_analysis(words: DataFrame, config: M.TimingConfig = M.TimingConfig(),
     if not config.enabled:
         return words
     plain, back = folded(stripped(words, c), c)
-    based = with_verse_measures(plain, c, config.min_verse_others)
+    done = _attached(with_verse_measures(plain, c, config.min_verse_others), config, c)
+    return done.select(*back, *[x for x in done.columns if x not in plain.columns])
+
+
+def attach_verses(verses: DataFrame, words: str = "words", config: M.TimingConfig = M.TimingConfig(), c: Columns = Columns()) -> DataFrame:
+    """``attach_analysis`` for nested verses, as ``enrich_verses``: a row a word, shuffled only by text."""
+    if not config.enabled:
+        return _plain_words(verses, words, c)
+    return _attached(measured_verses(verses, words, c, config.min_verse_others), config, c)
+
+
+def _plain_words(verses: DataFrame, words: str, c: Columns) -> DataFrame:
+    return verses.select(*c.verse_key, F.explode(words).alias("w")).select(*c.verse_key, *[F.col("w")[x].alias(x) for x in [c.index, c.text, c.start, c.end, c.score]])
+
+
+def _attached(based: DataFrame, config: M.TimingConfig, c: Columns) -> DataFrame:
     known = F.col("verse_base").isNotNull()
     based = based.withColumns({"baseline_ms": F.col("verse_base"), "baseline_source": F.when(known, "verse"), "baseline_n": F.when(known, F.col("verse_base_others"))}).drop("verse_base", "verse_base_others")
-    done = measured(with_text_analysis(based, config, c), config, c).withColumn("timing_enabled", F.lit(True))
-    return done.select(*back, *[x for x in done.columns if x not in plain.columns])
+    return measured(with_text_analysis(based, config, c), config, c).withColumn("timing_enabled", F.lit(True))
 
 
 #: Tables of so many rows at most are copied to all tasks; larger ones are joined by key.
@@ -246,13 +269,9 @@ def enrich_verses(verses: DataFrame, words: str = "words", config: M.TimingConfi
     """``enrich`` for nested verses (reciter, chapter, verse, array of words with index, text, start, end and score, all named by
     ``c``): a row a word. Verses are measured where they are, so words are shuffled once at most, by text, to meet the lexicon, and
     not at all while that is small enough to be broadcast. Other columns of verses and fields of words aren't returned."""
-    fields = [c.index, c.text, c.start, c.end, c.score]
-    inner = F.transform(words, lambda w: F.struct(*[w[x].alias(x) for x in fields], M.word_duration(w[c.start], w[c.end]).alias(c.duration)))
-    nested = verses.select(*c.verse_key, inner.alias("w"))
-    columns = [*c.verse_key, *fields]
     if not config.enabled:
-        return nested.select(*c.verse_key, F.explode("w").alias("w")).select(*c.verse_key, *[F.col("w")[x].alias(x) for x in fields])
-    return _enriched(verse_measures(nested, "w", columns, c, config.min_verse_others), columns, config, c)
+        return _plain_words(verses, words, c)
+    return _enriched(measured_verses(verses, words, c, config.min_verse_others), [*c.verse_key, c.index, c.text, c.start, c.end, c.score], config, c)
 
 
 def _enriched(measures: DataFrame, columns: list[str], config: M.TimingConfig, c: Columns) -> DataFrame:
