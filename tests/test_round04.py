@@ -47,7 +47,7 @@ def test_csv_of_failures_at_ties(spark, tmp_path):
 
 #: The JVM interprets longer methods, which made these queries' last stages two to three times as long.
 COMPILED = 8000
-SHORT = ["enrich", "timing_config", "extension_level", "extension_confidence", "word_baseline", "resolve_baseline"]
+SHORT = ["enrich", "timing_config", "extension_level", "extension_confidence", "word_baseline", "resolve_baseline", "attach_analysis"]
 
 
 @pytest.mark.parametrize("name", SHORT)
