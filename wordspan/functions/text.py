@@ -77,22 +77,47 @@ def nfc(text: Column, stripped: bool = False) -> Column:
     composing mark are returned as they are; only other texts are sent to an Arrow helper, which gets nulls for the rest.
     Where ALL_MARKS are ``stripped`` afterwards, their order doesn't matter: composing marks and marks that stay do."""
 
+    other = text.rlike(f"[^{COVERED}]")
+    return F.when(other, _nfc_elsewhere(F.when(other, text))).when(text.rlike(_moves(stripped)), _composed(text)).otherwise(text)
+
+
+def _nfc_elsewhere(text: Column) -> Column:
     @F.pandas_udf("string")
     def elsewhere(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             yield s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 
-    other = text.rlike(f"[^{COVERED}]")
-    moves = f"[{COMPOSING}\u0610-\u061A]" if stripped else f"[{MARKS}]{{2}}|[{COMPOSING}]|[{''.join(PARTS)}][{MARKS}]"
-    return F.when(other, elsewhere(F.when(other, text))).when(text.rlike(moves), _composed(text)).otherwise(text)
+    return elsewhere(text)
+
+
+def _moves(stripped: bool) -> str:
+    """What a covered text must have for its composition to differ."""
+    return f"[{COMPOSING}\u0610-\u061A]" if stripped else f"[{MARKS}]{{2}}|[{COMPOSING}]|[{''.join(PARTS)}][{MARKS}]"
 
 
 def normalize_text(text: Column, keep_diacritics: bool = False) -> Column:
     """A word as aligners want it; what is left empty becomes an alef."""
-    out = F.regexp_replace(nfc(text, not keep_diacritics), r"\p{Cf}", "")
+    return _plain(nfc(text, not keep_diacritics), keep_diacritics)
+
+
+def _plain(composed: Column, keep_diacritics: bool) -> Column:
+    out = F.regexp_replace(composed, r"\p{Cf}", "")
     out = F.regexp_replace(out, PAUSE_MARKS if keep_diacritics else ALL_MARKS, "")
     out = F.regexp_replace(F.translate(out, *LETTER_FORMS), r"(?U)^\s+|\s+$", "")
-    return F.when(out == "", ALEF).otherwise(out)
+    return F.regexp_replace(out, r"\A\z", ALEF)
+
+
+def normalize_words(words: Column, keep_diacritics: bool = False) -> Column:
+    """``normalize_text`` of each word of an array; words hold no line feeds. The Arrow helper gets them as one text with a line feed
+    between, which composes with nothing, and only where some are uncovered."""
+    joined = F.array_join(words, "\n")
+    other = joined.rlike(f"[^{COVERED}]")
+    parts = F.split(F.when(other, _nfc_elsewhere(F.when(other, joined))).otherwise(joined), "\n")
+
+    def of(w: Column) -> Column:
+        return _plain(F.when(w.rlike(f"[^{COVERED}]") | ~w.rlike(_moves(not keep_diacritics)), w).otherwise(_composed(w)), keep_diacritics)
+
+    return F.when(F.size(words) > 0, F.transform(parts, of)).otherwise(words)
 
 
 def join_normalized(words: Column) -> Column:
