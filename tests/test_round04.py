@@ -2,12 +2,15 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from wordspan.functions import text as T
 from wordspan.functions.core import fixed
-from wordspan.operators import reports, validate
+from wordspan.operators import align, reports, validate
+from wordspan.sources import documents as D
 
 VERSE = "reciter_id string, ayah int, duration_ms int, words array<struct<idx:int,text:string,start_ms:int,end_ms:int,score:double>>"
 #: Mean score -26.09875: binary a little above it, so four decimals are -26.0987. Coverage 125 / 400 = 0.3125, a tie: 0.312.
@@ -59,3 +62,55 @@ def test_stages_are_compiled_by_the_jvm(spark, name):
         assert max(made.apply(i)._3().maxMethodCodeSize() for i in range(made.size())) < COMPILED
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+#: Verses are nested in these, and need no gathering.
+NESTED = ["explode_words", "join_normalized", "extension_level", "extension_confidence", "timing_config"]
+
+
+@pytest.mark.parametrize("name", NESTED)
+def test_nested_verses_are_not_gathered_anew(spark, name):
+    plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("keep", [False, True])
+def test_words_of_an_array_are_normalized_as_one_by_one(spark, keep):
+    """Covered and other texts side by side, marks first or alone, words that are left empty, odd spaces."""
+    words = ["\u0627\u0653", "\u0653\u0627", "\u06d6", "\u200f", "e\u0301", "\u0301e", "\u0628\u0651\u064e", "\u0628\u064e\u0651", "\u0648\u0654", "\u00a0x\u00a0", "abc", "\u0623\u0629", "\u1100\u1161", "\u064a\u0654\u064e"]
+    rows = [(i, words[i % 5 :] + words[: i % 5]) for i in range(5)] + [(5, []), (6, ["abc"]), (7, ["\u0301", "\u0653"])]
+    df = spark.createDataFrame(rows, "i int, w array<string>")
+    got = {r.i: r.n for r in df.select("i", T.normalize_words(F.col("w"), keep).alias("n")).collect()}
+    one = spark.createDataFrame([(w,) for w in {x for _, ws in rows for x in ws}], "w string").select("w", T.normalize_text(F.col("w"), keep).alias("n"))
+    plain = {r.w: r.n for r in one.collect()}
+    assert got == {i: [plain[w] for w in ws] for i, ws in rows}
+
+
+def test_repair_takes_words_in_bounded_parts():
+    sizes = np.array([5, 0, 300, 10, 90, 1, 1, 1, 99, 250])
+    live = np.flatnonzero(sizes)
+    parts = align.slices(live, sizes, 100)
+    assert np.concatenate(parts).tolist() == live.tolist() and len(parts) > 3
+    assert all(len(p) == 1 or sizes[p].sum() <= 100 + sizes[p].max() for p in parts) and align.slices(live[:0], sizes) == []
+
+
+def test_alignments_are_written_compressed_and_read_back(spark, tmp_path):
+    rows = spark.createDataFrame([("r", "1", '{"ayah":1}'), ("r", "2", '{"ayah":2}')], "reciter_id string, surah string, json string")
+    D.write_alignments(rows, str(tmp_path / "t"), compression="gzip")
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "t")).collect()) == ['{"ayah":1}', '{"ayah":2}']
+    assert {p.suffix for p in (tmp_path / "t").rglob("part-*")} == {".gz"}
+
+
+def test_small_files_of_a_tree_share_tasks(spark, tmp_path):
+    for i in range(100):
+        (tmp_path / f"t/{i}").mkdir(parents=True)
+        (tmp_path / f"t/{i}/1.json").write_text('{"ayah": %d}' % i)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # a file a task, as Spark plans them
+    try:
+        rows = D.read_tree(spark, str(tmp_path / "t"), "ayah int")
+        assert rows.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism < 100
+        assert sorted(r.ayah for r in rows.collect()) == list(range(100))
+        packed = D.compact_tree(spark, str(tmp_path / "t"), str(tmp_path / "p"), "ayah int")
+        assert sorted(r.ayah for r in packed.collect()) == list(range(100)) and len(list((tmp_path / "p").glob("*.parquet"))) == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
