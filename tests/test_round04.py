@@ -1,6 +1,7 @@
 """Messages with rounded figures, and what larger tables showed."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from wordspan.functions import text as T
 from wordspan.functions.core import fixed
 from wordspan.operators import align, reports, validate
 from wordspan.sources import documents as D
+from wordspan.sources import tables
 
 VERSE = "reciter_id string, ayah int, duration_ms int, words array<struct<idx:int,text:string,start_ms:int,end_ms:int,score:double>>"
 #: Mean score -26.09875: binary a little above it, so four decimals are -26.0987. Coverage 125 / 400 = 0.3125, a tie: 0.312.
@@ -114,3 +116,12 @@ def test_small_files_of_a_tree_share_tasks(spark, tmp_path):
         assert sorted(r.ayah for r in packed.collect()) == list(range(100)) and len(list((tmp_path / "p").glob("*.parquet"))) == 1
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_tables_between_steps_leave_no_shuffle_files(spark):
+    """As the verses of ``enrich_words``, whose words are all shuffled before they are written."""
+    here = Path(spark.conf.get("spark.local.dir"))
+    files = lambda: {p for p in here.rglob("shuffle_*.data")}
+    before = files()
+    back = tables.written(spark.range(10_000).repartition(7, "id"))
+    assert back.count() == 10_000 and not [p for p in files() - before if p.stat().st_size > 1000]

@@ -41,9 +41,15 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared folder: made once for several readers, and its lineage ends there."""
-    path = scratch_folder(df.sparkSession)
-    df.write.parquet(path)
+    """``df`` as a table in the shared folder: made once for several readers, and its lineage ends there. The shuffle files of the
+    writing go when it ends."""
+    path, conf, key = scratch_folder(df.sparkSession), df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.set(key, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
